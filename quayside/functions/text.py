@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -48,13 +47,18 @@ def requote(line: Column, delimiter: str = ",", new_delimiter: str = ",") -> Col
 
 
 def quote_prefixes(line: Column, prefixes: Sequence[str] = KNOWN_PREFIXES) -> Column:
-    """Put quotes around a listed prefix at the start of a line, doubling quotes inside it."""
-    def quoted(text: Column, prefix: str) -> Column:
-        doubled = prefix.replace('"', '""')
-        rest = F.substring(text, F.lit(len(prefix) + 1), F.length(text))
-        return F.when(text.startswith(prefix), F.concat(F.lit(f'"{doubled}"'), rest)).otherwise(text)
+    """Put quotes around a listed prefix at the start of a line, doubling quotes inside it.
 
-    return reduce(quoted, prefixes, line)
+    A quoted line starts with a quote, so no later prefix can match it: the first match decides.
+    """
+    out = line
+    for prefix in reversed(prefixes):
+        doubled = prefix.replace('"', '""')
+        rest = F.substring(line, F.lit(len(prefix) + 1), F.length(line))
+        out = F.when(
+            line.startswith(prefix), F.concat(F.lit(f'"{doubled}"'), rest)
+        ).otherwise(out)
+    return out
 
 
 def field_count(line: Column, delimiter: str = ",", quote: str = '"') -> Column:

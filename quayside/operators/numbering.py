@@ -61,14 +61,26 @@ def number_rows(
 
 
 def with_next(
-    df: DataFrame, value: str, order: Sequence[str | Column], within: Sequence[str], name: str
+    df: DataFrame, value: str, order: Sequence[str | Column], within: Sequence[str], name: str,
+    position: str = "position",
 ) -> DataFrame:
     """``lead(value)`` by ``order`` inside ``within``, as a join of neighbouring positions.
 
     The join key (within, position) is unique, so the join is even however large a group is.
     """
-    numbered = number_rows(df, order, within, "_pos")
+    numbered = number_rows(df, order, within, position)
     following = numbered.select(
-        *within, (F.col("_pos") - 1).alias("_pos"), F.col(value).alias(name)
+        *within, (F.col(position) - 1).alias(position), F.col(value).alias(name)
+    )
+    return numbered.join(following, [*within, position], "left")
+
+
+def block_ranges(
+    starts: DataFrame, start: str, order: Sequence[str | Column], within: Sequence[str]
+) -> DataFrame:
+    """Blocks numbered inside their sheet, each ending one row above the next start, which is
+    not part of it; the last block of a sheet is open."""
+    ranged = with_next(starts, start, order, within, "_next", "block")
+    return ranged.select(
+        *within, "block", F.col(start).alias("start_row"), (F.col("_next") - 1).alias("end_row")
     )
-    return numbered.join(following, [*within, "_pos"], "left").drop("_pos")

@@ -12,6 +12,8 @@ from quayside.operators.numbering import number_rows
 from quayside.operators.skew import lookup_join
 from quayside.session import durable
 
+# Fixed value: the text of a cell without a value.
+NULL_TEXT = "NULL"
 DICTIONARY = "id long, type string, name string"
 
 
@@ -84,7 +86,7 @@ def encode(df: DataFrame, dictionary: DataFrame, columns: Mapping[str, str]) ->
     return out
 
 
-def melt_block(df: DataFrame, ids: Sequence[str], null_text: str = "NULL") -> DataFrame:
+def melt_block(df: DataFrame, ids: Sequence[str], null_text: str = NULL_TEXT) -> DataFrame:
     """R2: the measure columns of a data block as rows, cells holding the NULL text dropped,
     quotes taken out of every text."""
     plain = df.select(*[F.replace(F.col(c), F.lit('"'), F.lit("")).alias(c) for c in df.columns])

@@ -15,8 +15,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One catalog row per document: every tenth is an archive, the others are its members."""
+def files(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
+    """One catalog row per document: every tenth is an archive, the others are its members.
+    ``extra`` names columns of the document to carry along."""
     d = table(spark, sf_dir, "documents")
     doc = F.col("doc_id")
     archive = doc % 10 == 0
@@ -36,6 +37,7 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("file_process_state"),
         (doc % 11 != 0).alias("reprocess"),
         (doc % 29 == 4).alias("duplicate_file"),
+        *extra,
     )
 
 

@@ -100,10 +100,9 @@ FROM lines l JOIN files s ON s.file_id = l.doc_id + 1
 def tag_file_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines know only the path of their file; the catalog gives the id."""
     catalog = files(spark, sf_dir).select("file_id", "file_path", "file_name")
-    docs = table(spark, sf_dir, "documents").select(
-        (F.col("doc_id") + 1).alias("_doc"), F.posexplode(text.lines_of(F.col("text"))).alias("line_no", "line")
+    located = files(spark, sf_dir, "text").select(
+        "file_path", "file_name", F.posexplode(text.lines_of(F.col("text"))).alias("line_no", "line")
     )
-    located = docs.join(catalog.withColumnRenamed("file_id", "_doc"), "_doc").drop("_doc")
     return lookup_join(located, catalog, ["file_path", "file_name"]).select(
         "file_id", F.col("line_no").cast("long").alias("line_no"),
         text.prefixed(F.col("line"), F.col("file_id")).alias("line"),
