@@ -17,6 +17,9 @@ KILLFILL, FILE_ID, LAST_UPDATE, PROJECT, SCHEMA = (
     "KILLFILL", "FILE_ID", "CDO_LAST_UPDATE", "PROJECT", "SCHEMA",
 )
 
+# Mark the batch of rows whose batch column is NULL, and the single batch of a whole table.
+NULL_BATCH, WHOLE = "\u0000", "\u0001"
+
 
 def sql_literal(value: Column, kind: T.DataType) -> Column:
     """A value as a literal of its type; texts quoted."""
@@ -31,6 +34,11 @@ def sql_literal(value: Column, kind: T.DataType) -> Column:
     return quoted
 
 
+def batch_value(column: Column) -> Column:
+    """The value of a batch as text; a missing value is a batch of its own."""
+    return F.coalesce(column.cast("string"), F.lit(NULL_BATCH))
+
+
 def plan_batches(
     source: DataFrame, source_table: str, target_table: str, method: str = "ALL",
     column: str | None = None, chunk: DataFrame | None = None,
@@ -43,7 +51,7 @@ def plan_batches(
     select = f"select * from {source_table}"
     spark = source.sparkSession
     if method == "ALL":
-        plan = spark.range(1).select(F.lit(select).alias("src_sql"))
+        plan = spark.range(1).select(F.lit(select).alias("src_sql"), F.lit(WHOLE).alias("batch_value"))
     elif method == "COLUMN":
         if column is None:
             raise ValueError("batch method COLUMN needs a column")
@@ -52,11 +60,15 @@ def plan_batches(
         where = F.when(value.isNull(), F.lit(f"{column} IS NULL")).otherwise(
             F.concat(F.lit(f"{column}="), sql_literal(value, values.schema[column].dataType))
         )
-        plan = values.select(F.concat(F.lit(f"{select} where "), where).alias("src_sql"))
+        plan = values.select(
+            F.concat(F.lit(f"{select} where "), where).alias("src_sql"),
+            batch_value(value).alias("batch_value"),
+        )
     else:
         raise ValueError(f"unknown batch method {method}")
     return plan.select(
-        F.md5("src_sql").alias("src_sql_hash"), "src_sql", F.lit(target_table).alias("trg_table")
+        F.md5("src_sql").alias("src_sql_hash"), "src_sql", F.lit(target_table).alias("trg_table"),
+        "batch_value",
     )
 
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.session import durable
+from quayside.session import durable_counted
 
 # A side is broadcast only after counting that it has at most this many rows.
 BROADCAST_ROWS = 200_000
@@ -54,9 +54,12 @@ def lookup_join(
     on = list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"lookup_join does not do {how!r}")
-    if not stored:
-        lookup = durable(lookup, "lookup")
-    if fits_broadcast(lookup, broadcast_rows):
+    if stored:
+        small = fits_broadcast(lookup, broadcast_rows)
+    else:
+        lookup, count = durable_counted(lookup, "lookup")
+        small = count <= broadcast_rows
+    if small:
         return rows.join(F.broadcast(lookup), on, how)
 
     keyed = rows.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in on]))

@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL_ROOTS: dict[str, str] = {}
 
@@ -63,13 +64,12 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     out by a sort) or where recomputing it would repeat side effects (files written by a task).
     A lost executor costs only the tasks that read the table again.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return durable_counted(df, label)[0]
 
 
-def local_path(uri: str) -> str:
-    """``file:///x`` as ``/x``; other schemes unchanged."""
-    if uri.startswith("file:"):
-        return "/" + uri[len("file:"):].lstrip("/")
-    return os.fspath(uri)
+def durable_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """``durable`` with the number of rows, counted while they are written."""
+    path, rows = scratch_path(df.sparkSession, label), Observation()
+    df.observe(rows, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), rows.get["n"]
+

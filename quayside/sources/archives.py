@@ -76,7 +76,7 @@ def expand_archives(archives: DataFrame, target: str, skip_existing: bool = Fals
                         if not (skip_existing and there.type == fs.FileType.File):
                             sink.create_dir(place.rsplit("/", 1)[0], recursive=True)
                             part = f"{place}.{uuid.uuid4().hex}.part"
-                            with sink.open_output_stream(part) as copy:
+                            with sink.open_output_stream(part, compression=None) as copy:
                                 shutil.copyfileobj(content, copy, CHUNK)
                             sink.move(part, place)
                         out.append((parent, member, path, sink.get_file_info(place).size))

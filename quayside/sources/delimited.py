@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.functions.names import snake_name
+from quayside.functions.names import column_list, snake_name
 from quayside.sources import lines as raw
 from quayside.sources.storage import metadata_path
 
@@ -49,10 +49,17 @@ def header_names(
 ) -> list[str]:
     """Column names in snake case from the header line of one file (one short read)."""
     head = spark.read.option("encoding", spark_encoding(encoding)).text(file).limit(header_row + 1)
-    line = head.collect()[header_row]["value"].rstrip("\r")
+    return split_header(head.collect()[header_row]["value"].rstrip("\r"), delimiter)
+
+
+def split_header(line: str, delimiter: str = ",") -> list[str]:
     return [snake_name(n) for n in next(csv.reader([line], delimiter=delimiter))]
 
 
+def parse_list(value: str | None) -> list[str] | None:
+    return column_list(value)
+
+
 def choose_columns(
     file_columns: int, columns: Sequence[str], columns2: Sequence[str] | None
 ) -> list[str]:
@@ -77,33 +84,39 @@ def read_delimited(
     nulls: str = "pandas",
     strict: bool = False,
     multi_line: bool = False,
+    flag_bad: bool = False,
+    append_crc: bool = False,
 ) -> DataFrame:
     """The rows of delimited files, every column a text, beside the file's ``path``.
 
     Nothing is inferred, so leading zeros stay and no extra pass is made. Files are split; a title
     above the header or a row limit goes through numbered lines. ``strict`` fails on a bad row.
-    ``multi_line`` reads quoted newlines, at the price of one task per file.
+    ``multi_line`` reads quoted newlines, at the price of one task per file. ``flag_bad`` adds the
+    text of a malformed line as ``_bad``; ``append_crc`` adds the checksum of the raw line.
     """
-    schema = text_schema(names)
+    bad = ["_bad"] if flag_bad else []
+    schema = text_schema([*names, *bad])
     options = {
         "sep": delimiter, "quote": quote, "escape": quote, "emptyValue": QUOTED_EMPTY,
         "nullValue": "", "mode": "FAILFAST" if strict else "PERMISSIVE",
+        "columnNameOfCorruptRecord": "_bad",
     }
-    if header_row == 0 and limit_rows is None:
+    kept = ["path", *bad, *(["crc"] if append_crc else [])]
+    if header_row == 0 and limit_rows is None and not append_crc:
         rows = (
             spark.read.schema(schema)
             .options(**options, header=has_header, encoding=spark_encoding(encoding),
                      multiLine=multi_line, recursiveFileLookup=True)
             .csv(files)
-            .select(metadata_path().alias("path"), *names)
+            .select(metadata_path().alias("path"), *names, *bad)
         )
     else:
         numbered = raw.number_lines(raw.read_lines(spark, files, encoding=spark_encoding(encoding)))
+        ddl = ", ".join(f"`{f.name}` string" for f in schema)
         rows = raw.data_lines(numbered, header_row, has_header, limit_rows).select(
-            "path", F.from_csv("line", schema.simpleString()[len("struct<"):-1].replace(":", " "),
-                               options).alias("r"),
-        ).select("path", "r.*")
-    return rows.select("path", *[clean_nulls(F.col(n), nulls).alias(n) for n in names])
+            "path", F.md5("line").alias("crc"), F.from_csv("line", ddl, options).alias("r")
+        ).select("path", "crc", "r.*")
+    return rows.select(*kept, *[clean_nulls(F.col(n), nulls).alias(n) for n in names])
 
 
 def count_rows(spark: SparkSession, files: str | Sequence[str], names: Sequence[str], **options) -> DataFrame:

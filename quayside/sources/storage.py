@@ -68,7 +68,7 @@ def file_md5(files: DataFrame, path: str = "path") -> DataFrame:
             for uri in batch[path]:
                 storage, name = task_filesystem(uri)
                 h = hashlib.md5()
-                with storage.open_input_stream(name, buffer_size=CHUNK) as stream:
+                with storage.open_input_stream(name, compression=None, buffer_size=CHUNK) as stream:
                     while chunk := stream.read(CHUNK):
                         h.update(chunk)
                 out.append((uri, h.hexdigest()))
