@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,14 +17,10 @@ def plain_path(path: Column) -> Column:
 
 
 def metadata_path() -> Column:
-    """The path of the file a row was read from, in the form listings use."""
-    @F.pandas_udf("string")
-    def decode(paths):
-        return paths.map({p: unquote(p) for p in paths.unique()})
-
-    raw = F.col("_metadata.file_path")
-    # Only percent-encoded paths need decoding; plain ones stay out of Python.
-    return plain_path(F.when(raw.contains("%"), decode(raw)).otherwise(raw))
+    """The path of the file a row was read from, in the form listings use: percent-decoded. A plus
+    sign is kept from being read as a blank."""
+    raw = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    return plain_path(F.url_decode(raw))
 
 
 def task_filesystem(uri: str):
@@ -49,6 +44,12 @@ def hadoop_children(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in storage.listStatus(folder)]
 
 
+def hadoop_delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder with what it holds."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 CHECKSUM_SCHEMA = T.StructType([T.StructField("path", T.StringType()), T.StructField("crc", T.StringType())])
 
 

@@ -12,7 +12,7 @@ from quayside.functions import render
 from quayside.operators.merge import merge_rows
 from quayside.operators.skew import lookup_join
 from quayside.session import durable
-from quayside.sources.storage import hadoop_children
+from quayside.sources.storage import hadoop_children, hadoop_delete, metadata_path
 
 
 class VersionedTable:
@@ -72,22 +72,31 @@ def upsert_partitions(
     """M1 on a partitioned table: read, merge and rewrite only the partitions that staging touches.
 
     Touched are the partitions staged rows go to and those that hold their keys now. The merged rows
-    are written aside before the partitions are replaced, because the merge reads them.
-    Returns the merged rows with their action.
+    are written aside before the partitions are replaced, because the merge reads them. A partition
+    that all rows left is removed. Returns the merged rows with their action.
     """
     target = spark.read.schema(schema).parquet(path)
     staged_keys = staging.select(*keys).distinct()
-    touched = (
+    touched = durable(
         lookup_join(target.select(*keys, partition), staged_keys, keys, "left_semi").select(partition)
-        .unionByName(staging.select(partition)).distinct()
+        .unionByName(staging.select(partition)).distinct(),
+        "touched",
     )
-    old = lookup_join(target, touched, [partition], "left_semi").select(*schema.names)
+    old = lookup_join(target, touched, [partition], "left_semi", stored=True).select(*schema.names)
     merged = durable(merge_rows(old, staging, keys, **options), "merged")
+    folder = F.regexp_extract(metadata_path(), "^(.*)/[^/]*$", 1).alias("folder")
+    left = durable(
+        touched.join(merged.select(partition).distinct(), partition, "left_anti").join(
+            target.select(partition, folder).distinct(), partition
+        ), "left",
+    )
     (
         merged.drop("action").hint("rebalance", F.col(partition))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition).parquet(path)
     )
+    for row in left.select("folder").toLocalIterator():
+        hadoop_delete(spark, row["folder"])
     return merged
 
 
