@@ -68,8 +68,13 @@ def padded_row(columns: Sequence[str], widths: Sequence[int], justify: str = "r"
     return F.concat(*[padded(c, w + 1, justify) for c, w in zip(columns, widths, strict=True)])
 
 
-def text_widths(df: DataFrame, smallest: bool = False) -> DataFrame:
-    """Widest (or narrowest) text of each column, as rows (column_name, width)."""
-    pick = F.min if smallest else F.max
-    one = df.agg(*[pick(F.length(as_text(c))).cast("long").alias(c) for c in df.columns])
-    return one.unpivot([], df.columns, "column_name", "width")
+def text_widths(df: DataFrame) -> DataFrame:
+    """Narrowest and widest text of each column; one aggregate over one scan."""
+    def width(column: str, pick) -> Column:
+        return pick(F.length(as_text(column))).cast("long")
+
+    per_column = [
+        F.struct(F.lit(c).alias("column_name"), width(c, F.min).alias("min_width"), width(c, F.max).alias("max_width"))
+        for c in df.columns
+    ]
+    return df.agg(F.array(*per_column).alias("w")).select(F.inline("w"))

@@ -129,8 +129,9 @@ def require_complete(log: DataFrame) -> None:
 
 
 def id_delta(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
-    """Ids of the source that the target lacks; a missing id counts as one value."""
-    return source.select(column).subtract(target.select(column))
+    """Ids of the source that the target lacks; a missing id counts as one value. Both sides
+    are made distinct first, so that a frequent id is combined before it is shuffled."""
+    return source.select(column).distinct().subtract(target.select(column).distinct())
 
 
 def deliver_file_id(source: DataFrame, target: DataFrame, column: str = "file_id") -> DataFrame:

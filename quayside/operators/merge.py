@@ -73,7 +73,7 @@ def merge_rows(
     changed = _changed(rest, check_changes)
     marked = fresh.withColumn("_s", F.lit(True)).alias("s")
 
-    if fits_broadcast(fresh):
+    if fits_broadcast(staging.select(*target.columns)):
         joined = target.alias("t").join(F.broadcast(marked), on_keys, "left")
         action = F.when(F.col("s._s").isNull(), TARGET_ONLY).when(changed, UPDATE).otherwise(UNCHANGED)
         take = action == UPDATE

@@ -116,7 +116,7 @@ def index_cardinality(df: DataFrame, indexes: Mapping[str, Sequence[str]]) -> Da
     )
     return (
         texts.unpivot([], list(indexes), "index_name", "value")
-        .groupBy("index_name", "value").agg(F.lit(1).alias("_one"))
+        .distinct()
         .groupBy("index_name").agg(F.count("value").alias("cardinality"))
     )
 

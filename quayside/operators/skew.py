@@ -8,25 +8,29 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quayside.session import durable_counted
+from quayside.session import durable_sized, row_bytes
 
-# A side is broadcast only after counting that it has at most this many rows.
+# A side is broadcast only after counting that it has at most this many rows and bytes.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 # A key is hot when it holds more than 1/HOT_SHARE of all rows, so there are fewer than HOT_SHARE
 # hot keys whatever the table size.
 HOT_SHARE = 10_000
 
 
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """True when ``df`` has at most ``rows`` rows; reads no more than one row beyond that."""
-    return df.limit(rows + 1).count() <= rows
+    """True when ``df`` is within the row and byte bounds; looks at no more than one row beyond,
+    and only at sizes, not at values."""
+    sizes = df.select(row_bytes(df).alias("b")).limit(rows + 1)
+    found = sizes.agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")).first()
+    return found["n"] <= rows and (found["b"] or 0) <= BROADCAST_BYTES
 
 
 def hot_keys(rows: DataFrame, on: Sequence[str], share: int = HOT_SHARE) -> DataFrame:
     """Keys holding more than ``1/share`` of the rows: at most ``share`` of them, counted with
     map-side partial aggregation so that no task sees the rows of a key."""
     counts = rows.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total = rows.agg(F.count(F.lit(1)).alias("_all"))
+    total = counts.agg(F.sum("_n").alias("_all"))
     return counts.filter(F.col("_n") * F.lit(share) > total.scalar()).select(*on)
 
 
@@ -57,8 +61,8 @@ def lookup_join(
     if stored:
         small = fits_broadcast(lookup, broadcast_rows)
     else:
-        lookup, count = durable_counted(lookup, "lookup")
-        small = count <= broadcast_rows
+        lookup, count, size = durable_sized(lookup, "lookup")
+        small = count <= broadcast_rows and size <= BROADCAST_BYTES
     if small:
         return rows.join(F.broadcast(lookup), on, how)
 

@@ -448,14 +448,8 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def page_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links, list items, paragraphs, tables, table rows and forms of every page."""
-    pages = table(spark, sf_dir, "pages")
-    counted = [
-        pages.select("page_id").join(
-            html.elements(pages, tag).groupBy("page_id").agg(F.count(F.lit(1)).alias("n")), "page_id", "left"
-        ).select(F.lit(tag).alias("tag"), "page_id", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
-        for tag in ("a", "li", "p", "table", "tr", "form")
-    ]
-    return reduce(DataFrame.unionByName, counted)
+    tags = ("a", "li", "p", "table", "tr", "form")
+    return html.element_counts(table(spark, sf_dir, "pages"), tags)
 
 
 @query(

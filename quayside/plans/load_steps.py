@@ -206,10 +206,9 @@ def _layouts(heads: DataFrame) -> list[tuple]:
 
 def _heads(row: MappingRow, ctx: StepContext, files: DataFrame) -> DataFrame:
     """The files with what decides their columns: the number of fields of the header line when the
-    names are configured, else the line itself. One scan for all files of the mapping."""
-    found = lines.number_lines(
-        lines.read_lines(ctx.spark, _paths(files), encoding=delimited.spark_encoding(row.file_encoding))
-    ).filter(F.col("line_no") == row.header_row)
+    names are configured, else the line itself. Only the heads of the files are read."""
+    encoding = delimited.spark_encoding(row.file_encoding)
+    found = storage.head_lines(files, row.header_row + 1, encoding).filter(F.col("line_no") == row.header_row)
     kind = F.rtrim("line")
     if row.columns and not row.use_header:
         kind = text.field_count(kind, row.delimiter).cast("string")

@@ -398,9 +398,7 @@ def profile_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def width_minmax(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The narrowest and widest text of each column."""
-    part = _profiled(spark, sf_dir)["part"]
-    low = render.text_widths(part, smallest=True).withColumnRenamed("width", "min_width")
-    return low.join(render.text_widths(part).withColumnRenamed("width", "max_width"), "column_name")
+    return render.text_widths(_profiled(spark, sf_dir)["part"])
 
 
 INDEXES = {

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _LOCAL_ROOTS: dict[str, str] = {}
 
@@ -53,8 +54,31 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below this application's part of the shared folder."""
+    app = spark.sparkContext.applicationId
+    return f"{scratch_root(spark)}/{app}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what this application wrote to the shared folder, once its results are stored."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(
+        f"{scratch_root(spark)}/{spark.sparkContext.applicationId}"
+    )
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes: texts and binaries by their length, nested values by
+    their JSON, anything else eight."""
+    parts = [F.lit(8)]
+    for f in df.schema:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            parts.append(F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0)))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            parts.append(F.coalesce(F.length(F.to_json(F.struct(f"`{f.name}`"))), F.lit(0)))
+        else:
+            parts.append(F.lit(8))
+    return reduce(lambda a, b: a + b, parts).cast("long")
 
 
 def durable(df: DataFrame, label: str) -> DataFrame:
@@ -64,12 +88,18 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     out by a sort) or where recomputing it would repeat side effects (files written by a task).
     A lost executor costs only the tasks that read the table again.
     """
-    return durable_counted(df, label)[0]
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def durable_counted(df: DataFrame, label: str) -> tuple[DataFrame, int]:
-    """``durable`` with the number of rows, counted while they are written."""
-    path, rows = scratch_path(df.sparkSession, label), Observation()
-    df.observe(rows, F.count(F.lit(1)).alias("n")).write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path), rows.get["n"]
+def durable_sized(df: DataFrame, label: str) -> tuple[DataFrame, int, int]:
+    """``durable`` with the number of rows and bytes, counted while they are written."""
+    path, size = scratch_path(df.sparkSession, label), Observation()
+    counted = df.observe(
+        size, F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")
+    )
+    counted.write.parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    return stored, size.get["rows"], size.get["bytes"]
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions import paths
 from quayside.session import durable
-from quayside.sources.storage import CHUNK, task_filesystem
+from quayside.sources.storage import CHUNK, spread, task_filesystem
 
 MEMBER_SCHEMA = "parent_path string, member string, path string, file_size long"
 
@@ -52,7 +52,7 @@ def expand_archives(archives: DataFrame, target: str, skip_existing: bool = Fals
     """Write the members of each archive below ``target`` and list them with the archive.
 
     ``archives`` has path and crc. An archive is read by one task as a stream and a member is
-    written as a stream, so neither has to fit in memory; archives are spread over tasks by path.
+    written as a stream, so neither has to fit in memory.
     A member is written under a temporary name and then renamed, so a repeated task leaves whole
     files. The listing is written out, so that reading it twice does not unpack twice.
     ``skip_existing`` keeps members that were written before.
@@ -82,7 +82,7 @@ def expand_archives(archives: DataFrame, target: str, skip_existing: bool = Fals
                         out.append((parent, member, path, sink.get_file_info(place).size))
                 yield pd.DataFrame(out, columns=["parent_path", "member", "path", "file_size"])
 
-    listed = archives.select("path", "crc").repartition("path").mapInPandas(unpack, MEMBER_SCHEMA)
+    listed = spread(archives.select("path", "crc"), "path").mapInPandas(unpack, MEMBER_SCHEMA)
     return durable(listed, "members")
 
 
@@ -116,6 +116,6 @@ def profile_members(
                             out.append((parent, member, len(fields)))
             yield pd.DataFrame(out, columns=["parent_path", "member", "columns"])
 
-    return chosen.select("path").repartition("path").mapInPandas(
+    return spread(chosen.select("path"), "path").mapInPandas(
         peek, "parent_path string, member string, columns int"
     )

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from quayside.functions.names import column_list, snake_name
 from quayside.sources import lines as raw
-from quayside.sources.storage import metadata_path
+from quayside.sources.storage import head_lines, metadata_path
 
 # Texts a pandas reader takes as missing.
 PANDAS_NULLS = (
@@ -20,6 +20,8 @@ PANDAS_NULLS = (
 )
 # Names of encodings in configurations and Spark's names for them.
 ENCODINGS = {"UTF8": "UTF-8", "LATIN1": "ISO-8859-1"}
+# A row limit up to this many lines is read from the head of each file.
+HEAD_ROWS = 100_000
 # Stands for a quoted empty text while reading.
 QUOTED_EMPTY = "\u0001"
 
@@ -90,7 +92,8 @@ def read_delimited(
     """The rows of delimited files, every column a text, beside the file's ``path``.
 
     Nothing is inferred, so leading zeros stay and no extra pass is made. Files are split; a title
-    above the header or a row limit goes through numbered lines. ``strict`` fails on a bad row.
+    above the header goes through numbered lines, a row limit through the heads of the files, which
+    must then be given as files, not folders. ``strict`` fails on a bad row.
     ``multi_line`` reads quoted newlines, at the price of one task per file. ``flag_bad`` adds the
     text of a malformed line as ``_bad``; ``append_crc`` adds the checksum of the raw line.
     """
@@ -102,6 +105,7 @@ def read_delimited(
         "columnNameOfCorruptRecord": "_bad",
     }
     kept = ["path", *bad, *(["crc"] if append_crc else [])]
+    start = header_row + 1 if has_header else header_row
     if header_row == 0 and limit_rows is None and not append_crc:
         rows = (
             spark.read.schema(schema)
@@ -111,7 +115,11 @@ def read_delimited(
             .select(metadata_path().alias("path"), *names, *bad)
         )
     else:
-        numbered = raw.number_lines(raw.read_lines(spark, files, encoding=spark_encoding(encoding)))
+        if limit_rows is not None and limit_rows <= HEAD_ROWS:
+            found = spark.createDataFrame([(f,) for f in ([files] if isinstance(files, str) else files)], "path string")
+            numbered = head_lines(found, start + limit_rows, spark_encoding(encoding))
+        else:
+            numbered = raw.number_lines(raw.read_lines(spark, files, encoding=spark_encoding(encoding)))
         ddl = ", ".join(f"`{f.name}` string" for f in schema)
         rows = raw.data_lines(numbered, header_row, has_header, limit_rows).select(
             "path", F.md5("line").alias("crc"), F.from_csv("line", ddl, options).alias("r")

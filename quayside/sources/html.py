@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,13 +17,29 @@ def visible(html: Column) -> Column:
     return F.regexp_replace(html, HIDDEN, "")
 
 
+def element_pattern(tag: str) -> str:
+    return rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>"
+
+
 def elements(pages: DataFrame, tag: str, key: str = "page_id", html: str = "html") -> DataFrame:
     """The elements of a tag, such as table, tr or form, with their place in the page and content."""
-    pattern = rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>"
-    found = F.regexp_extract_all(visible(F.col(html)), F.lit(pattern), F.lit(1))
+    found = F.regexp_extract_all(visible(F.col(html)), F.lit(element_pattern(tag)), F.lit(1))
     return pages.select(key, F.posexplode(found).alias("pos", "content"))
 
 
+def element_counts(pages: DataFrame, tags: Sequence[str], key: str = "page_id", html: str = "html") -> DataFrame:
+    """How many elements of each tag a page has: counted inside the row, one scan, no shuffle."""
+    body = visible(F.col(html))
+    counts = [
+        F.struct(
+            F.lit(t).alias("tag"),
+            F.size(F.regexp_extract_all(body, F.lit(element_pattern(t)), F.lit(1))).cast("long").alias("n"),
+        )
+        for t in tags
+    ]
+    return pages.select(key, F.inline(F.array(*counts)))
+
+
 def links(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """Every link with its place in the page, target and text. Split inside the row: no shuffle."""
     body = visible(F.col(html))

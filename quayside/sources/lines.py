@@ -67,11 +67,10 @@ def lines_per_file(lines: DataFrame) -> DataFrame:
     return lines.groupBy("path").agg(F.count(F.lit(1)).alias("lines"))
 
 
-def line_endings(lines: DataFrame, delimiter: str = ",", header_row: int = 0) -> DataFrame:
+def line_endings(heads: DataFrame, delimiter: str = ",", header_row: int = 0) -> DataFrame:
     """P10: whether the first line of a file ends in a carriage return, and whether its header is
-    quoted. ``lines`` come from ``read_lines(keep_cr=True)``."""
-    numbered = number_lines(lines)
-    return numbered.filter(F.col("line_no") <= header_row).groupBy("path").agg(
+    quoted. ``heads`` come from ``head_lines(keep_cr=True)``, which reads no more than is needed."""
+    return heads.filter(F.col("line_no") <= header_row).groupBy("path").agg(
         F.max(F.when(F.col("line_no") == 0, F.col("line").endswith("\r"))).alias("windows"),
         F.coalesce(
             F.max(F.when(F.col("line_no") == header_row, F.col("line").contains(f'"{delimiter}"'))),
@@ -84,7 +83,8 @@ def column_counts(
     numbered: DataFrame, delimiter: str = ",", header_row: int = 0, sample_size: int | None = 200
 ) -> DataFrame:
     """A4: median number of fields over the first ``sample_size`` data lines of each file (all
-    lines for None). Lines are reduced to (file, width) counts before the median."""
+    lines for None). ``numbered`` are numbered lines; for a sample, ``head_lines`` gives them
+    without reading whole files."""
     rows = data_lines(numbered, header_row, True, sample_size)
     return rows.groupBy("path").agg(
         F.median(text.field_count(F.col("line"), delimiter)).cast("int").alias("column_count")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions import paths
-from quayside.sources.storage import metadata_path, plain_path
+from quayside.sources.storage import head_lines, plain_path
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str | None = None) -> DataFrame:
@@ -29,15 +29,6 @@ def list_files(spark: SparkSession, folder: str, pattern: str | None = None) ->
     )
 
 
-def first_lines(spark: SparkSession, folder: str, pattern: str | None = None) -> DataFrame:
-    """The first line of every file next to its path. Only rows of a file's first block are
-    candidates, and each task reduces them to one before anything is shuffled."""
-    lines = (
-        spark.read.option("recursiveFileLookup", "true").text(folder)
-        .select("value", "_metadata", F.monotonically_increasing_id().alias("_m"))
-        .filter("_metadata.file_block_start = 0")
-        .select(metadata_path().alias("path"), "value", "_m")
-    )
-    if pattern is not None:
-        lines = lines.filter(paths.matches(F.col("path"), pattern))
-    return lines.groupBy("path").agg(F.min_by("value", "_m").alias("first_line"))
+def first_lines(files: DataFrame) -> DataFrame:
+    """The first line of every listed file next to its path; nothing else is read."""
+    return head_lines(files, 1).select("path", F.col("line").alias("first_line"))

@@ -53,11 +53,51 @@ def hadoop_delete(spark: SparkSession, path: str) -> None:
 CHECKSUM_SCHEMA = T.StructType([T.StructField("path", T.StringType()), T.StructField("crc", T.StringType())])
 
 
+# At most this many tasks for work that takes a whole file at a time.
+FILE_TASKS = 10_000
+
+
+def spread(files: DataFrame, column: str) -> DataFrame:
+    """One file per task, as far as there are tasks. The number is explicit: rows of paths are so
+    small that adaptive execution would merge them into one task."""
+    tasks = max(1, min(files.count(), FILE_TASKS))
+    return files.repartition(tasks, column)
+
+
+HEAD_SCHEMA = "path string, line_no long, line string"
+
+
+def head_lines(
+    files: DataFrame, count: int, encoding: str = "UTF-8", keep_cr: bool = False, path: str = "path"
+) -> DataFrame:
+    """The first ``count`` lines of each file with their numbers from 0; the rest of a file is not
+    read. For headers and samples, where a scan of all lines would read everything for a few."""
+    def read(batches: Iterator) -> Iterator:
+        import io
+        import itertools
+
+        import pandas as pd
+
+        for batch in batches:
+            for uri in batch[path]:
+                storage, name = task_filesystem(uri)
+                out = []
+                with storage.open_input_stream(name, compression=None, buffer_size=1 << 16) as stream:
+                    text = io.TextIOWrapper(
+                        io.BufferedReader(stream), encoding=encoding, errors="replace",
+                        newline="\n" if keep_cr else None,
+                    )
+                    for number, line in enumerate(itertools.islice(text, count)):
+                        out.append((uri, number, line.removesuffix("\n")))
+                yield pd.DataFrame(out, columns=["path", "line_no", "line"])
+
+    return spread(files.select(path), path).mapInPandas(read, HEAD_SCHEMA)
+
+
 def file_md5(files: DataFrame, path: str = "path") -> DataFrame:
     """MD5 of whole files, read as a stream, so a file may be larger than a row can hold.
 
-    One file is read by one task, as MD5 needs its bytes in order; files are spread over tasks by
-    path, not by the size of the listing's partitions.
+    One file is read by one task, as MD5 needs its bytes in order.
     """
     def digest(batches: Iterator) -> Iterator:
         import hashlib
@@ -75,4 +115,4 @@ def file_md5(files: DataFrame, path: str = "path") -> DataFrame:
                 out.append((uri, h.hexdigest()))
             yield pd.DataFrame(out, columns=["path", "crc"])
 
-    return files.select(path).repartition(path).mapInPandas(digest, CHECKSUM_SCHEMA)
+    return spread(files.select(path), path).mapInPandas(digest, CHECKSUM_SCHEMA)

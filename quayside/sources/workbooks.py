@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quayside.functions.names import snake_name
 from quayside.operators import reshape
 from quayside.operators.numbering import block_ranges
-from quayside.sources.storage import task_filesystem
+from quayside.sources.storage import spread, task_filesystem
 
 CELL_SCHEMA = "path string, sheet_no int, sheet string, row int, col int, value string, link string"
 
@@ -78,7 +78,7 @@ def read_cells(files: DataFrame, path: str = "path") -> DataFrame:
                     rows = [(uri, *c) for c in workbook_cells(stream)]
                 yield pd.DataFrame(rows, columns=columns)
 
-    return files.select(path).repartition(path).mapInPandas(cells, CELL_SCHEMA)
+    return spread(files.select(path), path).mapInPandas(cells, CELL_SCHEMA)
 
 
 def sheet_size(cells: DataFrame, sheet_no: int = 0) -> DataFrame:

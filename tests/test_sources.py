@@ -58,7 +58,8 @@ NULLS = 'a,b\n"",x\n,NA\nNULL,007\n'
 @pytest.mark.parametrize("limit", [None, 50])
 def test_null_rules(spark, tmp_path, rule, want, limit):
     root = write(tmp_path / "d", {"n.csv": NULLS})
-    df = delimited.read_delimited(spark, root, ["a", "b"], nulls=rule, limit_rows=limit)
+    file = root if limit is None else root + "/n.csv"
+    df = delimited.read_delimited(spark, file, ["a", "b"], nulls=rule, limit_rows=limit)
     assert [tuple(r)[1:] for r in df.collect()] == want
 
 
@@ -76,15 +77,18 @@ def test_header_is_kept_when_there_is_none(spark, tmp_path):
     assert [tuple(r)[1:] for r in df.collect()] == [("1", "2"), ("3", "4")]
 
 
-def test_titles_and_row_limit(spark, tmp_path):
+def test_titles_and_row_limit(spark, tmp_path, monkeypatch):
     body = "".join(f"title {i}\n" for i in range(5)) + "a,b\n" + "".join(f"{i},x\n" for i in range(20))
     root = write(tmp_path / "d", {"1.csv": body, "2.csv": body})
-    df = delimited.read_delimited(spark, root, ["a", "b"], header_row=5, limit_rows=7)
-    per_file = {}
-    for r in df.collect():
-        per_file.setdefault(r.path, []).append(r.a)
-    assert all(sorted(v, key=int) == [str(i) for i in range(7)] for v in per_file.values())
-    assert len(per_file) == 2
+    files = [f"{root}/1.csv", f"{root}/2.csv"]
+    for limit, head_rows in ((7, 100), (7, 0), (None, 100)):
+        monkeypatch.setattr(delimited, "HEAD_ROWS", head_rows)
+        df = delimited.read_delimited(spark, files, ["a", "b"], header_row=5, limit_rows=limit)
+        per_file = {}
+        for r in df.collect():
+            per_file.setdefault(r.path, []).append(r.a)
+        assert all(sorted(v, key=int) == [str(i) for i in range(limit or 20)] for v in per_file.values())
+        assert len(per_file) == 2
 
 
 def test_strict_read_fails_on_ragged_row(spark, tmp_path):
@@ -123,7 +127,7 @@ def test_line_numbers_over_many_splits(spark, tmp_path):
             assert all(r.line == f"line {r.line_no}" for r in numbered)
         counts = {r.path: r.lines for r in lines.lines_per_file(lines.read_lines(spark, root)).collect()}
         assert set(counts.values()) == {100}
-        firsts = {r.first_line for r in listing.first_lines(spark, root).collect()}
+        firsts = {r.first_line for r in listing.first_lines(listing.list_files(spark, root)).collect()}
         assert firsts == {"line 0"}
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
@@ -132,14 +136,16 @@ def test_line_numbers_over_many_splits(spark, tmp_path):
 def test_line_endings_and_quoted_header(spark, tmp_path):
     root = write(tmp_path / "d", {"w.csv": '"a","b"\r\n1,2\r\n', "u.csv": "a,b\n1,2\n"})
     got = {r.path.rsplit("/", 1)[1]: (r.windows, r.quoted_header)
-           for r in lines.line_endings(lines.read_lines(spark, root, keep_cr=True)).collect()}
+           for r in lines.line_endings(storage.head_lines(listing.list_files(spark, root), 1, keep_cr=True)).collect()}
     assert got == {"w.csv": (True, True), "u.csv": (False, False)}
 
 
 def test_median_column_count_on_a_sample(spark, tmp_path):
     root = write(tmp_path / "d", {"m.csv": "a,b,c\n" + "1,2,3\n" * 3 + "1,2\n" * 9})
+    sample = storage.head_lines(listing.list_files(spark, root), 6)
+    assert sample.count() == 6
+    assert lines.column_counts(sample, sample_size=5).first().column_count == 3
     numbered = lines.number_lines(lines.read_lines(spark, root))
-    assert lines.column_counts(numbered, sample_size=5).first().column_count == 3
     assert lines.column_counts(numbered, sample_size=None).first().column_count == 2
 
 
