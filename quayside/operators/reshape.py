@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quayside.operators.numbering import number_rows
-from quayside.operators.skew import lookup_join
-from quayside.session import durable
+from quayside.operators.skew import BROADCAST_BYTES, BROADCAST_ROWS, lookup_join
+from quayside.session import durable_sized
 
 # Fixed value: the text of a cell without a value.
 NULL_TEXT = "NULL"
@@ -23,14 +24,30 @@ def columns_like(columns: Sequence[str], pattern: str) -> list[str]:
     return [c for c in columns if found.match(c)]
 
 
+def unpivot_tables(
+    tables: Mapping[str, DataFrame], schema: str, table_pattern: str, column_pattern: str, **options
+) -> DataFrame:
+    """The unpivoted rows of every table whose name matches, tagged with schema and table."""
+    parts = [
+        unpivot(tables[t], column_pattern, tags={"year": schema, "table_name": t}, **options)
+        for t in columns_like(list(tables), table_pattern)
+    ]
+    if not parts:
+        raise ValueError(f"no table matches {table_pattern}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def unpivot(
     df: DataFrame, pattern: str, keep: Sequence[str] | None = None, keep_nulls: bool = False,
-    names: str = "col_name", values: str = "col_val",
+    names: str = "col_name", values: str = "col_val", tags: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """The matching columns as (name, value) rows beside the kept ones; one scan."""
+    """The matching columns as (name, value) rows beside the kept ones; one scan. ``tags`` are
+    fixed columns put in front, such as the schema and the table the rows come from."""
     wide = columns_like(df.columns, pattern)
     ids = [c for c in df.columns if c not in wide] if keep is None else list(keep)
     long = df.unpivot(ids, wide, names, values)
+    if tags:
+        long = long.select(*[F.lit(v).alias(c) for c, v in tags.items()], "*")
     return long if keep_nulls else long.filter(F.col(values).isNotNull())
 
 
@@ -73,16 +90,20 @@ def empty_dictionary(df: DataFrame) -> DataFrame:
 def encode(df: DataFrame, dictionary: DataFrame, columns: Mapping[str, str]) -> DataFrame:
     """Replace each column by the id of its (type, name) pair, as inner joins.
 
-    The dictionary is written once, then each type is one lookup join: broadcast when counted
-    small, else with hot values split off.
+    The dictionary is written and sized once, then each type is one join: a broadcast when the whole
+    dictionary is small, else a lookup join with hot values split off.
     """
-    table = durable(dictionary.select("id", "type", "name"), "dictionary")
+    table, count, size = durable_sized(dictionary.select("id", "type", "name"), "dictionary")
+    small = count <= BROADCAST_ROWS and size <= BROADCAST_BYTES
     out = df
     for column, kind in columns.items():
         part = table.filter(F.col("type") == kind).select(
             F.col("name").alias(column), F.col("id").alias(f"{column}_id")
         )
-        out = lookup_join(out, part, [column], stored=True).drop(column)
+        joined = (
+            out.join(F.broadcast(part), column) if small else lookup_join(out, part, [column], stored=True)
+        )
+        out = joined.drop(column)
     return out
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from quayside.plans.config import MappingRow, bind_sql, read_mappings
 from quayside.plans.load_steps import STEPS, StepContext, fail_where, target_names
 from quayside.session import durable
 from quayside.sources.listing import list_files
+from quayside.sources.storage import folder_exists
 from quayside.sources.tables import VersionedTable
 
 log = logging.getLogger(__name__)
@@ -39,10 +41,13 @@ class LoadJob:
     def from_yaml(cls, spark: SparkSession, text: str, work_dir: str) -> LoadJob:
         return cls(spark, read_mappings(text), work_dir)
 
-    def find_files(self) -> DataFrame:
+    def find_files(self) -> DataFrame | None:
         """The files of every configured folder with the first entry that lists them."""
         listings = []
         for folder in dict.fromkeys(m.path for m in self.mappings):
+            if not folder_exists(self.spark, folder):
+                log.error("folder of the configuration does not exist: %s", folder)
+                continue
             rows = [m for m in self.mappings if m.path == folder]
             found = list_files(self.spark, folder)
             hit = first_match(F.col("path"), [m.file_regex for m in rows], ignore_case=False)
@@ -58,14 +63,14 @@ class LoadJob:
                     F.get(order, "_hit").alias("order"),
                 )
             )
-        out = listings[0]
-        for part in listings[1:]:
-            out = out.unionByName(part)
-        return out
+        return reduce(DataFrame.unionByName, listings) if listings else None
 
     def add_new(self) -> None:
+        found = self.find_files()
+        if found is None:
+            return
         known = self.catalog.read()
-        fresh = durable(cat.add_files(known, self.find_files()), "new-files")
+        fresh = durable(cat.add_files(known, found), "new-files")
         if not fresh.isEmpty():
             self.catalog.append(fresh)
 

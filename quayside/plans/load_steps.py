@@ -15,13 +15,11 @@ from quayside.operators import catalog as cat
 from quayside.operators import merge
 from quayside.operators.skew import lookup_join
 from quayside.plans.config import MappingRow
+from quayside.plans.logs import ERROR_LENGTH
 from quayside.session import durable
 from quayside.sources import archives, delimited, lines, storage, workbooks
 from quayside.sources.tables import VersionedTable
 
-# Longest error text of an import, and of a statement.
-ERROR_LENGTH, STATEMENT_LENGTH = 256, 2000
-
 
 @dataclass
 class StepContext:
@@ -218,10 +216,14 @@ def _heads(row: MappingRow, ctx: StepContext, files: DataFrame) -> DataFrame:
     )
 
 
-def _names(row: MappingRow, kind: str) -> list[str]:
+def _names(row: MappingRow, kind: str, table_columns: list[str] | None) -> list[str]:
+    """Column names of a layout: configured, or by position from a table that exists (copies), or
+    from the header."""
     if row.columns and not row.use_header:
         return delimited.choose_columns(int(kind), row.columns, delimited.parse_list(row.column_list2))
     names = delimited.split_header(kind, row.delimiter)
+    if table_columns is not None and not row.use_header:
+        return lines.header_columns(table_columns, len(names), False, False)
     return names if row.has_header else [f"column_{i + 1}" for i in range(len(names))]
 
 
@@ -239,7 +241,8 @@ def _import(ctx: StepContext, files: DataFrame, nulls: str, strict: bool) -> Dat
                 members = heads.filter((F.col("_table") == table) & (F.col("_kind") == kind))
                 target = f"{row.schema_name}.{table}"
                 try:
-                    names = _names(row, kind)
+                    have = ctx.spark.table(target).columns if strict and ctx.spark.catalog.tableExists(target) else None
+                    names = _names(row, kind, have)
                 except ValueError as e:
                     results.append(members.select("path", F.lit(0).cast("long"), F.lit(target), F.lit(str(e))))
                     continue

@@ -91,6 +91,18 @@ def column_counts(
     )
 
 
+def header_columns(
+    table_columns: Sequence[str], file_columns: int, append_file_id: bool, append_crc: bool
+) -> list[str]:
+    """The header of rewritten lines: the added columns, then the table's own by position. When
+    the table has more columns than the file, the trailing ones are left out; fewer is an error."""
+    added = (["file_id"] if append_file_id else []) + (["crc"] if append_crc else [])
+    own = [c for c in table_columns if c not in ("file_id", "crc")]
+    if len(own) < file_columns:
+        raise ValueError(f"file has {file_columns} columns, table {len(own)}")
+    return added + own[:file_columns]
+
+
 def rewrite_lines(
     lines: DataFrame, catalog: DataFrame | None, append_crc: bool, delimiter: str = ","
 ) -> DataFrame:

@@ -44,6 +44,11 @@ def hadoop_children(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in storage.listStatus(folder)]
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def hadoop_delete(spark: SparkSession, path: str) -> None:
     """Remove a folder with what it holds."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -125,6 +125,20 @@ def json_document(df: DataFrame, rows: int) -> str:
     return '{"data": [' + ", ".join(r["j"] for r in texts) + "]}"
 
 
+def html_document(df: DataFrame, rows: int, sortable: Sequence[int] = ()) -> str:
+    """K7: a whole HTML table of at most ``rows`` rows, chosen header cells marked for sorting."""
+    head = render.html_header(df.columns, sortable)
+    body = df.limit(rows).select(render.html_row(df.columns).alias("h")).collect()
+    inner = "".join(r["h"] for r in body)
+    return f"<table><thead><tr>{head}</tr></thead><tbody>{inner}</tbody></table>"
+
+
+def markdown_document(df: DataFrame, rows: int) -> str:
+    """K8: a whole Markdown table of at most ``rows`` rows."""
+    body = df.limit(rows).select(render.markdown_row(df.columns).alias("m")).collect()
+    return "\n".join([*render.markdown_header(df.columns), *[r["m"] for r in body]])
+
+
 def export_tables(tables: dict[str, DataFrame], folder: str) -> DataFrame:
     """Every table as a folder of CSV files with a header, and one catalog row for each."""
     if not tables:

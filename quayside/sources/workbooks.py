@@ -122,15 +122,22 @@ def block_rows(cells: DataFrame, blocks: DataFrame, no_units: Sequence[str] = ("
 
     The non-empty rows of a block are its header, its unit (not on the sheets ``no_units``), its
     columns, then data. The first filled cell of a data row is the dimension, the next ones follow
-    the columns. Cells without a value are dropped.
+    the columns. Cells without a value are dropped. A cell takes the block that started last above
+    it, so cells and blocks are never paired; a window walks one sheet, bounded by its format.
     """
+    marks = blocks.select(
+        "path", "sheet", F.col("start_row").alias("row"), F.lit(-1).alias("col"),
+        F.lit(None).cast("string").alias("value"), F.struct("block", "end_row").alias("b"),
+    )
+    walk = Window.partitionBy("path", "sheet").orderBy("row", "col").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
     inside = (
-        cells.alias("c").join(
-            blocks.alias("b"),
-            (F.col("c.path") == F.col("b.path")) & (F.col("c.sheet") == F.col("b.sheet"))
-            & (F.col("c.row") >= F.col("b.start_row"))
-            & (F.col("b.end_row").isNull() | (F.col("c.row") < F.col("b.end_row"))),
-        ).select("c.path", "c.sheet", "b.block", "c.row", "c.col", "c.value")
+        cells.select("path", "sheet", "row", "col", "value").unionByName(marks, allowMissingColumns=True)
+        .withColumn("b", F.last("b", ignorenulls=True).over(walk))
+        .filter((F.col("col") >= 0) & F.col("b").isNotNull())
+        .filter(F.col("b.end_row").isNull() | (F.col("row") < F.col("b.end_row")))
+        .select("path", "sheet", "b.block", "row", "col", "value")
     )
     key = ["path", "sheet", "block"]
     lines = inside.groupBy(*key, "row").agg(

@@ -5,6 +5,7 @@ import pytest
 import __spark_entry__ as entry_point
 from quayside.operators import deliver
 from quayside.plans import config
+from quayside.plans.logs import Logs, run_upsert
 from quayside.plans.publish_job import PublishJob, run_delivery
 from quayside.sources.tables import VersionedTable
 from quayside.streaming import pickup
@@ -138,6 +139,34 @@ def test_delivery_modes(spark, tmp_path, rows):
         run_delivery("OTHER", src, target)
 
 
+def test_upsert_with_logs(spark, tmp_path, rows):
+    ddl = "k long, v string, file_id long"
+    target = VersionedTable(spark, str(tmp_path / "t"), spark.createDataFrame([], ddl).schema)
+    target.replace(spark.createDataFrame([(1, "a", 1), (2, "b", 1)], ddl))
+    logs = Logs(spark, str(tmp_path / "logs"))
+    assert logs.last_success("s.t", "s.t_upsert") is None
+    assert run_upsert(target, spark.createDataFrame([(2, "c", 2), (3, "d", 2)], ddl), ["k"], "s.t", logs)
+    status = logs.status.read().first()
+    assert (status.previous_record_count, status.records_inserted, status.records_updated,
+            status.records_deleted, status.current_record_count, status.success) == (2, 1, 1, 0, 3, "Y")
+    assert logs.last_success("s.t", "s.t_upsert") == status.start_date
+    twice = spark.createDataFrame([(9, "x", 3), (9, "y", 3)], ddl)
+    assert not run_upsert(target, twice, ["k"], "s.t", logs)
+    assert rows(target.read()) == [(1, "a", 1), (2, "c", 2), (3, "d", 2)]
+    error = logs.errors.read().first()
+    assert error.program_unit == "s.t_upsert" and len(error.error_message) <= 256
+    assert rows(logs.status.read(), "success") == [("N",), ("Y",)]
+    logs.add_errors(spark.createDataFrame([("x" * 5000, "m" * 5000)], "sql_statement string, error_message string"))
+    longest = logs.errors.read().selectExpr("max(length(sql_statement))", "max(length(error_message))").first()
+    assert tuple(longest) == (2000, 256)
+
+
+def test_publish_retains_the_moved_rows(spark, job, tmp_path):
+    job.item = {**job.item, "retain_data_file_path": str(tmp_path / "kept")}
+    job.run()
+    assert spark.read.csv(str(tmp_path / "kept" / "loan")).count() == 4
+
+
 def test_stream_loads_each_file_once(spark, tmp_path, rows):
     folder = tmp_path / "in"
     folder.mkdir()

@@ -193,6 +193,21 @@ def test_option_product(spark, option_run, n):
         assert {r.file_id for r in new} == {row.id}
 
 
+def test_copy_by_position_into_a_wider_table(spark, tmp_path):
+    """Without a column list a copy fills the table's columns from the left; a missing folder is
+    passed over."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text("h1,h2\n1,2\n")
+    spark.sql("CREATE DATABASE load_f")
+    spark.sql("CREATE TABLE load_f.t (file_id long, x string, y string, z string) USING parquet")
+    text = config(folder, "load_f", "client_copy", "table_name: 't'", "p")
+    text += config(tmp_path / "gone", "load_f", "client_copy", "table_name: 't'", "p")
+    found = states(LoadJob.from_yaml(spark, text, str(tmp_path / "work")).run())
+    row = spark.table("load_f.t").first()
+    assert (row.file_id, row.x, row.y, row.z) == (found["a.csv"].id, "1", "2", None)
+
+
 def test_single_gz_member(spark, tmp_path):
     folder = tmp_path / "in"
     folder.mkdir()

@@ -242,6 +242,8 @@ def test_unpivot_keeps_or_drops_nulls(spark, rows):
     assert rows(reshape.unpivot(df, "m_")) == [(1, "m_a", 2.0)]
     assert len(rows(reshape.unpivot(df, "m_", keep_nulls=True))) == 2
     assert reshape.columns_like(["am_a", "m_a"], "m_") == ["m_a"]
+    tagged = reshape.unpivot_tables({"seq1": df, "seq2": df, "other": df}, "2018", "seq", "m_a")
+    assert rows(tagged, "year", "table_name", "col_name") == [("2018", "seq1", "m_a"), ("2018", "seq2", "m_a")]
 
 
 def test_batches_are_typed_and_null_safe(spark, rows):
