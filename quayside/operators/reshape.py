@@ -63,9 +63,10 @@ def lookup_values(
         .filter(F.col("name").isNotNull())
         .distinct()
     )
-    fixed = [(t, n) for t, ns in (constants or {}).items() for n in ns]
+    fixed = [F.struct(F.lit(t).alias("type"), F.lit(n).alias("name")) for t, ns in (constants or {}).items() for n in ns]
     if fixed:
-        found = found.unionByName(spark.createDataFrame(fixed, "type string, name string")).distinct()
+        names = spark.range(1).select(F.inline(F.array(*fixed)))
+        found = found.unionByName(names).distinct()
     return found
 
 

@@ -14,7 +14,7 @@ from quayside.operators import catalog as cat
 from quayside.operators.mapping import first_match
 from quayside.operators.skew import lookup_join
 from quayside.plans.config import MappingRow, bind_sql, read_mappings
-from quayside.plans.load_steps import STEPS, StepContext, fail_where, target_names
+from quayside.plans.load_steps import MARKERS, STEPS, StepContext, fail_where, target_names
 from quayside.session import durable
 from quayside.sources.listing import list_files
 from quayside.sources.storage import folder_exists
@@ -77,10 +77,13 @@ class LoadJob:
     def tag_dates(self) -> None:
         """The date in the name, once for all files of the projects that ask for it."""
         catalog = self.catalog.read()
-        rules = {m.project_name: (m.extract_file_name_data, m.format_extracted_date) for m in self.mappings}
+        rules = {
+            m.project_name: (m.extract_file_name_data, m.format_extracted_date)
+            for m in self.mappings if m.extract_file_name_data is not None
+        }
+        if not rules:
+            return
         for project, (pattern, fmt) in rules.items():
-            if pattern is None:
-                continue
             mine = F.col("project_name") == project
             dated = cat.file_dates(catalog.filter(mine), pattern, fmt, "id").select(*catalog.columns)
             catalog = catalog.filter(~mine).unionByName(dated)
@@ -97,9 +100,11 @@ class LoadJob:
 
     def _one_pass(self) -> bool:
         """All open files at once, step position by step position."""
+        projects = sorted({m.project_name for m in self.mappings})
+        if cat.open_work(self.catalog.read()).filter(F.col("project_name").isin(*projects)).isEmpty():
+            return False
         self.tag_dates()
         before = self.catalog.read()
-        projects = sorted({m.project_name for m in self.mappings})
         path = F.concat_ws("/", "file_path", "file_name")
         work = (
             cat.open_work(before).filter(F.col("project_name").isin(*projects))
@@ -109,11 +114,9 @@ class LoadJob:
             .withColumn("process_start_dtm", F.current_timestamp().cast("timestamp_ntz"))
             .withColumn("last_error_msg", F.lit(None).cast("string"))
         )
-        work = durable(fail_where(work, F.col("mapping").isNull(), NO_MAPPING), "work")
-        if work.isEmpty():
-            return False
         again = F.get(F.array(*[F.lit(bool(m.reprocess)) for m in self.mappings]), "mapping")
         work = work.withColumn("reprocess", F.coalesce(again, F.col("reprocess")))
+        work = durable(fail_where(work, F.col("mapping").isNull(), NO_MAPPING), "work")
         context = StepContext(self.spark, self.mappings, self.catalog, self.work_dir)
 
         work = self._actions(work, "pre_action")
@@ -121,23 +124,26 @@ class LoadJob:
             for name in dict.fromkeys(m.steps[position] for m in self.mappings if position < len(m.steps)):
                 at_step = [m.order for m in self.mappings if position < len(m.steps) and m.steps[position] == name]
                 here = F.col("ok") & F.col("mapping").isin(*at_step)
+                if name not in STEPS:
+                    raise ValueError(f"unknown step {name}")
+                trail = F.concat(F.lit(f"{name};\n"), F.coalesce("process_msg_trail", F.lit("")))
+                if name in MARKERS:
+                    # nothing to compute: the step only shows in the trail
+                    shown = F.when(F.coalesce(here, F.lit(False)), trail).otherwise(F.col("process_msg_trail"))
+                    work = work.withColumn("process_msg_trail", shown)
+                    continue
                 active = work.filter(here)
                 if active.isEmpty():
                     continue
-                if name not in STEPS:
-                    raise ValueError(f"unknown step {name}")
                 log.info("step %s", name)
-                done = STEPS[name](context, active).withColumn(
-                    "process_msg_trail", F.concat(F.lit(f"{name};\n"), F.coalesce("process_msg_trail", F.lit("")))
-                )
+                done = STEPS[name](context, active).withColumn("process_msg_trail", trail)
                 done = done.withColumn(
                     "message", F.when(F.col("ok"), F.col("message")).otherwise(
                         F.concat(F.lit(f"{name}\n"), F.coalesce("message", F.lit(""))))
                 )
                 rest = work.filter(~F.coalesce(here, F.lit(False)))
                 work = durable(rest.unionByName(done.select(*rest.columns)), "work")
-        work = durable(self._actions(work, "post_action"), "work")
-        self._close(work)
+        self._close(self._actions(work, "post_action"))
         return True
 
     def _actions(self, work: DataFrame, kind: str) -> DataFrame:
@@ -162,7 +168,7 @@ class LoadJob:
                         else:
                             self.spark.sql(sql)
             except Exception as e:  # noqa: BLE001
-                work = fail_where(work, F.coalesce(mine, F.lit(False)), f"{kind}: {e}")
+                work = durable(fail_where(work, F.coalesce(mine, F.lit(False)), f"{kind}: {e}"), "work")
         return work
 
     def _close(self, work: DataFrame) -> None:

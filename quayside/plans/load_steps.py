@@ -33,6 +33,8 @@ class StepContext:
 
 Step = Callable[[StepContext, DataFrame], DataFrame]
 STEPS: dict[str, Step] = {}
+# Steps whose work is done elsewhere: sizes come with the listing, ids with the import.
+MARKERS = ("log_file_size", "append_file_id", "append_file_id_w_header")
 
 
 def step(name: str) -> Callable[[Step], Step]:
@@ -69,12 +71,6 @@ def generate_checksum(ctx: StepContext, files: DataFrame) -> DataFrame:
     return _set(files, storage.file_md5(files.filter("crc is null")), ["crc"])
 
 
-@step("log_file_size")
-def log_file_size(ctx: StepContext, files: DataFrame) -> DataFrame:
-    """The size came with the listing; the step keeps its place in the trail."""
-    return files
-
-
 def _paths(files: DataFrame) -> list[str]:
     """The paths of the files to read: Spark's readers take them from the driver."""
     return [r["path"] for r in files.select("path").toLocalIterator()]
@@ -371,6 +367,13 @@ def data_pack(ctx: StepContext, files: DataFrame) -> DataFrame:
     return _union(out)
 
 
+def unchanged(ctx: StepContext, files: DataFrame) -> DataFrame:
+    return files
+
+
+STEPS |= dict.fromkeys(MARKERS, unchanged)
+
+
 @step("upsert_table_from_stg")
 def upsert_from_staging(ctx: StepContext, files: DataFrame) -> DataFrame:
     """M2, M4: staging of a mapping into its table: upsert by the configured keys, else append."""
@@ -385,9 +388,3 @@ def upsert_from_staging(ctx: StepContext, files: DataFrame) -> DataFrame:
         )
         merged.write.format("parquet").mode("overwrite").saveAsTable(target)
     return files
-
-
-@step("append_file_id")
-def append_file_id(ctx: StepContext, files: DataFrame) -> DataFrame:
-    """Imports add the id themselves when the mapping asks for it; the step keeps its place."""
-    return files

@@ -88,10 +88,10 @@ class PublishJob:
             plan = deliver.plan_batches(rows, source, target, method, column, chunk)
             known = self.work.read()
             fresh = durable(deliver.new_batches(plan, known).select(*WORK_SCHEMA.names), "plan")
-            if method == "COLUMN" and (chunk if chunk is not None else rows).isEmpty():
-                raise ValueError(f"no batches for {target}")
             if not fresh.isEmpty():
                 self.work.append(fresh)
+            elif method == "COLUMN" and (chunk if chunk is not None else rows).isEmpty():
+                raise ValueError(f"no batches for {target}")
         return self.work.read()
 
     def open_batches(self) -> DataFrame:
@@ -104,12 +104,14 @@ class PublishJob:
         if not self.item.get("move_data", False):
             log.warning("move_data is not set: planned only")
             return self.log.read()
+        open_ = durable(self.open_batches(), "open")
+        waiting = {r["trg_table"] for r in open_.select("trg_table").distinct().collect()}
         for entry in self.tables():
             table = entry["table"]
             _, target = self._names(table)
-            todo = durable(self.open_batches().filter(F.col("trg_table") == target), "open")
-            if todo.isEmpty():
+            if target not in waiting:
                 continue
+            todo = open_.filter(F.col("trg_table") == target)
             moved = self._move_table(table, entry.get("column"), todo)
             if self.log.exists():
                 self.log.append(moved)

@@ -82,7 +82,7 @@ def expand_archives(archives: DataFrame, target: str, skip_existing: bool = Fals
                         out.append((parent, member, path, sink.get_file_info(place).size))
                 yield pd.DataFrame(out, columns=["parent_path", "member", "path", "file_size"])
 
-    listed = spread(archives.select("path", "crc"), "path").mapInPandas(unpack, MEMBER_SCHEMA)
+    listed = spread(archives, "path", "crc").mapInPandas(unpack, MEMBER_SCHEMA)
     return durable(listed, "members")
 
 
@@ -116,6 +116,6 @@ def profile_members(
                             out.append((parent, member, len(fields)))
             yield pd.DataFrame(out, columns=["parent_path", "member", "columns"])
 
-    return spread(chosen.select("path"), "path").mapInPandas(
+    return spread(chosen, "path").mapInPandas(
         peek, "parent_path string, member string, columns int"
     )

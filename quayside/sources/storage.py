@@ -58,15 +58,22 @@ def hadoop_delete(spark: SparkSession, path: str) -> None:
 CHECKSUM_SCHEMA = T.StructType([T.StructField("path", T.StringType()), T.StructField("crc", T.StringType())])
 
 
-# At most this many tasks for work that takes a whole file at a time.
+# Work that takes a whole file at a time: a task gets about this many files and bytes.
+FILES_PER_TASK, BYTES_PER_TASK = 100, 256 << 20
 FILE_TASKS = 10_000
 
 
-def spread(files: DataFrame, column: str) -> DataFrame:
-    """One file per task, as far as there are tasks. The number is explicit: rows of paths are so
-    small that adaptive execution would merge them into one task."""
-    tasks = max(1, min(files.count(), FILE_TASKS))
-    return files.repartition(tasks, column)
+def spread(files: DataFrame, column: str, *extra: str) -> DataFrame:
+    """Files over tasks by number and, where ``file_size`` is known, by bytes; few files are one per
+    task. The number of tasks is explicit: rows of paths are so small that adaptive execution would
+    merge them into one."""
+    size = F.sum("file_size") if "file_size" in files.columns else F.lit(0)
+    count, total = files.agg(F.count(F.lit(1)), F.coalesce(size, F.lit(0))).first()
+    wanted = max(
+        4 * files.sparkSession.sparkContext.defaultParallelism,
+        count // FILES_PER_TASK, total // BYTES_PER_TASK,
+    )
+    return files.select(column, *extra).repartition(max(1, min(count, wanted, FILE_TASKS)), column)
 
 
 HEAD_SCHEMA = "path string, line_no long, line string"
@@ -96,7 +103,7 @@ def head_lines(
                         out.append((uri, number, line.removesuffix("\n")))
                 yield pd.DataFrame(out, columns=["path", "line_no", "line"])
 
-    return spread(files.select(path), path).mapInPandas(read, HEAD_SCHEMA)
+    return spread(files, path).mapInPandas(read, HEAD_SCHEMA)
 
 
 def file_md5(files: DataFrame, path: str = "path") -> DataFrame:
@@ -120,4 +127,4 @@ def file_md5(files: DataFrame, path: str = "path") -> DataFrame:
                 out.append((uri, h.hexdigest()))
             yield pd.DataFrame(out, columns=["path", "crc"])
 
-    return spread(files.select(path), path).mapInPandas(digest, CHECKSUM_SCHEMA)
+    return spread(files, path).mapInPandas(digest, CHECKSUM_SCHEMA)

@@ -78,7 +78,7 @@ def read_cells(files: DataFrame, path: str = "path") -> DataFrame:
                     rows = [(uri, *c) for c in workbook_cells(stream)]
                 yield pd.DataFrame(rows, columns=columns)
 
-    return spread(files.select(path), path).mapInPandas(cells, CELL_SCHEMA)
+    return spread(files, path).mapInPandas(cells, CELL_SCHEMA)
 
 
 def sheet_size(cells: DataFrame, sheet_no: int = 0) -> DataFrame:

@@ -7,48 +7,37 @@ import tarfile
 import zipfile
 
 import pytest
+import yaml
 
 from quayside.plans.load_job import NO_MAPPING, LoadJob
 
-CSV = "test1, test2,test3\ndata1, data2,data3\ndata2, data3,data4\ndata3, data4,datata"
-
-CONFIG = r"""
-- path: '{folder}'
-  convert_table_name_snake_case: True
-  project_name: {project}
-  extract_file_name_data: '\d\d\d\d'
-  format_extracted_date: 'YYYY'
-  process_logic:
-    - logic: 'custom_logic.count_file_linux_wc'
-    - logic: 'custom_logic.generate_checksum'
-    - logic: 'custom_logic.log_file_size'
-    - logic: 'custom_logic.abort_if_duplicate'
-  mapping:
-    - file_regex: '^.*.zip$'
-      file_type: 'zip'
-      process_logic:
-        - logic: 'custom_logic.extract_compressed_file'
-    - file_regex: '^.*.gz$'
-      file_type: 'gzip'
-      process_logic:
-        - logic: 'custom_logic.extract_compressed_file'
-    - file_regex: '.*.csv$'
-      file_type: 'CSV'
-      schema_name: '{schema}'
-      {table}
-      file_delimiter: ","
-      process_logic:
-        - logic: 'custom_logic.{importer}'
-      limit_rows: None
-      has_header: True
-      append_file_id: True
-      post_action:
-        - sql: "vacuum analyze {{schema_name}}.{{table_name}}"
-"""
-
-
-def config(folder, schema, importer="pandas_import", table="", project="test_1"):
-    return CONFIG.format(folder=folder, schema=schema, importer=importer, table=table, project=project)
+CSV = "LoanKey, State,rate\nk1, CA,3.5\nk2, NY,4.0\nk3, CA,n/a"
+
+
+def config(folder, schema, importer="pandas_import", table="", project="loans"):
+    """Archives are unpacked, delimited files imported; every file is counted, checksummed and
+    checked for duplicates first."""
+    def unpack(pattern, kind):
+        return {"file_regex": pattern, "file_type": kind,
+                "process_logic": [{"logic": "custom_logic.extract_compressed_file"}]}
+
+    load = {
+        "file_regex": r".*\.csv$", "file_type": "CSV", "schema_name": schema, "file_delimiter": ",",
+        "append_file_id": True, "limit_rows": "None",
+        "process_logic": [{"logic": f"custom_logic.{importer}"}],
+        "post_action": [{"sql": "vacuum analyze {schema_name}.{table_name}"}],
+    }
+    checks = ("count_file_linux_wc", "generate_checksum", "log_file_size", "abort_if_duplicate")
+    return yaml.safe_dump([{
+        "path": str(folder), "project_name": project,
+        "extract_file_name_data": r"\d\d\d\d", "format_extracted_date": "YYYY",
+        "process_logic": [{"logic": f"custom_logic.{c}"} for c in checks],
+        "mapping": [
+            unpack(r".*\.zip$", "zip"),
+            unpack(r".*gz$", "gzip"),
+            load | ({"table_name": table} if table else {}),
+        ],
+    }])
 
 
 def states(catalog):
@@ -64,10 +53,10 @@ def test_load_with_archives_duplicates_and_states(spark, tmp_path):
     with zipfile.ZipFile(folder / "pack_2017.zip", "w") as z:
         z.writestr("deep/sales_inner.csv", CSV + "\n1,2,3\n")
     with tarfile.open(folder / "pack_2016.tar.gz", "w:gz") as t:
-        (tmp_path / "tar_inner.csv").write_text("test1,test2,test3\n9,8,7\n")
+        (tmp_path / "tar_inner.csv").write_text("LoanKey,State,rate\n9,8,7\n")
         t.add(tmp_path / "tar_inner.csv", "tar_inner.csv")
 
-    job = LoadJob.from_yaml(spark, config(folder, "load_a", table="table_name: 'sales'"), str(tmp_path / "work"))
+    job = LoadJob.from_yaml(spark, config(folder, "load_a", table="sales"), str(tmp_path / "work"))
     found = states(job.run())
 
     assert set(found) == {
@@ -89,10 +78,10 @@ def test_load_with_archives_duplicates_and_states(spark, tmp_path):
     assert inner.file_type == "CSV" and inner.rows_inserted == 4
 
     table = spark.table("load_a.sales")
-    # the blank in front of " test2" becomes an underscore
-    assert table.columns == ["file_id", "test1", "_test2", "test3"]
-    assert found["tar_inner.csv"].file_process_state == "FAILED"  # its test2 is not in the table
-    assert "columns not in load_a.sales: test2" in found["tar_inner.csv"].last_error_msg
+    # the blank in front of " State" becomes an underscore
+    assert table.columns == ["file_id", "loan_key", "_state", "rate"]
+    assert found["tar_inner.csv"].file_process_state == "FAILED"  # its state is not in the table
+    assert "columns not in load_a.sales: state" in found["tar_inner.csv"].last_error_msg
     assert table.count() == 3 + 4
     per_file = {r.file_id: r["count"] for r in table.groupBy("file_id").count().collect()}
     assert per_file[found["sales_2018.csv"].id] == 3  # every row carries its file's id
@@ -108,7 +97,7 @@ def test_copy_reopens_when_first_copy_fails(spark, tmp_path):
     (folder / "a.csv").write_text("x,y\n1,2\n1,2,3\n")
     (folder / "b.csv").write_text("x,y\n1,2\n1,2,3\n")
     job = LoadJob.from_yaml(
-        spark, config(folder, "load_b", "client_copy", "table_name: 't'", "p"), str(tmp_path / "work"))
+        spark, config(folder, "load_b", "client_copy", "t", "p"), str(tmp_path / "work"))
     found = states(job.run())
     assert {r.file_process_state for r in found.values()} == {"FAILED"}
     assert not any(r.duplicate_file for r in found.values())
@@ -121,7 +110,7 @@ def test_strict_load_leaves_target_unchanged(spark, tmp_path):
     (folder / "good.csv").write_text('x,y\n1,""\n2,\n')
     (folder / "bad.csv").write_text("x,y\n3,4\n5\n")
     job = LoadJob.from_yaml(
-        spark, config(folder, "load_c", "pg_bulk_copy", "table_name: 't'", "p"), str(tmp_path / "work"))
+        spark, config(folder, "load_c", "pg_bulk_copy", "t", "p"), str(tmp_path / "work"))
     found = states(job.run())
     assert found["good.csv"].file_process_state == "Processed"
     assert found["bad.csv"].file_process_state == "FAILED"
@@ -135,7 +124,7 @@ def test_unmapped_and_extra_columns(spark, tmp_path):
     (folder / "a.csv").write_text("x,y\n1,2\n")
     (folder / "b.csv").write_text("x,y,z\n1,2,3\n")
     job = LoadJob.from_yaml(
-        spark, config(folder, "load_d", table="table_name: 't'", project="p"), str(tmp_path / "work"))
+        spark, config(folder, "load_d", table="t", project="p"), str(tmp_path / "work"))
     found = states(job.run())
     assert found["a.csv"].file_process_state == "Processed"
     assert found["b.csv"].file_process_state == "FAILED"
@@ -171,8 +160,6 @@ def option_run(spark, tmp_path_factory):
             "table_name": f"t{n:02d}", "append_file_id": file_id, "append_crc": crc, "limit_rows": limit,
             "pre_action": actions, "process_logic": [{"logic": "custom_logic.pandas_import"}],
         })
-    import yaml
-
     text = yaml.safe_dump([{"path": str(root / "in"), "project_name": "opt", "mapping": entries}])
     return states(LoadJob.from_yaml(spark, text, str(root / "work")).run())
 
@@ -201,8 +188,8 @@ def test_copy_by_position_into_a_wider_table(spark, tmp_path):
     (folder / "a.csv").write_text("h1,h2\n1,2\n")
     spark.sql("CREATE DATABASE load_f")
     spark.sql("CREATE TABLE load_f.t (file_id long, x string, y string, z string) USING parquet")
-    text = config(folder, "load_f", "client_copy", "table_name: 't'", "p")
-    text += config(tmp_path / "gone", "load_f", "client_copy", "table_name: 't'", "p")
+    text = config(folder, "load_f", "client_copy", "t", "p")
+    text += config(tmp_path / "gone", "load_f", "client_copy", "t", "p")
     found = states(LoadJob.from_yaml(spark, text, str(tmp_path / "work")).run())
     row = spark.table("load_f.t").first()
     assert (row.file_id, row.x, row.y, row.z) == (found["a.csv"].id, "1", "2", None)
@@ -214,7 +201,7 @@ def test_single_gz_member(spark, tmp_path):
     with gzip.open(folder / "one.csv.gz", "wt") as f:
         f.write("x,y\n1,2\n")
     job = LoadJob.from_yaml(
-        spark, config(folder, "load_e", table="table_name: 't'", project="p"), str(tmp_path / "work"))
+        spark, config(folder, "load_e", table="t", project="p"), str(tmp_path / "work"))
     found = states(job.run())
     assert found["one.csv"].rows_inserted == 1
     assert found["one.csv"].parent_file_id == found["one.csv.gz"].id
