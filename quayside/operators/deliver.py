@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from quayside.operators.merge import merge_rows
 from quayside.operators.skew import lookup_join
-from quayside.session import scratch_path
+from quayside.session import durable, scratch_path
 
 # Delivery modes.
 KILLFILL, FILE_ID, LAST_UPDATE, PROJECT, SCHEMA = (
@@ -73,8 +73,9 @@ def plan_batches(
 
 
 def new_batches(plan: DataFrame, work_table: DataFrame) -> DataFrame:
-    """K10 on the work table: batches not planned before."""
-    return plan.join(work_table.select("src_sql_hash"), "src_sql_hash", "left_anti")
+    """K10 on the work table: batches not planned before. The plan is stored first: its statements
+    are constants to the optimizer, which would compare them row by row instead of by key."""
+    return durable(plan, "plan").join(work_table.select("src_sql_hash"), "src_sql_hash", "left_anti")
 
 
 def tables_to_move(source_tables: Sequence[str], listed: Sequence[str]) -> list[str]:
@@ -90,6 +91,7 @@ def move_batches(
     The open batches are a lookup join, so a hot batch is not one task. The write is rebalanced by
     batch: adaptive execution splits a large batch over several files and merges small ones.
     Each batch is a partition directory that is replaced as a whole, so a rerun repeats no row.
+    Where the batch column may be NULL, use ``batch_value`` of it as the batch.
     """
     spark = source.sparkSession
     path = target_path or scratch_path(spark, "moved")
@@ -111,10 +113,12 @@ def batch_log(
     def counted(df: DataFrame, name: str) -> DataFrame:
         return df.groupBy(batch).agg(F.count(F.lit(1)).alias(name))
 
+    ids = open_batches.select(batch).distinct()
+    # the target holds older batches too: only the partitions of the open ones are read
+    fresh = loaded.join(ids, batch, "left_semi")
     counts = (
-        open_batches.select(batch).distinct()
-        .join(counted(dumped, "rows_dumped"), batch, "left")
-        .join(counted(loaded, "rows_loaded"), batch, "left")
+        ids.join(counted(dumped, "rows_dumped"), batch, "left")
+        .join(counted(fresh, "rows_loaded"), batch, "left")
         .fillna(0, ["rows_dumped", "rows_loaded"])
     )
     same = F.col("rows_dumped") == F.col("rows_loaded")

@@ -22,7 +22,7 @@ STICKY: dict[str, Any] = {
 # Settings an entry takes from its path, but does not hand on.
 INHERITED: dict[str, Any] = {"reprocess": True, "limit_rows": None}
 # Settings that exist on the entry only.
-OWN = ("column_list2", "pre_action", "post_action", "append_crc", "keys", "staging_schema")
+OWN = ("column_list2", "pre_action", "post_action", "append_crc", "keys", "target_schema")
 
 
 @dataclass(frozen=True)

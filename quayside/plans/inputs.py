@@ -16,8 +16,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def files(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
-    """One catalog row per document: every tenth is an archive, the others are its members.
-    ``extra`` names columns of the document to carry along."""
+    """One catalog row per document: ten in a row are an archive and its nine members. Short texts
+    stand for failed files, one source for files still to do, one for copies, one language for
+    files that are not to be processed. ``extra`` names columns of the document to carry along."""
     d = table(spark, sf_dir, "documents")
     doc = F.col("doc_id")
     archive = doc % 10 == 0
@@ -33,10 +34,10 @@ def files(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
         F.when(archive, F.lit(0).cast("long")).otherwise(doc - doc % 10 + 1).alias("parent_file_id"),
         F.md5("text").alias("crc"),
         F.col("n_chars").alias("file_size"),
-        F.when(doc % 47 == 3, "FAILED").when(doc % 53 == 5, "RAW").otherwise("Processed")
-        .alias("file_process_state"),
-        (doc % 11 != 0).alias("reprocess"),
-        (doc % 29 == 4).alias("duplicate_file"),
+        F.when(F.col("n_chars") < 300, "FAILED").when(F.col("source") == "src13", "RAW")
+        .otherwise("Processed").alias("file_process_state"),
+        (F.col("lang") != "de").alias("reprocess"),
+        (F.col("source") == "src5").alias("duplicate_file"),
         *extra,
     )
 
@@ -51,8 +52,8 @@ FILES_SQL = """files AS (
          CASE WHEN doc_id % 10 = 0 THEN 0 ELSE doc_id - doc_id % 10 + 1 END AS parent_file_id,
          md5(text) AS crc,
          n_chars AS file_size,
-         CASE WHEN doc_id % 47 = 3 THEN 'FAILED' WHEN doc_id % 53 = 5 THEN 'RAW'
+         CASE WHEN n_chars < 300 THEN 'FAILED' WHEN source = 'src13' THEN 'RAW'
               ELSE 'Processed' END AS file_process_state,
-         doc_id % 11 <> 0 AS reprocess,
-         doc_id % 29 = 4 AS duplicate_file
+         lang <> 'de' AS reprocess,
+         source = 'src5' AS duplicate_file
   FROM documents)"""

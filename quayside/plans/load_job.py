@@ -29,8 +29,11 @@ class LoadJob:
     """One run over the configured folders. State lives in the catalog table, so a run that was
     cut off goes on with what is still RAW."""
 
-    def __init__(self, spark: SparkSession, mappings: Sequence[MappingRow], work_dir: str):
+    def __init__(
+        self, spark: SparkSession, mappings: Sequence[MappingRow], work_dir: str, data_schema: str = "default"
+    ):
         self.spark, self.mappings, self.work_dir = spark, list(mappings), work_dir.rstrip("/")
+        self.data_schema = data_schema
         self.catalog = VersionedTable(
             spark, f"{self.work_dir}/logging/meta_source_files", cat.CATALOG_SCHEMA
         )
@@ -38,8 +41,8 @@ class LoadJob:
             self.catalog.replace(spark.createDataFrame([], cat.CATALOG_SCHEMA))
 
     @classmethod
-    def from_yaml(cls, spark: SparkSession, text: str, work_dir: str) -> LoadJob:
-        return cls(spark, read_mappings(text), work_dir)
+    def from_yaml(cls, spark: SparkSession, text: str, work_dir: str, data_schema: str = "default") -> LoadJob:
+        return cls(spark, read_mappings(text), work_dir, data_schema)
 
     def find_files(self) -> DataFrame | None:
         """The files of every configured folder with the first entry that lists them."""
@@ -117,7 +120,7 @@ class LoadJob:
         again = F.get(F.array(*[F.lit(bool(m.reprocess)) for m in self.mappings]), "mapping")
         work = work.withColumn("reprocess", F.coalesce(again, F.col("reprocess")))
         work = durable(fail_where(work, F.col("mapping").isNull(), NO_MAPPING), "work")
-        context = StepContext(self.spark, self.mappings, self.catalog, self.work_dir)
+        context = StepContext(self.spark, self.mappings, self.catalog, self.work_dir, self.data_schema)
 
         work = self._actions(work, "pre_action")
         for position in range(max((len(m.steps) for m in self.mappings), default=0)):

@@ -3,6 +3,7 @@ DataFrame to DataFrame function; a file that fails is marked, the others go on."
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -29,6 +30,7 @@ class StepContext:
     mappings: list[MappingRow]
     catalog: VersionedTable
     work_dir: str
+    data_schema: str = "default"
 
 
 Step = Callable[[StepContext, DataFrame], DataFrame]
@@ -101,7 +103,8 @@ def abort_if_duplicate(ctx: StepContext, files: DataFrame) -> DataFrame:
         .groupBy("project_name", "crc").agg(F.lit(True).alias("_done"))
     )
     place = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(
-        [F.coalesce("file_name_data", F.lit("￿")), F.col("parent_file_id"), F.col("file_path"), F.col("file_name")])])
+        [F.col("file_name_data").isNull(), F.col("file_name_data"), F.col("parent_file_id"),
+         F.col("file_path"), F.col("file_name")])])
     first = files.filter("ok").groupBy("project_name", "crc").agg(F.min_by("id", place).alias("_first"))
     groups = first.join(done, ["project_name", "crc"], "left")
     marked = lookup_join(files, groups, ["project_name", "crc"], "left")
@@ -376,15 +379,32 @@ STEPS |= dict.fromkeys(MARKERS, unchanged)
 
 @step("upsert_table_from_stg")
 def upsert_from_staging(ctx: StepContext, files: DataFrame) -> DataFrame:
-    """M2, M4: staging of a mapping into its table: upsert by the configured keys, else append."""
+    """M2, M4: what the mapping's import put into its (staging) table goes to the table of the same
+    name in the data schema: an upsert by the configured keys, else an append. When several files
+    staged a key, the newest file counts."""
     spark = ctx.spark
     for row, group in _by_mapping(ctx, files):
-        if group.filter("ok").isEmpty():
-            continue
-        target, staging = f"{row.schema_name}.{row.table_name}", f"{row.staging_schema or 'stg'}.{row.table_name}"
-        newest = group.filter("ok").agg(F.max("id").alias("i")).first()["i"]
-        merged = durable(
-            merge.load_from_staging(spark.table(target), spark.table(staging), row.keys or [], newest), "merged"
-        )
-        merged.write.format("parquet").mode("overwrite").saveAsTable(target)
+        good = target_names(row, group.filter("ok"))
+        newest = {r["_table"]: r["i"] for r in good.groupBy("_table").agg(F.max("id").alias("i")).collect()}
+        for table, file_id in newest.items():
+            staged = spark.table(f"{row.schema_name}.{table}")
+            own = F.col("file_id") if "file_id" in staged.columns else F.lit(None)
+            stamp = F.coalesce(own.cast("long"), F.lit(file_id).cast("long"))
+            target = f"{row.target_schema or ctx.data_schema}.{table}"
+            if not spark.catalog.tableExists(target):
+                append_rows(ctx, staged.withColumn("file_id", stamp).limit(0), target)
+            merged = merge.load_from_staging(
+                spark.table(target), staged, row.keys or [], stamp,
+                **({"dedupe_by": "file_id"} if row.keys and row.append_file_id else {}),
+            )
+            replace_table(ctx, merged, target)
     return files
+
+
+def replace_table(ctx: StepContext, rows: DataFrame, target: str) -> None:
+    """New content for a catalog table: written to a folder of its own, then the table is pointed
+    there, so readers see the old rows or the new ones."""
+    path = f"{ctx.work_dir}/tables/{target}/{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    ctx.spark.sql(f"ALTER TABLE {target} SET LOCATION '{path}'")
+    ctx.spark.catalog.refreshTable(target)

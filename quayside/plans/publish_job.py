@@ -131,11 +131,11 @@ class PublishJob:
         keyed = rows.withColumn("batch_value", value)
         hashes = todo.select("batch_value", F.col("src_sql_hash").alias(BATCH))
         batch = lookup_join(keyed, hashes, ["batch_value"], stored=True).drop("batch_value")
-        if self.item["db"]["target_db"].get("truncate_target", False):
-            # the first move of a table replaces what earlier runs left
-            mode = "static"
-        else:
-            mode = "dynamic"
+        # Truncation happens once, before the first batch of a table is complete; a resumed run
+        # replaces only the partitions it moves.
+        begun = not self.log.read().filter((F.col("trg_table") == self._names(table)[1]) & (F.col("status") == "Completed")).isEmpty()
+        truncate = self.item["db"]["target_db"].get("truncate_target", False) and not begun
+        mode = "static" if truncate else "dynamic"
         path = self.path(table)
         (
             batch.hint("rebalance", F.col(BATCH)).write.mode("overwrite")

@@ -180,6 +180,48 @@ def test_option_product(spark, option_run, n):
         assert {r.file_id for r in new} == {row.id}
 
 
+def test_workbooks_data_packs_and_staged_upserts(spark, tmp_path):
+    from test_sources import workbook
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "rates.xlsx").write_bytes(workbook({"S": ({"A1": "Loan ID", "B1": "Rate", "A2": "007", "B2": 1.5}, {})}))
+    toc = ({"A1": "Loans", "A2": "one"}, {"A2": "Loans!$B$1"})
+    loans = ({"B1": "Figure", "B2": "USD", "C3": "2018", "B4": "north", "C4": 1}, {})
+    (folder / "DataPack.xlsx").write_bytes(workbook({"Contents": toc, "Loans": loans}))
+    (folder / "a.csv").write_text("k,v\n1,old\n2,two\n")
+    (folder / "b.csv").write_text("k,v\n1,new\n3,three\n")
+    spark.sql("CREATE DATABASE stg_up")
+    spark.sql("CREATE DATABASE data_up")
+    spark.sql("CREATE TABLE data_up.loan (file_id long, k string, v string) USING parquet")
+    spark.sql("INSERT INTO data_up.loan VALUES (0, '2', 'two'), (0, '9', 'nine')")
+
+    def steps(*names):
+        return [{"logic": f"custom_logic.{n}"} for n in names]
+
+    text = yaml.safe_dump([{"path": str(folder), "project_name": "p", "mapping": [
+        {"file_regex": ".*DataPack.xlsx", "file_type": "XLSX", "schema_name": "stg_up", "table_name": "pack",
+         "process_logic": steps("generate_checksum", "wyman")},
+        {"file_regex": ".*xlsx", "file_type": "XLS", "schema_name": "stg_up", "table_name": "rates",
+         "append_file_id": True, "process_logic": steps("row_count_excel", "pandas_import")},
+        {"file_regex": ".*csv", "file_type": "CSV", "schema_name": "stg_up", "table_name": "loan", "keys": ["k"],
+         "process_logic": steps("pandas_import", "upsert_table_from_stg")},
+    ]}])
+    found = states(LoadJob.from_yaml(spark, text, str(tmp_path / "work"), "data_up").run())
+    assert {r.file_process_state for r in found.values()} == {"Processed"}, found
+    book = found["rates.xlsx"]
+    assert (book.total_rows, book.rows_inserted, book.database_table) == (1, 1, "stg_up.rates")
+    assert [tuple(r) for r in spark.table("stg_up.rates").select("file_id", "loan_id", "rate").collect()] == [
+        (book.id, "007", "1.5")]
+    pack = spark.table("stg_up.pack").first()
+    assert (pack.file_id, pack.sheetname, pack.figure, pack.units, pack.dimension, pack.measure, pack.stat_value) == (
+        str(found["DataPack.xlsx"].id), "Loans", "Figure", "USD", "north", "2018", "1")
+    assert found["DataPack.xlsx"].total_rows == 1
+    a, b = found["a.csv"].id, found["b.csv"].id
+    assert sorted(tuple(r) for r in spark.table("data_up.loan").select("k", "v", "file_id").collect()) == [
+        ("1", "new", b), ("2", "two", 0), ("3", "three", b), ("9", "nine", 0)]
+
+
 def test_copy_by_position_into_a_wider_table(spark, tmp_path):
     """Without a column list a copy fills the table's columns from the left; a missing folder is
     passed over."""
