@@ -184,7 +184,7 @@ class LoadJob:
             .select(*[f.name for f in cat.CATALOG_SCHEMA])
         )
         catalog = self.catalog.read()
-        rest = lookup_join(catalog, work.select("id"), ["id"], "left_anti", stored=True)
+        rest = catalog.join(work.select("id"), "id", "left_anti")
         after = durable(rest.unionByName(closed), "catalog")
         loaded = (
             after.filter(F.col("file_process_state") == cat.PROCESSED)

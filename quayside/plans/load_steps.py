@@ -57,9 +57,10 @@ def fail_where(files: DataFrame, bad: Column, message: str | Column) -> DataFram
 
 
 def _set(files: DataFrame, values: DataFrame, columns: list[str], key: str = "path") -> DataFrame:
-    """Replace columns of the files by those found for the key; unmatched files keep theirs."""
+    """Replace columns of the files by those found for the key; unmatched files keep theirs. Both
+    sides have one row per file, so a plain join is even."""
     renamed = values.select(key, *[F.col(c).alias(f"_{c}") for c in columns])
-    joined = lookup_join(files, renamed, [key], "left")
+    joined = files.join(renamed, key, "left")
     kinds = {f.name: f.dataType for f in files.schema}
     return joined.select(
         *[F.coalesce(F.col(f"_{c}"), F.col(c)).cast(kinds[c]).alias(c) if c in columns else F.col(c)
@@ -185,7 +186,7 @@ def _finish(files: DataFrame, results: list[DataFrame]) -> DataFrame:
     """Put the outcome of the loads on the files; a file no load spoke of had nothing to read."""
     empty = files.sparkSession.createDataFrame([], RESULT)
     found = _union([empty, *results]).toDF("path", "_rows", "_target", "_error")
-    done = lookup_join(files, found, ["path"], "left").withColumns({
+    done = files.join(found, "path", "left").withColumns({
         "rows_inserted": F.when(F.col("ok"), F.coalesce("_rows", F.lit(0))).otherwise(F.col("rows_inserted")).cast("long"),
         "database_table": F.coalesce("_target", "database_table"),
         "_error": F.coalesce("_error", F.when(F.col("_rows").isNull(), F.lit("No columns to parse from file"))),
@@ -210,7 +211,7 @@ def _heads(row: MappingRow, ctx: StepContext, files: DataFrame) -> DataFrame:
     if row.columns and not row.use_header:
         kind = text.field_count(kind, row.delimiter).cast("string")
     return durable(
-        lookup_join(files.select("path", "id", "_table"), found.select("path", kind.alias("_kind")), ["path"]),
+        files.select("path", "id", "_table").join(found.select("path", kind.alias("_kind")), "path"),
         "heads",
     )
 
@@ -268,7 +269,7 @@ def _load(
     bad = F.concat(F.lit("malformed row: "), F.max("_bad")) if strict else F.lit(None).cast("string")
     counts = staged.groupBy("path").agg(F.count(F.lit(1)).alias("n"), bad.alias("error"))
     results = durable(
-        lookup_join(members.select("path"), counts, ["path"], "left").select(
+        members.select("path").join(counts, "path", "left").select(
             "path",
             F.when(F.col("error").isNull(), F.coalesce("n", F.lit(0))).otherwise(F.lit(0)).alias("rows_inserted"),
             F.lit(target).alias("database_table"), "error",
