@@ -376,16 +376,45 @@ def near_groups(
 
 
 def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows whose id is its group's smallest; of rows with that id, only one.
+    """The rows, unchanged, whose id is its group's smallest; of rows with equal ids only one.
 
     Rows without an id stay: they can't be told apart, so none is dropped for another."""
-    groups = near_groups(docs, doc_id, text)
+    groups = durable(near_groups(docs, doc_id, text), "groups")
     gone = groups.filter(F.col(doc_id) != F.col("component_id")).select(doc_id).distinct()
     kept = lookup_join(docs, gone, [doc_id], "left_anti").select(*docs.columns)
-    return kept.filter(F.col(doc_id).isNull()).union(kept.filter(F.col(doc_id).isNotNull()).dropDuplicates([doc_id]))
-
-
-@query("op3_jaccard_join")
+    repeated = groups.filter(F.col(doc_id).isNotNull()).groupBy(doc_id).agg(
+        F.count(F.lit(1)).alias("_rows")).filter("_rows > 1").select(doc_id)
+    if repeated.isEmpty():
+        return kept
+    return lookup_join(kept, repeated, [doc_id], "left_anti").select(*docs.columns).union(
+        lookup_join(kept, repeated, [doc_id], "left_semi").select(*docs.columns).dropDuplicates([doc_id]))
+
+
+GROUPS_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [array_to_string(words, ' ')]
+    ELSE list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' ')) END) AS s
+  FROM w),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * c >= 90 * (x.n + y.n - c)),
+reach(a, b) AS (
+  SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles,
+       least(doc_id, coalesce((SELECT min(b) FROM reach WHERE a = doc_id), doc_id)) AS component_id
+FROM documents LEFT JOIN sizes USING (doc_id)"""
+
+
+@query("op3_jaccard_join", GROUPS_SQL)
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents with near-equal sets of 3-word shingles."""
     return near_groups(table(spark, sf_dir, "documents"))

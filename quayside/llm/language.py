@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm.registry import query, table
-from quayside.llm.text import LOWER, mix, per_row_sum, text_slabs
+from quayside.llm.text import keep_rows, mix, per_row_sum, text_slabs
 from quayside.session import durable
 
 SAMPLE = 1500
@@ -138,6 +138,46 @@ def learn_filter(docs: DataFrame, text: str, lang: str, sample: int = SAMPLE) ->
     return names, table_
 
 
+def votes(masks: np.ndarray, many: int, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Per text: number of the winning language (``many``: none), score, corrected share."""
+    keys, firsts = grams(data, offsets)
+    n = np.maximum(np.diff(firsts), 1)
+    at = slots(keys)
+    shares = np.zeros((max(many, 2), len(n)))
+    for word in range(len(masks)):
+        both = masks[word][at[0]]
+        for other in at[1:]:
+            both &= masks[word][other]
+        for k in range(64 * word, min(64 * word + 64, many)):
+            bit = np.uint64(k % 64)
+            false = float((masks[word] >> bit & np.uint64(1)).mean()) ** PROBES
+            hits = per_row_sum((both >> bit & np.uint64(1)).astype(np.uint8), firsts)
+            shares[k] = np.maximum(hits / n - false, 0) / (1 - false)
+    ranked = np.sort(shares, 0)
+    top, second = ranked[-1], ranked[-2]
+    letters = has_letter(data, offsets) & (many > 0)
+    score = np.where(letters & (top > 0), top / np.maximum(top + second, 1e-12), 0.0)
+    return np.where(letters, shares.argmax(0), many), score, np.where(letters, top, 0.0)
+
+
+def keep_languages(
+    docs: DataFrame, held_out: Column, least: float = 0.05, doc_id: str = "doc_id", text: str = "text", lang: str = "lang"
+) -> DataFrame:
+    """The rows, unchanged, whose text has letters and a learned language: a corrected share of at
+    least ``least``. If there is no language to learn, rows with letters stay."""
+    learnt = docs.filter(~F.coalesce(held_out, F.lit(False))).select(F.col(doc_id).alias("id"), text, lang)
+    names, masks = learn_filter(learnt, text, lang)
+    shared = docs.sparkSession.sparkContext.broadcast(masks)
+
+    def verdict(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        if not names:
+            return has_letter(data, offsets)
+        best, _, share = votes(shared.value, len(names), data, offsets)
+        return (best < len(names)) & (share >= least)
+
+    return keep_rows(docs, text, verdict)
+
+
 def identify(
     docs: DataFrame, names: list[str], masks: np.ndarray, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -152,30 +192,12 @@ def identify(
     shared = docs.sparkSession.sparkContext.broadcast(masks)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        masks = shared.value
-        filled = [float((masks[k // 64] >> np.uint64(k % 64) & np.uint64(1)).mean()) ** PROBES for k in range(len(names))]
         for batch, data, offsets in text_slabs(batches, "text"):
-            keys, firsts = grams(data, offsets)
-            n = np.maximum(np.diff(firsts), 1)
-            at = slots(keys)
-            shares = np.zeros((max(len(names), 2), len(n)))
-            for word in range(len(masks)):
-                both = masks[word][at[0]]
-                for other in at[1:]:
-                    both &= masks[word][other]
-                for k in range(64 * word, min(64 * word + 64, len(names))):
-                    hits = per_row_sum((both >> np.uint64(k % 64) & np.uint64(1)).astype(np.uint8), firsts)
-                    shares[k] = np.maximum(hits / n - filled[k], 0) / (1 - filled[k])
-            best = shares.argmax(0)
-            ranked = np.sort(shares, 0)
-            top, second = ranked[-1], ranked[-2]
-            letters = has_letter(data, offsets) & (len(names) > 0)
-            score = np.where(letters & (top > 0), top / np.maximum(top + second, 1e-12), 0.0)
-            labels = np.array([*names, "und"], object)[np.where(letters, best, len(names))]
-            yield pa.RecordBatch.from_arrays([
-                batch.column("id"), pa.array(labels, pa.string()), pa.array(score),
-                pa.array(np.where(letters, top, 0.0)),
-            ], ["id", "lang_pred", "score", "share"])
+            best, score, share = votes(shared.value, len(names), data, offsets)
+            labels = np.array([*names, "und"], object)[best]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), pa.array(labels, pa.string()), pa.array(score), pa.array(share)],
+                ["id", "lang_pred", "score", "share"])
 
     return source.mapInArrow(
         rows, f"id {kind}, lang_pred string, score double, share double").withColumnRenamed("id", doc_id)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from quayside.llm import gbdt
 from quayside.llm.registry import query, table
-from quayside.llm.text import LOWER, binary_column, per_row_sum, rows_of, spans_hash, text_slabs, words
+from quayside.llm.text import LOWER, binary_column, keep_rows, per_row_sum, rows_of, spans_hash, text_slabs, words
 from quayside.session import durable
 
 SAMPLE = 20_000
@@ -104,6 +104,36 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.stack([np.frombuffer(v.as_buffer(), np.float32) for v in column])
 
 
+def teach(
+    stats: DataFrame, labels: DataFrame, held_out: Column, doc_id: str, label: str, sample: int
+) -> dict[str, np.ndarray]:
+    """Trees from the statistics of labelled rows; ``held_out`` is a condition on their id."""
+    known = labels.filter(F.col(label).isNotNull() & ~held_out).select(
+        F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label"))
+    share = min(1.0, sample / max(known.count(), 1))
+    by_hash = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1_000_000)) < F.lit(int(share * 1_000_000) + 1)
+    taught = stats.join(known.filter(by_hash), "id").select("statistics", "label").limit(sample).toArrow()
+    if not taught.num_rows:
+        return gbdt.fit(np.zeros((0, 1)), np.zeros(0))
+    y = taught.column("label").to_numpy().astype(float)
+    return gbdt.fit(_matrix(taught.column("statistics").combine_chunks()), y)
+
+
+def keep_quality(
+    docs: DataFrame, labels: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text",
+    label: str = "quality", sample: int = SAMPLE, at: float = 0.5,
+) -> DataFrame:
+    """The rows, unchanged, whose text scores ``at`` or more."""
+    labelled = labels.filter(F.col(label).isNotNull() & ~held_out)
+    stats = durable(with_statistics(docs, doc_id, text), "statistics")
+    shared = docs.sparkSession.sparkContext.broadcast(teach(stats, labelled, F.lit(False), doc_id, label, sample))
+
+    def verdict(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        return gbdt.predict(shared.value, statistics(data, offsets)) >= at
+
+    return keep_rows(docs, text, verdict)
+
+
 def quality_scores(
     docs: DataFrame, labels: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text",
     label: str = "quality", sample: int = SAMPLE, at: float = 0.5,
@@ -115,19 +145,8 @@ def quality_scores(
     classes the score is their smoothed share. A null text is scored as an empty one. Repeated
     rows give repeated rows. Other columns are left out. An empty table gives no rows.
     """
-    spark = docs.sparkSession
     stats = durable(with_statistics(docs, doc_id, text), "statistics")
-    known = labels.filter(F.col(label).isNotNull() & ~held_out).select(
-        F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label"))
-    share = min(1.0, sample / max(known.count(), 1))
-    by_hash = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1_000_000)) < F.lit(int(share * 1_000_000) + 1)
-    taught = stats.join(known.filter(by_hash), "id").select("statistics", "label").limit(sample).toArrow()
-    if taught.num_rows:
-        y = taught.column("label").to_numpy().astype(float)
-        model = gbdt.fit(_matrix(taught.column("statistics").combine_chunks()), y)
-    else:
-        model = gbdt.fit(np.zeros((0, 1)), np.zeros(0))
-    shared = spark.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(teach(stats, labels, held_out, doc_id, label, sample))
     kind = stats.schema["id"].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
