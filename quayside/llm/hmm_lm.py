@@ -350,8 +350,11 @@ def score_texts(
     made.write.option("compression", "zstd").parquet(path)
     classed = spark.read.schema(made.schema).parquet(path)
     model = Model.begin(classes)
-    sample = classed.filter(~F.col("held_out") & (F.col("n") <= WARM_WORDS)).orderBy(
-        F.xxhash64("id"), "id").limit(WARM_TEXTS).select("classes").collect()
+    share = min(1.0, WARM_TEXTS / max(ends, 1))
+    sample = classed.filter(
+        ~F.col("held_out") & (F.col("n") <= WARM_WORDS)
+        & (F.pmod(F.xxhash64("id", F.lit(9)), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
+    ).limit(WARM_TEXTS).select("classes").collect()
     if sample:
         seqs = [np.frombuffer(bytes(r["classes"]), np.uint16).astype(np.int64) for r in sample]
         firsts = np.concatenate([[0], np.cumsum([len(s) for s in seqs])])
