@@ -15,8 +15,9 @@ so few pairs remain where the shingles of a prefix are frequent. A pair uses the
 Groups of many near copies would make quadratically many pairs. Two steps keep them from being
 written: first each node is verified against the most typical node of each of its index entries
 (as many pairs as entries), and the components of those links are found; then only pairs
-of different components are taken further, and only if a 256-bit parity signature allows the
-needed overlap (two sets that differ in d shingles differ in at most d bits, so no link is lost).
+of different components are taken further, and only if their parity signatures allow the needed
+overlap (two sets that differ in d shingles differ in at most d bits, so no link is lost; larger
+sets have longer signatures, which fold to the shorter ones').
 An index entry beyond ``TILE`` nodes is split into tiles which meet pairwise, so no task holds more
 than two of them.
 """
@@ -41,6 +42,7 @@ from quayside.session import durable
 SKETCH_BITS = 18
 MATCHES_MOST = 4
 TILE = 4096
+SIGNATURE_BITS, SIGNATURE_LEVELS = 256, 3  # 256 bits up to 1024 shingles, then four times as many
 _PLACES = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                                        0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
 
@@ -120,6 +122,49 @@ def shingle_sketch(docs: DataFrame, text: str, width: int) -> np.ndarray:
     return np.concatenate(whole).reshape(2, -1)
 
 
+def _levels(n: np.ndarray) -> np.ndarray:
+    """Signature level of sets of these sizes; level k has SIGNATURE_BITS * 4**k bits."""
+    bounds = 4 * SIGNATURE_BITS * 4 ** np.arange(SIGNATURE_LEVELS - 1)
+    return np.searchsorted(bounds, n, "left")
+
+
+def signatures(values: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of all rows' signatures and their offsets: bit b is the parity of the number of
+    shingles that fall on b."""
+    n = np.diff(firsts)
+    width = SIGNATURE_BITS * 4 ** _levels(n)
+    start = np.concatenate([[0], np.cumsum(width)])
+    cell = (values >> np.uint64(40)).astype(np.int64) % np.repeat(width, n) + np.repeat(start[:-1], n)
+    return np.packbits((np.bincount(cell, minlength=start[-1]) & 1).astype(np.uint8)), start // 8
+
+
+def apart(column: pa.Array, n: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Differing bits of the signatures of rows i and j, the longer folded to the shorter."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(n) + 1].astype(np.int64)
+    data = np.frombuffer(column.buffers()[2], np.uint8)
+    level = _levels(n)
+    low = np.minimum(level[i], level[j])
+    out = np.zeros(len(i), np.int64)
+    for k in np.unique(low):
+        size = SIGNATURE_BITS // 8 * 4**k
+        rows = np.flatnonzero((level == k) | (level == k + 1))
+        rows = rows[np.isin(rows, np.concatenate([i[low == k], j[low == k]]))]
+        bits = np.zeros((len(rows), size // 8), np.uint64)
+        for up in (0, 1):
+            own = np.flatnonzero(level[rows] == k + up)
+            if len(own):
+                spans = offsets[rows[own]][:, None] + np.arange(size * 4**up)
+                bits[own] = np.bitwise_xor.reduce(data[spans].reshape(len(own), 4**up, size), axis=1).view(np.uint64)
+        place = np.zeros(len(n), np.int64)
+        place[rows] = np.arange(len(rows))
+        pairs = np.flatnonzero(low == k)
+        step = max(1, (8 << 20) // size)
+        for a in range(0, len(pairs), step):
+            some = pairs[a:a + step]
+            out[some] = np.bitwise_count(bits[place[i[some]]] ^ bits[place[j[some]]]).sum(axis=1, dtype=np.int64)
+    return out
+
+
 def _needed(n: np.ndarray, percent: int) -> np.ndarray:
     """The least overlap of a set of n with any partner."""
     return -(-percent * n // 100)
@@ -150,15 +195,12 @@ def describe(docs: DataFrame, sketch, text: str, keep: list[str], width: int, pe
             starts = np.concatenate([[0], np.cumsum(length)])
             which = rows_of(starts)
             prefix = ordered[np.arange(starts[-1]) - starts[which] + firsts[which]]
-            bits = np.zeros(len(n) * 256, np.uint8)
-            np.add.at(bits, row * 256 + (values >> np.uint64(40) & np.uint64(255)).astype(np.int64), 1)
-            signature = np.packbits(bits & 1)
             typical = per_row_sum(np.log(df), firsts) / np.maximum(n, 1)
             yield pa.RecordBatch.from_arrays([
                 *[batch.column(batch.schema.get_field_index(c)) for c in keep],
                 pa.array(set_ids(values, firsts)), pa.array(n.astype(np.int64)),
                 pa.array(base.astype(np.int32)), pa.array(best.astype(np.int32)),
-                pa.array(typical), binary_column(signature, np.arange(len(n) + 1) * 32),
+                pa.array(typical), binary_column(*signatures(values, firsts)),
                 binary_column(prefix.view(np.uint8), starts * 8),
             ], [*keep, "sid", "n", "base", "matches", "typical", "signature", "prefix"])
 
@@ -240,8 +282,6 @@ def _pairs(members: DataFrame, percent: int, typical_only: bool) -> DataFrame:
         matches, component = part.column("matches").to_numpy(), part.column("component").to_numpy()
         block, tile, other = (part.column(c).to_numpy() for c in ("block", "tile", "other"))
         column = part.column("signature")
-        first = np.frombuffer(column.buffers()[1], np.int32)[column.offset]
-        bits = np.frombuffer(column.buffers()[2], np.uint8)[first:first + 32 * len(n)].view(np.uint64).reshape(-1, 4)
 
         def allowed(i, j):
             small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
@@ -254,8 +294,7 @@ def _pairs(members: DataFrame, percent: int, typical_only: bool) -> DataFrame:
             if not typical_only:
                 ok &= component[i] != component[j]
             i, j, need = i[ok], j[ok], need[ok]
-            apart = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64)
-            ok = apart <= n[i] + n[j] - 2 * need
+            ok = apart(column, n, i, j) <= n[i] + n[j] - 2 * need
             return i[ok], j[ok]
 
         def batch_of(i, j):
