@@ -32,6 +32,7 @@ from quayside.operators.skew import lookup_join
 
 TOXIC_TEXTS, CLEAN_TEXTS, TEXT_CHARS = 2000, 4000, 20_000
 LENGTH, DECAY = 4, 0.6
+LEAST_VALUE = 0.35  # a word that can't be this like any landmark is like none
 LANDMARKS, CLEAN_LANDMARKS = 64, 32
 TURNS = 4
 KNOWN_WORDS = 400_000
@@ -107,11 +108,12 @@ class Kernel:
         self.table = np.zeros((len(self.keys), size), np.float32)
         np.add.at(self.table, (np.searchsorted(self.keys, key), word), weight)
         self.table /= np.maximum(np.sqrt((self.table**2).sum(0)), 1e-9)
+        self.most = self.table.max(1, initial=0)
 
     def values(self, codes: np.ndarray, first: np.ndarray) -> np.ndarray:
         size = len(first) - 1
         word, key, weight = subsequences(codes, first)
-        order = np.lexsort((key, word))
+        order = np.argsort(word * 2**(6 * LENGTH) + key, kind="stable")
         word, key, weight = word[order], key[order], weight[order]
         new = np.ones(len(word), bool)
         new[1:] = (word[1:] != word[:-1]) | (key[1:] != key[:-1])
@@ -122,6 +124,10 @@ class Kernel:
         place = np.searchsorted(self.keys, key)
         hit = np.flatnonzero(self.keys[np.minimum(place, len(self.keys) - 1)] == key) if len(self.keys) else []
         out = np.zeros((size, self.table.shape[1]), np.float32)
+        if len(hit):
+            # No value of a word is above this bound; most words stay far below and count as 0.
+            bound = np.bincount(word[hit], weight[hit] * self.most[place[hit]], size)
+            hit = hit[(bound >= LEAST_VALUE * norm)[word[hit]]]
         if len(hit):
             who = word[hit]
             begin = np.flatnonzero(np.append(True, who[1:] != who[:-1]))
@@ -258,6 +264,7 @@ class Scorer:
         self.model = model
         self.kernel = Kernel.__new__(Kernel)
         self.kernel.keys, self.kernel.table = model["keys"], model["table"]
+        self.kernel.most = model["table"].max(1, initial=0)
         self.known = np.zeros(0, np.uint64)
         self.value = np.zeros(0)
 
