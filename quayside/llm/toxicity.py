@@ -30,7 +30,7 @@ from quayside.llm.registry import query, table
 from quayside.llm.text import rows_of, spans_hash, text_slabs, utf8, words
 from quayside.operators.skew import lookup_join
 
-TOXIC_TEXTS, CLEAN_TEXTS, TEXT_CHARS = 2000, 4000, 20_000
+TOXIC_TEXTS, CLEAN_TEXTS, TEXT_CHARS = 1500, 3000, 20_000
 LENGTH, DECAY = 4, 0.6
 LEAST_VALUE = 0.35  # a word that can't be this like any landmark is like none
 LANDMARKS, CLEAN_LANDMARKS = 64, 32
@@ -226,13 +226,18 @@ def learn(texts: list[str], toxic: np.ndarray) -> dict | None:
     own = kernel.values(*_pick(codes, first, one[np.concatenate([ranked[chosen], usual])])).astype(float)
     values, vectors = np.linalg.eigh((own + own.T) / 2)
     turn = vectors / np.sqrt(np.maximum(values, 1e-3))
-    z = np.concatenate([
-        kernel.values(*_pick(codes, first, one[a:a + 20_000])) for a in range(0, len(one), 20_000)]) @ turn
+    # Only words near a landmark have a row of their own; row 0 stands for all others.
+    rows, near_some = [np.zeros((1, len(turn)))], np.zeros(len(one), np.int64)
+    for a in range(0, len(one), 20_000):
+        made = kernel.values(*_pick(codes, first, one[a:a + 20_000]))
+        some = np.flatnonzero(made.any(1))
+        near_some[a + some] = sum(map(len, rows)) + np.arange(len(some))
+        rows.append(made[some] @ turn)
+    z = np.concatenate(rows)
     begin = np.flatnonzero(np.append(True, sentence[1:] != sentence[:-1]))
     label = toxic[row[begin]].astype(float)
     value = np.where(linked > 0, ratio, -1.0)  # the first guess at the worst words
-    x, y, w = np.zeros((0, z.shape[1])), np.zeros(0), np.zeros(0)
-    for turn_no in range(TURNS):
+    for _ in range(TURNS):
         score = value[back]
         order = np.lexsort((score, sentence))
         worst = back[order[np.append(begin[1:], len(sentence)) - 1]]
@@ -246,11 +251,11 @@ def learn(texts: list[str], toxic: np.ndarray) -> dict | None:
         often = np.bincount(worst[label == 0], minlength=len(uniq))[negative]
         plus = np.unique(worst[positive])
         count = np.bincount(worst[positive], minlength=len(uniq))[plus]
-        x = np.concatenate([z[plus], z[negative]])
+        x = z[near_some[np.concatenate([plus, negative])]]
         y = np.concatenate([np.ones(len(plus)), np.zeros(len(negative))])
         w = np.concatenate([count / count.sum(), often / often.sum()]) * len(y) / 2
         machine = _svm(x, y, w)
-        value = z @ machine[:-1] + machine[-1]
+        value = (z @ machine[:-1] + machine[-1])[near_some]
     fold = turn @ machine[:-1]
     summary = _summary(value[back], row, sentence, len(texts))
     return {"keys": kernel.keys, "table": kernel.table, "fold": fold, "bias": machine[-1],
