@@ -321,8 +321,8 @@ def teach(pages: list[str], seed: int = 8) -> dict:
 
 
 def _roles(source: str, page: Page) -> np.ndarray:
-    """1 for nodes with article text below or in them, 0 for all others, from the marks that
-    ``variants`` set, in the order of the nodes."""
+    """1 for nodes with article text below or in them, 0 for all others: from the marks that
+    ``variants`` set, in the order of the nodes, and from what names of nodes in an article say."""
     opened = [m for m in _TOKEN.finditer(source) if m.group(2) and not m.group(1)]
     marks = iter([
         (m.group(2).lower(), 1 if _HOLD in m.group(3) else -1 if "data-drop" in m.group(3) else 0)
@@ -331,7 +331,9 @@ def _roles(source: str, page: Page) -> np.ndarray:
     for k in range(1, len(page.tag)):
         mark = next((x for t, x in marks if t == page.tag[k]), 0)
         inherited = state[page.parent[k]]
-        state[k] = -1 if mark < 0 or inherited < 0 else 1 if mark > 0 or inherited > 0 else 0
+        named = {w.lower() for w in _WORD.findall(page.names[k])} & OTHER_WORDS - {"header"}
+        other = page.tag[k] in ("nav", "aside", "form", "footer") or bool(named)
+        state[k] = -1 if mark < 0 or inherited < 0 or other and mark == 0 else 1 if mark > 0 or inherited > 0 else 0
     label = (state > 0).astype(int)
     for k in range(len(page.tag) - 1, 0, -1):
         label[page.parent[k]] |= label[k]
