@@ -24,6 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -83,30 +84,32 @@ def expected_counts(model: Model, classes: np.ndarray, firsts: np.ndarray, into:
     begin, size, head = begin[order], size[order], nth[order] == 0
     steps = int(size[0]) if len(size) else 0
     active = np.searchsorted(-size, -np.arange(steps), "left")  # runs longer than t
-    alphas, scales = [], []
+    alphas = []
     a = np.where(head[:, None], model.start.astype(np.float32), level)
     for t in range(steps):
         n = active[t]
         a = a[:n] if t == 0 else a[:n] @ move
         a = a * emit[classes[begin[:n] + t]]
-        s = a.sum(1, keepdims=True)
-        a /= s
+        a /= np.maximum(a.sum(1, keepdims=True), 1e-30)
         alphas.append(a)
-        scales.append(s)
     b = np.ones((0, k), np.float32)
     for t in range(steps - 1, -1, -1):
         n = active[t]
         if len(b) < n:
             b = np.concatenate([b, np.ones((n - len(b), k), np.float32)])
         gamma = alphas[t] * b
-        gamma /= gamma.sum(1, keepdims=True)
+        gamma /= np.maximum(gamma.sum(1, keepdims=True), 1e-30)
         if t == 0:
             into[0] += gamma[head].sum(0)
-        seen = emit[classes[begin[:n] + t]] * b / scales[t]
         if t:
-            into[1:k + 1] += (alphas[t - 1][:n].T @ seen) * move
+            seen = emit[classes[begin[:n] + t]] * b
+            seen /= np.maximum(seen.max(1, keepdims=True), 1e-30)
             b = seen @ move.T
-        alphas[t] = gamma if t else gamma
+            before = alphas[t - 1][:n]
+            seen /= np.maximum((before * b).sum(1, keepdims=True), 1e-30)
+            into[1:k + 1] += (before.T @ seen) * move
+            b /= b.sum(1, keepdims=True)
+        alphas[t] = gamma
     # Emissions: every (token, state) share once, token order as in the steps.
     if steps:
         cls = np.concatenate([classes[begin[:active[t]] + t] for t in range(steps)]).astype(np.int64)
@@ -230,8 +233,8 @@ def _classed(blocks: DataFrame, counted: DataFrame, top: np.ndarray, weight: np.
         c = np.zeros(size, np.int64)
         c[place] = vocabulary.column("count").to_numpy()
         cls = np.zeros(size, np.int64)
-        word = vocabulary.column("top").to_pandas().fillna(0).to_numpy(np.int64) if size else np.zeros(0, np.int64)
-        frequent = ~vocabulary.column("top").is_null().to_numpy()
+        word = pc.fill_null(vocabulary.column("top"), 0).to_numpy()  # by way of floats they would change
+        frequent = vocabulary.column("top").is_valid().to_numpy()
         cls[place] = np.where(frequent, 1 + np.searchsorted(top, word), 1 + len(top) + vocabulary.column("rare").to_numpy())
         logs = np.log10(c + 0.5)
         inner = logs - np.log10(weight[cls])
