@@ -26,7 +26,7 @@ def corpus():
         rows.append((k, prose(lang, k, 30 + 7 * (k % 11)) + f" end{k}.", lang))
     rows += [(100 + k, rows[k][1], rows[k][2]) for k in range(6)]                     # copies
     rows += [(110 + k, rows[40][1] + f" more{k}.", "en") for k in range(5)]            # near copies
-    rows += [(120 + k, " ".join(f"w{k}x{j}###" for j in range(40)), "en") for k in range(12)]  # junk
+    rows += [(120 + k, " ".join(f"w{k}x{j}###" for j in range(40)), "en") for k in range(40)]  # junk
     rows += [
         (200, None, "en"), (201, "", "en"), (202, " \t\n ", None), (203, "123 456 !!", "de"), (204, "a", "en"),
         (205, "É", None), (206, "<|endoftext|> x<|endoftext|>", "en"), (207, "don't we'll    tab\tend　", "en"),

@@ -272,24 +272,28 @@ def test_scores(docs, texts, nothing):
 # ---- pipeline
 
 
-def test_pipeline_stage_by_stage(spark, docs, labelled, tmp_path):
+def test_pipeline_stage_by_stage(spark, docs, tmp_path):
     import corpus_pipeline as C
+    from tests.llm.test_exact import brute_groups
 
     folder = str(tmp_path)
     docs.write.parquet(folder + "/documents.parquet")
     spark.createDataFrame(
-        [(k, int(k < 100), 0) for k in [*range(0, 90), *range(120, 132)]], "doc_id long, quality int, toxic int",
+        [(k, int(k < 100), 0) for k in [*range(0, 90), *range(120, 160)]], "doc_id long, quality int, toxic int",
     ).write.parquet(folder + "/labels.parquet")
     now = spark.read.parquet(folder + "/documents.parquet")
-    seen = []
+    seen, kept = [], []
     for name, stage in C.STAGES:
         step = C.durable(stage(spark, now, folder), name)
         if name != C.STAGES[-1][0]:
             assert step.columns == docs.columns
+        kept.append(step)
         seen.append({r[0] for r in step.select("doc_id").collect()})
         now = step
     assert set(range(90)) - {3} <= seen[0] and not seen[0] & {200, 201, 202, 203}
-    assert set(range(90)) <= seen[1] and not seen[1] & set(range(120, 132))
-    assert set(range(90)) <= seen[2] and not seen[2] & {*range(100, 106), *range(110, 115)}
+    assert set(range(90)) <= seen[1] and not seen[1] & set(range(120, 160))
+    stayed = [(r[0], r[1], None) for r in kept[1].select("doc_id", "text").collect()]
+    assert seen[2] == {c for _, _, c in brute_groups(stayed)}
+    assert not seen[2] & {*range(100, 106), *range(111, 115)}
     assert seen[3] == seen[2]
     assert {r[0] for r in C.run(spark, folder).select("doc_id").collect()} == seen[3]
