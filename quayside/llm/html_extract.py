@@ -351,8 +351,11 @@ def extract(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("page
     """
     spark = pages.sparkSession
     content = F.col(html)
-    sample = pages.filter(content.rlike("(?i)<(article|main)[\\s>]") & (F.length(content) <= PAGE_CHARS)).select(
-        content.alias("html")).orderBy(F.xxhash64("html"), "html").limit(SAMPLE)
+    share = min(1.0, 2 * SAMPLE / max(pages.count(), 1))
+    sample = pages.filter(
+        content.rlike("(?i)<(article|main)[\\s>]") & (F.length(content) <= PAGE_CHARS)
+        & (F.pmod(F.xxhash64(content), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
+    ).select(content.alias("html")).limit(SAMPLE)
     model = teach([r["html"] for r in sample.collect()])
     shared = spark.sparkContext.broadcast(model)
     source = pages.select(*keep, content.alias("_html"))

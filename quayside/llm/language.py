@@ -28,6 +28,7 @@ from quayside.session import durable
 SAMPLE = 1500
 SIZES = (3, 4, 5)
 SLOT_BITS, PROBES = 19, 2
+SLAB = 3 << 18  # bytes of text worked on at once
 # An n-gram belongs to a language that has it this often per n-gram, and at least this often
 # compared with the language that has it most.
 RATE, RATIO = 2e-5, 0.1
@@ -109,7 +110,7 @@ def learn_filter(docs: DataFrame, text: str, lang: str, sample: int = SAMPLE) ->
     ).select(F.col(text).alias("text"), place[F.col(lang)].alias("lang"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offsets in text_slabs(batches, "text"):
+        for batch, data, offsets in text_slabs(batches, "text", SLAB):
             keys, firsts = grams(data, offsets)
             lang = np.repeat(batch.column("lang").to_numpy(), np.diff(firsts)).astype(np.uint64)
             for k in np.unique(lang):
@@ -175,7 +176,7 @@ def keep_languages(
         best, _, share = votes(shared.value, len(names), data, offsets)
         return (best < len(names)) & (share >= least)
 
-    return keep_rows(docs, text, verdict)
+    return keep_rows(docs, text, verdict, SLAB)
 
 
 def identify(
@@ -192,7 +193,7 @@ def identify(
     shared = docs.sparkSession.sparkContext.broadcast(masks)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, data, offsets in text_slabs(batches, "text"):
+        for batch, data, offsets in text_slabs(batches, "text", SLAB):
             best, score, share = votes(shared.value, len(names), data, offsets)
             labels = np.array([*names, "und"], object)[best]
             yield pa.RecordBatch.from_arrays(

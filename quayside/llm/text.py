@@ -148,7 +148,9 @@ def per_row_sum(values: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     return sums[firsts[1:]] - sums[firsts[:-1]]
 
 
-def keep_rows(docs: DataFrame, text: str, verdict: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> DataFrame:
+def keep_rows(
+    docs: DataFrame, text: str, verdict: Callable[[np.ndarray, np.ndarray], np.ndarray], limit: int = SLAB_BYTES
+) -> DataFrame:
     """The rows, with all their columns, whose texts ``verdict(bytes, offsets)`` approves; one
     pass, no shuffle."""
     at = docs.columns.index(text)
@@ -156,7 +158,7 @@ def keep_rows(docs: DataFrame, text: str, verdict: Callable[[np.ndarray, np.ndar
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = utf8(batch.column(at))
-            for a, b in slabs(offsets):
+            for a, b in slabs(offsets, limit):
                 good = verdict(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
                 yield batch.slice(a, b - a).filter(pa.array(good, pa.bool_()))
 
