@@ -45,12 +45,15 @@ def snake_names(names: Iterable[str]) -> list[str]:
 
 
 def snake_ddl(sql: str, columns: Iterable[str]) -> str:
-    """DDL text with the given column names in snake case, all lower case."""
-    sql = sql.replace(COLLATION, "").replace(") ,", "),")
-    for column in columns:
-        name = underscore(column).replace(" ", "_").replace("(", "_").replace(")", "_")
-        sql = sql.replace(column, name.replace(COLLATION, ""))
-    return sql.lower()
+    """DDL text with the given column names, where they stand as whole names, in snake case; all
+    lower case."""
+    renamed = {c: re.sub(r"[ ()]", "_", underscore(c)) for c in columns}
+    text = re.sub(re.escape(COLLATION), "", sql)
+    if renamed:
+        longest_first = sorted(renamed, key=len, reverse=True)
+        whole_name = r"(?<!\w)(?:" + "|".join(map(re.escape, longest_first)) + r")(?!\w)"
+        text = re.sub(whole_name, lambda m: renamed[m.group()], text)
+    return re.sub(r"\) ,", "),", text).lower()
 
 
 def snake_column(name: Column) -> Column:

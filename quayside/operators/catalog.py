@@ -136,7 +136,7 @@ def duplicate_files(catalog: DataFrame, id_col: str = "file_id") -> DataFrame:
     """
     done = F.when(F.col("file_process_state") == PROCESSED, F.col(id_col))
     groups = (
-        catalog.groupBy("project_name", "crc")
+        catalog.filter(F.col("crc").isNotNull()).groupBy("project_name", "crc")
         .agg(F.min(done).alias("_low"), F.max(done).alias("_high"), F.count(F.lit(1)).alias("_n"))
         .filter((F.col("_n") > 1) & F.col("_low").isNotNull())
         .drop("_n")
@@ -153,11 +153,12 @@ def first_copies(
     catalog: DataFrame, order: Sequence[Column], id_col: str = "file_id"
 ) -> DataFrame:
     """F8: of the processed files with the same content in a project, the first in work order:
-    the set whose rows are loaded. One aggregate per (project, crc), no join back."""
+    the set whose rows are loaded. One aggregate per (project, crc), no join back. A file without a
+    checksum is no copy of another."""
     place = F.struct(*[c.alias(f"k{i}") for i, c in enumerate(order)])
     return (
         catalog.filter(F.col("file_process_state") == PROCESSED)
-        .groupBy("project_name", "crc")
+        .groupBy("project_name", F.coalesce("crc", F.concat(F.lit("no checksum "), F.col(id_col).cast("string"))))
         .agg(F.min_by(id_col, place).alias(id_col))
         .select("project_name", id_col)
     )

@@ -91,12 +91,14 @@ def move_batches(
     The open batches are a lookup join, so a hot batch is not one task. The write is rebalanced by
     batch: adaptive execution splits a large batch over several files and merges small ones.
     Each batch is a partition directory that is replaced as a whole, so a rerun repeats no row.
-    Where the batch column may be NULL, use ``batch_value`` of it as the batch.
+    Rows without a batch value are moved when the open batches hold NULL.
     """
     spark = source.sparkSession
     path = target_path or scratch_path(spark, "moved")
     # open batches are distinct values of one column
     moved = lookup_join(source, open_batches.select(batch).distinct(), [batch], "left_semi")
+    if not open_batches.filter(F.col(batch).isNull()).isEmpty():
+        moved = moved.unionByName(source.filter(F.col(batch).isNull()))
     (
         moved.hint("rebalance", F.col(batch))
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -115,11 +117,15 @@ def batch_log(
 
     ids = open_batches.select(batch).distinct()
     # the target holds older batches too: only the partitions of the open ones are read
-    fresh = loaded.join(ids, batch, "left_semi")
+    key = ids.withColumnRenamed(batch, "_open")
+    same_batch = F.col("_open").eqNullSafe(F.col(batch))
+    fresh = loaded.join(key, same_batch, "left_semi")
     counts = (
-        ids.join(counted(dumped, "rows_dumped"), batch, "left")
-        .join(counted(fresh, "rows_loaded"), batch, "left")
+        key.join(counted(dumped, "rows_dumped"), same_batch, "left").drop(batch)
+        .join(counted(fresh, "rows_loaded"), same_batch, "left").drop(batch)
+        .withColumnRenamed("_open", batch)
         .fillna(0, ["rows_dumped", "rows_loaded"])
+        .select(batch, "rows_dumped", "rows_loaded")
     )
     same = F.col("rows_dumped") == F.col("rows_loaded")
     return counts.withColumn("status", F.when(same, "Completed").otherwise("Failed"))

@@ -118,8 +118,20 @@ def load_from_staging(
 
 
 def insert_ignore(target: DataFrame, fresh: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows to append: one per key, and only keys the target lacks."""
-    return fresh.dropDuplicates(list(keys)).join(target.select(*keys), list(keys), "left_anti")
+    """Rows to append: one per key, and only keys the target lacks.
+
+    Of rows with equal keys the smallest by the other columns' values stays. A key with a NULL equals no other, so all
+    such rows are appended, as a database's conflict rule has it.
+    """
+    keys, others = list(keys), [c for c in fresh.columns if c not in keys]
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    keyed = fresh.filter(whole)
+    if others:
+        keyed = keyed.groupBy(*keys).agg(F.min(F.struct(*others)).alias("_row")).select(*keys, "_row.*")
+    else:
+        keyed = keyed.distinct()
+    new = keyed.join(target.select(*keys), keys, "left_anti").select(*fresh.columns)
+    return new.unionByName(fresh.filter(~whole))
 
 
 def set_where(df: DataFrame, column: str, value: Column, predicate: Column) -> DataFrame:

@@ -16,13 +16,12 @@ BROADCAST_BYTES = 64 << 20
 # A key is hot when it holds more than 1/HOT_SHARE of all rows, so there are fewer than HOT_SHARE
 # hot keys whatever the table size.
 HOT_SHARE = 10_000
+SALTS = 64
 
 
 def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """True when ``df`` is within the row and byte bounds; looks at no more than one row beyond,
-    and only at sizes, not at values."""
-    sizes = df.select(row_bytes(df).alias("b")).limit(rows + 1)
-    found = sizes.agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")).first()
+    """True when ``df`` is within the row and byte bounds: two sums that every task sends."""
+    found = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(df)).alias("b")).first()
     return found["n"] <= rows and (found["b"] or 0) <= BROADCAST_BYTES
 
 
@@ -49,8 +48,8 @@ def lookup_join(
     compute it twice; ``stored`` says it is a table already.
 
     * A counted-small lookup is broadcast: ``rows`` is not shuffled.
-    * Otherwise the lookup rows of hot keys (fewer than ``share``) are broadcast to the rows of
-      those keys, and only the remaining keys, none above ``1/share`` of the rows, are shuffled.
+    * Otherwise the lookup rows of hot keys (fewer than ``share``) are counted in turn and broadcast
+      to the rows of those keys, or, if too large, joined by salted keys; only the remaining keys, none above ``1/share`` of the rows, are shuffled.
     * Rows with a NULL key match nothing; they pass by the shuffle instead of meeting in one task.
 
     ``how`` is inner, left, left_semi or left_anti.
@@ -68,12 +67,17 @@ def lookup_join(
 
     keyed = rows.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in on]))
     hot = F.broadcast(hot_keys(keyed, on, share))
-    parts = [
-        keyed.join(hot, on, "left_semi").join(
-            F.broadcast(lookup.join(hot, on, "left_semi")), on, how
-        ),
-        keyed.join(hot, on, "left_anti").join(lookup, on, how),
-    ]
+    hot_rows, hot_lookup = keyed.join(hot, on, "left_semi"), lookup.join(hot, on, "left_semi")
+    hot_lookup, count, size = durable_sized(hot_lookup, "hot-lookup")
+    if count <= broadcast_rows and size <= BROADCAST_BYTES:
+        met = hot_rows.join(F.broadcast(hot_lookup), on, how)
+    else:
+        # Too large to broadcast: the rows of a hot key are dealt to SALTS tasks, its one lookup
+        # row to each of them.
+        salted = hot_rows.withColumn("_salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)))
+        copies = hot_lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+        met = salted.join(copies, [*on, "_salt"], how).drop("_salt")
+    parts = [met, keyed.join(hot, on, "left_anti").join(lookup, on, how)]
     if how in ("left", "left_anti"):
         unkeyed = rows.filter(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on]))
         parts.append(unkeyed)

@@ -16,7 +16,6 @@ from quayside.operators import catalog as cat
 from quayside.operators import merge
 from quayside.operators.skew import lookup_join
 from quayside.plans.config import MappingRow
-from quayside.plans.logs import ERROR_LENGTH
 from quayside.session import durable
 from quayside.sources import archives, delimited, lines, storage, workbooks
 from quayside.sources.tables import VersionedTable
@@ -52,7 +51,7 @@ def step(name: str) -> Callable[[Step], Step]:
 def fail_where(files: DataFrame, bad: Column, message: str | Column) -> DataFrame:
     text_ = F.lit(message) if isinstance(message, str) else message
     return files.withColumn(
-        "message", F.when(bad, F.substring(text_, 1, ERROR_LENGTH)).otherwise(F.col("message"))
+        "message", F.when(bad, text_).otherwise(F.col("message"))
     ).withColumn("ok", F.col("ok") & ~F.coalesce(bad, F.lit(False)))
 
 

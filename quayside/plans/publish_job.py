@@ -137,8 +137,10 @@ class PublishJob:
         truncate = self.item["db"]["target_db"].get("truncate_target", False) and not begun
         mode = "static" if truncate else "dynamic"
         path = self.path(table)
+        # A whole table is one batch: a rebalance by it would only shuffle the table.
+        dealt = batch if column is None else batch.hint("rebalance", F.col(BATCH))
         (
-            batch.hint("rebalance", F.col(BATCH)).write.mode("overwrite")
+            dealt.write.mode("overwrite")
             .option("partitionOverwriteMode", mode).partitionBy(BATCH).parquet(path)
         )
         loaded = self.spark.read.schema(batch.schema).parquet(path)

@@ -173,3 +173,33 @@ def create_like(spark: SparkSession, name: str, source: DataFrame, bucket_by: st
     if bucket_by:
         writer = writer.bucketBy(buckets, bucket_by)
     writer.saveAsTable(name)
+
+
+def _dump_document(head: str, rows: DataFrame, tail: str, between: str, path: str) -> None:
+    """Lines of text written by the executors: ``head``, every row, ``tail``; the part files in the
+    order of their names are the document. ``rows`` has one column; ``between`` goes before each
+    row but the first."""
+    spark, name = rows.sparkSession, rows.columns[0]
+    stored = durable(rows.withColumn("_at", F.monotonically_increasing_id()), "document")
+    first = stored.agg(F.min("_at")).first()[0]
+    lead = F.when(F.col("_at") == F.lit(first), "").otherwise(between) if first is not None else F.lit("")
+    body = stored.orderBy("_at").select(F.concat(lead, F.col(name)).alias("value"))  # files are read in no order
+    edge = lambda text: spark.createDataFrame([(text,)], "value string").coalesce(1)
+    edge(head).union(body).union(edge(tail)).write.mode("overwrite").text(path)
+
+
+def dump_json(df: DataFrame, path: str) -> None:
+    """K6: ``{"data": [[text, ...], ...]}`` of all rows."""
+    _dump_document('{"data": [', df.select(render.json_row(df.columns).alias("value")), "]}", ", ", path)
+
+
+def dump_html(df: DataFrame, path: str, sortable: Sequence[int] = ()) -> None:
+    """K7: an HTML table of all rows, chosen header cells marked for sorting."""
+    head = f"<table><thead><tr>{render.html_header(df.columns, sortable)}</tr></thead><tbody>"
+    _dump_document(head, df.select(render.html_row(df.columns).alias("value")), "</tbody></table>", "", path)
+
+
+def dump_markdown(df: DataFrame, path: str) -> None:
+    """K8: a Markdown table of all rows; cells hold no line ends."""
+    lines = render.markdown_header(df.columns)
+    _dump_document("\n".join(lines), df.select(render.markdown_row(df.columns).alias("value")), "", "", path)
