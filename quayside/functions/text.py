@@ -46,6 +46,12 @@ def requote(line: Column, delimiter: str = ",", new_delimiter: str = ",") -> Col
     return F.regexp_replace(line, f'""{d}""', f'"{new_delimiter}"'.replace("$", "\\$"))
 
 
+def requote_where_it_fits(line: Column, delimiter: str, fields: int) -> Column:
+    """P8 inside a load: the line with its bare quotes doubled, if it then has the expected fields."""
+    doubled = requote(line, delimiter, delimiter)
+    return F.when(line.startswith('"') & (field_count(doubled, delimiter) == fields), doubled).otherwise(line)
+
+
 def quote_prefixes(line: Column, prefixes: Sequence[str] = KNOWN_PREFIXES) -> Column:
     """Put quotes around a listed prefix at the start of a line, doubling quotes inside it.
 

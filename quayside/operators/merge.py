@@ -18,19 +18,24 @@ INSERT, UPDATE, UNCHANGED, TARGET_ONLY = "insert", "update", "unchanged", "targe
 
 def one_per_key(staging: DataFrame, keys: Sequence[str], dedupe_by: str | None = None) -> DataFrame:
     """Staging rows with a unique key. A repeated key fails the job (F27), unless a column says
-    which row wins. The check is an aggregate on the merge key, so it shares the join's shuffle."""
+    which row wins; two winners fail it as well. The check is an aggregate on the merge key, so it
+    shares the join's shuffle."""
     rest = [c for c in staging.columns if c not in keys]
-    row = F.struct(*rest)
-    pick = F.first(row) if dedupe_by is None else F.max_by(row, F.col(dedupe_by))
-    grouped = staging.groupBy(*keys).agg(pick.alias("_r"), F.count(F.lit(1)).alias("_n"))
-    if dedupe_by is None:
-        grouped = grouped.withColumn(
-            "_r",
-            F.when(F.col("_n") == 1, F.col("_r")).otherwise(
-                F.raise_error(F.concat(F.lit("staging key is not unique: "), F.to_json(F.struct(*keys))))
-            ),
+    levels = [*keys] if dedupe_by is None else [*dict.fromkeys([*keys, dedupe_by])]
+    grouped = staging.groupBy(*levels).agg(F.first(F.struct(*rest)).alias("_r"), F.count(F.lit(1)).alias("_n"))
+    if dedupe_by is not None:
+        best = F.max_by(F.struct("_r", "_n"), F.col(dedupe_by))
+        # without any value of that column no row wins: all of them count
+        total = F.when(F.max(dedupe_by).isNull(), F.sum("_n"))
+        grouped = grouped.groupBy(*keys).agg(best.alias("_b"), F.first("_r").alias("_any"), total.alias("_all")).select(
+            *keys, F.coalesce("_b._r", "_any").alias("_r"), F.coalesce("_all", "_b._n").alias("_n")
         )
-    return grouped.select(*keys, "_r.*")
+    return grouped.withColumn(
+        "_r",
+        F.when(F.col("_n") == 1, F.col("_r")).otherwise(
+            F.raise_error(F.concat(F.lit("staging key is not unique: "), F.to_json(F.struct(*keys))))
+        ),
+    ).select(*keys, "_r.*")
 
 
 def _changed(columns: Sequence[str], check: bool) -> Column:

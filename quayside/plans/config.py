@@ -55,7 +55,8 @@ class MappingRow:
 
     @property
     def delimiter(self) -> str:
-        return self.settings["new_delimiter"] or self.settings["file_delimiter"] or ","
+        """The delimiter of the incoming file; a new one only asks for P8's quoting."""
+        return self.settings["file_delimiter"] or ","
 
 
 def _row_limit(value: Any) -> int | None:

@@ -440,9 +440,8 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "page_elements",
     " UNION ALL ".join(
-        rf"""SELECT '{tag}' AS tag, page_id, CAST(len(regexp_extract_all(regexp_replace(html,
-  '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>', '', 'g'),
-  '(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>', 1)) AS BIGINT) AS n FROM pages"""
+        rf"""SELECT '{tag}' AS tag, page_id, CAST(len(string_split_regex(regexp_replace(lower(html),
+  '(?s)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>', '', 'g'), '<{tag}[\s/>]')) - 1 AS BIGINT) AS n FROM pages"""
         for tag in ("a", "li", "p", "table", "tr", "form")
     ),
 )

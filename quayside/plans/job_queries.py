@@ -50,7 +50,7 @@ def archive_members(spark: SparkSession, sf_dir: str) -> DataFrame:
         members.groupBy("parent_file_id").applyInPandas(pack, "path string, parent_file_id long"), "packed"
     )
     found = archives.expand_archives(packed.withColumn("crc", F.lit("all")), scratch_path(spark, "extracted"))
-    sums = storage.file_md5(found)
+    sums = storage.file_md5(found).drop("error")
     return (
         found.join(packed.withColumnRenamed("path", "parent_path"), "parent_path")
         .join(sums, "path").select("parent_file_id", "member", "file_size", "crc")
@@ -136,7 +136,7 @@ def stream_pickup(spark: SparkSession, sf_dir: str) -> DataFrame:
     def run() -> None:
         pickup.load_available(spark, incoming, names, target, seen, checkpoint, has_header=False).awaitTermination()
 
-    early = events.filter("event_type <> 'view'").coalesce(1)
+    early = events.filter("event_type <> 'view'")
     tables.dump_csv(early, f"{incoming}/lot1")
     run()
     tables.dump_csv(early, f"{incoming}/lot2/copies")

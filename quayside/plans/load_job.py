@@ -6,6 +6,7 @@ import logging
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +15,8 @@ from quayside.operators import catalog as cat
 from quayside.operators.mapping import first_match
 from quayside.operators.skew import lookup_join
 from quayside.plans.config import MappingRow, bind_sql, read_mappings
-from quayside.plans.load_steps import MARKERS, STEPS, StepContext, fail_where, target_names
+from quayside.plans.load_steps import MARKERS, STEPS, StepContext, fail_where, short, target_names
+from quayside.plans.logs import Logs
 from quayside.session import durable
 from quayside.sources.listing import list_files
 from quayside.sources.storage import folder_exists
@@ -139,13 +141,21 @@ class LoadJob:
                 if active.isEmpty():
                     continue
                 log.info("step %s", name)
-                done = STEPS[name](context, active).withColumn("process_msg_trail", trail)
-                done = done.withColumn(
-                    "message", F.when(F.col("ok"), F.col("message")).otherwise(
-                        F.concat(F.lit(f"{name}\n"), F.coalesce("message", F.lit(""))))
-                )
                 rest = work.filter(~F.coalesce(here, F.lit(False)))
-                work = durable(rest.unionByName(done.select(*rest.columns)), "work")
+
+                def told(done: DataFrame, name=name, trail=trail, rest=rest) -> DataFrame:
+                    why = F.concat(F.lit(f"{name}\n"), F.coalesce("message", F.lit("")))
+                    done = done.withColumn("process_msg_trail", trail)
+                    done = done.withColumn("message", F.when(F.col("ok"), F.col("message")).otherwise(why))
+                    return durable(rest.unionByName(done.select(*rest.columns)), "work")
+
+                # Steps fail single files themselves. What they can't lay on one file fails those of
+                # the step; the others go on.
+                try:
+                    work = told(STEPS[name](context, active))
+                except PySparkException as e:
+                    log.exception("step %s", name)
+                    work = told(fail_where(active, F.lit(True), short(e)))
         self._close(self._actions(work, "post_action"))
         return True
 
@@ -175,7 +185,7 @@ class LoadJob:
         return work
 
     def _close(self, work: DataFrame) -> None:
-        """M6: final states; a copy whose first copy failed to load is opened again."""
+        """Final states, and failures to the error log; a copy whose first copy failed to load is opened again."""
         state = F.when(F.col("ok"), cat.PROCESSED).otherwise(cat.FAILED)
         closed = (
             work.withColumn("file_process_state", state)
@@ -183,6 +193,10 @@ class LoadJob:
             .withColumn("process_end_dtm", F.current_timestamp().cast("timestamp_ntz"))
             .select(*[f.name for f in cat.CATALOG_SCHEMA])
         )
+        Logs(self.spark, f"{self.work_dir}/logging").add_errors(work.filter("not ok").select(
+            F.col("id").alias("file_id"), F.col("message").alias("error_message"),
+            F.split("message", "\n")[0].alias("program_unit"),
+        ))
         catalog = self.catalog.read()
         rest = catalog.join(work.select("id"), "id", "left_anti")
         after = durable(rest.unionByName(closed), "catalog")

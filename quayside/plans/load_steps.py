@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +17,7 @@ from quayside.operators import catalog as cat
 from quayside.operators import merge
 from quayside.operators.skew import lookup_join
 from quayside.plans.config import MappingRow
+from quayside.plans.logs import Logs
 from quayside.session import durable
 from quayside.sources import archives, delimited, lines, storage, workbooks
 from quayside.sources.tables import VersionedTable
@@ -34,8 +36,10 @@ class StepContext:
 
 Step = Callable[[StepContext, DataFrame], DataFrame]
 STEPS: dict[str, Step] = {}
-# Steps whose work is done elsewhere: sizes come with the listing, ids with the import.
-MARKERS = ("log_file_size", "append_file_id", "append_file_id_w_header")
+# Steps whose work is done elsewhere: sizes come with the listing, ids and quoted prefixes with the
+# import (P1, P9, A15).
+MARKERS = ("log_file_size", "append_file_id", "append_file_id_w_header", "sed_modify_file")
+ID_STEPS = ("append_file_id", "append_file_id_w_header", "upsert_table_from_stg")
 
 
 def step(name: str) -> Callable[[Step], Step]:
@@ -70,12 +74,20 @@ def _set(files: DataFrame, values: DataFrame, columns: list[str], key: str = "pa
 @step("generate_checksum")
 def generate_checksum(ctx: StepContext, files: DataFrame) -> DataFrame:
     """Only files without a checksum are read."""
-    return _set(files, storage.file_md5(files.filter("crc is null")), ["crc"])
+    sums = durable(storage.file_md5(files.filter("crc is null")), "sums")
+    return _fail(_set(files, sums, ["crc"]), sums)
+
+
+def _fail(files: DataFrame, found: DataFrame) -> DataFrame:
+    """Fail the files with an error in ``found`` (one row per path)."""
+    errors = found.filter("error is not null").select("path", F.col("error").alias("_error"))
+    marked = files.join(errors, "path", "left")
+    return fail_where(marked, F.col("_error").isNotNull(), F.col("_error")).select(*files.columns)
 
 
 def _paths(files: DataFrame) -> list[str]:
-    """The paths of the files to read: Spark's readers take them from the driver."""
-    return [r["path"] for r in files.select("path").toLocalIterator()]
+    """The paths of the files to read, safe from patterns: Spark's readers take them from the driver."""
+    return [storage.literal(r["path"]) for r in files.select("path").toLocalIterator()]
 
 
 @step("count_file_linux_wc")
@@ -90,8 +102,9 @@ def count_lines(ctx: StepContext, files: DataFrame) -> DataFrame:
 
 @step("row_count_excel")
 def row_count_excel(ctx: StepContext, files: DataFrame) -> DataFrame:
-    sizes = workbooks.sheet_size(workbooks.read_cells(files))
-    return _set(files, sizes.withColumnRenamed("rows", "total_rows"), ["total_rows"])
+    cells, broken = workbooks.readable(durable(workbooks.read_cells(files), "cells"))
+    sizes = workbooks.sheet_size(cells)
+    return _fail(_set(files, sizes.withColumnRenamed("rows", "total_rows"), ["total_rows"]), broken)
 
 
 @step("abort_if_duplicate")
@@ -118,12 +131,16 @@ def abort_if_duplicate(ctx: StepContext, files: DataFrame) -> DataFrame:
 
 @step("extract_compressed_file")
 def extract_compressed_file(ctx: StepContext, files: DataFrame) -> DataFrame:
-    """Members become catalog rows below their archive, waiting for the next pass."""
+    """Members become catalog rows below their archive, waiting for the next pass. The
+    archive's id is in the path of a member, so equal archives have members of their own. An
+    archive that can't be read whole fails and has no members."""
     target = f"{ctx.work_dir}/extracted"
-    members = _union([
+    listed = _union([
         archives.expand_archives(group.filter("ok"), target, skip_existing=not row.unzip_again)
         for row, group in _by_mapping(ctx, files)
     ])
+    broken = listed.filter("error is not null").select(F.col("parent_path").alias("path"), "error")
+    members = listed.filter("error is null")
     parents = files.select(F.col("path").alias("parent_path"), F.col("id").alias("parent_file_id"), "project_name")
     listing = lookup_join(members, parents, ["parent_path"]).select(
         paths.directory(F.col("path")).alias("file_path"),
@@ -134,7 +151,7 @@ def extract_compressed_file(ctx: StepContext, files: DataFrame) -> DataFrame:
     known = ctx.catalog.read()
     ctx.catalog.append(cat.add_files(known, listing))
     counts = members.groupBy(F.col("parent_path").alias("path")).agg(F.count(F.lit(1)).alias("total_files"))
-    return _set(files, counts, ["total_files"])
+    return _fail(_set(files, counts, ["total_files"]), broken)
 
 
 def _by_mapping(ctx: StepContext, files: DataFrame) -> Iterator[tuple[MappingRow, DataFrame]]:
@@ -205,7 +222,8 @@ def _heads(row: MappingRow, ctx: StepContext, files: DataFrame) -> DataFrame:
     """The files with what decides their columns: the number of fields of the header line when the
     names are configured, else the line itself. Only the heads of the files are read."""
     encoding = delimited.spark_encoding(row.file_encoding)
-    found = storage.head_lines(files, row.header_row + 1, encoding).filter(F.col("line_no") == row.header_row)
+    found = storage.head_lines(files, row.header_row + 1, encoding, skip_blank=True)
+    found = found.filter(F.col("line_no") == row.header_row)
     kind = F.rtrim("line")
     if row.columns and not row.use_header:
         kind = text.field_count(kind, row.delimiter).cast("string")
@@ -245,11 +263,42 @@ def _import(ctx: StepContext, files: DataFrame, nulls: str, strict: bool) -> Dat
                 except ValueError as e:
                     results.append(members.select("path", F.lit(0).cast("long"), F.lit(target), F.lit(str(e))))
                     continue
-                results.append(_load(ctx, row, members, names, target, nulls, strict))
+                try:
+                    results.append(_load(ctx, row, members, names, target, nulls, strict))
+                except PySparkException as e:
+                    # rows are appended last, so none of these files is in the table
+                    results.append(members.select("path", F.lit(0).cast("long"), F.lit(target), F.lit(short(e))))
         out.append(_finish(group, [r.toDF(*RESULT_NAMES) for r in results]))
     return durable(_union(out), "imported")
 
 
+def short(error: Exception) -> str:
+    """The first line of an error."""
+    return f"{type(error).__name__}: {str(error).strip().splitlines()[0] if str(error).strip() else ''}"
+
+
+def _rewrite(row: MappingRow, fields: int) -> Callable[[Column], Column] | None:
+    """What the mapping does to raw lines before they are taken apart."""
+    prefixes, quotes = "sed_modify_file" in row.steps, bool(row.new_delimiter)
+    if not (prefixes or quotes):
+        return None
+
+    def change(line: Column) -> Column:
+        line = text.quote_prefixes(line) if prefixes else line
+        return text.requote_where_it_fits(line, row.delimiter, fields) if quotes else line
+
+    return change
+
+
+def _with_id(ctx: StepContext, row: MappingRow, target: str) -> bool:
+    """Whether rows carry their file's id: when the mapping asks for it, or merges what it staged
+    and the staging table can hold it."""
+    if row.append_file_id:
+        return True
+    asked = any(s in row.steps for s in ID_STEPS)
+    return asked and (not ctx.spark.catalog.tableExists(target) or "file_id" in ctx.spark.table(target).columns)
+
+
 RESULT_NAMES = ("path", "rows_inserted", "database_table", "error")
 
 
@@ -261,11 +310,15 @@ def _load(
         delimited.read_delimited(
             ctx.spark, _paths(members), names, row.delimiter, encoding=row.file_encoding,
             has_header=bool(row.has_header), header_row=row.header_row, limit_rows=row.limit_rows,
-            nulls=nulls, flag_bad=strict, append_crc=bool(row.append_crc),
+            nulls=nulls, flag_bad=True, append_crc=bool(row.append_crc), rewrite=_rewrite(row, len(names)),
         ),
         "staged",
     )
-    bad = F.concat(F.lit("malformed row: "), F.max("_bad")) if strict else F.lit(None).cast("string")
+    # a row that lacks fields is only bad for a strict load, one with surplus fields always
+    wrong = F.col("_bad").isNotNull()
+    if not strict:
+        wrong = wrong & (text.field_count(F.col("_bad"), row.delimiter) > len(names))
+    bad = F.concat(F.lit("malformed row: "), F.max(F.when(wrong, F.col("_bad"))))
     counts = staged.groupBy("path").agg(F.count(F.lit(1)).alias("n"), bad.alias("error"))
     results = durable(
         members.select("path").join(counts, "path", "left").select(
@@ -275,11 +328,9 @@ def _load(
         ),
         "loaded",
     )
-    clean = staged.drop("_bad")
-    if strict:
-        refused = results.filter("error is not null").select("path")
-        clean = lookup_join(clean, refused, ["path"], "left_anti", stored=True)
-    if row.append_file_id:
+    refused = results.filter("error is not null").select("path")
+    clean = lookup_join(staged.drop("_bad"), refused, ["path"], "left_anti", stored=True)
+    if _with_id(ctx, row, target):
         ids = members.select("path", F.col("id").alias("file_id"))
         clean = lookup_join(clean, ids, ["path"], stored=True).select("file_id", *clean.columns)
     return _refuse_extra(results, append_rows(ctx, clean.drop("path"), target), target)
@@ -320,7 +371,8 @@ def pg_bulk_copy(ctx: StepContext, files: DataFrame) -> DataFrame:
 
 def _import_sheets(ctx: StepContext, files: DataFrame) -> DataFrame:
     """Workbooks that share a table and a header row are one append."""
-    cells = durable(workbooks.read_cells(files.filter("ok")), "cells")
+    cells, broken = workbooks.readable(durable(workbooks.read_cells(files.filter("ok")), "cells"))
+    files = durable(_fail(files, broken), "sheets")
     first = cells.filter((F.col("sheet_no") == 0) & (F.col("row") == 0))
     heads = first.groupBy("path").agg(
         F.array_sort(F.collect_list(F.struct("col", "value"))).alias("head")
@@ -340,7 +392,7 @@ def _import_sheets(ctx: StepContext, files: DataFrame) -> DataFrame:
             counts = lookup_join(
                 members.select("path"), rows.groupBy("path").agg(F.count(F.lit(1)).alias("n")), ["path"], "left"
             )
-            if row.append_file_id:
+            if _with_id(ctx, row, target):
                 ids = members.select("path", F.col("id").alias("file_id"))
                 rows = lookup_join(rows, ids, ["path"], stored=True)
             extra = append_rows(ctx, rows.drop("path"), target)
@@ -358,7 +410,7 @@ def data_pack(ctx: StepContext, files: DataFrame) -> DataFrame:
     """Every block of a data pack in long form."""
     out = []
     for row, group in _by_mapping(ctx, files):
-        cells = durable(workbooks.read_cells(group.filter("ok")), "cells")
+        cells, broken = workbooks.readable(durable(workbooks.read_cells(group.filter("ok")), "cells"))
         long = workbooks.block_rows(cells, workbooks.toc_blocks(cells))
         tagged = durable(
             lookup_join(long, group.select("path", F.col("id").cast("string").alias("file_id")), ["path"]), "pack"
@@ -366,7 +418,8 @@ def data_pack(ctx: StepContext, files: DataFrame) -> DataFrame:
         target = f"{row.schema_name}.{row.table_name}"
         append_rows(ctx, tagged.drop("path"), target)
         counts = tagged.groupBy("path").agg(F.count(F.lit(1)).alias("total_rows"))
-        out.append(_set(group, counts, ["total_rows"]).withColumn("database_table", F.lit(target)))
+        done = _set(group, counts, ["total_rows"]).withColumn("database_table", F.lit(target))
+        out.append(_fail(done, broken))
     return _union(out)
 
 
@@ -379,26 +432,41 @@ STEPS |= dict.fromkeys(MARKERS, unchanged)
 
 @step("upsert_table_from_stg")
 def upsert_from_staging(ctx: StepContext, files: DataFrame) -> DataFrame:
-    """M2, M4: what the mapping's import put into its (staging) table goes to the table of the same
-    name in the data schema: an upsert by the configured keys, else an append. When several files
-    staged a key, the newest file counts."""
-    spark = ctx.spark
+    """M2, M4: what this pass staged goes to the table of the same name in the data schema: an
+    upsert by the configured keys, else an append. Rows keep the id of their own file; of a key in
+    several files the newest file counts, a key twice in one file fails that file. An upsert leaves
+    a status row. Staging tables without a file id are taken whole, under the newest id."""
+    spark, out = ctx.spark, []
+    logs = Logs(spark, f"{ctx.work_dir}/logging")
     for row, group in _by_mapping(ctx, files):
-        good = target_names(row, group.filter("ok"))
+        good = durable(target_names(row, group.filter("ok")).select("id", "_table"), "named")
         newest = {r["_table"]: r["i"] for r in good.groupBy("_table").agg(F.max("id").alias("i")).collect()}
-        for table, file_id in newest.items():
+        for table, last in newest.items():
             staged = spark.table(f"{row.schema_name}.{table}")
-            own = F.col("file_id") if "file_id" in staged.columns else F.lit(None)
-            stamp = F.coalesce(own.cast("long"), F.lit(file_id).cast("long"))
+            if "file_id" in staged.columns:
+                ids = good.filter(F.col("_table") == table).select(F.col("id").alias("file_id"))
+                staged = staged.withColumn("file_id", F.col("file_id").cast("long"))
+                staged = lookup_join(staged, ids, ["file_id"], "left_semi").select(*staged.columns)
+            else:
+                staged = staged.withColumn("file_id", F.lit(last).cast("long"))
             target = f"{row.target_schema or ctx.data_schema}.{table}"
             if not spark.catalog.tableExists(target):
-                append_rows(ctx, staged.withColumn("file_id", stamp).limit(0), target)
-            merged = merge.load_from_staging(
-                spark.table(target), staged, row.keys or [], stamp,
-                **({"dedupe_by": "file_id"} if row.keys and row.append_file_id else {}),
-            )
-            replace_table(ctx, merged, target)
-    return files
+                append_rows(ctx, staged.limit(0), target)
+            if not row.keys:
+                append_rows(ctx, staged.select(*spark.table(target).columns), target)
+                continue
+            repeated = staged.groupBy(*row.keys, "file_id").count().filter("count > 1")
+            repeats = durable(repeated.select("file_id").distinct(), "repeats")
+            group = group.join(repeats.withColumnRenamed("file_id", "id").withColumn("_twice", F.lit(True)), "id", "left")
+            twice = F.coalesce("_twice", F.lit(False))
+            group = fail_where(group, twice, "staging key is not unique").select(*files.columns)
+            staged = lookup_join(staged, repeats, ["file_id"], "left_anti", stored=True)
+            before = spark.table(target)
+            merged = durable(merge.merge_rows(before, staged, row.keys, dedupe_by="file_id"), "merged")
+            logs.add_status(durable(merge.load_status(before, merged, target, "upsert_table_from_stg"), "status"))
+            replace_table(ctx, merged.drop("action"), target)
+        out.append(group)
+    return durable(_union(out), "merged")
 
 
 def replace_table(ctx: StepContext, rows: DataFrame, target: str) -> None:

@@ -28,6 +28,8 @@ LOG_SCHEMA = T.StructType([
     T.StructField("rows_loaded", T.LongType()), T.StructField("status", T.StringType()),
     T.StructField("start_time", T.TimestampNTZType()), T.StructField("end_time", T.TimestampNTZType()),
 ])
+# The modes that fill one target from one source.
+SINGLE = (deliver.KILLFILL, deliver.FILE_ID, deliver.LAST_UPDATE, deliver.PROJECT)
 # The partition column of published tables: the hash of the batch a row came with.
 BATCH = "publish_batch"
 
@@ -43,12 +45,13 @@ class PublishJob:
     def __init__(
         self, spark: SparkSession, item: Mapping[str, Any], target_dir: str,
         source: Callable[[str], DataFrame] | None = None, source_tables: list[str] | None = None,
+        catalog: DataFrame | None = None,
     ):
         self.spark, self.item, self.target_dir = spark, item, target_dir.rstrip("/")
         self.source_schema = item["db"]["source_db"]["schema"]
         self.target_schema = item["db"]["target_db"]["schema"]
         self.source = source or (lambda name: spark.table(f"{self.source_schema}.{name}"))
-        self.source_tables = source_tables
+        self.source_tables, self.catalog = source_tables, catalog
         self.work = VersionedTable(spark, f"{self.target_dir}/migration_work", WORK_SCHEMA)
         self.log = VersionedTable(spark, f"{self.target_dir}/migration_log", LOG_SCHEMA)
 
@@ -158,14 +161,52 @@ class PublishJob:
             "log",
         )
 
+    def deliver(self, mode: str) -> DataFrame:
+        """The single-table modes. Every table of the item is created like its
+        source where it is missing; ``source_sql`` may stand for the source. The mode's own
+        settings come with the table, else with the item."""
+        for entry in self.tables():
+            have = {**self.item, **entry}
+            table = have["table"]
+            rows = self.spark.sql(have["source_sql"]) if have.get("source_sql") else self.source(table)
+            target = VersionedTable(self.spark, self.path(table), rows.schema)
+            if not self.item.get("move_data", False):
+                log.warning("move_data is not set: %s is not moved", table)
+                continue
+            if not target.exists():
+                target.replace(rows.limit(0))
+            started = F.current_timestamp().cast("timestamp_ntz")
+            statement = have.get("source_sql") or f"select * from {self._names(table)[0]}"
+            catalog = self.spark.table(have["catalog_table"]) if have.get("catalog_table") else self.catalog
+            before = target.read().count()
+            run_delivery(
+                mode, rows, target, catalog, have.get("project"), have.get("keys"),
+                have.get("time_column", "cdo_last_update"), have.get("tie_column"), have.get("file_id_column", "file_id"),
+            )
+            after = target.read().count()
+            moved = after if mode in (deliver.KILLFILL, deliver.LAST_UPDATE) else after - before
+            row = self.spark.range(1).select(
+                F.md5(F.lit(f"{mode} {statement}")).alias("src_sql_hash"), F.lit(self._names(table)[1]).alias("trg_table"),
+                F.lit(statement).alias("src_sql"), F.lit(None).cast("long").alias("rows_dumped"),
+                F.lit(moved).cast("long").alias("rows_loaded"), F.lit("Completed").alias("status"),
+                started.alias("start_time"), F.current_timestamp().cast("timestamp_ntz").alias("end_time"),
+            )
+            self.log.append(row)
+        return self.log.read()
+
     def run(self) -> DataFrame:
-        """Plan, then move what is open."""
+        """Plan, then move what is open; the modes of single tables deliver at once."""
         if not self.item.get("enabled", True):
             return self.log.read()
+        mode = self.item.get("delivery_type", deliver.SCHEMA)
+        if mode not in (deliver.SCHEMA, *SINGLE):
+            raise ValueError(f"unknown delivery mode {mode}")
         for sql in self.item.get("trg_pre_action_sql") or []:
             text = bind_sql(fill_templates(sql, self.item), None, None, None)
             if text is not None:
                 self.spark.sql(text)
+        if mode in SINGLE:
+            return self.deliver(mode)
         self.plan()
         return self.move()
 
@@ -183,7 +224,9 @@ def run_delivery(
     elif mode == deliver.LAST_UPDATE:
         if not keys:
             raise ValueError("delivery by time needs keys")
-        merged = deliver.deliver_last_update(source, target.read(), keys, time, tie or time)
+        if not tie:
+            raise ValueError("delivery by time needs a column that decides between equal times")
+        merged = deliver.deliver_last_update(source, target.read(), keys, time, tie)
         target.replace(merged.drop("action"))
     elif mode == deliver.PROJECT:
         if catalog is None or project is None:

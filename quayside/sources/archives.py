@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tarfile
+import zipfile
+import zlib
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -11,15 +14,17 @@ from quayside.functions import paths
 from quayside.session import durable
 from quayside.sources.storage import CHUNK, spread, task_filesystem
 
-MEMBER_SCHEMA = "parent_path string, member string, path string, file_size long"
+MEMBER_SCHEMA = "parent_path string, member string, path string, file_size long, error string"
+
+
+# What reading a broken, cut or protected archive raises; a storage error also fails only its file.
+UNREADABLE = (OSError, EOFError, ValueError, RuntimeError, KeyError, zipfile.BadZipFile, tarfile.TarError, zlib.error)
 
 
 def open_members(stream, name: str) -> Iterator[tuple[str, object]]:
     """(member name, readable stream) of a zip, tar, tar.gz or single gz file."""
     import gzip
     import posixpath
-    import tarfile
-    import zipfile
 
     lower = name.lower()
     if lower.endswith(".zip"):
@@ -51,12 +56,17 @@ def member_path(target: str, parent: str, crc: str | None, member: str) -> str:
 def expand_archives(archives: DataFrame, target: str, skip_existing: bool = False) -> DataFrame:
     """Write the members of each archive below ``target`` and list them with the archive.
 
-    ``archives`` has path and crc. An archive is read by one task as a stream and a member is
+    ``archives`` has path and crc, and an id where equal archives must stay apart. An archive is read by one task as a stream and a member is
     written as a stream, so neither has to fit in memory.
     A member is written under a temporary name and then renamed, so a repeated task leaves whole
     files. The listing is written out, so that reading it twice does not unpack twice.
-    ``skip_existing`` keeps members that were written before.
+    ``skip_existing`` keeps members that were written before. An archive that can't be read whole
+    gives one row with an ``error`` and no member.
     """
+    key = F.col("crc").cast("string")
+    if "id" in archives.columns:
+        key = F.concat_ws("-", F.col("id").cast("string"), key)
+
     def unpack(batches: Iterator) -> Iterator:
         import shutil
         import uuid
@@ -66,23 +76,27 @@ def expand_archives(archives: DataFrame, target: str, skip_existing: bool = Fals
 
         for batch in batches:
             for parent, crc in zip(batch["path"], batch["crc"], strict=True):
-                storage, name = task_filesystem(parent)
                 out = []
-                with storage.open_input_file(name) as stream:
-                    for member, content in open_members(stream, name):
-                        path = member_path(target, parent, crc, member)
-                        sink, place = task_filesystem(path)
-                        there = sink.get_file_info(place)
-                        if not (skip_existing and there.type == fs.FileType.File):
-                            sink.create_dir(place.rsplit("/", 1)[0], recursive=True)
-                            part = f"{place}.{uuid.uuid4().hex}.part"
-                            with sink.open_output_stream(part, compression=None) as copy:
-                                shutil.copyfileobj(content, copy, CHUNK)
-                            sink.move(part, place)
-                        out.append((parent, member, path, sink.get_file_info(place).size))
-                yield pd.DataFrame(out, columns=["parent_path", "member", "path", "file_size"])
-
-    listed = spread(archives, "path", "crc").mapInPandas(unpack, MEMBER_SCHEMA)
+                try:
+                    storage, name = task_filesystem(parent)
+                    with storage.open_input_file(name) as stream:
+                        for member, content in open_members(stream, name):
+                            path = member_path(target, parent, crc, member)
+                            sink, place = task_filesystem(path)
+                            there = sink.get_file_info(place)
+                            if not (skip_existing and there.type == fs.FileType.File):
+                                sink.create_dir(place.rsplit("/", 1)[0], recursive=True)
+                                part = f"{place}.{uuid.uuid4().hex}.part"
+                                with sink.open_output_stream(part, compression=None) as copy:
+                                    shutil.copyfileobj(content, copy, CHUNK)
+                                sink.move(part, place)
+                            out.append((parent, member, path, sink.get_file_info(place).size, None))
+                except UNREADABLE as e:
+                    out = [(parent, None, None, None, f"{type(e).__name__}: {e}")]
+                frame = pd.DataFrame(out, columns=["parent_path", "member", "path", "file_size", "error"], dtype=object)
+                yield frame.astype({"file_size": "Int64"})
+
+    listed = spread(archives.withColumn("crc", key), "path", "crc").mapInPandas(unpack, MEMBER_SCHEMA)
     return durable(listed, "members")
 
 

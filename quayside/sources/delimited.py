@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quayside.functions import text
 from quayside.functions.names import column_list, snake_name
+from quayside.operators.skew import lookup_join
+from quayside.session import durable
 from quayside.sources import lines as raw
 from quayside.sources.storage import head_lines, metadata_path
 
@@ -20,8 +23,6 @@ PANDAS_NULLS = (
 )
 # Names of encodings in configurations and Spark's names for them.
 ENCODINGS = {"UTF8": "UTF-8", "LATIN1": "ISO-8859-1"}
-# A row limit up to this many lines is read from the head of each file.
-HEAD_ROWS = 100_000
 # Stands for a quoted empty text while reading.
 QUOTED_EMPTY = "\u0001"
 
@@ -68,7 +69,7 @@ def choose_columns(
     """The configured list, or the second one when the file has another number of columns."""
     if file_columns == len(columns):
         return list(columns)
-    if not columns2:
+    if not columns2 or file_columns != len(columns2):
         raise ValueError(f"file has {file_columns} columns, configuration {len(columns)}")
     return list(columns2)
 
@@ -88,15 +89,20 @@ def read_delimited(
     multi_line: bool = False,
     flag_bad: bool = False,
     append_crc: bool = False,
+    rewrite: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """The rows of delimited files, every column a text, beside the file's ``path``.
 
-    Nothing is inferred, so leading zeros stay and no extra pass is made. Files are split; a title
-    above the header goes through numbered lines, a row limit through the heads of the files, which
-    must then be given as files, not folders. ``strict`` fails on a bad row.
-    ``multi_line`` reads quoted newlines, at the price of one task per file. ``flag_bad`` adds the
-    text of a malformed line as ``_bad``; ``append_crc`` adds the checksum of the raw line.
+    Nothing is inferred, so leading zeros stay and no extra pass is made. Files are split. Titles
+    above the header and a row limit number the rows of each file and filter; blank lines are no
+    rows. ``strict`` fails on a bad row. ``multi_line`` reads quoted newlines, at the price of one
+    task per file. ``flag_bad`` adds the text of a malformed line as ``_bad``, also where a field is
+    surplus; ``append_crc`` adds the checksum of the raw line; ``rewrite`` changes lines before
+    they are taken apart. The last two work on lines, so not with ``multi_line``.
     """
+    by_line = append_crc or rewrite is not None
+    if multi_line and by_line:
+        raise ValueError("a row of several lines has no line to check or rewrite")
     bad = ["_bad"] if flag_bad else []
     schema = text_schema([*names, *bad])
     options = {
@@ -106,20 +112,25 @@ def read_delimited(
     }
     kept = ["path", *bad, *(["crc"] if append_crc else [])]
     start = header_row + 1 if has_header else header_row
-    if header_row == 0 and limit_rows is None and not append_crc:
+    every = header_row == 0 and limit_rows is None
+    if not by_line and (every or multi_line):
         rows = (
             spark.read.schema(schema)
-            .options(**options, header=has_header, encoding=spark_encoding(encoding),
+            .options(**options, header=has_header and every, encoding=spark_encoding(encoding),
                      multiLine=multi_line, recursiveFileLookup=True)
             .csv(files)
-            .select(metadata_path().alias("path"), *names, *bad)
+            .select(metadata_path().alias("path"), *names, *bad, F.monotonically_increasing_id().alias("_slot"))
         )
+        if not every:
+            # a file is read by one task, in order
+            first = rows.groupBy("path").agg(F.min("_slot").alias("_first"))
+            numbered = lookup_join(rows, first, ["path"]).withColumn("line_no", F.col("_slot") - F.col("_first"))
+            rows = raw.data_lines(numbered, header_row, has_header, limit_rows)
     else:
-        if limit_rows is not None and limit_rows <= HEAD_ROWS:
-            found = spark.createDataFrame([(f,) for f in ([files] if isinstance(files, str) else files)], "path string")
-            numbered = head_lines(found, start + limit_rows, spark_encoding(encoding))
-        else:
-            numbered = raw.number_lines(raw.read_lines(spark, files, encoding=spark_encoding(encoding)))
+        found = raw.read_lines(spark, files, encoding=spark_encoding(encoding)).filter(F.trim("line") != "")
+        numbered = raw.number_lines(found)
+        if rewrite is not None:
+            numbered = numbered.withColumn("line", rewrite(F.col("line")))
         ddl = ", ".join(f"`{f.name}` string" for f in schema)
         rows = raw.data_lines(numbered, header_row, has_header, limit_rows).select(
             "path", F.md5("line").alias("crc"), F.from_csv("line", ddl, options).alias("r")
@@ -128,8 +139,11 @@ def read_delimited(
 
 
 def count_rows(spark: SparkSession, files: str | Sequence[str], names: Sequence[str], **options) -> DataFrame:
-    """A2: data rows and columns of each file; a quoted newline does not end a row."""
+    """A2: data rows of each file, and the columns of its first line; a quoted newline does not end
+    a row."""
     rows = read_delimited(spark, files, names, multi_line=True, **options)
-    return rows.groupBy("path").agg(F.count(F.lit(1)).alias("rows")).withColumn(
-        "columns", F.lit(len(names))
-    )
+    counts = durable(rows.groupBy("path").agg(F.count(F.lit(1)).alias("rows")), "rows")
+    encoding = spark_encoding(options.get("encoding", "UTF8"))
+    first = head_lines(counts.select("path"), 1, encoding, skip_blank=True)
+    width = text.field_count(F.col("line"), options.get("delimiter", ","), options.get("quote", '"'))
+    return counts.join(first.select("path", width.cast("int").alias("columns")), "path")

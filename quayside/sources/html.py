@@ -17,23 +17,64 @@ def visible(html: Column) -> Column:
     return F.regexp_replace(html, HIDDEN, "")
 
 
-def element_pattern(tag: str) -> str:
-    return rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>"
+# Elements that the next start of their kind may end.
+IMPLIED_END = ("a", "dd", "dt", "li", "option", "p", "td", "th", "tr")
+
+
+def start_tag(tag: str) -> str:
+    return rf"(?is)<{tag}(?=[\s/>])[^>]*>"
+
+
+def end_tag(tag: str) -> str:
+    return rf"(?is)</{tag}\s*>"
+
+
+def _pieces(body: Column, tag: str) -> Column:
+    """The start tags of a kind, each with what follows up to the next one."""
+    rest = F.split(body, start_tag(tag))
+    return F.arrays_zip(
+        F.regexp_extract_all(body, F.lit(start_tag(tag)), F.lit(0)).alias("start"),
+        F.slice(rest, F.lit(2), F.greatest(F.size(rest) - 1, F.lit(0))).alias("rest"),
+    )
 
 
 def elements(pages: DataFrame, tag: str, key: str = "page_id", html: str = "html") -> DataFrame:
-    """The elements of a tag, such as table, tr or form, with their place in the page and content."""
-    found = F.regexp_extract_all(visible(F.col(html)), F.lit(element_pattern(tag)), F.lit(1))
-    return pages.select(key, F.posexplode(found).alias("pos", "content"))
+    """The elements of a tag, such as table, tr or form, with their place in the page and content.
+
+    Every start tag is an element. It ends at its own end tag, counting those of elements inside it;
+    one of IMPLIED_END at the next end or start tag of its kind; else at the end of the page.
+    """
+    ending = end_tag(tag)
+    found = pages.select(key, _pieces(visible(F.col(html)), tag).alias("_all"))
+    if tag.lower() in IMPLIED_END:
+        one = found.select(key, F.posexplode("_all").alias("pos", "_e"))
+        return one.select(key, "pos", F.split(F.col("_e.rest"), ending)[0].alias("content"))
+
+    def grow(seen: Column, piece: Column) -> Column:
+        parts = F.split(piece["rest"], ending)
+        ends = F.size(parts) - 1
+        inner = F.when(seen["first"], F.lit("")).otherwise(piece["start"])
+        closed = F.array_join(F.slice(parts, F.lit(1), F.greatest(seen["depth"], F.lit(1))), f"</{tag}>")
+        last = ends >= seen["depth"]
+        grown = F.struct(
+            F.when(last, 0).otherwise(seen["depth"] - ends + 1).alias("depth"), F.lit(False).alias("first"),
+            F.concat(seen["text"], inner, F.when(last, closed).otherwise(piece["rest"])).alias("text"),
+        )
+        return F.when(seen["depth"] == 0, seen).otherwise(grown)
+
+    one = found.select(key, "_all", F.posexplode("_all").alias("pos", "_e"))
+    empty = F.struct(F.lit(1).alias("depth"), F.lit(True).alias("first"), F.lit("").alias("text"))
+    whole = F.aggregate(F.slice("_all", F.col("pos") + 1, F.size("_all")), empty, grow)
+    return one.select(key, "pos", whole["text"].alias("content"))
 
 
 def element_counts(pages: DataFrame, tags: Sequence[str], key: str = "page_id", html: str = "html") -> DataFrame:
-    """How many elements of each tag a page has: counted inside the row, one scan, no shuffle. What
+    """How many elements of each tag a page has, by their start tags: counted inside the row, one scan, no shuffle. What
     is hidden is taken out once for all tags."""
     counts = [
         F.struct(
             F.lit(t).alias("tag"),
-            F.size(F.regexp_extract_all("_body", F.lit(element_pattern(t)), F.lit(1))).cast("long").alias("n"),
+            F.regexp_count("_body", F.lit(start_tag(t))).cast("long").alias("n"),
         )
         for t in tags
     ]
@@ -41,15 +82,17 @@ def element_counts(pages: DataFrame, tags: Sequence[str], key: str = "page_id",
     return bodies.select(key, F.inline(F.array(*counts)))
 
 
-LINK = r"(?is)<a\b[^>]*?\bhref\s*=\s*\"([^\"]*)\"[^>]*>(.*?)</a\s*>"
+# The target of a start tag: in double quotes, in single ones, or bare.
+HREF = r"""(?is)(?<=[\s"'])href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 
 
 def links(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """Every link with its place in the page, target and text. A page is searched once; target and
     text are then taken from the short matches. No shuffle."""
-    matches = F.regexp_extract_all(visible(F.col(html)), F.lit(LINK), F.lit(0))
+    matches = F.filter(_pieces(visible(F.col(html)), "a"), lambda e: F.rlike(e["start"], F.lit(HREF)))
     return pages.select(key, F.posexplode(matches).alias("pos", "_a")).select(
-        key, "pos", F.regexp_extract("_a", LINK, 1).alias("href"), F.regexp_extract("_a", LINK, 2).alias("text")
+        key, "pos", F.concat(*[F.regexp_extract("_a.start", HREF, i) for i in (1, 2, 3)]).alias("href"),
+        F.split(F.col("_a.rest"), end_tag("a"))[0].alias("text"),
     )
 
 

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 CHUNK = 8 << 20
 
@@ -34,6 +34,11 @@ def task_filesystem(uri: str):
     return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
 
 
+def literal(path: str) -> str:
+    """A path for Spark's readers, which take paths as patterns: what is special there is escaped."""
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
+
+
 def hadoop_children(spark: SparkSession, path: str) -> list[str]:
     """Names directly below a folder, hidden ones included; empty when it does not exist."""
     jvm = spark.sparkContext._jvm
@@ -55,12 +60,11 @@ def hadoop_delete(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-CHECKSUM_SCHEMA = T.StructType([T.StructField("path", T.StringType()), T.StructField("crc", T.StringType())])
+CHECKSUM_SCHEMA = "path string, crc string, error string"
 
 
 # Work that takes a whole file at a time: a task gets about this many files and bytes.
 FILES_PER_TASK, BYTES_PER_TASK = 100, 256 << 20
-FILE_TASKS = 10_000
 
 
 def spread(files: DataFrame, column: str, *extra: str) -> DataFrame:
@@ -73,17 +77,19 @@ def spread(files: DataFrame, column: str, *extra: str) -> DataFrame:
         4 * files.sparkSession.sparkContext.defaultParallelism,
         count // FILES_PER_TASK, total // BYTES_PER_TASK,
     )
-    return files.select(column, *extra).repartition(max(1, min(count, wanted, FILE_TASKS)), column)
+    return files.select(column, *extra).repartition(max(1, min(count, wanted)), column)
 
 
 HEAD_SCHEMA = "path string, line_no long, line string"
 
 
 def head_lines(
-    files: DataFrame, count: int, encoding: str = "UTF-8", keep_cr: bool = False, path: str = "path"
+    files: DataFrame, count: int, encoding: str = "UTF-8", keep_cr: bool = False, path: str = "path",
+    skip_blank: bool = False,
 ) -> DataFrame:
     """The first ``count`` lines of each file with their numbers from 0; the rest of a file is not
-    read. For headers and samples, where a scan of all lines would read everything for a few."""
+    read. For headers and samples, where a scan of all lines would read everything for a few. A file
+    that is gone has no lines."""
     def read(batches: Iterator) -> Iterator:
         import io
         import itertools
@@ -94,12 +100,15 @@ def head_lines(
             for uri in batch[path]:
                 storage, name = task_filesystem(uri)
                 out = []
+                if storage.get_file_info(name).size is None:
+                    continue
                 with storage.open_input_stream(name, compression=None, buffer_size=1 << 16) as stream:
                     text = io.TextIOWrapper(
                         io.BufferedReader(stream), encoding=encoding, errors="replace",
                         newline="\n" if keep_cr else None,
                     )
-                    for number, line in enumerate(itertools.islice(text, count)):
+                    shown = (line for line in text if line.strip()) if skip_blank else text
+                    for number, line in enumerate(itertools.islice(shown, count)):
                         out.append((uri, number, line.removesuffix("\n")))
                 yield pd.DataFrame(out, columns=["path", "line_no", "line"])
 
@@ -109,7 +118,8 @@ def head_lines(
 def file_md5(files: DataFrame, path: str = "path") -> DataFrame:
     """MD5 of whole files, read as a stream, so a file may be larger than a row can hold.
 
-    One file is read by one task, as MD5 needs its bytes in order.
+    One file is read by one task, as MD5 needs its bytes in order. A file that can't be read has no
+    checksum, but an ``error``.
     """
     def digest(batches: Iterator) -> Iterator:
         import hashlib
@@ -119,12 +129,15 @@ def file_md5(files: DataFrame, path: str = "path") -> DataFrame:
         for batch in batches:
             out = []
             for uri in batch[path]:
-                storage, name = task_filesystem(uri)
                 h = hashlib.md5()
-                with storage.open_input_stream(name, compression=None, buffer_size=CHUNK) as stream:
-                    while chunk := stream.read(CHUNK):
-                        h.update(chunk)
-                out.append((uri, h.hexdigest()))
-            yield pd.DataFrame(out, columns=["path", "crc"])
+                try:
+                    storage, name = task_filesystem(uri)
+                    with storage.open_input_stream(name, compression=None, buffer_size=CHUNK) as stream:
+                        while chunk := stream.read(CHUNK):
+                            h.update(chunk)
+                    out.append((uri, h.hexdigest(), None))
+                except OSError as e:
+                    out.append((uri, None, str(e)))
+            yield pd.DataFrame(out, columns=["path", "crc", "error"], dtype=object)
 
     return spread(files, path).mapInPandas(digest, CHECKSUM_SCHEMA)

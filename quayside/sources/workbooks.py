@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from quayside.functions.names import snake_name
 from quayside.operators import reshape
 from quayside.operators.numbering import block_ranges
+from quayside.sources.archives import UNREADABLE
 from quayside.sources.storage import spread, task_filesystem
 
-CELL_SCHEMA = "path string, sheet_no int, sheet string, row int, col int, value string, link string"
+CELL_SCHEMA = "path string, sheet_no int, sheet string, row int, col int, value string, link string, error string"
 
 
 def workbook_cells(stream) -> Iterator[tuple]:
@@ -66,21 +67,31 @@ def workbook_cells(stream) -> Iterator[tuple]:
 
 def read_cells(files: DataFrame, path: str = "path") -> DataFrame:
     """The cells of each workbook, every value a text. A workbook is one task: its sheets have
-    at most 1 048 576 rows by format. Everything after this is DataFrame work on cells."""
+    at most 1 048 576 rows by format. Everything after this is DataFrame work on cells. A workbook
+    that can't be read gives one row with an ``error`` and no sheet."""
     def cells(batches: Iterator) -> Iterator:
         import pandas as pd
 
-        columns = ["path", "sheet_no", "sheet", "row", "col", "value", "link"]
+        columns = ["path", "sheet_no", "sheet", "row", "col", "value", "link", "error"]
+        numbers = {"sheet_no": "Int32", "row": "Int32", "col": "Int32"}
         for batch in batches:
             for uri in batch[path]:
-                storage, name = task_filesystem(uri)
-                with storage.open_input_file(name) as stream:
-                    rows = [(uri, *c) for c in workbook_cells(stream)]
-                yield pd.DataFrame(rows, columns=columns)
+                try:
+                    storage, name = task_filesystem(uri)
+                    with storage.open_input_file(name) as stream:
+                        rows = [(uri, *c, None) for c in workbook_cells(stream)]
+                except (*UNREADABLE, SyntaxError, AttributeError, IndexError, TypeError) as e:
+                    rows = [(uri, *[None] * 6, f"{type(e).__name__}: {e}")]
+                yield pd.DataFrame(rows, columns=columns, dtype=object).astype(numbers)
 
     return spread(files, path).mapInPandas(cells, CELL_SCHEMA)
 
 
+def readable(cells: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The cells of the workbooks that could be read, and (path, error) of the others."""
+    return cells.filter("error is null").drop("error"), cells.filter("error is not null").select("path", "error")
+
+
 def sheet_size(cells: DataFrame, sheet_no: int = 0) -> DataFrame:
     """A3: data rows (without the header) and columns of a sheet of each workbook."""
     return cells.filter(F.col("sheet_no") == sheet_no).groupBy("path").agg(

@@ -46,7 +46,12 @@ def load_batch(spark: SparkSession, target: str, seen: str) -> Callable[[DataFra
     """
     def write(rows: DataFrame, epoch: int) -> None:
         batch = durable(rows, "batch")
-        files = durable(file_md5(batch.select("path").distinct()), "batch-files")
+        # an unreadable file stops the batch: it is delivered again, and nothing is lost
+        broken = F.raise_error(F.concat_ws(": ", "path", "error"))
+        files = durable(
+            file_md5(batch.select("path").distinct()).select("path", F.coalesce("crc", broken).alias("crc")),
+            "batch-files",
+        )
         known = read_seen(spark, seen).filter((F.col("epoch") != epoch) & ~F.col("duplicate_file"))
         first = files.groupBy("crc").agg(F.min("path").alias("_first"))
         judged = lookup_join(files, first, ["crc"])

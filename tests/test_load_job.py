@@ -181,7 +181,7 @@ def test_option_product(spark, option_run, n):
 
 
 def test_workbooks_data_packs_and_staged_upserts(spark, tmp_path):
-    from test_sources import workbook
+    from tests.test_sources import workbook
 
     folder = tmp_path / "in"
     folder.mkdir()

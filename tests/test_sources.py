@@ -77,12 +77,11 @@ def test_header_is_kept_when_there_is_none(spark, tmp_path):
     assert [tuple(r)[1:] for r in df.collect()] == [("1", "2"), ("3", "4")]
 
 
-def test_titles_and_row_limit(spark, tmp_path, monkeypatch):
+def test_titles_and_row_limit(spark, tmp_path):
     body = "".join(f"title {i}\n" for i in range(5)) + "a,b\n" + "".join(f"{i},x\n" for i in range(20))
     root = write(tmp_path / "d", {"1.csv": body, "2.csv": body})
     files = [f"{root}/1.csv", f"{root}/2.csv"]
-    for limit, head_rows in ((7, 100), (7, 0), (None, 100)):
-        monkeypatch.setattr(delimited, "HEAD_ROWS", head_rows)
+    for limit in (7, None):
         df = delimited.read_delimited(spark, files, ["a", "b"], header_row=5, limit_rows=limit)
         per_file = {}
         for r in df.collect():
