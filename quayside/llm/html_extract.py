@@ -12,7 +12,8 @@ value of each subtree, kept or left out) and one down.
 No page is labelled, so the trees are taught by construction: from a bounded sample of pages whose
 markup names its article, variants are made in which the names of containers are changed or taken
 away and blocks of known role, filled with words of other pages, are put in. Their roles are known,
-and what they teach are the features that remain.
+and what they teach are the features that remain. Where hardly any page names its article, whole
+pages are made from the words of the table's pages and teach in the same way.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from quayside.llm import gbdt
 from quayside.llm.registry import query, table
 
 SAMPLE, PAGE_CHARS, VARIANTS = 200, 60_000, 3
+FEWEST, MADE = 20, 60  # with fewer named articles than this, so many made pages teach as well
 
 # Fixed values from the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -304,6 +306,37 @@ def variants(source: str, words: np.ndarray, rng: np.random.Generator, many: int
     return out
 
 
+def made_pages(pages: list[str], many: int, seed: int = 80) -> list[str]:
+    """Pages with a named article, made from the words that pages of any markup show."""
+    rng = np.random.Generator(np.random.PCG64(seed))
+    shown = [w for p in pages for t in Page(p).texts for w in t.split()[:400]]
+    words = np.array(shown or ["text"], object)
+
+    def phrase(least: int, most: int) -> str:
+        return entities.escape(" ".join(words[rng.integers(0, len(words), int(rng.integers(least, most)))]))
+
+    def listing(many: int) -> str:
+        return "<ul>" + "".join(f'<li><a href="/{k}">{phrase(1, 4)}</a></li>' for k in range(many)) + "</ul>"
+
+    def article() -> str:
+        parts = []
+        for _ in range(int(rng.integers(2, 14))):
+            parts.append(f"<h2>{phrase(2, 7)}</h2>" if rng.random() < 0.15 else "")
+            parts.append(f"<p>{phrase(10, 110)}, {phrase(3, 30)}.</p>")
+        return f"<h1>{phrase(2, 9)}</h1>" + "".join(parts)
+
+    out = []
+    for _ in range(many):
+        held = f"<article>{article()}</article>"
+        for _ in range(int(rng.integers(0, 3))):
+            held = f'<div {rng.choice(["id", "class"])}="{rng.choice(["wrapper", "page", "container", "c3"])}">{held}</div>'
+        head = f"<header><div>{phrase(1, 4)}</div></header>" if rng.random() < 0.6 else ""
+        menu = f"<nav>{listing(int(rng.integers(2, 9)))}</nav>" if rng.random() < 0.8 else ""
+        foot = f"<footer><p>{phrase(2, 14)}</p></footer>" if rng.random() < 0.8 else ""
+        out.append(f"<html><head></head><body>{head}{menu}{held}{foot}</body></html>")
+    return out
+
+
 def teach(pages: list[str], seed: int = 8) -> dict:
     """Trees from sample pages; a page without a named article teaches nothing."""
     rng = np.random.Generator(np.random.PCG64(seed))
@@ -340,23 +373,35 @@ def _roles(source: str, page: Page) -> np.ndarray:
     return label
 
 
+def _by_hash(pages: DataFrame, many: int) -> list[str]:
+    """The ``many`` different contents of the smallest hashes, or all if there are fewer."""
+    key = F.xxhash64("html").alias("key")
+    keys = [r["key"] for r in pages.select(key).distinct().orderBy("key").limit(many).collect()]
+    if not keys:
+        return []
+    rows = pages.select(key, "html").filter(F.col("key").isin(keys)).dropDuplicates(["key"]).collect()
+    return [r["html"] for r in sorted(rows, key=lambda r: r["key"])]
+
+
 def extract(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("page_id", "url")) -> DataFrame:
     """``keep``, text and n_chars of every page.
 
     Null and empty pages have an empty text. Broken markup is read as far as it goes: an element
     that isn't closed ends with its parent, an unfinished comment or script at the end of the page.
-    Learns from at most ``SAMPLE`` pages of at most ``PAGE_CHARS`` characters that name their
-    article, chosen by a hash of the page; without any, only the structure taught by none remains
-    and nothing is kept out. Repeated rows give repeated rows; other columns are left out.
+    Learns from ``SAMPLE`` pages, or all if there are fewer, among the different ones of at most
+    ``PAGE_CHARS`` characters that name their article: those of the smallest content hashes, so that
+    neither other pages nor copies change how many teach. Below ``FEWEST`` of them, pages made from
+    words of the table's pages teach as well. Repeated rows give repeated rows; other columns are
+    left out.
     """
     spark = pages.sparkSession
     content = F.col(html)
-    share = min(1.0, 2 * SAMPLE / max(pages.count(), 1))
-    sample = pages.filter(
-        content.rlike("(?i)<(article|main)[\\s>]") & (F.length(content) <= PAGE_CHARS)
-        & (F.pmod(F.xxhash64(content), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
-    ).select(content.alias("html")).limit(SAMPLE)
-    model = teach([r["html"] for r in sample.collect()])
+    named = content.rlike("(?i)<(article|main)[\\s>]") & (F.length(content) <= PAGE_CHARS)
+    sample = _by_hash(pages.filter(named).select(content.alias("html")), SAMPLE)
+    if len(sample) < FEWEST:
+        shown = _by_hash(pages.filter(F.length(content) > 0).select(F.substring(content, 1, PAGE_CHARS).alias("html")), 50)
+        sample += made_pages(shown, MADE) if shown else []
+    model = teach(sample)
     shared = spark.sparkContext.broadcast(model)
     source = pages.select(*keep, content.alias("_html"))
 

@@ -196,6 +196,30 @@ def test_extraction(spark):
     assert extract(df.limit(0)).count() == 0
 
 
+def _div_page(k):
+    page = PAGE.replace("First", f"First {prose('en', k, 30)}")
+    return page.replace("<article>", '<div class="post">').replace("</article>", "</div>")
+
+
+def test_pages_without_named_articles_keep_their_text(spark):
+    rows = [(k, f"u{k}", _div_page(k)) for k in range(30)]
+    got = extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(got) == 30
+    for r in got:
+        assert "First " in r["text"] and "Second para line" in r["text"] and "Home" not in r["text"]
+
+
+def test_other_pages_and_copies_leave_the_sample_alone(spark, monkeypatch):
+    import quayside.llm.html_extract as H
+
+    taught = []
+    monkeypatch.setattr(H, "teach", lambda pages: taught.append(pages) or teach(pages[:2]))
+    named = [PAGE.replace("First", f"First {prose('en', k, 30)}") for k in range(260)]
+    rows = [(k, "u", p) for k, p in enumerate(named + [_div_page(k) for k in range(3000)] + [named[0]] * 500)]
+    extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert len(taught[0]) == len(set(taught[0])) == H.SAMPLE and set(taught[0]) <= set(named)
+
+
 # ---- 10
 
 
