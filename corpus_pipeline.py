@@ -23,8 +23,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return one_per_group(docs)
+    """One document of each group of near copies: sets of 5-word shingles that are 80 % alike."""
+    return one_per_group(docs, width=5, percent=80)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -414,11 +414,13 @@ def near_groups(
     )
 
 
-def one_per_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def one_per_group(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 3, percent: int = 90
+) -> DataFrame:
     """The rows, unchanged, whose id is its group's smallest; of rows with equal ids only one.
 
     Rows without an id stay: they can't be told apart, so none is dropped for another."""
-    groups = durable(near_groups(docs, doc_id, text), "groups")
+    groups = durable(near_groups(docs, doc_id, text, width, percent), "groups")
     gone = groups.filter(F.col(doc_id) != F.col("component_id")).select(doc_id).distinct()
     kept = lookup_join(docs, gone, [doc_id], "left_anti").select(*docs.columns)
     repeated = groups.filter(F.col(doc_id).isNotNull()).groupBy(doc_id).agg(

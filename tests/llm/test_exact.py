@@ -135,6 +135,41 @@ def test_one_row_per_group_keeps_columns(docs, texts):
     assert ids.count(None) == 2
 
 
+def brute_wide_groups(texts, width, percent):
+    """Ids, set sizes and smallest ids reachable, for shingles of ``width`` words."""
+    words_of = [WORD.findall(lower(t or "")) for _, t, _ in texts]
+    sets = [{tuple(w[i:i + width]) for i in range(max(len(w) - width + 1, 1))} if w else set() for w in words_of]
+    group = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if sets[i] and sets[j] and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j]):
+                group = [group[j] if g == group[i] else g for g in group]
+    small = {}
+    for g, (i, _, _) in zip(group, texts):
+        if i is not None:
+            small[g] = min(small.get(g, i), i)
+    return sorted([(i, len(s), small.get(g)) for g, s, (i, _, _) in zip(group, sets, texts)], key=repr)
+
+
+def test_five_word_groups_match_brute_force(spark, docs, texts):
+    got = sorted_rows(near_groups(docs, width=5, percent=80), "doc_id", "n_shingles", "component_id")
+    assert got == brute_wide_groups(texts, 5, 80)
+
+
+def test_pipeline_links_a_replaced_passage(spark):
+    from corpus_pipeline import near_copies
+
+    rows = []
+    for k in range(8):  # from 4 on with a passage of a tenth of the words replaced
+        w = [f"t{k % 4}w{j}" for j in range(500)]
+        w[40:90] = w[40:90] if k < 4 else [f"new{k}w{j}" for j in range(50)]
+        rows.append((k, " ".join(w), "en"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert len({c for _, _, c in brute_groups(rows)}) == 8
+    want = {c for _, _, c in brute_wide_groups(rows, 5, 80)}
+    assert want == {0, 1, 2, 3} == {r[0] for r in near_copies(spark, df, "").select("doc_id").collect()}
+
+
 def test_signatures_never_exceed_the_difference():
     import pyarrow as pa
 
