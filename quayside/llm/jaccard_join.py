@@ -363,9 +363,12 @@ def _linked(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, nodes: Da
     wanted = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
     texts = nodes.join(wanted, "sid", "left_semi").select(F.col("doc").alias(doc_id), "sid").distinct()
     found = lookup_join(docs.select(doc_id, text), texts, [doc_id], "inner")
-    stored = durable(
-        found.select(text).mapInArrow(sets, "sid long, set binary").dropDuplicates(["sid"]), "sets"
-    )
+    made = found.select(text).mapInArrow(sets, "sid long, set binary")
+    unnamed = nodes.filter("doc is null").select("sid")
+    if not unnamed.isEmpty():  # no id to fetch their texts by: the sets tell which are asked for
+        others = docs.filter(F.col(doc_id).isNull()).select(text).mapInArrow(sets, "sid long, set binary")
+        made = made.union(lookup_join(others, unnamed.join(wanted, "sid", "left_semi"), ["sid"], "left_semi"))
+    stored = durable(made.dropDuplicates(["sid"]), "sets")
     a = stored.select(F.col("sid").alias("a"), F.col("set").alias("set_a"))
     b = stored.select(F.col("sid").alias("b"), F.col("set").alias("set_b"))
     return pairs.join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b").mapInArrow(verify, "a long, b long")

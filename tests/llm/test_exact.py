@@ -170,6 +170,20 @@ def test_pipeline_links_a_replaced_passage(spark):
     assert want == {0, 1, 2, 3} == {r[0] for r in near_copies(spark, df, "").select("doc_id").collect()}
 
 
+def test_rows_without_an_id_link_others(spark):
+    base = [f"w{k}" for k in range(200)]
+
+    def changed(n):
+        return " ".join(base[:50] + [f"n{j}" for j in range(n)] + base[50 + n:])
+
+    rows = [(1, changed(0), "en"), (None, changed(6), "en"), (2, changed(12), "en"), (None, "quite another text", "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    want = brute_groups(rows)
+    assert {c for _, _, c in want} == {1, None}  # 1 and 2 meet by way of the row without an id
+    assert {c for _, _, c in brute_groups([rows[0], rows[2]])} == {1, 2}
+    assert sorted_rows(near_groups(df), "doc_id", "n_shingles", "component_id") == want
+
+
 def test_signatures_never_exceed_the_difference():
     import pyarrow as pa
 
