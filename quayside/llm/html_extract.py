@@ -35,10 +35,16 @@ FEWEST, MADE = 20, 60  # with fewer named articles than this, so many made pages
 
 # Fixed values from the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe object svg math select button".split())
+RAW = frozenset("script style textarea title".split())  # text up to their end tag
+DROPPED = frozenset("button select template iframe".split())  # never text of a page
+PHRASING = DROPPED | {"noscript", "object", "svg"}  # without text they don't part the text around them
 INLINE = frozenset((
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark q "
-    "rp rt ruby s samp small span strike strong sub sup time tt u var wbr").split())
+    "rp rt ruby s samp small span strike strong sub sup time tt u var wbr "
+    "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced menclose msub "
+    "msup msubsup munder mover munderover mmultiscripts mprescripts mtable mtr mtd semantics annotation "
+    "g path circle ellipse line polyline polygon rect text tspan textpath defs use symbol stop marker mask "
+    "clippath lineargradient radialgradient pattern filter").split())
 CLOSES_P = frozenset((
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section table ul").split())
@@ -66,6 +72,8 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[^<]+|<", re.S)
 _NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _WORD = re.compile(r"[A-Za-z][a-z]*")
+_END_OF = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I | re.A) for tag in RAW}
+_NEXT_OF = {tag: re.compile(rf"<(/?){tag}(?=[\s/>]|\Z)", re.I | re.A) for tag in DROPPED}
 _GROUP_OF = {tag: k for k, tags in enumerate(GROUPS.values()) for tag in tags}
 _ROOT = ("html", "body", "#page")
 
@@ -76,9 +84,9 @@ class Page:
     def __init__(self, source: str):
         self.tag, self.parent, self.names, self.part = ["#page"], [-1], [""], [0]
         self.segments: list[list] = []  # [node, [texts], characters in links]
-        stack = [(0, "#page", False)]  # (node, tag, is inline)
+        stack = [(0, "#page", -1, 0, 0)]  # (node, tag, and before it: segment, number of segments, links)
         current, at, links = -1, 0, 0
-        lower = None
+        hidden = unclosed = 0  # depth in the stack of a dropped element; of one that has no end tag
         while at < len(source):
             m = _TOKEN.match(source, at)
             if m is None:
@@ -89,6 +97,8 @@ class Page:
                 word = m.group()
                 if word[0] == "<" and word != "<":
                     continue
+                if hidden:
+                    continue
                 if current < 0:
                     self.segments.append([stack[-1][0], [], 0])
                     current = len(self.segments) - 1
@@ -98,25 +108,44 @@ class Page:
                 continue
             tag = tag.lower()
             inline = tag in INLINE
+            if hidden and inline:
+                continue
+            if unclosed and not m.group(1) and (tag in CLOSES_P or tag in DROPPED):
+                current, _, links = stack[unclosed][2:]  # a control without an end tag holds no blocks
+                del stack[unclosed:]
+                hidden = unclosed = 0
             if m.group(1):
                 if inline:
                     links -= tag == "a" and links > 0
                     continue
-                if tag == "p" and not any(t == "p" for _, t, _ in stack):
+                if tag == "p" and not any(t == "p" for _, t, *_ in stack):
                     current = -1
                     continue
+                before = (-1, 0)
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k][1] == tag:
+                        if tag in PHRASING and stack[k][3] == len(self.segments):
+                            before = (stack[k][2], stack[k][4])
                         del stack[k:]
                         break
-                current, links = -1, 0
+                if hidden >= len(stack):
+                    hidden = unclosed = 0
+                if not hidden:
+                    current, links = before
                 continue
             if tag in RAW:
                 if not m.group(3).endswith("/"):
-                    if lower is None:
-                        lower = source.lower()
-                    end = lower.find("</" + tag, at)
-                    at = len(source) if end < 0 else end
+                    end = _END_OF[tag].search(source, at)
+                    at = end.start() if end else len(source)
+                continue
+            if tag in PHRASING and m.group(3).endswith("/"):
+                continue
+            resume = (current, len(self.segments), links)
+            if tag in DROPPED and not hidden:
+                hidden = len(stack)
+                after = _NEXT_OF[tag].search(source, at)
+                unclosed = 0 if after and after.group(1) else hidden
+                stack.append((stack[-1][0], tag, *resume))
                 continue
             if inline:
                 if tag == "br" and current >= 0:
@@ -124,25 +153,30 @@ class Page:
                 links += tag == "a" and links == 0
                 continue
             current = -1
-            if tag in ("html", "body") and any(t == tag for _, t, _ in stack):
+            if tag in ("html", "body") and any(t == tag for _, t, *_ in stack):
                 continue
             if tag == "body" and stack[-1][1] == "head":
                 stack.pop()
             if tag in CLOSES_P:
-                for k in range(len(stack) - 1, 0, -1):
+                for k in range(len(stack) - 1, 0 if unclosed else hidden, -1):
                     if stack[k][1] == "p":
                         del stack[k:]
                         break
                     if stack[k][1] in SCOPES:
                         break
             if tag in CLOSED_BY_SAME:
-                for k in range(len(stack) - 1, 0, -1):
+                for k in range(len(stack) - 1, 0 if unclosed else hidden, -1):
                     if stack[k][1] in CLOSED_BY_SAME[tag]:
                         del stack[k:]
                     elif stack[k][1] in SCOPES:
                         break
+            if hidden >= len(stack):
+                hidden = unclosed = 0
             if tag in VOID:
                 continue
+            if hidden:
+                stack.append((stack[-1][0], tag, *resume))
+                continue
             node = len(self.tag)
             self.tag.append(tag)
             self.parent.append(stack[-1][0])
@@ -150,7 +184,7 @@ class Page:
             self.names.append(names)
             self.part.append(len(self.segments))
             links = 0
-            stack.append((node, tag, False))
+            stack.append((node, tag, *resume))
         self.texts = [" ".join(entities.unescape("".join(parts)).split()) for _, parts, _ in self.segments]
 
 
@@ -387,7 +421,8 @@ def extract(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("page
     """``keep``, text and n_chars of every page.
 
     Null and empty pages have an empty text. Broken markup is read as far as it goes: an element
-    that isn't closed ends with its parent, an unfinished comment or script at the end of the page.
+    that isn't closed ends with its parent, an unclosed form control before the next block, an
+    unfinished comment, script, style, title or textarea at the end of the page.
     Learns from ``SAMPLE`` pages, or all if there are fewer, among the different ones of at most
     ``PAGE_CHARS`` characters that name their article: those of the smallest content hashes, so that
     neither other pages nor copies change how many teach. Below ``FEWEST`` of them, pages made from

@@ -220,6 +220,28 @@ def test_other_pages_and_copies_leave_the_sample_alone(spark, monkeypatch):
     assert len(taught[0]) == len(set(taught[0])) == H.SAMPLE and set(taught[0]) <= set(named)
 
 
+def _texts(source):
+    return [t for t in Page(source).texts if t]
+
+
+def test_unclosed_and_embedded_elements_keep_the_article():
+    for tag in ("button", "select", "object", "svg", "noscript", "template", "iframe"):
+        got = _texts(f"<article><p>One</p><{tag}><p>Two</p></article><p>Three</p>")
+        assert got == ["One", "Two", "Three"], tag
+    assert _texts("<p>a <button><b>x</b><div>y</div></button> b <select><option>1<option>2</select> c</p>") == ["a b c"]
+    assert _texts("<p>a <svg><g><path d=''/></g></svg>b <noscript><img></noscript>c</p>") == ["a b c"]
+    assert _texts("<p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be</p><object>fall <p>back</object>") == [
+        "Let x=1 be", "fall", "back"]
+    assert Page("<p><a href='/'><svg><path/></svg> Home</a>").segments[0][2] == len(" Home")
+    assert _texts("<ul><li>a<button>x<li>b</ul><p>c") == ["a", "b", "c"]
+    assert _texts("<template><div>no<p>no</div></template><p>yes") == ["yes"]
+
+
+def test_skips_end_where_the_source_says():
+    dots = "\u0130" * 40
+    assert _texts(f"<p>{dots}</p><script>a</SCRIPT><p>Diyarbak</p><style>b</style><p>next") == [dots, "Diyarbak", "next"]
+
+
 # ---- 10
 
 
