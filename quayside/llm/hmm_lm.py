@@ -11,8 +11,8 @@ with one unseen word per class. Counts, unlike classes, are not bounded: texts a
 of bounded size, each block's distinct words meet the corpus in one shuffle, and the counts come
 back to their block. What is broadcast is the state model, bounded by the number of classes.
 
-Baum-Welch starts from a few rounds on a bounded sample (``WARM_TEXTS``), which only sets where
-the search begins; then every round takes expected counts from all training texts, added up over
+Baum-Welch starts from a random model; every round takes expected counts from all training texts,
+until the likelihood of the training tokens settles. The counts are added up over
 partitions. For training, texts are cut into runs of ``RUN`` tokens that are worked off side by
 side; scores use the scaled forward recursion over whole texts, without cuts.
 """
@@ -37,10 +37,8 @@ SHARE = 20_000
 RARE = 4096
 BLOCK_BYTES = 16 << 20
 RUN = 512
-WARM_TEXTS = 1_500
-WARM_WORDS = 20_000
-WARM_ROUNDS = 12
-ROUNDS = 2
+LEAST_ROUNDS, ROUNDS = 14, 60  # a random start may rest for some rounds before it climbs
+SETTLED = 1e-3  # a gain per token (natural log) that ends the search
 
 
 @dataclass
@@ -68,9 +66,9 @@ class Model:
         return Model(start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(0))
 
 
-def expected_counts(model: Model, classes: np.ndarray, firsts: np.ndarray, into: np.ndarray) -> None:
+def expected_counts(model: Model, classes: np.ndarray, firsts: np.ndarray, into: np.ndarray) -> float:
     """Forward and backward over the texts ``classes[firsts[i]:firsts[i + 1]]``, cut into runs;
-    adds expected starts, moves and emissions to ``into``."""
+    adds expected starts, moves and emissions to ``into`` and returns the runs' log likelihood."""
     k = len(model.start)
     move, emit = model.move.astype(np.float32), model.emit.astype(np.float32)
     level = np.linalg.matrix_power(model.move, 64)[0].astype(np.float32)
@@ -84,13 +82,15 @@ def expected_counts(model: Model, classes: np.ndarray, firsts: np.ndarray, into:
     begin, size, head = begin[order], size[order], nth[order] == 0
     steps = int(size[0]) if len(size) else 0
     active = np.searchsorted(-size, -np.arange(steps), "left")  # runs longer than t
-    alphas = []
+    alphas, total = [], 0.0
     a = np.where(head[:, None], model.start.astype(np.float32), level)
     for t in range(steps):
         n = active[t]
         a = a[:n] if t == 0 else a[:n] @ move
         a = a * emit[classes[begin[:n] + t]]
-        a /= np.maximum(a.sum(1, keepdims=True), 1e-30)
+        scale = np.maximum(a.sum(1, keepdims=True), 1e-30)
+        total += float(np.log(scale).sum())
+        a /= scale
         alphas.append(a)
     b = np.ones((0, k), np.float32)
     for t in range(steps - 1, -1, -1):
@@ -116,6 +116,7 @@ def expected_counts(model: Model, classes: np.ndarray, firsts: np.ndarray, into:
         gammas = np.concatenate(alphas)
         for j in range(k):
             into[k + 1:, j] += np.bincount(cls, gammas[:, j], minlength=len(model.emit))
+    return total
 
 
 def forward(model: Model, classes: np.ndarray, firsts: np.ndarray) -> np.ndarray:
@@ -265,11 +266,12 @@ def _sequences(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data.tobytes(), np.uint16).astype(np.int64), (offsets - offsets[0]) // 2
 
 
-def _gather(classed: DataFrame, model: Model) -> np.ndarray:
-    """Expected counts over all training texts: one array per task, added up in two levels."""
+def _gather(classed: DataFrame, model: Model) -> tuple[np.ndarray, float]:
+    """Expected counts and log likelihood over all training texts: one array per task, added up in
+    two levels."""
     spark = classed.sparkSession
     shared = spark.sparkContext.broadcast((model.start, model.move, model.emit))
-    shape = (1 + len(model.start) + len(model.emit), len(model.start))
+    shape = (2 + len(model.start) + len(model.emit), len(model.start))  # the last row: log likelihood
     pieces = 16
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,7 +283,8 @@ def _gather(classed: DataFrame, model: Model) -> np.ndarray:
             if batch.num_rows:
                 classes, firsts = _sequences(batch)
                 for a, b in slabs(firsts, 200_000):
-                    expected_counts(model, classes[firsts[a]:firsts[b]], firsts[a:b + 1] - firsts[a], into)
+                    into[-1, 0] += expected_counts(
+                        model, classes[firsts[a]:firsts[b]], firsts[a:b + 1] - firsts[a], into[:-1])
         lane = random.randrange(64)
         for k, part in enumerate(np.array_split(into.ravel(), pieces)):
             yield pa.RecordBatch.from_pydict({
@@ -300,7 +303,8 @@ def _gather(classed: DataFrame, model: Model) -> np.ndarray:
     parts = np.array_split(np.zeros(shape).ravel(), pieces)
     for r in rows:
         parts[r["piece"]] = np.frombuffer(bytes(r["counts"]), np.float32).astype(np.float64)
-    return np.concatenate(parts).reshape(shape)
+    whole = np.concatenate(parts).reshape(shape)
+    return whole[:-1], float(whole[-1, 0])
 
 
 def score_texts(
@@ -311,7 +315,8 @@ def score_texts(
     ``held_out`` rows are scored but not learnt from; null there means learnt from. A null or blank
     text is its end token alone. Repeated rows are learnt and scored as often as they occur. Other
     columns are left out. Without training texts every class is equally unlikely and the base
-    gives each token probability 1. An empty table gives no rows.
+    gives each token probability 1. An empty table gives no rows. Training ends when the likelihood
+    settles, after ``rounds`` rounds at the latest.
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "blocks")
@@ -353,22 +358,12 @@ def score_texts(
     made.write.option("compression", "zstd").parquet(path)
     classed = spark.read.schema(made.schema).parquet(path)
     model = Model.begin(classes)
-    share = min(1.0, WARM_TEXTS / max(ends, 1))
-    sample = classed.filter(
-        ~F.col("held_out") & (F.col("n") <= WARM_WORDS)
-        & (F.pmod(F.xxhash64("id", F.lit(9)), F.lit(1_000_000)) < int(share * 1_000_000) + 1)
-    ).limit(WARM_TEXTS).select("classes").collect()
-    if sample:
-        seqs = [np.frombuffer(bytes(r["classes"]), np.uint16).astype(np.int64) for r in sample]
-        firsts = np.concatenate([[0], np.cumsum([len(s) for s in seqs])])
-        joined = np.concatenate(seqs)
-        for _ in range(WARM_ROUNDS):
-            counts = np.zeros((1 + STATES + len(classes), STATES))
-            for a, b in slabs(firsts, 200_000):
-                expected_counts(model, joined[firsts[a]:firsts[b]], firsts[a:b + 1] - firsts[a], counts)
-            model = model.learn(counts, classes)
-    for _ in range(rounds if ends else 0):
-        model = model.learn(_gather(classed, model), classes)
+    last = -np.inf
+    for k in range(rounds if ends else 0):
+        counts, now = _gather(classed, model)
+        if k >= LEAST_ROUNDS and now - last < SETTLED * tokens:
+            break
+        model, last = model.learn(counts, classes), now
 
     shared = spark.sparkContext.broadcast((model.start, model.move, model.emit))
     kind = classed.schema["id"].dataType.simpleString()

@@ -315,6 +315,23 @@ def test_scores(docs, texts, nothing):
     assert alone["train_tokens"] == 0 and alone["base_score"] == 0 and alone["n_known"] == 0
 
 
+def test_every_round_sees_all_training_texts(spark, monkeypatch):
+    import quayside.llm.hmm_lm as H
+
+    seen = []
+    gather = H._gather
+    monkeypatch.setattr(H, "_gather", lambda classed, model: seen.append(gather(classed, model)) or seen[-1])
+    rows = [(k, prose(list(LANGS)[k % 3], k, 12)) for k in range(1800)]
+    score_texts(spark.createDataFrame(rows, "doc_id long, text string"), F.lit(False))
+    assert H.LEAST_ROUNDS < len(seen) <= H.ROUNDS
+    for counts, _ in seen:  # a start per text and an emission per token, whatever the round
+        assert counts[0].sum() == pytest.approx(1800, rel=1e-3)
+        assert counts[1 + H.STATES:].sum() == pytest.approx(1800 * 13, rel=1e-3)
+    logs = [x for _, x in seen]
+    settled = logs[-1] - logs[-2] < H.SETTLED * 1800 * 13
+    assert logs[-1] > logs[0] and settled == (len(seen) < H.ROUNDS)
+
+
 # ---- pipeline
 
 
