@@ -502,7 +502,7 @@ def export_all_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "export")
     exported = tables.export_tables(sources, folder)
     counts = reduce(DataFrame.unionByName, [
-        delimited.count_rows(spark, f"{folder}/{t}.csv", df.columns)
+        delimited.count_rows(spark, f"{folder}/{t}.csv")
         .agg(F.sum("rows").alias("n")).withColumn("table_name", F.lit(t))
         for t, df in sources.items()
     ])

@@ -85,19 +85,21 @@ def _fail(files: DataFrame, found: DataFrame) -> DataFrame:
     return fail_where(marked, F.col("_error").isNotNull(), F.col("_error")).select(*files.columns)
 
 
-def _paths(files: DataFrame) -> list[str]:
+def _paths(files: DataFrame, column: str = "path") -> list[str]:
     """The paths of the files to read, safe from patterns: Spark's readers take them from the driver."""
-    return [storage.literal(r["path"]) for r in files.select("path").toLocalIterator()]
+    return [storage.literal(r[0]) for r in files.select(column).toLocalIterator()]
 
 
 @step("count_file_linux_wc")
 def count_lines(ctx: StepContext, files: DataFrame) -> DataFrame:
     """A1: lines of each file, by one text scan over all of them."""
-    found = _paths(files)
+    shown = durable(storage.visible_copies(files, f"{ctx.work_dir}/visible"), "shown")
+    found = _paths(shown, "shown")
     if not found:
         return files
-    counts = lines.lines_per_file(lines.read_lines(ctx.spark, found))
-    return _set(files, counts.withColumnRenamed("lines", "total_rows"), ["total_rows"])
+    counts = lines.lines_per_file(lines.read_lines(ctx.spark, found)).withColumnRenamed("path", "shown")
+    named = shown.join(counts, "shown").withColumnRenamed("lines", "total_rows")
+    return _set(files, named, ["total_rows"])
 
 
 @step("row_count_excel")
@@ -306,14 +308,21 @@ def _load(
     ctx: StepContext, row: MappingRow, members: DataFrame, names: list[str], target: str,
     nulls: str, strict: bool,
 ) -> DataFrame:
-    staged = durable(
-        delimited.read_delimited(
-            ctx.spark, _paths(members), names, row.delimiter, encoding=row.file_encoding,
-            has_header=bool(row.has_header), header_row=row.header_row, limit_rows=row.limit_rows,
-            nulls=nulls, flag_bad=True, append_crc=bool(row.append_crc), rewrite=_rewrite(row, len(names)),
-        ),
-        "staged",
+    shown = durable(storage.visible_copies(members, f"{ctx.work_dir}/visible"), "shown")
+    files, rewrite = _paths(shown, "shown"), _rewrite(row, len(names))
+    by_line = bool(row.append_crc) or rewrite is not None
+    quoted = not by_line and delimited.has_quoted_newlines(ctx.spark, files, row.delimiter, row.file_encoding)
+    rows = delimited.read_delimited(
+        ctx.spark, files, names, row.delimiter, encoding=row.file_encoding,
+        has_header=bool(row.has_header), header_row=row.header_row, limit_rows=row.limit_rows,
+        nulls=nulls, flag_bad=True, append_crc=bool(row.append_crc), rewrite=rewrite, multi_line=quoted,
     )
+    moved = shown.filter("path <> shown")
+    if not moved.isEmpty():
+        kept = rows.columns
+        back = moved.select(F.col("shown").alias("path"), F.col("path").alias("_own"))
+        rows = lookup_join(rows, back, ["path"], "left").withColumn("path", F.coalesce("_own", "path")).select(*kept)
+    staged = durable(rows, "staged")
     # a row that lacks fields is only bad for a strict load, one with surplus fields always
     wrong = F.col("_bad").isNotNull()
     if not strict:

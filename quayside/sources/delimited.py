@@ -11,9 +11,9 @@ from pyspark.sql import types as T
 
 from quayside.functions import text
 from quayside.functions.names import column_list, snake_name
-from quayside.operators.skew import lookup_join
 from quayside.session import durable
 from quayside.sources import lines as raw
+from quayside.sources.records import INSIDE, TURNS, line_effect, records
 from quayside.sources.storage import head_lines, metadata_path
 
 # Texts a pandas reader takes as missing.
@@ -51,8 +51,8 @@ def header_names(
     spark: SparkSession, file: str, delimiter: str = ",", header_row: int = 0, encoding: str = "UTF8"
 ) -> list[str]:
     """Column names in snake case from the header line of one file (one short read)."""
-    head = spark.read.option("encoding", spark_encoding(encoding)).text(file).limit(header_row + 1)
-    return split_header(head.collect()[header_row]["value"].rstrip("\r"), delimiter)
+    head = spark.read.text(file).limit(header_row + 1).select(raw.decoded(F.col("value"), spark_encoding(encoding)))
+    return split_header(head.collect()[header_row][0].rstrip("\r"), delimiter)
 
 
 def split_header(line: str, delimiter: str = ",") -> list[str]:
@@ -95,10 +95,11 @@ def read_delimited(
 
     Nothing is inferred, so leading zeros stay and no extra pass is made. Files are split. Titles
     above the header and a row limit number the rows of each file and filter; blank lines are no
-    rows. ``strict`` fails on a bad row. ``multi_line`` reads quoted newlines, at the price of one
-    task per file. ``flag_bad`` adds the text of a malformed line as ``_bad``, also where a field is
-    surplus; ``append_crc`` adds the checksum of the raw line; ``rewrite`` changes lines before
-    they are taken apart. The last two work on lines, so not with ``multi_line``.
+    rows. ``strict`` fails on a bad row. ``multi_line`` reads quoted newlines, in splits too
+    (``records``): a quote that is never closed makes its line malformed and ends the file.
+    ``flag_bad`` adds the text of a malformed line as ``_bad``, also where a field is surplus;
+    ``append_crc`` adds the checksum of the raw line; ``rewrite`` changes lines before they are
+    taken apart. The last two work on lines, so not with ``multi_line``.
     """
     by_line = append_crc or rewrite is not None
     if multi_line and by_line:
@@ -110,40 +111,64 @@ def read_delimited(
         "nullValue": "", "mode": "FAILFAST" if strict else "PERMISSIVE",
         "columnNameOfCorruptRecord": "_bad",
     }
-    kept = ["path", *bad, *(["crc"] if append_crc else [])]
-    start = header_row + 1 if has_header else header_row
-    every = header_row == 0 and limit_rows is None
-    if not by_line and (every or multi_line):
+    plain = header_row == 0 and limit_rows is None and not by_line and not multi_line
+    if plain:
         rows = (
             spark.read.schema(schema)
-            .options(**options, header=has_header and every, encoding=spark_encoding(encoding),
-                     multiLine=multi_line, recursiveFileLookup=True)
+            .options(**options, header=has_header, encoding=spark_encoding(encoding), recursiveFileLookup=True)
             .csv(files)
-            .select(metadata_path().alias("path"), *names, *bad, F.monotonically_increasing_id().alias("_slot"))
+            .select(metadata_path().alias("path"), F.struct(*names, *bad).alias("_row"))
         )
-        if not every:
-            # a file is read by one task, in order
-            first = rows.groupBy("path").agg(F.min("_slot").alias("_first"))
-            numbered = lookup_join(rows, first, ["path"]).withColumn("line_no", F.col("_slot") - F.col("_first"))
-            rows = raw.data_lines(numbered, header_row, has_header, limit_rows)
     else:
-        found = raw.read_lines(spark, files, encoding=spark_encoding(encoding)).filter(F.trim("line") != "")
-        numbered = raw.number_lines(found)
+        if multi_line:
+            numbered = read_records(spark, files, delimiter, quote, encoding)
+            options["multiLine"] = "true"
+        else:
+            found = raw.read_lines(spark, files, encoding=spark_encoding(encoding)).filter(F.trim("line") != "")
+            numbered = raw.number_lines(found).withColumn("open", F.lit(False))
         if rewrite is not None:
             numbered = numbered.withColumn("line", rewrite(F.col("line")))
+        if strict:
+            unclosed = F.concat(F.lit("malformed row, a quote is not closed: "), "line")
+            numbered = numbered.withColumn("line", F.when(F.col("open"), F.raise_error(unclosed)).otherwise(F.col("line")))
         ddl = ", ".join(f"`{f.name}` string" for f in schema)
-        rows = raw.data_lines(numbered, header_row, has_header, limit_rows).select(
-            "path", F.md5("line").alias("crc"), F.from_csv("line", ddl, options).alias("r")
-        ).select("path", "crc", "r.*")
-    return rows.select(*kept, *[clean_nulls(F.col(n), nulls).alias(n) for n in names])
+        rows = raw.data_lines(numbered, header_row, has_header, limit_rows).withColumn(
+            "_row", F.from_csv("line", ddl, options))
+    extra = []
+    if flag_bad:
+        wrong = F.col("_row")["_bad"]
+        extra.append((wrong if plain else F.when(F.col("open"), F.col("line")).otherwise(wrong)).alias("_bad"))
+    if append_crc:
+        extra.append(F.md5("line").alias("crc"))
+    return rows.select("path", *extra, *[clean_nulls(F.col("_row")[n], nulls).alias(n) for n in names])
+
+
+def has_quoted_newlines(
+    spark: SparkSession, files: str | Sequence[str], delimiter: str = ",", encoding: str = "UTF8", quote: str = '"'
+) -> bool:
+    """Whether a line of the files ends inside a quoted field: only then must lines be joined. One
+    scan that stays in the JVM and looks closer at lines with a quote only."""
+    found = raw.read_lines(spark, files, True, spark_encoding(encoding))
+    opens = line_effect(F.col("line"), delimiter, quote).isin(INSIDE, TURNS)
+    return not found.filter(F.col("line").contains(quote)).filter(opens).isEmpty()
+
+
+def read_records(
+    spark: SparkSession, files: str | Sequence[str], delimiter: str = ",", quote: str = '"', encoding: str = "UTF8"
+) -> DataFrame:
+    """The records of files as texts with their numbers, quoted newlines inside."""
+    return records(raw.read_lines(spark, files, True, spark_encoding(encoding)), delimiter, quote)
 
 
-def count_rows(spark: SparkSession, files: str | Sequence[str], names: Sequence[str], **options) -> DataFrame:
+def count_rows(
+    spark: SparkSession, files: str | Sequence[str], delimiter: str = ",", quote: str = '"', encoding: str = "UTF8",
+    has_header: bool = True, header_row: int = 0,
+) -> DataFrame:
     """A2: data rows of each file, and the columns of its first line; a quoted newline does not end
-    a row."""
-    rows = read_delimited(spark, files, names, multi_line=True, **options)
-    counts = durable(rows.groupBy("path").agg(F.count(F.lit(1)).alias("rows")), "rows")
-    encoding = spark_encoding(options.get("encoding", "UTF8"))
-    first = head_lines(counts.select("path"), 1, encoding, skip_blank=True)
-    width = text.field_count(F.col("line"), options.get("delimiter", ","), options.get("quote", '"'))
+    a row. Files are split, and nothing is taken apart."""
+    found = read_records(spark, files, delimiter, quote, encoding)
+    counts = durable(
+        raw.data_lines(found, header_row, has_header).groupBy("path").agg(F.count(F.lit(1)).alias("rows")), "rows")
+    first = head_lines(counts.select("path"), 1, spark_encoding(encoding), skip_blank=True)
+    width = text.field_count(F.col("line"), delimiter, quote)
     return counts.join(first.select("path", width.cast("int").alias("columns")), "path")

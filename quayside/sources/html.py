@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.functions import paths
@@ -45,27 +45,49 @@ def elements(pages: DataFrame, tag: str, key: str = "page_id", html: str = "html
     one of IMPLIED_END at the next end or start tag of its kind; else at the end of the page.
     """
     ending = end_tag(tag)
-    found = pages.select(key, _pieces(visible(F.col(html)), tag).alias("_all"))
+    body = visible(F.col(html))
     if tag.lower() in IMPLIED_END:
-        one = found.select(key, F.posexplode("_all").alias("pos", "_e"))
+        one = pages.select(key, F.posexplode(_pieces(body, tag)).alias("pos", "_e"))
         return one.select(key, "pos", F.split(F.col("_e.rest"), ending)[0].alias("content"))
+    return _nested(pages.select(key, body.alias("_body")), tag, key)
 
-    def grow(seen: Column, piece: Column) -> Column:
-        parts = F.split(piece["rest"], ending)
-        ends = F.size(parts) - 1
-        inner = F.when(seen["first"], F.lit("")).otherwise(piece["start"])
-        closed = F.array_join(F.slice(parts, F.lit(1), F.greatest(seen["depth"], F.lit(1))), f"</{tag}>")
-        last = ends >= seen["depth"]
-        grown = F.struct(
-            F.when(last, 0).otherwise(seen["depth"] - ends + 1).alias("depth"), F.lit(False).alias("first"),
-            F.concat(seen["text"], inner, F.when(last, closed).otherwise(piece["rest"])).alias("text"),
-        )
-        return F.when(seen["depth"] == 0, seen).otherwise(grown)
 
-    one = found.select(key, "_all", F.posexplode("_all").alias("pos", "_e"))
-    empty = F.struct(F.lit(1).alias("depth"), F.lit(True).alias("first"), F.lit("").alias("text"))
-    whole = F.aggregate(F.slice("_all", F.col("pos") + 1, F.size("_all")), empty, grow)
-    return one.select(key, "pos", whole["text"].alias("content"))
+def _nested(pages: DataFrame, tag: str, key: str) -> DataFrame:
+    """Elements whose ends are matched by depth.
+
+    A page is cut at its tags of the kind. A start tag adds one to the depth and an end tag takes
+    one off, so their prefix sums are the depths, and the first tag after a start tag that leaves
+    the start tag's depth is its end: the next one of that page and depth. Contents are then cut
+    out of the pieces of the page, which stay in one row. A page has a number of its own here,
+    as its key may be missing or occur twice; one shuffle brings the tags of a page together.
+    """
+    either = rf"(?is)<{tag}(?=[\s/>])[^>]*>|</{tag}\s*>"
+    pieces = F.split("_body", either, -1)
+    tags = F.concat(F.regexp_extract_all("_body", F.lit(either), F.lit(0)), F.array(F.lit("")))
+    cut = pages.withColumn("_page", F.monotonically_increasing_id()).select(
+        key, "_page", F.posexplode(F.arrays_zip(pieces.alias("text"), tags.alias("tag"))).alias("_at", "_p"))
+    turn = F.when(F.col("_p.tag") == "", 0).when(F.startswith("_p.tag", F.lit("</")), -1).otherwise(1)
+    deep = cut.withColumn("_turn", turn).withColumn(
+        "_depth", F.sum("_turn").over(Window.partitionBy("_page").orderBy("_at")))
+    # The depth a start tag leads to, and the one an end tag leaves.
+    level = F.when(F.col("_turn") == -1, F.col("_depth") + 1).when(F.col("_turn") == 1, F.col("_depth"))
+    ended = deep.withColumn("_level", level).withColumn("_end", F.when(F.col("_turn") == 1, F.lead("_at").over(
+        Window.partitionBy("_page", "_level").orderBy("_at"))))
+    whole = ended.groupBy("_page").agg(
+        F.first(key).alias(key),
+        F.array_sort(F.collect_list(F.struct("_at", "_p", "_turn", "_end"))).alias("_all"),
+    ).filter(F.size("_all") > 1)
+    # Piece k lies before tag k; the content of an element goes from behind its start tag to its end tag.
+    starts = F.filter("_all", lambda e: e["_turn"] == 1)
+
+    def content(e: Column) -> Column:
+        first = e["_at"] + 1
+        size = F.coalesce(e["_end"], F.size("_all") - 1) - first
+        inner = F.transform(F.slice("_all", first + 1, size), lambda p: F.concat(p["_p"]["text"], p["_p"]["tag"]))
+        last = F.element_at("_all", first + size + 1)["_p"]["text"]
+        return F.concat(F.array_join(inner, ""), last)
+
+    return whole.select(key, F.posexplode(F.transform(starts, content)).alias("pos", "content"))
 
 
 def element_counts(pages: DataFrame, tags: Sequence[str], key: str = "page_id", html: str = "html") -> DataFrame:

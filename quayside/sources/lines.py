@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quayside.functions import text
@@ -17,7 +17,8 @@ def read_lines(
 ) -> DataFrame:
     """Lines with the file and block they come from, and a slot that follows the line order.
 
-    ``keep_cr`` splits at newlines only, so that a carriage return stays visible (P10).
+    ``keep_cr`` splits at newlines only, so that a carriage return stays visible (P10). Spark splits
+    the bytes and takes them as UTF-8; another encoding is decoded here.
     """
     reader = spark.read.option("recursiveFileLookup", "true").option("encoding", encoding)
     if keep_cr:
@@ -26,10 +27,15 @@ def read_lines(
         metadata_path().alias("path"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_slot"),
-        F.col("value").alias("line"),
+        decoded(F.col("value"), encoding).alias("line"),
     )
 
 
+def decoded(value: Column, encoding: str) -> Column:
+    """A text whose bytes Spark took as UTF-8, in its own encoding."""
+    return value if encoding.upper() in ("UTF-8", "UTF8") else F.decode(value.cast("binary"), encoding)
+
+
 def number_lines(lines: DataFrame) -> DataFrame:
     """0-based line numbers of split files without a window over a file.
 

@@ -8,6 +8,8 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.session import durable
+
 CHUNK = 8 << 20
 
 
@@ -60,6 +62,57 @@ def hadoop_delete(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def hidden(path: Column) -> Column:
+    """Whether Spark's readers pass over a file for its name."""
+    return F.substring_index(path, "/", -1).rlike("^[_.]")
+
+
+def visible_copies(files: DataFrame, folder: str, path: str = "path") -> DataFrame:
+    """Each file's path and the one to read it by (``shown``): its own, or that of a copy below
+    ``folder`` where its name is one that Spark's readers pass over. A copy is written under a
+    temporary name and then renamed, so a repeated task leaves whole files."""
+    def copy(batches: Iterator) -> Iterator:
+        import hashlib
+        import shutil
+        import uuid
+
+        import pandas as pd
+
+        for batch in batches:
+            out = []
+            for uri in batch[path]:
+                name = uri.rsplit("/", 1)[1].lstrip("_.") or "file"
+                shown = f"{folder}/{hashlib.md5(uri.encode()).hexdigest()}/{name}"
+                source, there = task_filesystem(uri)
+                sink, place = task_filesystem(shown)
+                sink.create_dir(place.rsplit("/", 1)[0], recursive=True)
+                part = f"{place.rsplit('/', 1)[0]}/.{uuid.uuid4().hex}"
+                with source.open_input_stream(there, compression=None) as content, \
+                        sink.open_output_stream(part, compression=None) as target:
+                    shutil.copyfileobj(content, target, CHUNK)
+                sink.move(part, place)
+                out.append((uri, place if "://" not in shown or shown.startswith("file:") else shown))
+            yield pd.DataFrame(out, columns=["path", "shown"])
+
+    plain = files.filter(~hidden(F.col(path))).select(F.col(path).alias("path"), F.col(path).alias("shown"))
+    copied = spread(files.filter(hidden(F.col(path))), path).mapInPandas(copy, "path string, shown string")
+    return plain.unionByName(durable(copied, "visible"))
+
+
+def checked_folder(folder: str) -> str:
+    """A folder in the form listings use. Tasks reach files by other means than Spark's readers, so
+    a scheme they do not know fails here, before any work."""
+    from pyarrow import lib
+
+    if folder.startswith("file:"):
+        folder = "/" + folder[len("file:"):].lstrip("/")
+    try:
+        task_filesystem(folder)
+    except (lib.ArrowInvalid, lib.ArrowNotImplementedError) as e:
+        raise ValueError(f"tasks cannot read {folder}: {e}") from e
+    return folder.rstrip("/") or "/"
+
+
 CHECKSUM_SCHEMA = "path string, crc string, error string"
 
 

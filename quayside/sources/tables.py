@@ -110,8 +110,11 @@ def _flat(df: DataFrame) -> DataFrame:
 
 
 def dump_csv(df: DataFrame, path: str, header: bool = False, delimiter: str = ",") -> None:
-    """K3: a query as delimited text, without a header unless asked. Quotes are doubled."""
-    _flat(df).write.csv(path, header=header, sep=delimiter, escape='"', quoteAll=False)
+    """K3: a query as delimited text, without a header unless asked. Quotes are doubled, blanks at
+    the ends of a text stay."""
+    _flat(df).write.csv(
+        path, header=header, sep=delimiter, escape='"', quoteAll=False,
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def dump_named(df: DataFrame, path: str, names: str) -> None:

@@ -95,7 +95,7 @@ def test_limit_counts_rows_not_lines(spark, tmp_path, rows):
     assert rows(df, "a", "b") == [("1", "x\ny"), ("2", "z"), ("3", "w")]
     with pytest.raises(ValueError):
         delimited.read_delimited(spark, str(tmp_path / "q"), ["a", "b"], multi_line=True, append_crc=True)
-    assert rows(delimited.count_rows(spark, str(tmp_path / "q"), ["a", "b"]), "rows", "columns") == [(4, 2)]
+    assert rows(delimited.count_rows(spark, str(tmp_path / "q")), "rows", "columns") == [(4, 2)]
 
 
 def test_elements_without_end_tags(spark, rows):

@@ -107,7 +107,7 @@ def test_second_column_list():
 
 def test_count_rows_with_quoted_newline(spark, tmp_path, rows):
     root = write(tmp_path / "d", {"q.csv": 'a,b\n"x\ny",1\nz,2\n'})
-    assert rows(delimited.count_rows(spark, root, ["a", "b"]), "rows", "columns") == [(2, 2)]
+    assert rows(delimited.count_rows(spark, root), "rows", "columns") == [(2, 2)]
 
 
 def test_line_numbers_over_many_splits(spark, tmp_path):
