@@ -10,7 +10,11 @@ rarity is estimated by a sketch of fixed size, which every task counts over all
 n, at least t = ceil(percent * n / 100) shingles must be shared with any partner. So two partners
 share at least l shingles within the first n - t + l of each. Every node picks its own l: the
 longer prefix costs more index entries, but a pair then needs more matches before it is verified,
-so few pairs remain where the shingles of a prefix are frequent. A pair uses the smaller l.
+so few pairs remain where the shingles of a prefix are frequent. A pair uses the smaller l. A pair
+is written once: every entry carries its node's first few shingles, and where two nodes share one
+of these before the entry's own, they have met there. An entry at places p and q also bounds what
+the two can still share. Of the pairs written, those with fewer than l shared shingles in their
+prefixes go before any set is fetched.
 
 Groups of many near copies would make quadratically many pairs. Two steps keep them from being
 written: first each node is verified against the most typical node of each of its index entries
@@ -41,7 +45,9 @@ from quayside.session import durable
 
 SKETCH_BITS = 18
 MATCHES_MOST = 4
+EARLY = 4  # first shingles that an entry carries
 TILE = 4096
+BUCKETS = 1 << 22  # of ids, to leave out most texts that are not asked for
 SIGNATURE_BITS, SIGNATURE_LEVELS = 256, 3  # 256 bits up to 1024 shingles, then four times as many
 _PLACES = tuple(np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                                        0xD6E8FEB86659FD93, 0xA0761D6478BD642F))
@@ -195,21 +201,28 @@ def describe(docs: DataFrame, sketch, text: str, keep: list[str], width: int, pe
             starts = np.concatenate([[0], np.cumsum(length)])
             which = rows_of(starts)
             prefix = ordered[np.arange(starts[-1]) - starts[which] + firsts[which]]
+            at = starts[:-1][:, None] + np.arange(EARLY)
+            early = np.where(at < starts[1:][:, None], np.append(prefix, np.uint64(0))[np.minimum(at, len(prefix))], np.uint64(0))
             typical = per_row_sum(np.log(df), firsts) / np.maximum(n, 1)
             yield pa.RecordBatch.from_arrays([
                 *[batch.column(batch.schema.get_field_index(c)) for c in keep],
                 pa.array(set_ids(values, firsts)), pa.array(n.astype(np.int64)),
                 pa.array(base.astype(np.int32)), pa.array(best.astype(np.int32)),
                 pa.array(typical), binary_column(*signatures(values, firsts)),
+                binary_column(early.view(np.uint8).ravel(), np.arange(len(n) + 1) * 8 * EARLY),
                 binary_column(prefix.view(np.uint8), starts * 8),
-            ], [*keep, "sid", "n", "base", "matches", "typical", "signature", "prefix"])
+            ], [*keep, *NODE, "prefix"])
 
     kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
     return docs.select(*keep, text).mapInArrow(
-        rows, f"{kept}, sid long, n long, base int, matches int, typical double, signature binary, prefix binary"
+        rows, f"{kept}, sid long, n long, base int, matches int, typical double, signature binary, early binary, "
+              "prefix binary"
     )
 
 
+NODE = ("sid", "n", "base", "matches", "typical", "signature", "early")
+
+
 def _entries(nodes: DataFrame) -> DataFrame:
     """Index entries (shingle, node, place in the prefix) whose shingle two nodes share."""
 
@@ -251,10 +264,11 @@ def _entries(nodes: DataFrame) -> DataFrame:
 
 
 def _pairs(members: DataFrame, percent: int, typical_only: bool) -> DataFrame:
-    """Candidate pairs inside index entries; one row per entry a pair shares.
+    """Candidate pairs inside index entries, each written where the two first meet.
 
     ``typical_only``: each node with the most typical one of its entry. Otherwise all pairs of
-    different components. Both only as sizes and signatures allow.
+    different components. Both only as sizes, places and signatures allow. A pair whose first
+    common shingle is not among the early ones of both may be written more than once.
     """
     shape = "a long, b long, matches int"
 
@@ -282,6 +296,9 @@ def _pairs(members: DataFrame, percent: int, typical_only: bool) -> DataFrame:
         matches, component = part.column("matches").to_numpy(), part.column("component").to_numpy()
         block, tile, other = (part.column(c).to_numpy() for c in ("block", "tile", "other"))
         column = part.column("signature")
+        early = part.column("early")
+        first = np.frombuffer(early.buffers()[1], np.int32)[early.offset]
+        early = np.frombuffer(early.buffers()[2], np.uint64, count=part.num_rows * EARLY, offset=int(first)).reshape(-1, EARLY)
 
         def allowed(i, j):
             small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
@@ -294,6 +311,17 @@ def _pairs(members: DataFrame, percent: int, typical_only: bool) -> DataFrame:
             if not typical_only:
                 ok &= component[i] != component[j]
             i, j, need = i[ok], j[ok], need[ok]
+            met = np.zeros(len(i), bool)
+            if not typical_only:
+                # Where the two share an early shingle before this one, they have met there.
+                for x in range(EARLY):
+                    for y in range(EARLY):
+                        met |= (early[i, x] == early[j, y]) & (x < place[i]) & (y < place[j])
+            # Shared so far, this one, and at most all that follow. Early places share nothing before.
+            so_far = np.where((place[i] <= EARLY) & (place[j] <= EARLY) & (not typical_only), 0, np.minimum(place[i], place[j]))
+            room = so_far + np.minimum(n[i] - place[i], n[j] - place[j])
+            ok = ~met & (room >= need)
+            i, j, need = i[ok], j[ok], need[ok]
             ok = apart(column, n, i, j) <= n[i] + n[j] - 2 * need
             return i[ok], j[ok]
 
@@ -337,7 +365,36 @@ def _tiled(entries: DataFrame, nodes: DataFrame) -> DataFrame:
         "shingle", "sid", "place", "block", F.least("block", "_with").alias("tile"),
         F.greatest("block", "_with").alias("other"),
     )
-    return spread.join(nodes.select("sid", "n", "base", "matches", "typical", "signature"), "sid")
+    return spread.join(nodes.select(*NODE), "sid")
+
+
+def _matching(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs that share as many shingles in their prefixes as the smaller l asks for."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y, x_base, y_base, l in zip(*(batch.column(c) for c in ("prefix_a", "prefix_b", "base_a", "base_b", "matches"))):
+                l = l.as_py()
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64)[:k.as_py() + l] for v, k in ((x, x_base), (y, y_base)))
+                keep.append(len(np.intersect1d(x, y, assume_unique=True)) >= l)
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    several = pairs.filter("matches > 1")
+    wanted = several.select(F.col("a").alias("sid")).union(several.select("b")).distinct()
+    asked = durable(lookup_join(nodes.select("sid", "base", "prefix"), wanted, ["sid"], "left_semi"), "prefixes")
+    sides = [asked.select(*[F.col(c).alias(x if c == "sid" else f"{c}_{x}") for c in asked.columns]) for x in ("a", "b")]
+    counted = several.join(sides[0], "a").join(sides[1], "b").select(
+        "a", "b", "matches", "base_a", "base_b", "prefix_a", "prefix_b").mapInArrow(count, "a long, b long")
+    return pairs.filter("matches <= 1").select("a", "b").union(counted)
+
+
+def _asked(docs: DataFrame, ids: DataFrame, doc_id: str) -> DataFrame:
+    """The rows whose id falls into a bucket with one of ``ids``: a superset of those asked for, found
+    by a broadcast of at most BUCKETS numbers, so that a join by id does not shuffle all texts."""
+    bucket = F.pmod(F.xxhash64(doc_id), F.lit(BUCKETS)).cast("int").alias("_bucket")
+    filled = ids.select(bucket).distinct()
+    return docs.withColumn("_bucket", bucket).join(F.broadcast(filled), "_bucket", "left_semi").drop("_bucket")
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, nodes: DataFrame, width: int, percent: int) -> DataFrame:
@@ -361,8 +418,9 @@ def _linked(pairs: DataFrame, docs: DataFrame, doc_id: str, text: str, nodes: Da
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     wanted = pairs.select(F.col("a").alias("sid")).union(pairs.select("b")).distinct()
-    texts = nodes.join(wanted, "sid", "left_semi").select(F.col("doc").alias(doc_id), "sid").distinct()
-    found = lookup_join(docs.select(doc_id, text), texts, [doc_id], "inner")
+    texts = durable(
+        lookup_join(nodes.select("sid", "doc"), wanted, ["sid"], "left_semi").select(F.col("doc").alias(doc_id), "sid"), "asked")
+    found = lookup_join(_asked(docs.select(doc_id, text), texts, doc_id), texts, [doc_id], "inner", stored=True)
     made = found.select(text).mapInArrow(sets, "sid long, set binary")
     unnamed = nodes.filter("doc is null").select("sid")
     if not unnamed.isEmpty():  # no id to fetch their texts by: the sets tell which are asked for
@@ -389,7 +447,7 @@ def near_groups(
         describe(docs.select(F.col(doc_id).alias("doc"), text), sketch, text, ["doc"], width, percent), "sets")
     nodes = durable(
         described.filter("n > 0").groupBy("sid").agg(
-            F.min("doc").alias("doc"), *[F.first(c).alias(c) for c in ("n", "base", "matches", "typical", "signature", "prefix")]
+            F.min("doc").alias("doc"), *[F.first(c).alias(c) for c in (*NODE[1:], "prefix")]
         ), "nodes")
     entries = durable(_entries(nodes), "entries")
     members = durable(_tiled(entries, nodes), "members")
@@ -400,18 +458,19 @@ def near_groups(
     known = components(links)
     met = members.join(known.withColumnRenamed("node", "sid"), "sid", "left").withColumn(
         "component", F.coalesce("component", "sid"))
-    counted = _pairs(met, percent, False).groupBy("a", "b").agg(
-        F.count(F.lit(1)).alias("_shared"), F.first("matches").alias("matches"))
-    second = durable(
-        counted.filter("_shared >= matches").select("a", "b").join(first, ["a", "b"], "left_anti"), "pairs")
+    written = durable(_pairs(met, percent, False).distinct(), "pairs")
+    second = durable(_matching(written, nodes).join(first, ["a", "b"], "left_anti"), "pairs")
     more = durable(_linked(second, docs, doc_id, text, nodes, width, percent), "links")
     final = components(links.union(more))
 
-    placed = described.select("doc", "sid", "n").join(
-        final.withColumnRenamed("node", "sid"), "sid", "left"
-    ).withColumn("component", F.coalesce("component", "sid"))
-    smallest = placed.filter("n > 0").groupBy("component").agg(F.min("doc").alias("_smallest"))
-    return placed.join(smallest, "component", "left").select(
+    # A component is named by the smallest id of its nodes; a node has the smallest id of its texts.
+    linked = durable(final.withColumnRenamed("node", "sid").join(nodes.select("sid", "doc"), "sid"), "linked")
+    smallest = linked.groupBy("component").agg(F.min("doc").alias("_smallest"))
+    of_node = nodes.select("sid", "doc").join(
+        lookup_join(linked, smallest, ["component"]).select("sid", "_smallest"), "sid", "left"
+    ).select("sid", F.coalesce("_smallest", "doc").alias("_smallest"))
+    placed = lookup_join(described.select("doc", "sid", "n"), of_node.filter("_smallest is not null"), ["sid"], "left")
+    return placed.select(
         F.col("doc").alias(doc_id), F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("_smallest")).otherwise(F.col("doc")).alias("component_id"),
     )
