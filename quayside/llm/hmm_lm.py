@@ -11,16 +11,24 @@ with one unseen word per class. Counts, unlike classes, are not bounded: texts a
 of bounded size, each block's distinct words meet the corpus in one shuffle, and the counts come
 back to their block. What is broadcast is the state model, bounded by the number of classes.
 
-Baum-Welch starts from a random model; every round takes expected counts from all training texts,
-until the likelihood of the training tokens settles. The counts are added up over
-partitions. For training, texts are cut into runs of ``RUN`` tokens that are worked off side by
-side; scores use the scaled forward recursion over whole texts, without cuts.
+The first model comes from the corpus too: one pass counts what follows and precedes every class,
+and classes with like neighbours start in one state. Baum-Welch is incremental: the training texts
+are in ``PARTS`` parts by a hash, the same number at every size; after each part its expected counts
+replace those it had, and the model is estimated anew from the sum over all parts. A sweep thus
+takes counts from every training text and improves the model ``PARTS`` times; sweeps go on until
+the likelihood of the training tokens settles. Counts are added up over partitions.
+
+For training, texts are cut into runs of ``RUN`` tokens that are worked off side by side. A run is
+read with ``OVERLAP`` tokens of its text on both sides, which bring both messages to the state they
+would have and are not counted; the transition at a cut counts once, in the later run. Scores use
+the scaled forward recursion over whole texts, without cuts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +45,11 @@ SHARE = 20_000
 RARE = 4096
 BLOCK_BYTES = 16 << 20
 RUN = 512
-LEAST_ROUNDS, ROUNDS = 14, 60  # a random start may rest for some rounds before it climbs
-SETTLED = 1e-3  # a gain per token (natural log) that ends the search
+OVERLAP = 16
+PARTS = 8
+SWEEPS = 4
+SETTLED = 1e-3  # a gain per token and sweep (natural log) that ends the search
+NEIGHBOURS = 128  # kinds of neighbours told apart for the first model
 
 
 @dataclass
@@ -66,9 +77,51 @@ class Model:
         return Model(start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(0))
 
 
+def first_model(classes: np.ndarray, neighbours: np.ndarray, kind: np.ndarray, states: int = STATES) -> Model:
+    """A model whose states are clusters of classes with like neighbours.
+
+    ``neighbours`` counts per class what kind of class follows (first half) and precedes it; ``kind``
+    is the kind of each class: one for each of the most frequent classes, one for all others.
+    """
+    kinds = neighbours.shape[1] // 2
+    weight = classes + 0.5
+    usual = np.bincount(kind, weight, kinds) / weight.sum()
+    halves = [neighbours[:, :kinds], neighbours[:, kinds:]]
+    x = np.sqrt(np.concatenate([(h + 5 * usual) / (h.sum(1, keepdims=True) + 5) for h in halves], 1))
+    norm = (x**2).sum(1)
+
+    def distances(centres: np.ndarray) -> np.ndarray:
+        return np.maximum(norm[:, None] - 2 * x @ centres.T + (centres**2).sum(1), 0)
+
+    # The heaviest class, then always the one that is farthest from all centres for its weight.
+    picked = [int(weight.argmax())]
+    for _ in range(states - 1):
+        picked.append(int((distances(x[picked]).min(1) * weight).argmax()))
+    centres = x[picked]
+    for _ in range(20):
+        state = distances(centres).argmin(1)
+        size = np.bincount(state, weight, states)
+        total = np.zeros_like(centres)
+        np.add.at(total, state, x * weight[:, None])
+        centres = np.where(size[:, None] > 0, total / np.maximum(size, 1e-300)[:, None], centres)
+    far = distances(centres)
+    near = far.min(1)
+    share = np.exp(-(far - near[:, None]) / (np.average(near, weights=weight) + 1e-9))
+    share /= share.sum(1, keepdims=True)
+    emit = weight[:, None] * share
+    # From a state to the kinds that follow its classes, and from a kind to the states of its classes.
+    follows = np.zeros((states, kinds))
+    np.add.at(follows, state, halves[0])
+    of_kind = np.zeros((kinds, states))
+    np.add.at(of_kind, (kind, state), weight)
+    move = follows @ (of_kind / np.maximum(of_kind.sum(1, keepdims=True), 1e-300)) + 1
+    start = emit.sum(0)
+    return Model(start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(0))
+
+
 def expected_counts(model: Model, classes: np.ndarray, firsts: np.ndarray, into: np.ndarray) -> float:
-    """Forward and backward over the texts ``classes[firsts[i]:firsts[i + 1]]``, cut into runs;
-    adds expected starts, moves and emissions to ``into`` and returns the runs' log likelihood."""
+    """Forward and backward over the texts ``classes[firsts[i]:firsts[i + 1]]``, cut into runs that
+    overlap; adds expected starts, moves and emissions to ``into`` and returns the log likelihood."""
     k = len(model.start)
     move, emit = model.move.astype(np.float32), model.emit.astype(np.float32)
     level = np.linalg.matrix_power(model.move, 64)[0].astype(np.float32)
@@ -76,10 +129,13 @@ def expected_counts(model: Model, classes: np.ndarray, firsts: np.ndarray, into:
     per = np.maximum(-(-length // RUN), 1)
     text = np.repeat(np.arange(len(length)), per)
     nth = np.arange(len(text)) - np.repeat(np.cumsum(per) - per, per)
-    begin = firsts[:-1][text] + nth * RUN
-    size = np.minimum(firsts[1:][text] - begin, RUN)
+    core = firsts[:-1][text] + nth * RUN
+    stop = np.minimum(core + RUN, firsts[1:][text])
+    begin = np.maximum(core - OVERLAP, firsts[:-1][text])
+    size = np.minimum(stop + OVERLAP, firsts[1:][text]) - begin
     order = np.argsort(-size, kind="stable")
     begin, size, head = begin[order], size[order], nth[order] == 0
+    first, last = core[order] - begin, stop[order] - begin  # steps that count
     steps = int(size[0]) if len(size) else 0
     active = np.searchsorted(-size, -np.arange(steps), "left")  # runs longer than t
     alphas, total = [], 0.0
@@ -89,7 +145,7 @@ def expected_counts(model: Model, classes: np.ndarray, firsts: np.ndarray, into:
         a = a[:n] if t == 0 else a[:n] @ move
         a = a * emit[classes[begin[:n] + t]]
         scale = np.maximum(a.sum(1, keepdims=True), 1e-30)
-        total += float(np.log(scale).sum())
+        total += float(np.log(scale[(first[:n] <= t) & (t < last[:n])]).sum())
         a /= scale
         alphas.append(a)
     b = np.ones((0, k), np.float32)
@@ -97,20 +153,23 @@ def expected_counts(model: Model, classes: np.ndarray, firsts: np.ndarray, into:
         n = active[t]
         if len(b) < n:
             b = np.concatenate([b, np.ones((n - len(b), k), np.float32)])
+        counts = ((first[:n] <= t) & (t < last[:n]))[:, None]
         gamma = alphas[t] * b
         gamma /= np.maximum(gamma.sum(1, keepdims=True), 1e-30)
+        gamma *= counts
         if t == 0:
-            into[0] += gamma[head].sum(0)
+            into[0] += gamma[head[:n]].sum(0)
         if t:
             seen = emit[classes[begin[:n] + t]] * b
             seen /= np.maximum(seen.max(1, keepdims=True), 1e-30)
             b = seen @ move.T
             before = alphas[t - 1][:n]
             seen /= np.maximum((before * b).sum(1, keepdims=True), 1e-30)
-            into[1:k + 1] += (before.T @ seen) * move
+            into[1:k + 1] += (before.T @ (seen * counts)) * move
             b /= b.sum(1, keepdims=True)
         alphas[t] = gamma
-    # Emissions: every (token, state) share once, token order as in the steps.
+    # Emissions: every (token, state) share once, token order as in the steps; shares of tokens that
+    # another run counts are zero.
     if steps:
         cls = np.concatenate([classes[begin[:active[t]] + t] for t in range(steps)]).astype(np.int64)
         gammas = np.concatenate(alphas)
@@ -266,10 +325,37 @@ def _sequences(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data.tobytes(), np.uint16).astype(np.int64), (offsets - offsets[0]) // 2
 
 
-def _gather(classed: DataFrame, model: Model) -> tuple[np.ndarray, float]:
-    """Expected counts and log likelihood over all training texts: one array per task, added up in
-    two levels."""
-    spark = classed.sparkSession
+def _neighbours(training: DataFrame, kind: np.ndarray, kinds: int) -> np.ndarray:
+    """Per class, how often each kind of class follows and precedes it in a training text; a row per
+    class and kind that a task has met is shuffled."""
+    shared = training.sparkSession.sparkContext.broadcast(kind)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = shared.value
+        total = np.zeros(len(kind) * 2 * kinds, np.int32)
+        for batch in batches:
+            if batch.num_rows:
+                classes, firsts = _sequences(batch)
+                inside = np.ones(len(classes), bool)
+                inside[firsts[1:-1][np.diff(firsts)[1:] > 0]] = False  # nothing precedes a text's first class
+                at = np.flatnonzero(inside[1:])
+                one, two = classes[at], classes[at + 1]
+                for cell in (one * 2 * kinds + kind[two], two * 2 * kinds + kinds + kind[one]):
+                    total += np.bincount(cell, minlength=len(total)).astype(np.int32)
+        cell = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(total[cell].astype(np.int64))], ["cell", "n"])
+
+    counted = training.select("classes").mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    out = np.zeros(len(kind) * 2 * kinds, np.float32)
+    got = counted.toArrow()  # at most a row per class and kind: both bounded, whatever the corpus
+    out[got.column("cell").to_numpy()] = got.column("n").to_numpy()
+    return out.reshape(len(kind), -1)
+
+
+def _gather(training: DataFrame, model: Model) -> tuple[np.ndarray, float]:
+    """Expected counts and log likelihood over training texts: one array per task, added up in two
+    levels."""
+    spark = training.sparkSession
     shared = spark.sparkContext.broadcast((model.start, model.move, model.emit))
     shape = (2 + len(model.start) + len(model.emit), len(model.start))  # the last row: log likelihood
     pieces = 16
@@ -298,7 +384,7 @@ def _gather(classed: DataFrame, model: Model) -> tuple[np.ndarray, float]:
             "counts": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
 
     columns = "piece int, lane int, counts binary"
-    counted = classed.filter("not held_out").select("classes").mapInArrow(count, columns)
+    counted = training.select("classes").mapInArrow(count, columns)
     rows = counted.groupBy("piece", "lane").applyInArrow(add, columns).groupBy("piece").applyInArrow(add, columns).collect()
     parts = np.array_split(np.zeros(shape).ravel(), pieces)
     for r in rows:
@@ -307,8 +393,28 @@ def _gather(classed: DataFrame, model: Model) -> tuple[np.ndarray, float]:
     return whole[:-1], float(whole[-1, 0])
 
 
+def train(parts: list[DataFrame], classes: np.ndarray, tokens: int, sweeps: int = SWEEPS) -> Model:
+    """The model that incremental Baum-Welch reaches from the corpus' own start."""
+    often = np.argsort(-classes, kind="stable")[:NEIGHBOURS - 1]
+    kind = np.full(len(classes), NEIGHBOURS - 1, np.int64)
+    kind[often] = np.arange(len(often))
+    model = first_model(classes, _neighbours(reduce(DataFrame.union, parts), kind, NEIGHBOURS), kind)
+    held: list[np.ndarray | None] = [None] * len(parts)
+    last = -np.inf
+    for _ in range(sweeps):
+        now = 0.0
+        for p, part in enumerate(parts):
+            held[p], found = _gather(part, model)
+            now += found
+            model = model.learn(sum(c for c in held if c is not None), classes)
+        if now - last < SETTLED * tokens:
+            break
+        last = now
+    return model
+
+
 def score_texts(
-    docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text", rounds: int = ROUNDS
+    docs: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text", sweeps: int = SWEEPS
 ) -> DataFrame:
     """Per row: id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10).
 
@@ -316,7 +422,7 @@ def score_texts(
     text is its end token alone. Repeated rows are learnt and scored as often as they occur. Other
     columns are left out. Without training texts every class is equally unlikely and the base
     gives each token probability 1. An empty table gives no rows. Training ends when the likelihood
-    settles, after ``rounds`` rounds at the latest.
+    settles, after ``sweeps`` sweeps over all training texts at the latest.
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "blocks")
@@ -355,15 +461,13 @@ def score_texts(
 
     made = _classed(blocks, counted, top, weight)
     path = scratch_path(spark, "classes")
-    made.write.option("compression", "zstd").parquet(path)
-    classed = spark.read.schema(made.schema).parquet(path)
-    model = Model.begin(classes)
-    last = -np.inf
-    for k in range(rounds if ends else 0):
-        counts, now = _gather(classed, model)
-        if k >= LEAST_ROUNDS and now - last < SETTLED * tokens:
-            break
-        model, last = model.learn(counts, classes), now
+    part = F.when(F.col("held_out"), -1).otherwise(F.pmod(F.xxhash64("id", "n", "logs"), F.lit(PARTS))).cast("int")
+    made.withColumn("part", part).write.option("compression", "zstd").partitionBy("part").parquet(path)
+    classed = spark.read.schema(f"{made._jdf.schema().toDDL()}, part int").parquet(path)
+    if ends:
+        model = train([classed.filter(F.col("part") == p) for p in range(PARTS)], classes, tokens, sweeps)
+    else:
+        model = Model.begin(classes)
 
     shared = spark.sparkContext.broadcast((model.start, model.move, model.emit))
     kind = classed.schema["id"].dataType.simpleString()

@@ -315,21 +315,59 @@ def test_scores(docs, texts, nothing):
     assert alone["train_tokens"] == 0 and alone["base_score"] == 0 and alone["n_known"] == 0
 
 
-def test_every_round_sees_all_training_texts(spark, monkeypatch):
+def test_every_sweep_sees_all_training_texts(spark, monkeypatch):
     import quayside.llm.hmm_lm as H
 
     seen = []
     gather = H._gather
-    monkeypatch.setattr(H, "_gather", lambda classed, model: seen.append(gather(classed, model)) or seen[-1])
+    monkeypatch.setattr(H, "_gather", lambda part, model: seen.append(gather(part, model)) or seen[-1])
     rows = [(k, prose(list(LANGS)[k % 3], k, 12)) for k in range(1800)]
     score_texts(spark.createDataFrame(rows, "doc_id long, text string"), F.lit(False))
-    assert H.LEAST_ROUNDS < len(seen) <= H.ROUNDS
-    for counts, _ in seen:  # a start per text and an emission per token, whatever the round
-        assert counts[0].sum() == pytest.approx(1800, rel=1e-3)
-        assert counts[1 + H.STATES:].sum() == pytest.approx(1800 * 13, rel=1e-3)
-    logs = [x for _, x in seen]
+    assert len(seen) % H.PARTS == 0 and 2 * H.PARTS <= len(seen) <= H.SWEEPS * H.PARTS
+    logs = []
+    for a in range(0, len(seen), H.PARTS):  # a start per text and an emission per token in every sweep
+        sweep = seen[a:a + H.PARTS]
+        assert sum(c[0].sum() for c, _ in sweep) == pytest.approx(1800, rel=1e-3)
+        assert sum(c[1:1 + H.STATES].sum() for c, _ in sweep) == pytest.approx(1800 * 12, rel=1e-3)
+        assert sum(c[1 + H.STATES:].sum() for c, _ in sweep) == pytest.approx(1800 * 13, rel=1e-3)
+        logs.append(sum(x for _, x in sweep))
     settled = logs[-1] - logs[-2] < H.SETTLED * 1800 * 13
-    assert logs[-1] > logs[0] and settled == (len(seen) < H.ROUNDS)
+    assert logs[-1] > logs[0] and settled == (len(seen) < H.SWEEPS * H.PARTS)
+
+
+def test_cuts_leave_the_counts_as_they_are(monkeypatch):
+    import quayside.llm.hmm_lm as H
+
+    rng = np.random.default_rng(9)
+    model = Model(rng.dirichlet([1] * 4), 0.7 * np.eye(4) + 0.3 * rng.dirichlet([1] * 4, 4), rng.dirichlet([0.4] * 30, 4).T)
+    lengths = [1, 700, 2500, 512, 0, 513, 530]
+    classes = rng.integers(0, 30, sum(lengths))
+    firsts = np.concatenate([[0], np.cumsum(lengths)])
+    whole, cut = np.zeros((35, 4)), np.zeros((35, 4))
+    logs = [expected_counts(model, classes, firsts, cut)]
+    monkeypatch.setattr(H, "RUN", 1 << 20)
+    logs.append(expected_counts(model, classes, firsts, whole))
+    assert np.allclose(cut, whole, rtol=2e-3, atol=0.05) and abs(logs[0] - logs[1]) < 1e-3 * abs(logs[1])
+    assert cut[1:5].sum() == pytest.approx(sum(max(n - 1, 0) for n in lengths), rel=1e-4)
+    assert cut[5:].sum(1) == pytest.approx(np.bincount(classes, minlength=30), rel=1e-4)
+
+
+def test_first_states_hold_classes_of_like_neighbours():
+    import quayside.llm.hmm_lm as H
+
+    rng = np.random.default_rng(3)
+    seq = np.concatenate([rng.integers(0, 10, 5000) * 2 + rng.integers(0, 2) for _ in range(6)])  # even or odd for long
+    classes = np.bincount(seq, minlength=20).astype(float)
+    kind = np.arange(20)
+    near = np.zeros((20, 40))
+    np.add.at(near, (seq[:-1], seq[1:]), 1)
+    np.add.at(near, (seq[1:], 20 + seq[:-1]), 1)
+    model = H.first_model(classes, near, kind, 2)
+    state = model.emit.argmax(1)
+    assert len(set(state[::2])) == 1 and len(set(state[1::2])) == 1 and state[0] != state[1]
+    assert np.allclose(model.emit.sum(0), 1) and np.allclose(model.move.sum(1), 1) and model.move.diagonal().min() > 0.9
+    alone = H.first_model(np.array([3.0]), np.zeros((1, 2)), np.array([0]), 2)
+    assert np.isfinite(alone.emit).all() and np.isfinite(alone.move).all()
 
 
 # ---- pipeline
