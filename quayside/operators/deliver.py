@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.operators.merge import merge_rows
+from quayside.operators.merge import merge_rows, merge_stored
 from quayside.operators.skew import lookup_join
 from quayside.session import durable, scratch_path
 
@@ -99,19 +99,38 @@ def move_batches(
     moved = lookup_join(source, open_batches.select(batch).distinct(), [batch], "left_semi")
     if not open_batches.filter(F.col(batch).isNull()).isEmpty():
         moved = moved.unionByName(source.filter(F.col(batch).isNull()))
+    dealt, tally = tallied(moved.hint("rebalance", F.col(batch)), batch)
     (
-        moved.hint("rebalance", F.col(batch))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(batch).parquet(path)
     )
     loaded = spark.read.schema(source.schema).parquet(path)
-    return batch_log(moved, loaded, open_batches, batch)
+    return batch_log(moved, loaded, open_batches, batch, tally)
+
+
+def _tally(batch: str, rows: Column) -> list[Column]:
+    """A count and two sums of batch hashes: equal for two sets of rows only if every batch has as
+    many rows in both (but for a chance of about 2**-64)."""
+    hashes = [F.coalesce(F.xxhash64(F.lit(salt), F.col(batch)), F.lit(0)).cast("decimal(20,0)") for salt in (1, 2)]
+    return [F.coalesce(F.sum(rows), F.lit(0)).alias("rows"), *[
+        F.coalesce(F.sum((h * rows).cast("decimal(38,0)")), F.lit(0)).alias(f"sum_{i}") for i, h in enumerate(hashes)]]
+
+
+def tallied(rows: DataFrame, batch: str) -> tuple[DataFrame, Observation]:
+    """The rows, counted by the job that writes them."""
+    seen = Observation()
+    return rows.observe(seen, *_tally(batch, F.lit(1).cast("long"))), seen
 
 
 def batch_log(
-    dumped: DataFrame, loaded: DataFrame, open_batches: DataFrame, batch: str
+    dumped: DataFrame, loaded: DataFrame, open_batches: DataFrame, batch: str, tally: Observation | None = None
 ) -> DataFrame:
-    """One row per batch; differing counts make the batch fail."""
+    """One row per batch; differing counts make the batch fail.
+
+    Loaded rows are counted per batch folder, for which Spark reads the files' footers alone. The
+    rows that the write dumped were counted by it (``tally``); where they agree with the loaded
+    ones no source is run again. Otherwise, or without a tally, the dump is counted per batch.
+    """
     def counted(df: DataFrame, name: str) -> DataFrame:
         return df.groupBy(batch).agg(F.count(F.lit(1)).alias(name))
 
@@ -119,14 +138,17 @@ def batch_log(
     # the target holds older batches too: only the partitions of the open ones are read
     key = ids.withColumnRenamed(batch, "_open")
     same_batch = F.col("_open").eqNullSafe(F.col(batch))
-    fresh = loaded.join(key, same_batch, "left_semi")
-    counts = (
-        key.join(counted(dumped, "rows_dumped"), same_batch, "left").drop(batch)
-        .join(counted(fresh, "rows_loaded"), same_batch, "left").drop(batch)
-        .withColumnRenamed("_open", batch)
-        .fillna(0, ["rows_dumped", "rows_loaded"])
-        .select(batch, "rows_dumped", "rows_loaded")
-    )
+    fresh = durable(counted(loaded.select(batch).join(F.broadcast(key), same_batch, "left_semi"), "rows_loaded"), "loaded")
+    if tally is not None and tuple(fresh.agg(*_tally(batch, F.col("rows_loaded"))).first()) == tuple(
+            tally.get[k] for k in ("rows", "sum_0", "sum_1")):
+        counts = key.join(fresh, same_batch, "left").drop(batch).withColumn("rows_dumped", F.col("rows_loaded"))
+    else:
+        counts = (
+            key.join(counted(dumped, "rows_dumped"), same_batch, "left").drop(batch)
+            .join(fresh, same_batch, "left").drop(batch)
+        )
+    counts = counts.withColumnRenamed("_open", batch).fillna(0, ["rows_dumped", "rows_loaded"]).select(
+        batch, "rows_dumped", "rows_loaded")
     same = F.col("rows_dumped") == F.col("rows_loaded")
     return counts.withColumn("status", F.when(same, "Completed").otherwise("Failed"))
 
@@ -154,19 +176,27 @@ def deliver_file_id(source: DataFrame, target: DataFrame, column: str = "file_id
     return lookup_join(source, todo, [column], "left_semi")
 
 
-def deliver_last_update(
+def newest_rows(
     source: DataFrame, target: DataFrame, keys: Sequence[str], time: str, tie: str
 ) -> DataFrame:
-    """L4: source rows newer than the newest target row, the newest per key, over the target."""
+    """L4: source rows newer than the newest target row, the newest per key."""
     newest = target.agg(F.max(time).alias("t"))
     fresh = source.filter(F.col(time) > F.coalesce(newest.scalar(), F.lit("0001-01-01").cast("timestamp")))
     rest = [c for c in target.columns if c not in keys]
-    last = (
+    return (
         fresh.groupBy(*keys)
         .agg(F.max_by(F.struct(*rest), F.struct(time, tie)).alias("_r"))
         .select(*keys, "_r.*")
     )
-    return merge_rows(target, last, keys, check_changes=False, unique=True)
+
+
+def deliver_last_update(
+    source: DataFrame, target: DataFrame, keys: Sequence[str], time: str, tie: str, stored: bool = False
+) -> DataFrame:
+    """L4: the target with the newest source rows over it; ``stored`` as a table, the target read
+    once for the merge and once for its newest time."""
+    merge = merge_stored if stored else merge_rows
+    return merge(target, newest_rows(source, target, keys, time, tie), keys, check_changes=False, unique=True)
 
 
 def deliver_project(rows: DataFrame, catalog: DataFrame, project: str, column: str = "file_id") -> DataFrame:

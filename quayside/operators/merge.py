@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.operators.skew import fits_broadcast
+from quayside.operators.skew import BROADCAST_BYTES, BROADCAST_ROWS, fits_broadcast
+from quayside.session import durable, durable_sized, scratch_path
 
 # Columns left out of the change comparison (M1).
 TECHNICAL = ("file_id", "cdo_last_update")
@@ -62,36 +63,80 @@ def merge_rows(
     New keys are inserted; existing ones take the staging row when a non-technical column differs
     (always, without ``check_changes``); unchanged rows keep their old ``file_id`` (F28).
 
-    * Staging counted small: it is broadcast, the target is not shuffled.
+    * Staging counted small: its rows are stored once and broadcast, the target is not shuffled. It
+      is read for its rows and once more for its keys alone; ``merge_stored`` needs one read.
     * Otherwise one full outer join on the unique keys. ``unique`` skips the key check for staging
       that is unique by construction.
     """
     keys = list(keys)
-    rest = [c for c in target.columns if c not in keys]
-    fresh = staging.select(*target.columns)
-    if not unique:
-        fresh = one_per_key(
-            staging.select(*dict.fromkeys([*target.columns, *([dedupe_by] if dedupe_by else [])])),
-            keys, dedupe_by,
-        ).select(*target.columns)
-    on_keys = reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys])
-    changed = _changed(rest, check_changes)
-    marked = fresh.withColumn("_s", F.lit(True)).alias("s")
-
+    fresh = unique_rows(target, staging, keys, dedupe_by, unique)
     if fits_broadcast(staging.select(*target.columns)):
-        joined = target.alias("t").join(F.broadcast(marked), on_keys, "left")
-        action = F.when(F.col("s._s").isNull(), TARGET_ONLY).when(changed, UPDATE).otherwise(UNCHANGED)
-        take = action == UPDATE
-        kept = joined.select(
-            *[F.col(f"t.{k}").alias(k) for k in keys],
-            *[F.when(take, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c) for c in rest],
-            action.alias("action"),
-        )
+        fresh = durable(fresh, "staging")
         # The target keys that staging holds: no more rows than staging has.
         known = target.select(*keys).join(F.broadcast(fresh.select(*keys)), keys, "left_semi")
-        added = fresh.join(known, keys, "left_anti").withColumn("action", F.lit(INSERT))
-        return kept.unionByName(added).select(*target.columns, "action")
+        return kept_rows(target, fresh, keys, check_changes).unionByName(new_rows(fresh, known, keys))
+    return _merge_all(target, fresh, keys, check_changes)
+
+
+def unique_rows(
+    target: DataFrame, staging: DataFrame, keys: list[str], dedupe_by: str | None = None, unique: bool = False
+) -> DataFrame:
+    """The staging rows in the target's columns, one per key."""
+    if unique:
+        return staging.select(*target.columns)
+    columns = dict.fromkeys([*target.columns, *([dedupe_by] if dedupe_by else [])])
+    return one_per_key(staging.select(*columns), keys, dedupe_by).select(*target.columns)
+
+
+def _on_keys(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys])
+
+
+def kept_rows(target: DataFrame, fresh: DataFrame, keys: list[str], check_changes: bool) -> DataFrame:
+    """The target's rows after the merge with a small staging, with their action; one read."""
+    rest = [c for c in target.columns if c not in keys]
+    marked = fresh.withColumn("_s", F.lit(True)).alias("s")
+    joined = target.alias("t").join(F.broadcast(marked), _on_keys(keys), "left")
+    action = F.when(F.col("s._s").isNull(), TARGET_ONLY).when(_changed(rest, check_changes), UPDATE).otherwise(UNCHANGED)
+    take = action == UPDATE
+    return joined.select(
+        *[F.col(f"t.{c}").alias(c) if c in keys else F.when(take, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c)
+          for c in target.columns],
+        action.alias("action"),
+    )
+
 
+def new_rows(fresh: DataFrame, known: DataFrame, keys: list[str]) -> DataFrame:
+    """The staging rows whose key the target lacks; ``known`` are the keys that both have."""
+    return fresh.join(known, keys, "left_anti").select(*fresh.columns).withColumn("action", F.lit(INSERT))
+
+
+def merge_stored(
+    target: DataFrame, staging: DataFrame, keys: Sequence[str], check_changes: bool = True,
+    dedupe_by: str | None = None, unique: bool = False,
+) -> DataFrame:
+    """``merge_rows`` as a stored table, as jobs need it: staging and target are read once.
+
+    With a small staging the target's merged rows are written first; their actions tell which
+    staged keys they met, and the rows of the others are added to the same table.
+    """
+    keys, spark = list(keys), target.sparkSession
+    path = scratch_path(spark, "merged")
+    fresh, count, size = durable_sized(unique_rows(target, staging, keys, dedupe_by, unique), "staging")
+    if count > BROADCAST_ROWS or size > BROADCAST_BYTES:
+        whole = _merge_all(target, fresh, keys, check_changes)
+        whole.write.parquet(path)
+        return spark.read.schema(whole.schema).parquet(path)
+    kept = kept_rows(target, fresh, keys, check_changes)
+    kept.write.parquet(path)
+    met = spark.read.schema(kept.schema).parquet(path).filter(F.col("action").isin(UPDATE, UNCHANGED)).select(*keys)
+    new_rows(fresh, met, keys).write.mode("append").parquet(path)
+    return spark.read.schema(kept.schema).parquet(path)
+
+
+def _merge_all(target: DataFrame, fresh: DataFrame, keys: list[str], check_changes: bool) -> DataFrame:
+    changed = _changed([c for c in target.columns if c not in keys], check_changes)
+    marked, on_keys = fresh.withColumn("_s", F.lit(True)).alias("s"), _on_keys(keys)
     joined = target.withColumn("_t", F.lit(True)).alias("t").join(marked, on_keys, "full_outer")
     action = (
         F.when(F.col("t._t").isNull(), INSERT)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quayside.operators.merge import UPDATE, merge_rows
 from quayside.operators.skew import lookup_join
+from quayside.session import durable
 
 
 def rule_broken(column: str, acceptable: str) -> Column:
@@ -76,49 +77,88 @@ def merge_profiles(profiles: Sequence[DataFrame]) -> DataFrame:
     return every.groupBy("column_name").agg(F.max("max_len").alias("max_len"))
 
 
-def column_stats(df: DataFrame) -> DataFrame:
+# A sketch this near to the row count may belong to a key; its standard error is SKETCH_ERROR.
+SKETCH_ERROR, NEAR = 0.02, 0.9
+
+
+def digest(text: Column) -> list[Column]:
+    """Two independent 64-bit hashes that stand for a text: 16 bytes travel whatever its length."""
+    return [F.xxhash64(F.lit(salt), text) for salt in (1, 2)]
+
+
+def column_profile(df: DataFrame) -> DataFrame:
+    """Rows, missing, least and greatest text and about how many distinct texts of each column: one
+    row per task is shuffled, no cells."""
+    texts = {c: F.col(c).cast("string") for c in df.columns}
+    one = df.agg(F.count(F.lit(1)).alias("_rows"), *[
+        F.struct(
+            F.count(t).alias("n"), F.min(t).alias("low"), F.max(t).alias("high"),
+            F.approx_count_distinct(t, SKETCH_ERROR).alias("about")).alias(c)
+        for c, t in texts.items()])
+    return one.select("_rows", F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("p")) for c in df.columns]))).select(
+        "column_name", F.col("_rows").alias("row_count"), (F.col("_rows") - F.col("p.n")).alias("null_count"),
+        F.col("p.low").alias("min_text"), F.col("p.high").alias("max_text"), F.col("p.about").alias("about"))
+
+
+def distinct_counts(texts: Mapping[str, Column], df: DataFrame, name: str) -> DataFrame:
+    """Exact distinct texts of some expressions in one scan; equal ones are combined in the tasks,
+    and what is shuffled is a digest each."""
+    # Of both hashes of a missing text nothing is counted: the row is left out.
+    cells = F.array(*[
+        F.when(t.isNotNull(), F.struct(F.lit(k).alias(name), *[h.alias(f"_h{i}") for i, h in enumerate(digest(t))]))
+        for k, t in texts.items()])
+    found = df.select(F.explode(F.array_compact(cells)).alias("_c")).select("_c.*").distinct()
+    return found.groupBy(name).agg(F.count(F.lit(1)).alias("distinct_count"))
+
+
+def column_stats(df: DataFrame, exact: str = "all") -> DataFrame:
     """Rows, missing, distinct, least and greatest text of each column, and whether the column
-    is a key. One scan; values are counted per (column, value) first, so a frequent value is
-    combined before the shuffle."""
-    texts = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
-    per_value = (
-        texts.unpivot([], df.columns, "column_name", "value")
-        .groupBy("column_name", "value")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    return per_value.groupBy("column_name").agg(
-        F.sum("_n").alias("row_count"),
-        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("_n"))), F.lit(0)).alias("null_count"),
-        F.count("value").alias("distinct_count"),
-        F.min("value").alias("min_text"),
-        F.max("value").alias("max_text"),
-        (F.sum("_n") == F.count("value")).alias("is_key"),
-    )
+    is a key.
+
+    A first scan gives all but the distinct counts, and a sketch of these. With ``exact="keys"``
+    only columns without missing texts whose sketch lies near the row count are counted exactly,
+    as no other can be a key (the sketch would be off by five standard errors); for the others the
+    sketch is the count. With ``"all"`` every column is counted, by digests of its texts.
+    """
+    if exact not in ("all", "keys"):
+        raise ValueError(f"exact is all or keys, not {exact!r}")
+    profile = durable(column_profile(df), "profile")  # a row per column
+    asked = profile if exact == "all" else profile.filter((F.col("null_count") == 0) & (F.col("about") >= NEAR * F.col("row_count")))
+    names = [r[0] for r in asked.select("column_name").collect()]
+    if not names:
+        counted = profile.withColumn("distinct_count", F.lit(None).cast("long"))
+    else:
+        counts = distinct_counts({c: F.col(c).cast("string") for c in names}, df, "column_name")
+        counted = profile.join(F.broadcast(counts), "column_name", "left")
+    missing = F.lit(0).cast("long") if exact == "all" else F.col("about")
+    return counted.select(
+        "column_name", "row_count", "null_count", F.coalesce("distinct_count", missing).alias("distinct_count"),
+        "min_text", "max_text",
+        (F.col("row_count") == F.coalesce("distinct_count", F.lit(-1 if exact == "keys" else 0))).alias("is_key"))
 
 
 def is_key(df: DataFrame, columns: Sequence[str]) -> bool:
-    """V3: whether the columns identify a row; stops at the first repeated key."""
-    repeated = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    missing = df.filter(reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns]))
-    return repeated.isEmpty() and missing.isEmpty()
+    """V3: whether the columns identify a row. One scan counts rows, missing values and a sketch;
+    only if these allow a key are the digests of the keys counted."""
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+    key = F.to_json(F.struct(*[F.col(c) for c in columns]))
+    seen = df.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(~whole).alias("missing"),
+        F.approx_count_distinct(key, SKETCH_ERROR).alias("about")).first()
+    if seen["missing"] or seen["about"] < NEAR * seen["n"]:
+        return False
+    counted = distinct_counts({"key": key}, df, "name").first()
+    return (counted["distinct_count"] if counted else 0) == seen["n"]
 
 
 def index_cardinality(df: DataFrame, indexes: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Distinct values of the joined text of each index's columns (F32: without a separator),
-    exact and approximate.
-
-    Each row gives one text per index; the texts are made distinct by a partial aggregate before
-    they are counted, one scan for all indexes.
-    """
-    texts = df.select(
-        *[F.concat_ws("", *[F.col(c).cast("string") for c in cols]).alias(name)
-          for name, cols in indexes.items()]
-    )
-    return (
-        texts.unpivot([], list(indexes), "index_name", "value")
-        .distinct()
-        .groupBy("index_name").agg(F.count("value").alias("cardinality"))
-    )
+    """Distinct values of the joined text of each index's columns (F32: without a separator);
+    one scan for all indexes, digests are shuffled."""
+    texts = {name: F.concat_ws("", *[F.col(c).cast("string") for c in cols]) for name, cols in indexes.items()}
+    names = df.sparkSession.createDataFrame([(n,) for n in indexes], "index_name string")
+    return names.join(distinct_counts(texts, df, "index_name"), "index_name", "left").select(
+        "index_name", F.coalesce("distinct_count", F.lit(0)).alias("cardinality"))
 
 
 def index_cardinality_approx(df: DataFrame, indexes: Mapping[str, Sequence[str]]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -528,14 +529,49 @@ def tables_to_move(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("data_dictionary", dictionary.oracle_dictionary())
 def data_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every column of every table, with the longest text it holds."""
-    return dictionary.data_dictionary({t: table(spark, sf_dir, t) for t in TABLES})
+    return dictionary.data_dictionary({t: table(spark, sf_dir, t) for t in TABLES}, scan=True)
 
 
 @query("ddl_text", dictionary.oracle_ddl())
 def ddl_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Create, drop and verify statements of every table."""
     tables_ = {t: table(spark, sf_dir, t) for t in TABLES}
-    return dictionary.ddl(dictionary.data_dictionary(tables_), "publish")
+    return dictionary.ddl(dictionary.data_dictionary(tables_, scan=True), "publish")
+
+
+DECLARED_TABLES = {
+    "customer": "c_custkey bigint, c_name varchar(25), c_mktsegment char(10), c_acctbal double",
+    "nation": "n_nationkey int, n_name varchar(25), n_regionkey int",
+}
+
+
+@query(
+    "declared_dictionary",
+    """SELECT type, table_name, column_name, data_type, CAST(length AS INTEGER) AS length, 'YES' AS is_nullable,
+       CAST(ordinal_position AS INTEGER) AS ordinal_position, (SELECT count(*) FROM customer) AS n
+FROM (VALUES
+  ('Table', 'customer', 'c_custkey', 'bigint', 0, 1), ('Table', 'customer', 'c_name', 'character varying', 25, 2),
+  ('Table', 'customer', 'c_mktsegment', 'character', 10, 3), ('Table', 'customer', 'c_acctbal', 'double precision', 0, 4),
+  ('Table', 'nation', 'n_nationkey', 'integer', 0, 1), ('Table', 'nation', 'n_name', 'character varying', 25, 2),
+  ('Table', 'nation', 'n_regionkey', 'integer', 0, 3),
+  ('View', 'customer_names', 'c_name', 'character varying', 25, 1), ('View', 'customer_names', 'longest', 'character varying', -1, 2)
+) AS d(type, table_name, column_name, data_type, length, ordinal_position)""",
+)
+def declared_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables with declared lengths, filled from the given ones, and a view over one, as the
+    catalog knows them: no row is read for the dictionary."""
+    schema = f"declared_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {schema} LOCATION '{scratch_path(spark, 'declared')}'")
+    for t, columns in DECLARED_TABLES.items():
+        spark.sql(f"CREATE TABLE {schema}.{t} ({columns}) USING parquet")
+        names = [c.split(" ")[0] for c in columns.split(", ")]
+        table(spark, sf_dir, t).select(*names).write.insertInto(f"{schema}.{t}")
+    spark.sql(f"CREATE VIEW {schema}.customer_names AS SELECT c_name, upper(c_mktsegment) AS longest FROM {schema}.customer")
+    n = spark.table(f"{schema}.customer").count()
+    found = durable(dictionary.catalog_dictionary(spark, schema).withColumn("n", F.lit(n).cast("long")), "dictionary")
+    found = found.fillna(-1, ["length"])  # an upper-cased text has no declared length
+    spark.sql(f"DROP DATABASE {schema} CASCADE")
+    return found
 
 
 @query("catalog_scan")

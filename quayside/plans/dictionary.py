@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,51 +29,72 @@ def type_name(kind: T.DataType) -> str:
     return TYPE_NAMES.get(kind.simpleString(), kind.simpleString())
 
 
+# Fixed value: where Spark keeps the declared type of a text column.
+DECLARED = "__CHAR_VARCHAR_TYPE_STRING"
+
+
+def declared(field: T.StructField) -> tuple[str, int | None]:
+    """The database's type of a column and the length a text column was declared with."""
+    kind = re.fullmatch(r"(char|varchar)\((\d+)\)", (field.metadata or {}).get(DECLARED, ""))
+    if kind is None:
+        return type_name(field.dataType), None
+    return {"char": "character", "varchar": "character varying"}[kind[1]], int(kind[2])
+
+
 def _longest(name: str, df: DataFrame) -> DataFrame:
-    """(table, column, length) of the longest text of every text column; one scan."""
-    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    """(table, column, length) of the longest text of every text column without a declared length;
+    one scan."""
+    texts = [f.name for f in df.schema if isinstance(f.dataType, T.StringType) and declared(f)[1] is None]
     if not texts:
-        return df.sparkSession.createDataFrame([], "table_name string, column_name string, length int")
+        return df.sparkSession.createDataFrame([], "table_name string, column_name string, longest int")
     one = df.agg(*[F.max(F.length(c)).alias(c) for c in texts])
-    return one.unpivot([], texts, "column_name", "length").select(
-        F.lit(name).alias("table_name"), "column_name", "length"
+    return one.unpivot([], texts, "column_name", "longest").select(
+        F.lit(name).alias("table_name"), "column_name", "longest"
     )
 
 
-def data_dictionary(tables: dict[str, DataFrame], views: tuple[str, ...] = ()) -> DataFrame:
-    """Type, table, column, data type, length, nullable, position. Spark texts have no
-    declared length, so the length is the longest text found; 0 where there is none."""
-    spark = next(iter(tables.values())).sparkSession
-    rows = [
-        ("View" if t in views else "Table", t, f.name, type_name(f.dataType),
-         "YES" if f.nullable else "NO", i + 1)
-        for t, df in tables.items() for i, f in enumerate(df.schema)
-    ]
-    lengths = reduce(DataFrame.unionByName, [_longest(t, df) for t, df in tables.items()])
-    return (
-        spark.createDataFrame(rows, FIELDS)
-        .join(lengths, ["table_name", "column_name"], "left")
-        .fillna(0, ["length"])
-        .select("type", "table_name", "column_name", "data_type", "length", "is_nullable", "ordinal_position")
-        .orderBy("type", "table_name", "ordinal_position")
-    )
-
+def data_dictionary(tables: dict[str, DataFrame], views: tuple[str, ...] = (), scan: bool = False) -> DataFrame:
+    """Type, table, column, data type, length, nullable, position, from the schemas alone.
 
-def catalog_dictionary(spark: SparkSession, database: str) -> DataFrame:
+    The length of a text is the declared one. Without one it is missing; with ``scan`` the tables
+    are read and it is the longest text found (0 for none). Columns that are no texts have 0.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    rows = []
+    for t, df in tables.items():
+        for i, f in enumerate(df.schema):
+            kind, length = declared(f)
+            if not isinstance(f.dataType, T.StringType):
+                length = 0
+            rows.append(("View" if t in views else "Table", t, f.name, kind, "YES" if f.nullable else "NO", i + 1, length))
+    found = spark.createDataFrame(rows, f"{FIELDS}, length int")
+    if scan:
+        longest = reduce(DataFrame.unionByName, [_longest(t, df) for t, df in tables.items()])
+        found = found.join(longest, ["table_name", "column_name"], "left").withColumn(
+            "length", F.coalesce("length", "longest", F.lit(0)))
+    return found.select(
+        "type", "table_name", "column_name", "data_type", "length", "is_nullable", "ordinal_position"
+    ).orderBy("type", "table_name", "ordinal_position")
+
+
+def catalog_dictionary(spark: SparkSession, database: str, scan: bool = False) -> DataFrame:
     """C1 over the tables and views of a database of the session's catalog."""
-    listed = spark.catalog.listTables(database)
+    listed = [t for t in spark.catalog.listTables(database) if t.namespace == [database]]
     return data_dictionary(
         {t.name: spark.table(f"{database}.{t.name}") for t in listed},
-        tuple(t.name for t in listed if t.tableType == "VIEW"),
+        tuple(t.name for t in listed if t.tableType == "VIEW"), scan,
     )
 
 
 def ddl(dictionary: DataFrame, schema: str) -> DataFrame:
     """One row per table; a group holds the columns of one table."""
-    sized = F.when(
-        F.col("data_type") == "character varying",
-        F.concat(F.lit("varchar("), F.greatest("length", F.lit(1)), F.lit(")")),
-    ).otherwise(F.col("data_type"))
+    size = F.concat(F.lit("("), F.greatest("length", F.lit(1)), F.lit(")"))
+    known = F.col("length").isNotNull()
+    sized = (
+        F.when((F.col("data_type") == "character varying") & known, F.concat(F.lit("varchar"), size))
+        .when((F.col("data_type") == "character") & known, F.concat(F.lit("char"), size))
+        .otherwise(F.col("data_type"))
+    )
     need = F.when(F.col("is_nullable") == "NO", " not null").otherwise("")
     line = F.concat(F.col("column_name"), F.lit(" "), sized, need)
     name = F.concat(F.lit(f"{schema}."), F.col("table_name"))

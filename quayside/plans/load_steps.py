@@ -471,7 +471,7 @@ def upsert_from_staging(ctx: StepContext, files: DataFrame) -> DataFrame:
             group = fail_where(group, twice, "staging key is not unique").select(*files.columns)
             staged = lookup_join(staged, repeats, ["file_id"], "left_anti", stored=True)
             before = spark.table(target)
-            merged = durable(merge.merge_rows(before, staged, row.keys, dedupe_by="file_id"), "merged")
+            merged = merge.merge_stored(before, staged, row.keys, dedupe_by="file_id")
             logs.add_status(durable(merge.load_status(before, merged, target, "upsert_table_from_stg"), "status"))
             replace_table(ctx, merged.drop("action"), target)
         out.append(group)

@@ -79,7 +79,7 @@ def run_upsert(
     before = target.read()
     stamps = {"start_date": F.lit(start), "end_date": F.current_timestamp().cast("timestamp_ntz")}
     try:
-        merged = durable(merge.merge_rows(before, staging, keys, **options), "merged")
+        merged = merge.merge_stored(before, staging, keys, **options)
         status = durable(merge.load_status(before, merged, table_name, unit), "status")
         target.replace(merged.drop("action"))
     except PySparkException as e:

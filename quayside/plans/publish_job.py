@@ -6,7 +6,7 @@ import logging
 from collections.abc import Callable, Mapping
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -141,7 +141,7 @@ class PublishJob:
         mode = "static" if truncate else "dynamic"
         path = self.path(table)
         # A whole table is one batch: a rebalance by it would only shuffle the table.
-        dealt = batch if column is None else batch.hint("rebalance", F.col(BATCH))
+        dealt, tally = deliver.tallied(batch if column is None else batch.hint("rebalance", F.col(BATCH)), BATCH)
         (
             dealt.write.mode("overwrite")
             .option("partitionOverwriteMode", mode).partitionBy(BATCH).parquet(path)
@@ -152,7 +152,7 @@ class PublishJob:
             dump_csv(lookup_join(loaded, todo.select(F.col("src_sql_hash").alias(BATCH)), [BATCH], "left_semi", stored=True),
                      f"{keep.rstrip('/')}/{table}")
         open_ids = todo.select(F.col("src_sql_hash").alias(BATCH))
-        counted = deliver.batch_log(batch, loaded, open_ids, BATCH)
+        counted = deliver.batch_log(batch, loaded, open_ids, BATCH, tally)
         return durable(
             counted.join(todo, F.col(BATCH) == F.col("src_sql_hash")).select(
                 "src_sql_hash", "trg_table", "src_sql", "rows_dumped", "rows_loaded", "status",
@@ -179,19 +179,21 @@ class PublishJob:
             statement = have.get("source_sql") or f"select * from {self._names(table)[0]}"
             catalog = self.spark.table(have["catalog_table"]) if have.get("catalog_table") else self.catalog
             before = target.read().count()
-            run_delivery(
+            written = run_delivery(
                 mode, rows, target, catalog, have.get("project"), have.get("keys"),
                 have.get("time_column", "cdo_last_update"), have.get("tie_column"), have.get("file_id_column", "file_id"),
             )
             after = target.read().count()
             moved = after if mode in (deliver.KILLFILL, deliver.LAST_UPDATE) else after - before
+            status = "Completed" if moved == written else "Failed"
             row = self.spark.range(1).select(
                 F.md5(F.lit(f"{mode} {statement}")).alias("src_sql_hash"), F.lit(self._names(table)[1]).alias("trg_table"),
-                F.lit(statement).alias("src_sql"), F.lit(None).cast("long").alias("rows_dumped"),
-                F.lit(moved).cast("long").alias("rows_loaded"), F.lit("Completed").alias("status"),
+                F.lit(statement).alias("src_sql"), F.lit(written).cast("long").alias("rows_dumped"),
+                F.lit(moved).cast("long").alias("rows_loaded"), F.lit(status).alias("status"),
                 started.alias("start_time"), F.current_timestamp().cast("timestamp_ntz").alias("end_time"),
             )
             self.log.append(row)
+            deliver.require_complete(row)
         return self.log.read()
 
     def run(self) -> DataFrame:
@@ -215,23 +217,30 @@ def run_delivery(
     mode: str, source: DataFrame, target: VersionedTable, catalog: DataFrame | None = None,
     project: str | None = None, keys: list[str] | None = None, time: str = "cdo_last_update",
     tie: str | None = None, file_id: str = "file_id",
-) -> None:
-    """the single-table delivery modes, applied to a versioned target."""
+) -> int:
+    """the single-table delivery modes, applied to a versioned target; the rows that the write
+    itself counted."""
+    seen = Observation()
+
+    def counted(rows: DataFrame) -> DataFrame:
+        return rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+
     if mode == deliver.KILLFILL:
-        target.replace(source)
+        target.replace(counted(source))
     elif mode == deliver.FILE_ID:
-        target.append(deliver.deliver_file_id(source, target.read(), file_id))
+        target.append(counted(deliver.deliver_file_id(source, target.read(), file_id)))
     elif mode == deliver.LAST_UPDATE:
         if not keys:
             raise ValueError("delivery by time needs keys")
         if not tie:
             raise ValueError("delivery by time needs a column that decides between equal times")
-        merged = deliver.deliver_last_update(source, target.read(), keys, time, tie)
-        target.replace(merged.drop("action"))
+        merged = deliver.deliver_last_update(source, target.read(), keys, time, tie, stored=True)
+        target.replace(counted(merged.drop("action")))
     elif mode == deliver.PROJECT:
         if catalog is None or project is None:
             raise ValueError("delivery by project needs a catalog and a project")
         mine = deliver.deliver_project(source, catalog, project, file_id)
-        target.append(deliver.deliver_file_id(mine, target.read(), file_id))
+        target.append(counted(deliver.deliver_file_id(mine, target.read(), file_id)))
     else:
         raise ValueError(f"unknown delivery mode {mode}")
+    return seen.get["rows"]

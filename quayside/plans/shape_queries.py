@@ -441,6 +441,40 @@ def column_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+@query(
+    "key_discovery",
+    _per_column_sql(
+        "SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS row_count,"
+        " count(*) - count({c}) AS null_count, min({e}) AS min_text, max({e}) AS max_text,"
+        " count(*) = count(DISTINCT {e}) AS is_key, true AS count_is_near FROM {t}"
+    ),
+)
+def key_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys found by sketches: only columns that may be one are counted exactly. The counts
+    of the others are sketches, compared here with exact ones."""
+    parts = []
+    for t, df in _profiled(spark, sf_dir).items():
+        near = quality.column_stats(df, exact="keys")
+        exact = quality.column_stats(df).select("column_name", F.col("distinct_count").alias("n"))
+        close = F.abs(F.col("distinct_count") - F.col("n")) <= F.greatest(F.col("n") * 0.1, F.lit(1))
+        parts.append(near.join(exact, "column_name").select(
+            F.lit(t).alias("table_name"), "column_name", "row_count", "null_count", "min_text", "max_text", "is_key",
+            close.alias("count_is_near")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(
+    "index_cardinality_near",
+    " UNION ALL ".join(f"SELECT '{name}' AS index_name, true AS is_near" for name in INDEXES),
+)
+def index_cardinality_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sketches of the indexes lie within a tenth of the exact counts."""
+    lines = table(spark, sf_dir, "lineitem")
+    exact = quality.index_cardinality(lines, INDEXES).withColumnRenamed("cardinality", "exact")
+    near = F.abs(F.col("cardinality") - F.col("exact")) <= 0.1 * F.col("exact")
+    return quality.index_cardinality_approx(lines, INDEXES).join(exact, "index_name").select("index_name", near.alias("is_near"))
+
+
 REDACTION = {"c_custkey": "keep", "c_name": "Hash", "c_nationkey": "Increment", "c_acctbal": "drop"}
 
 

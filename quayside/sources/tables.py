@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quayside.functions import render
-from quayside.operators.merge import merge_rows
+from quayside.operators.merge import merge_stored
 from quayside.operators.skew import lookup_join
 from quayside.session import durable
 from quayside.sources.storage import hadoop_children, hadoop_delete, metadata_path
@@ -83,7 +83,7 @@ def upsert_partitions(
         "touched",
     )
     old = lookup_join(target, touched, [partition], "left_semi", stored=True).select(*schema.names)
-    merged = durable(merge_rows(old, staging, keys, **options), "merged")
+    merged = merge_stored(old, staging, keys, **options)
     folder = F.regexp_extract(metadata_path(), "^(.*)/[^/]*$", 1).alias("folder")
     left = durable(
         touched.join(merged.select(partition).distinct(), partition, "left_anti").join(

@@ -326,12 +326,12 @@ def test_dictionary(spark):
     spark.sql("CREATE TABLE IF NOT EXISTS dict.t (LoanID int, name string, amt decimal(12,4)) USING parquet")
     spark.sql("INSERT INTO dict.t VALUES (1, 'abc', 1.5)")
     got = {r.column_name: (r.type, r.data_type, r.length, r.ordinal_position)
-           for r in dictionary.catalog_dictionary(spark, "dict").collect()}
+           for r in dictionary.catalog_dictionary(spark, "dict", scan=True).collect()}
     assert got == {"LoanID": ("Table", "integer", 0, 1), "name": ("Table", "character varying", 3, 2),
                    "amt": ("Table", "numeric(12,4)", 0, 3)}
     text = dictionary.table_ddl(spark, "dict.t")
     assert "loan_id int" in text and "create table" in text
-    made = dictionary.ddl(dictionary.catalog_dictionary(spark, "dict"), "new").first()
+    made = dictionary.ddl(dictionary.catalog_dictionary(spark, "dict", scan=True), "new").first()
     assert made.create_sql == "create table new.t (LoanID integer, name varchar(3), amt numeric(12,4));"
     tables.create_like(spark, "dict.copy", spark.table("dict.t"), "LoanID", 2, replace=True)
     assert spark.table("dict.copy").isEmpty()
