@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quayside.functions import paths, text
 from quayside.operators import catalog as cat
@@ -18,7 +19,7 @@ from quayside.operators import merge
 from quayside.operators.skew import lookup_join
 from quayside.plans.config import MappingRow
 from quayside.plans.logs import Logs
-from quayside.session import durable
+from quayside.session import durable, scratch_path
 from quayside.sources import archives, delimited, lines, storage, workbooks
 from quayside.sources.tables import VersionedTable
 
@@ -247,8 +248,11 @@ def _names(row: MappingRow, kind: str, table_columns: list[str] | None) -> list[
 
 
 def _import(ctx: StepContext, files: DataFrame, nulls: str, strict: bool) -> DataFrame:
-    """Read the files of each mapping and append them to their tables, one job per table and
-    column layout. Rows are written aside first, so a file is in the table as a whole or not at all.
+    """Read the files of each mapping and append them to their tables.
+
+    Files whose columns have the same names are one read and one write, whatever tables they go to:
+    rows are written aside by table first, so a file is in its table as a whole or not at all, and
+    tables then take over their part. Jobs follow the column layouts, not the tables.
     """
     out = []
     for row, group in _by_mapping(ctx, files):
@@ -256,20 +260,31 @@ def _import(ctx: StepContext, files: DataFrame, nulls: str, strict: bool) -> Dat
         results = []
         if not good.isEmpty():
             heads = _heads(row, ctx, good)
+            layouts: dict[tuple, list[tuple[str, str]]] = {}
+            refused = []
             for table, kind in _layouts(heads):
-                members = heads.filter((F.col("_table") == table) & (F.col("_kind") == kind))
                 target = f"{row.schema_name}.{table}"
                 try:
                     have = ctx.spark.table(target).columns if strict and ctx.spark.catalog.tableExists(target) else None
-                    names = _names(row, kind, have)
+                    layout = (tuple(_names(row, kind, have)), _with_id(ctx, row, target))
+                    layouts.setdefault(layout, []).append((table, kind))
                 except ValueError as e:
-                    results.append(members.select("path", F.lit(0).cast("long"), F.lit(target), F.lit(str(e))))
-                    continue
+                    refused.append((table, kind, -1, str(e)))
+            numbered = [(t, k, n, None) for n, pairs in enumerate(layouts.values()) for t, k in pairs]
+            plan = ctx.spark.createDataFrame(numbered + refused, "_table string, _kind string, _layout int, _why string")
+            placed = durable(heads.join(F.broadcast(plan), ["_table", "_kind"]), "placed")
+            if refused:
+                results.append(placed.filter("_layout < 0").select(
+                    "path", F.lit(0).cast("long"), F.concat(F.lit(f"{row.schema_name}."), "_table"), "_why"))
+            for n, (names, with_id) in enumerate(layouts):
+                members = placed.filter(F.col("_layout") == n).select("path", "id", "_table")
+                tables = list(dict.fromkeys(t for t, _ in layouts[names, with_id]))
                 try:
-                    results.append(_load(ctx, row, members, names, target, nulls, strict))
+                    results.append(_load(ctx, row, members, tables, list(names), with_id, nulls, strict))
                 except PySparkException as e:
-                    # rows are appended last, so none of these files is in the table
-                    results.append(members.select("path", F.lit(0).cast("long"), F.lit(target), F.lit(short(e))))
+                    # rows are appended last, so none of these files is in a table
+                    results.append(members.select(
+                        "path", F.lit(0).cast("long"), F.concat(F.lit(f"{row.schema_name}."), "_table"), F.lit(short(e))))
         out.append(_finish(group, [r.toDF(*RESULT_NAMES) for r in results]))
     return durable(_union(out), "imported")
 
@@ -305,9 +320,10 @@ RESULT_NAMES = ("path", "rows_inserted", "database_table", "error")
 
 
 def _load(
-    ctx: StepContext, row: MappingRow, members: DataFrame, names: list[str], target: str,
+    ctx: StepContext, row: MappingRow, members: DataFrame, tables: list[str], names: list[str], with_id: bool,
     nulls: str, strict: bool,
 ) -> DataFrame:
+    """The files of one column layout into their tables: path, rows, table and error of each."""
     shown = durable(storage.visible_copies(members, f"{ctx.work_dir}/visible"), "shown")
     files, rewrite = _paths(shown, "shown"), _rewrite(row, len(names))
     by_line = bool(row.append_crc) or rewrite is not None
@@ -329,20 +345,73 @@ def _load(
         wrong = wrong & (text.field_count(F.col("_bad"), row.delimiter) > len(names))
     bad = F.concat(F.lit("malformed row: "), F.max(F.when(wrong, F.col("_bad"))))
     counts = staged.groupBy("path").agg(F.count(F.lit(1)).alias("n"), bad.alias("error"))
+    target = F.concat(F.lit(f"{row.schema_name}."), "_table")
     results = durable(
-        members.select("path").join(counts, "path", "left").select(
+        members.join(counts, "path", "left").select(
             "path",
             F.when(F.col("error").isNull(), F.coalesce("n", F.lit(0))).otherwise(F.lit(0)).alias("rows_inserted"),
-            F.lit(target).alias("database_table"), "error",
+            target.alias("database_table"), "error", "id", "_table",
         ),
         "loaded",
     )
-    refused = results.filter("error is not null").select("path")
-    clean = lookup_join(staged.drop("_bad"), refused, ["path"], "left_anti", stored=True)
-    if _with_id(ctx, row, target):
-        ids = members.select("path", F.col("id").alias("file_id"))
-        clean = lookup_join(clean, ids, ["path"], stored=True).select("file_id", *clean.columns)
-    return _refuse_extra(results, append_rows(ctx, clean.drop("path"), target), target)
+    taken = results.filter("error is null").select("path", F.col("id").alias("file_id"), "_table")
+    columns = [c for c in staged.columns if c not in ("_bad", "path")]
+    clean = lookup_join(staged.select("path", *[F.col(c).alias(f"c_{c}") for c in columns]), taken, ["path"], stored=True)
+    clean = clean.select(
+        *([F.col("file_id").alias("file_id")] if with_id else []), *[F.col(f"c_{c}").alias(c) for c in columns], "_table")
+    extra = _append_to(ctx, clean, [f"{row.schema_name}.{t}" for t in tables], tables)
+    for name, found in extra.items():
+        message = F.lit(f"columns not in {name}: {','.join(found)}")
+        here = F.col("database_table") == name
+        results = results.withColumns({
+            "error": F.when(here, message).otherwise(F.col("error")),
+            "rows_inserted": F.when(here, F.lit(0)).otherwise(F.col("rows_inserted")),
+        })
+    return results.select(*RESULT_NAMES)
+
+
+def _append_to(ctx: StepContext, rows: DataFrame, targets: list[str], tables: list[str]) -> dict[str, list[str]]:
+    """K1 for several tables: rows with the name of their table in ``_table`` are written once, by
+    table, and each table takes over the files of its part. Returns the columns that tables lack."""
+    plain = rows.drop("_table")
+    if len(tables) == 1:
+        extra = append_rows(ctx, plain, targets[0])
+        return {targets[0]: extra} if extra else {}
+    path, found = scratch_path(ctx.spark, "by-table"), {}
+    number = F.create_map(*[x for k, t in enumerate(tables) for x in (F.lit(t), F.lit(k))])
+    dealt = rows.withColumn("t", number[F.col("_table")]).drop("_table")
+    dealt.hint("rebalance", F.col("t")).write.partitionBy("t").parquet(path)
+    for k, target in enumerate(targets):
+        extra = adopt_files(ctx, f"{path}/t={k}", plain.schema, target)
+        if extra:
+            found[target] = extra
+    return found
+
+
+def adopt_files(ctx: StepContext, folder: str, schema: T.StructType, target: str) -> list[str]:
+    """Add the Parquet files of a folder to a catalog table without a job: they move into its folder.
+
+    A table that is partitioned or bucketed, or whose columns have other types, takes the rows by
+    an append. Returns the columns the table lacks; then it takes nothing.
+    """
+    spark = ctx.spark
+    if not storage.folder_exists(spark, folder):  # all files of this table were empty or refused
+        folder = None
+    if not spark.catalog.tableExists(target):
+        spark.sql("CREATE DATABASE IF NOT EXISTS IDENTIFIER(:d)", {"d": target.split(".")[0]})
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        spark.sql(f"CREATE TABLE IDENTIFIER(:t) ({columns}) USING parquet", {"t": target})
+    have = {f.name: f.dataType for f in spark.table(target).schema}
+    extra = [c for c in schema.names if c not in have]
+    if extra or folder is None:
+        return extra
+    about = {r[0]: r[1] for r in spark.sql("DESCRIBE EXTENDED IDENTIFIER(:t)", {"t": target}).collect()}
+    same = all(have[f.name] == f.dataType for f in schema)
+    if about.get("Provider") != "parquet" or "# Partition Information" in about or "Num Buckets" in about or not same:
+        return append_rows(ctx, spark.read.schema(schema).parquet(folder), target)
+    storage.move_files(spark, folder, about["Location"])
+    spark.catalog.refreshTable(target)
+    return []
 
 
 def _refuse_extra(results: DataFrame, extra: list[str], target: str) -> DataFrame:

@@ -113,6 +113,16 @@ def checked_folder(folder: str) -> str:
     return folder.rstrip("/") or "/"
 
 
+def move_files(spark: SparkSession, folder: str, target: str) -> None:
+    """Rename the data files of a folder into another one of the same storage; their names are unique."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    storage = path(target).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    storage.mkdirs(path(target))
+    for name in hadoop_children(spark, folder):
+        if not name.startswith(("_", ".")) and not storage.rename(path(folder, name), path(target, name)):
+            raise OSError(f"cannot move {folder}/{name} to {target}")
+
+
 CHECKSUM_SCHEMA = "path string, crc string, error string"
 
 

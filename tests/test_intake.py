@@ -185,3 +185,54 @@ def test_text_before_the_first_block_is_left_out(spark):
         "path string, sheet_no int, sheet string, row int, col int, value string, link string")
     blocks = spark.createDataFrame([("p", "S", 1, 5, None)], "path string, sheet string, block int, start_row int, end_row int")
     assert workbooks.block_rows(cells, blocks).count() == 0
+
+
+# ---- many tables in one pass
+
+
+def run_tables(spark, tmp_path, count, name):
+    root = tmp_path / f"in{count}"
+    root.mkdir()
+    for k in range(count):
+        (root / f"tab{chr(97 + k)}_2020.csv").write_text("a,b\n" + "".join(f"{k},{j}\n" for j in range(k + 1)))
+    (root / "tabz_2020.csv").write_text("a,b\n1,2,3\n")
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{tmp_path}/{name}'")
+    spark.sql(f"CREATE TABLE {name}.taba (b string, a int, extra string) USING parquet")  # taken by a cast
+    spark.sql(f"CREATE TABLE {name}.tabb (a string) USING parquet")  # lacks a column
+    spark.sql(f"CREATE TABLE {name}.tabc (b string, a string, file_id long) USING parquet")
+    spark.sql(f"INSERT INTO {name}.tabc VALUES ('old', 'old', 0)")
+    config = f"""
+- path: {root}
+  project_name: p
+  mapping:
+    - {{file_regex: '.*csv$', file_type: CSV, schema_name: {name}, table_name_extract: '(tab[a-z])_.*', append_file_id: false,
+       process_logic: [{{logic: pandas_import}}]}}
+"""
+    tracker = spark.sparkContext.statusTracker()
+    group = f"tables-{count}"
+    spark.sparkContext.setJobGroup(group, group)
+    catalog = LoadJob.from_yaml(spark, config, str(tmp_path / f"work{count}")).run()
+    files = {r.file_name[:4]: r for r in catalog.collect()}
+    jobs = len(tracker.getJobIdsForGroup(group))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return files, jobs
+
+
+def test_jobs_do_not_follow_the_tables(spark, tmp_path, rows):
+    few, jobs_few = run_tables(spark, tmp_path, 4, "many_a")
+    more, jobs_more = run_tables(spark, tmp_path, 14, "many_b")
+    for files, name, count in ((few, "many_a", 4), (more, "many_b", 14)):
+        for k in range(count):
+            table = f"tab{chr(97 + k)}"
+            if table == "tabb":
+                assert files[table].file_process_state == "FAILED" and "columns not in" in files[table].last_error_msg
+                assert spark.table(f"{name}.tabb").isEmpty()
+                continue
+            assert files[table].file_process_state == "Processed" and files[table].rows_inserted == k + 1
+            want = sorted((str(k), str(j)) for j in range(k + 1)) + ([("old", "old")] if k == 2 else [])
+            assert rows(spark.table(f"{name}.{table}").selectExpr("cast(a as string) a", "b")) == sorted(want)
+        assert files["tabz"].file_process_state == "FAILED" and spark.table(f"{name}.tabz").isEmpty()
+        assert files["tabd"].database_table == f"{name}.tabd"
+    assert jobs_more <= jobs_few + 4
+    for name in ("many_a", "many_b"):
+        spark.sql(f"DROP DATABASE {name} CASCADE")
