@@ -93,6 +93,19 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove a table that ``durable`` wrote and that nothing reads any more, so that a long job keeps
+    only what it still needs on disk. What lies outside the shared folder is left alone."""
+    jvm, spark = df.sparkSession.sparkContext._jvm, df.sparkSession
+    folder = jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/{spark.sparkContext.applicationId}")
+    storage = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    inside = storage.makeQualified(folder).toString() + "/"
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        table = storage.makeQualified(jvm.org.apache.hadoop.fs.Path(path))
+        if table.toString().startswith(inside):
+            storage.delete(table, True)
+
+
 def durable_sized(df: DataFrame, label: str) -> tuple[DataFrame, int, int]:
     """``durable`` with the number of rows and bytes, counted while they are written."""
     path, size = scratch_path(df.sparkSession, label), Observation()

@@ -316,3 +316,16 @@ def test_latest_state_keeps_message(spark, rows):
                "id long, state string, seq long, msg string")
     assert rows(cat.latest_state(ev, "id", "state", ["seq"], "msg")) == [(1, "RAW", "boom", 3)]
     assert rows(cat.latest(ev, ["id"], ["seq"]), "state") == [("RAW",)]
+
+
+def test_discard_removes_stored_tables_only(spark, tmp_path):
+    from quayside.session import discard, durable
+
+    kept, gone = durable(spark.range(3), "kept"), durable(spark.range(5), "gone")
+    spark.range(2).write.parquet(str(tmp_path / "own"))
+    own = spark.read.parquet(str(tmp_path / "own"))
+    discard(gone)
+    discard(own)
+    assert kept.count() == 3 and own.count() == 2
+    with pytest.raises(Exception, match="(?i)exist"):
+        gone.collect()
