@@ -41,7 +41,7 @@ from quayside.llm.text import (
     LOWER, binary_column, mix, per_row_sum, rows_of, spans_hash, text_slabs, words,
 )
 from quayside.operators.skew import lookup_join
-from quayside.session import durable
+from quayside.session import discard, durable
 
 SKETCH_BITS = 18
 MATCHES_MOST = 4
@@ -449,16 +449,20 @@ def near_groups(
         described.filter("n > 0").groupBy("sid").agg(
             F.min("doc").alias("doc"), *[F.first(c).alias(c) for c in (*NODE[1:], "prefix")]
         ), "nodes")
+    places = durable(described.select("doc", "sid", "n"), "places")
+    discard(described)  # its prefixes are in the nodes
     entries = durable(_entries(nodes), "entries")
     members = durable(_tiled(entries, nodes), "members")
+    discard(entries)
 
     plain = members.withColumn("component", F.col("sid"))
     first = durable(_pairs(plain, percent, True).select("a", "b").distinct(), "pairs")
     links = durable(_linked(first, docs, doc_id, text, nodes, width, percent), "links")
     known = components(links)
-    met = members.join(known.withColumnRenamed("node", "sid"), "sid", "left").withColumn(
+    met = lookup_join(members, known.withColumnRenamed("node", "sid"), ["sid"], "left").withColumn(
         "component", F.coalesce("component", "sid"))
     written = durable(_pairs(met, percent, False).distinct(), "pairs")
+    discard(members)
     second = durable(_matching(written, nodes).join(first, ["a", "b"], "left_anti"), "pairs")
     more = durable(_linked(second, docs, doc_id, text, nodes, width, percent), "links")
     final = components(links.union(more))
@@ -469,7 +473,7 @@ def near_groups(
     of_node = nodes.select("sid", "doc").join(
         lookup_join(linked, smallest, ["component"]).select("sid", "_smallest"), "sid", "left"
     ).select("sid", F.coalesce("_smallest", "doc").alias("_smallest"))
-    placed = lookup_join(described.select("doc", "sid", "n"), of_node.filter("_smallest is not null"), ["sid"], "left")
+    placed = lookup_join(places, of_node.filter("_smallest is not null"), ["sid"], "left")
     return placed.select(
         F.col("doc").alias(doc_id), F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("_smallest")).otherwise(F.col("doc")).alias("component_id"),
