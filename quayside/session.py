@@ -26,6 +26,9 @@ def get_session(app_name: str = "quayside", master: str | None = None, **conf: s
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.ui.enabled", "false")
+        # The state of streams on executors' disks, not in their heaps.
+        .config("spark.sql.streaming.stateStore.providerClass",
+                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     )
     if master:
         builder = builder.master(master)

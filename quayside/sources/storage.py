@@ -178,12 +178,9 @@ def head_lines(
     return spread(files, path).mapInPandas(read, HEAD_SCHEMA)
 
 
-def file_md5(files: DataFrame, path: str = "path") -> DataFrame:
-    """MD5 of whole files, read as a stream, so a file may be larger than a row can hold.
-
-    One file is read by one task, as MD5 needs its bytes in order. A file that can't be read has no
-    checksum, but an ``error``.
-    """
+def digests(files: DataFrame, path: str = "path") -> DataFrame:
+    """MD5 of whole files, read as a stream, so a file may be larger than a row can hold; for streams
+    of files too. A file that can't be read has no checksum, but an ``error``."""
     def digest(batches: Iterator) -> Iterator:
         import hashlib
 
@@ -203,4 +200,9 @@ def file_md5(files: DataFrame, path: str = "path") -> DataFrame:
                     out.append((uri, None, str(e)))
             yield pd.DataFrame(out, columns=["path", "crc", "error"], dtype=object)
 
-    return spread(files, path).mapInPandas(digest, CHECKSUM_SCHEMA)
+    return files.select(path).mapInPandas(digest, CHECKSUM_SCHEMA)
+
+
+def file_md5(files: DataFrame, path: str = "path") -> DataFrame:
+    """MD5 of whole files. One file is read by one task, as MD5 needs its bytes in order."""
+    return digests(spread(files, path), path)

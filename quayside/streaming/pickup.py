@@ -2,79 +2,83 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from quayside.operators.skew import lookup_join
-from quayside.session import durable
-from quayside.sources.delimited import clean_nulls, text_schema
-from quayside.sources.storage import file_md5, metadata_path
+from quayside.session import discard, durable
+from quayside.sources.delimited import read_delimited
+from quayside.sources.storage import digests, hadoop_children, literal, plain_path
 
 SEEN_SCHEMA = T.StructType([
     T.StructField("path", T.StringType()), T.StructField("crc", T.StringType()),
     T.StructField("duplicate_file", T.BooleanType()), T.StructField("epoch", T.LongType()),
 ])
+FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
-def stream_rows(
-    spark: SparkSession, folder: str, names: Sequence[str], delimiter: str = ",",
-    has_header: bool = True, max_files: int | None = None,
-) -> DataFrame:
-    """The rows of files as they appear; the checkpoint of the query remembers the files."""
-    reader = (
-        spark.readStream.schema(text_schema(names))
-        .option("sep", delimiter).option("header", has_header).option("escape", '"')
-        .option("recursiveFileLookup", "true")
-    )
+def stream_files(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
+    """The files as they appear, by path alone; the checkpoint of the query remembers them."""
+    reader = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("recursiveFileLookup", "true")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(folder).select(
-        metadata_path().alias("path"), *[clean_nulls(F.col(n), "pandas").alias(n) for n in names]
-    )
+    return reader.load(folder).select(plain_path(F.col("path")).alias("path"))
 
 
-def load_batch(spark: SparkSession, target: str, seen: str) -> Callable[[DataFrame, int], None]:
-    """What to do with a batch of rows: leave out files whose content was loaded before or occurs
-    twice in the batch, then write rows and checksums into folders of the batch's own number.
+def judged(files: DataFrame) -> DataFrame:
+    """Each file of a stream with its checksum and whether its content came before.
 
-    A batch that is delivered again after a failure overwrites the same folders, and compares only
-    with the checksums of other batches, so nothing is loaded twice and nothing is lost.
+    The checksums seen are state, keyed by checksum: a batch reads and writes the state of its own
+    checksums only, however many were seen. Of equal files in one batch the first by path counts. A
+    file that can't be read stops the batch, which is then delivered again.
     """
-    def write(rows: DataFrame, epoch: int) -> None:
-        batch = durable(rows, "batch")
-        # an unreadable file stops the batch: it is delivered again, and nothing is lost
-        broken = F.raise_error(F.concat_ws(": ", "path", "error"))
-        files = durable(
-            file_md5(batch.select("path").distinct()).select("path", F.coalesce("crc", broken).alias("crc")),
-            "batch-files",
-        )
-        known = read_seen(spark, seen).filter((F.col("epoch") != epoch) & ~F.col("duplicate_file"))
-        first = files.groupBy("crc").agg(F.min("path").alias("_first"))
-        judged = lookup_join(files, first, ["crc"])
-        judged = lookup_join(
-            judged, known.select("crc").distinct().withColumn("_known", F.lit(True)), ["crc"], "left"
-        )
-        marked = durable(
-            judged.select(
-                "path", "crc",
-                (F.col("_known").isNotNull() | (F.col("path") != F.col("_first"))).alias("duplicate_file"),
-            ),
-            "judged",
-        )
-        fresh = lookup_join(batch, marked.filter("not duplicate_file").select("path"), ["path"], "left_semi", stored=True)
-        fresh.write.mode("overwrite").parquet(f"{target}/epoch={epoch}")
+    broken = F.raise_error(F.concat_ws(": ", "path", "error"))
+    summed = digests(files).select("path", F.coalesce("crc", broken).alias("crc"))
+
+    def judge(key: tuple, parts: Iterator, state: GroupState) -> Iterator:
+        import pandas as pd
+
+        best = None
+        for part in parts:
+            paths = part["path"].tolist()
+            if not state.exists:
+                # The smallest path so far is held back, whatever it beats is a copy.
+                best, *paths = sorted([*([best] if best is not None else []), *paths])
+            if paths:
+                yield pd.DataFrame({"path": paths, "crc": key[0], "duplicate_file": True})
+        if best is not None:
+            state.update((best,))
+            yield pd.DataFrame({"path": [best], "crc": key[0], "duplicate_file": False})
+
+    return summed.groupBy("crc").applyInPandasWithState(
+        judge, "path string, crc string, duplicate_file boolean", "path string", "append", GroupStateTimeout.NoTimeout)
+
+
+def load_batch(
+    spark: SparkSession, names: Sequence[str], target: str, seen: str, **options
+) -> Callable[[DataFrame, int], None]:
+    """What to do with a batch of judged files: read those whose content is new, and write rows and
+    verdicts into folders of the batch's own number.
+
+    A batch that is delivered again after a failure overwrites the same folders, with the verdicts
+    of the state before it, so nothing is loaded twice and nothing is lost.
+    """
+    def write(files: DataFrame, epoch: int) -> None:
+        marked = durable(files, "judged")
         marked.write.mode("overwrite").parquet(f"{seen}/epoch={epoch}")
+        fresh = [literal(r["path"]) for r in marked.filter("not duplicate_file").select("path").toLocalIterator()]
+        if fresh:
+            read_delimited(spark, fresh, names, **options).write.mode("overwrite").parquet(f"{target}/epoch={epoch}")
+        discard(marked)
 
     return write
 
 
 def read_seen(spark: SparkSession, seen: str) -> DataFrame:
-    from quayside.sources.storage import hadoop_children
-
     if not any(n.startswith("epoch=") for n in hadoop_children(spark, seen)):
         return spark.createDataFrame([], SEEN_SCHEMA)
     return spark.read.schema(SEEN_SCHEMA).option("basePath", seen).parquet(seen)
@@ -82,12 +86,13 @@ def read_seen(spark: SparkSession, seen: str) -> DataFrame:
 
 def load_available(
     spark: SparkSession, folder: str, names: Sequence[str], target: str, seen: str, checkpoint: str,
-    **options,
+    max_files: int | None = None, **options,
 ) -> StreamingQuery:
-    """Load every file the checkpoint has not seen, then stop."""
+    """Load every file the checkpoint has not seen, then stop. ``options`` are those of
+    ``read_delimited``."""
     return (
-        stream_rows(spark, folder, names, **options)
-        .writeStream.foreachBatch(load_batch(spark, target, seen))
+        judged(stream_files(spark, folder, max_files))
+        .writeStream.foreachBatch(load_batch(spark, names, target, seen, **options))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

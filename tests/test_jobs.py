@@ -1,6 +1,7 @@
 """Configurations, publishing, streaming and the registered queries."""
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
 from quayside.operators import deliver
@@ -188,11 +189,44 @@ def test_stream_loads_each_file_once(spark, tmp_path, rows):
 def test_repeated_batch_changes_nothing(spark, tmp_path, rows):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.csv").write_text("x\n1\n")
-    batch = spark.read.option("header", True).csv(str(tmp_path / "in")).select(pickup.metadata_path().alias("path"), "x")
-    write = pickup.load_batch(spark, str(tmp_path / "out"), str(tmp_path / "seen"))
+    batch = spark.createDataFrame([(str(tmp_path / "in" / "a.csv"), "k", False)], pickup.SEEN_SCHEMA[:3])
+    write = pickup.load_batch(spark, ["x"], str(tmp_path / "out"), str(tmp_path / "seen"))
     write(batch, 0)
     write(batch, 0)
     assert rows(spark.read.parquet(str(tmp_path / "out")), "x") == [("1",)]
+    assert pickup.read_seen(spark, str(tmp_path / "seen")).count() == 1
+
+
+def test_a_batch_reads_only_what_is_new(spark, tmp_path, rows):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    args = (spark, str(folder), ["x"], str(tmp_path / "out"), str(tmp_path / "seen"), str(tmp_path / "cp"))
+    read, state = [], []
+    for lot in range(4):
+        for k in range(5):
+            (folder / f"{lot}-{k}.csv").write_text(f"x\n{lot}{k}\n")
+            (folder / f"{lot}-{k}.copy.csv").write_text(f"x\n{lot}{k}\n")
+        (folder / f"{lot}-old.csv").write_text("x\n00\n")
+        done = pickup.load_available(*args)
+        done.awaitTermination()
+        with_rows = [p for p in done.recentProgress if p.numInputRows]
+        read.append(sum(p.numInputRows for p in with_rows))
+        state.append([op.numRowsUpdated for p in with_rows for op in p.stateOperators])
+    assert read[1] == read[2] == read[3] == 11  # files of the lot, not those seen before
+    assert state[1] == state[2] == state[3] == [5]
+    assert sorted(rows(spark.read.parquet(str(tmp_path / "out")), "x")) == [(f"{lot}{k}",) for lot in range(4) for k in range(5)]
+    copies = {r.path.rsplit("/", 1)[1] for r in pickup.read_seen(spark, str(tmp_path / "seen")).filter("duplicate_file").collect()}
+    assert copies == {f"{lot}-{k}.csv" for lot in range(4) for k in range(5)} | {f"{lot}-old.csv" for lot in range(4)}
+
+
+def test_an_unreadable_file_stops_its_batch(spark, tmp_path, monkeypatch):
+    from pyspark.errors import PySparkException
+
+    with pytest.raises(PySparkException, match="nothing there"):
+        files = spark.createDataFrame([("/nothing there",)], "path string")
+        from quayside.sources.storage import digests
+
+        digests(files).select(F.coalesce("crc", F.raise_error(F.concat_ws(": ", "path", "error")))).collect()
 
 
 def test_every_query_is_registered_once():
