@@ -159,3 +159,30 @@ def bind_sql(sql: str, schema: str | None, table: str | None, columns: list[str]
         sql = sql.replace(key, text or "")
     sql = re.sub(r"(?is)^(\s*truncate\s+table\s+\S+)\s+cascade\b", r"\1", sql)
     return sql.replace("'{file_id}'", ":file_id").replace("{file_id}", ":file_id")
+
+
+# What makes a statement's result over several files differ from that of one file at a time.
+WHOLE_SET = re.compile(
+    r"(?is)\b(or|limit|offset|distinct|group\s+by|having|over|union|except|intersect|exists|"
+    r"count|sum|avg|min|max|first|last|any_value|collect_list|collect_set|row_number|rank|lead|lag|current_timestamp|now|rand|uuid)\b"
+)
+FILE_EQUALS = re.compile(r"(?is)\b(where|and|on)(\s+\(*\s*)((?:`[^`]+`|\w+)(?:\.(?:`[^`]+`|\w+))?)\s*=\s*:file_id\b")
+
+
+def over_files(sql: str, ids: str) -> tuple[str | None, str]:
+    """M7: a bound statement for one file as one for all files of the view ``ids`` (column file_id),
+    or None and why it must run file by file.
+
+    Every mention of the file must be a condition that a column equals it, and nothing in the
+    statement may look at the rows of a file as a whole: then the rows it takes for all files are
+    those it takes for each.
+    """
+    met = FILE_EQUALS.findall(sql)
+    if len(met) != len(re.findall(r":file_id\b", sql)):
+        return None, "the file is named outside a condition that a column equals it"
+    whole = WHOLE_SET.search(sql)
+    if whole:
+        return None, f"'{whole[1]}' depends on all rows of a file"
+    if not re.match(r"(?is)\s*(insert\s+into|delete|update|merge)\b", sql):
+        return None, "only insert, delete, update and merge work on sets of files"
+    return FILE_EQUALS.sub(rf"\1\2\3 IN (SELECT file_id FROM {ids})", sql), ""

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +14,7 @@ from quayside.functions import paths
 from quayside.operators import catalog as cat
 from quayside.operators.mapping import first_match
 from quayside.operators.skew import lookup_join
-from quayside.plans.config import MappingRow, bind_sql, read_mappings
+from quayside.plans.config import MappingRow, bind_sql, over_files, read_mappings
 from quayside.plans.load_steps import MARKERS, STEPS, StepContext, fail_where, short, target_names
 from quayside.plans.logs import Logs
 from quayside.session import durable
@@ -129,8 +129,6 @@ class LoadJob:
             for name in dict.fromkeys(m.steps[position] for m in self.mappings if position < len(m.steps)):
                 at_step = [m.order for m in self.mappings if position < len(m.steps) and m.steps[position] == name]
                 here = F.col("ok") & F.col("mapping").isin(*at_step)
-                if name not in STEPS:
-                    raise ValueError(f"unknown step {name}")
                 trail = F.concat(F.lit(f"{name};\n"), F.coalesce("process_msg_trail", F.lit("")))
                 if name in MARKERS:
                     # nothing to compute: the step only shows in the trail
@@ -152,15 +150,18 @@ class LoadJob:
                 # Steps fail single files themselves. What they can't lay on one file fails those of
                 # the step; the others go on.
                 try:
+                    if name not in STEPS:
+                        raise ValueError(f"unknown step {name}")
                     work = told(STEPS[name](context, active))
-                except PySparkException as e:
+                except Exception as e:  # noqa: BLE001  whatever a step raises, the run goes on
                     log.exception("step %s", name)
                     work = told(fail_where(active, F.lit(True), short(e)))
         self._close(self._actions(work, "post_action"))
         return True
 
     def _actions(self, work: DataFrame, kind: str) -> DataFrame:
-        """M7: configured statements, once per table, or once per file when they name the file.
+        """M7: configured statements, once per table. One that names the file runs once for all files
+        of the table where that gives the same rows, else once per file, and the log says why.
         A failing statement fails the files of its mapping."""
         for row in self.mappings:
             statements = row.settings.get(kind) or []
@@ -176,14 +177,28 @@ class LoadJob:
                         if sql is None:
                             log.warning("skipped: %s", item["sql"][:50])
                         elif ":file_id" in sql:
-                            for r in named.filter(F.col("_table") == table).orderBy("id").toLocalIterator():
-                                self.spark.sql(sql, {"file_id": r["id"]})
+                            self._for_files(sql, named.filter(F.col("_table") == table))
                         else:
                             self.spark.sql(sql)
             except Exception as e:  # noqa: BLE001
                 work = durable(fail_where(work, F.coalesce(mine, F.lit(False)), f"{kind}: {e}"), "work")
         return work
 
+    def _for_files(self, sql: str, files: DataFrame) -> None:
+        """A statement that names the file, for all files of a table."""
+        ids = f"files_{uuid.uuid4().hex}"
+        wide, why = over_files(sql, ids)
+        if wide is None:
+            log.warning("once per file, %s: %s", why, sql[:80])
+            for r in files.orderBy("id").toLocalIterator():
+                self.spark.sql(sql, {"file_id": r["id"]})
+            return
+        files.select(F.col("id").alias("file_id")).createOrReplaceTempView(ids)
+        try:
+            self.spark.sql(wide)
+        finally:
+            self.spark.catalog.dropTempView(ids)
+
     def _close(self, work: DataFrame) -> None:
         """Final states, and failures to the error log; a copy whose first copy failed to load is opened again."""
         state = F.when(F.col("ok"), cat.PROCESSED).otherwise(cat.FAILED)
