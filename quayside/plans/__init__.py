@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 from types import ModuleType
 
-QUERY_MODULES = ("catalog_queries", "shape_queries", "delivery_queries", "job_queries", "intake_queries", "run_queries")
+QUERY_MODULES = ("catalog_queries", "shape_queries", "delivery_queries", "job_queries", "intake_queries", "run_queries", "publish_queries")
 
 
 def load_all() -> ModuleType:

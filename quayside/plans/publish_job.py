@@ -149,8 +149,8 @@ class PublishJob:
         loaded = self.spark.read.schema(batch.schema).parquet(path)
         keep = self.item.get("retain_data_file_path")
         if keep:
-            dump_csv(lookup_join(loaded, todo.select(F.col("src_sql_hash").alias(BATCH)), [BATCH], "left_semi", stored=True),
-                     f"{keep.rstrip('/')}/{table}")
+            kept = lookup_join(loaded, todo.select(F.col("src_sql_hash").alias(BATCH)), [BATCH], "left_semi", stored=True)
+            dump_csv(kept.select(*rows.columns), f"{keep.rstrip('/')}/{table}")
         open_ids = todo.select(F.col("src_sql_hash").alias(BATCH))
         counted = deliver.batch_log(batch, loaded, open_ids, BATCH, tally)
         return durable(

@@ -105,7 +105,8 @@ def profile_members(
     delimiter: str = ",",
 ) -> DataFrame:
     """The number of columns of the members that match, in archives of a given size; only the
-    first line of a member is read."""
+    first line of a member is read. An archive that can't be read whole gives one row with an
+    ``error`` and no member."""
     chosen = archives.filter(F.col("file_size") >= min_bytes)
     if max_bytes is not None:
         chosen = chosen.filter(F.col("file_size") <= max_bytes)
@@ -121,15 +122,21 @@ def profile_members(
         for batch in batches:
             out = []
             for parent in batch["path"]:
-                storage, name = task_filesystem(parent)
-                with storage.open_input_file(name) as stream:
-                    for member, content in open_members(stream, name):
-                        if wanted.search(member):
-                            line = content.readline().decode("iso-8859-1").rstrip("\r\n")
-                            fields = next(csv.reader([line], delimiter=delimiter), [])
-                            out.append((parent, member, len(fields)))
-            yield pd.DataFrame(out, columns=["parent_path", "member", "columns"])
+                own = []
+                try:
+                    storage, name = task_filesystem(parent)
+                    with storage.open_input_file(name) as stream:
+                        for member, content in open_members(stream, name):
+                            if wanted.search(member):
+                                line = content.readline().decode("iso-8859-1").rstrip("\r\n")
+                                fields = next(csv.reader([line], delimiter=delimiter), [])
+                                own.append((parent, member, len(fields), None))
+                except UNREADABLE as e:
+                    own = [(parent, None, None, f"{type(e).__name__}: {e}")]
+                out += own
+            frame = pd.DataFrame(out, columns=["parent_path", "member", "columns", "error"], dtype=object)
+            yield frame.astype({"columns": "Int32"})
 
     return spread(chosen, "path").mapInPandas(
-        peek, "parent_path string, member string, columns int"
+        peek, "parent_path string, member string, columns int, error string"
     )
