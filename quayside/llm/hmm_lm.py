@@ -28,7 +28,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +46,7 @@ BLOCK_BYTES = 16 << 20
 RUN = 512
 OVERLAP = 16
 PARTS = 8
-SWEEPS = 4
+SWEEPS = 3
 SETTLED = 1e-3  # a gain per token and sweep (natural log) that ends the search
 NEIGHBOURS = 128  # kinds of neighbours told apart for the first model
 
@@ -393,18 +392,19 @@ def _gather(training: DataFrame, model: Model) -> tuple[np.ndarray, float]:
     return whole[:-1], float(whole[-1, 0])
 
 
-def train(parts: list[DataFrame], classes: np.ndarray, tokens: int, sweeps: int = SWEEPS) -> Model:
-    """The model that incremental Baum-Welch reaches from the corpus' own start."""
+def train(training: DataFrame, classes: np.ndarray, tokens: int, sweeps: int = SWEEPS) -> Model:
+    """The model that incremental Baum-Welch reaches from the corpus' own start; ``training`` is stored
+    by its parts."""
     often = np.argsort(-classes, kind="stable")[:NEIGHBOURS - 1]
     kind = np.full(len(classes), NEIGHBOURS - 1, np.int64)
     kind[often] = np.arange(len(often))
-    model = first_model(classes, _neighbours(reduce(DataFrame.union, parts), kind, NEIGHBOURS), kind)
-    held: list[np.ndarray | None] = [None] * len(parts)
+    model = first_model(classes, _neighbours(training, kind, NEIGHBOURS), kind)
+    held: list[np.ndarray | None] = [None] * PARTS
     last = -np.inf
     for _ in range(sweeps):
         now = 0.0
-        for p, part in enumerate(parts):
-            held[p], found = _gather(part, model)
+        for p in range(PARTS):
+            held[p], found = _gather(training.filter(F.col("part") == p), model)
             now += found
             model = model.learn(sum(c for c in held if c is not None), classes)
         if now - last < SETTLED * tokens:
@@ -465,7 +465,7 @@ def score_texts(
     made.withColumn("part", part).write.option("compression", "zstd").partitionBy("part").parquet(path)
     classed = spark.read.schema(f"{made._jdf.schema().toDDL()}, part int").parquet(path)
     if ends:
-        model = train([classed.filter(F.col("part") == p) for p in range(PARTS)], classes, tokens, sweeps)
+        model = train(classed.filter("part >= 0"), classes, tokens, sweeps)
     else:
         model = Model.begin(classes)
 
