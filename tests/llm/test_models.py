@@ -332,7 +332,7 @@ def test_every_sweep_sees_all_training_texts(spark, monkeypatch):
         assert sum(c[1 + H.STATES:].sum() for c, _ in sweep) == pytest.approx(1800 * 13, rel=1e-3)
         logs.append(sum(x for _, x in sweep))
     settled = logs[-1] - logs[-2] < H.SETTLED * 1800 * 13
-    assert logs[-1] > logs[0] and settled == (len(seen) < H.SWEEPS * H.PARTS)
+    assert logs[-1] > logs[0] and (settled or len(seen) == H.SWEEPS * H.PARTS)
 
 
 def test_cuts_leave_the_counts_as_they_are(monkeypatch):
