@@ -22,6 +22,7 @@ from quayside.llm.registry import query, table
 from quayside.llm.text import rows_of, slabs, spans_hash
 
 LEAST, USUAL, MOST = 32, 64, 1024
+LOOSE_PARTS = 64  # of rows without an id
 
 
 def chunk_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -100,7 +101,9 @@ def edited_by_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         "id", [k / parts for k in range(1, parts)], min(100 * parts, 1_000_000)).alias("cuts")).first()["cuts"]
     cuts = F.array(*[F.lit(c) for c in sorted(set(found or []))]) if found else None
     # Parts count up while ids go down: the number of cuts above the id.
-    part = F.lit(0) if cuts is None else F.when(F.col("id").isNull(), F.size(cuts) + 1).otherwise(
+    # Rows without an id come behind all others, dealt by ranges of their hash.
+    below = F.lit(LOOSE_PARTS - 1) - (F.shiftright("tie", 58) + 32)
+    part = F.lit(1) + below if cuts is None else F.when(F.col("id").isNull(), F.size(cuts) + 1 + below).otherwise(
         F.size(cuts) - F.size(F.filter(cuts, lambda c: c <= F.col("id"))))
     placed = source.withColumn("part", part.cast("int"))
 

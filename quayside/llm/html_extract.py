@@ -12,8 +12,8 @@ value of each subtree, kept or left out) and one down.
 No page is labelled, so the trees are taught by construction: from a bounded sample of pages whose
 markup names its article, variants are made in which the names of containers are changed or taken
 away and blocks of known role, filled with words of other pages, are put in. Their roles are known,
-and what they teach are the features that remain. Where hardly any page names its article, whole
-pages are made from the words of the table's pages and teach in the same way.
+and what they teach are the features that remain. Whole pages made from the words of the table's pages
+teach in the same way beside them, so that tables whose pages name no article are read too.
 """
 
 from __future__ import annotations
@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 from quayside.llm import gbdt
 from quayside.llm.registry import query, table
 
-SAMPLE, PAGE_CHARS, VARIANTS = 200, 60_000, 3
-FEWEST, MADE = 20, 60  # with fewer named articles than this, so many made pages teach as well
+SAMPLE, PAGE_CHARS, VARIANTS = 200, 60_000, 3  # pages that teach, and the longest of them
+MADE = 40  # made pages that teach beside them, however many there are
+FILLERS, FILLER_WORDS = 50, 400  # pages whose first words fill made blocks and pages
 
 # Fixed values from the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -87,6 +88,19 @@ class Page:
         stack = [(0, "#page", -1, 0, 0)]  # (node, tag, and before it: segment, number of segments, links)
         current, at, links = -1, 0, 0
         hidden = unclosed = 0  # depth in the stack of a dropped element; of one that has no end tag
+        places: dict[str, list[int]] = {}  # where in the stack each tag was put, with places left since
+
+        def put(node: int, tag: str, *before: int) -> None:
+            places.setdefault(tag, []).append(len(stack))
+            stack.append((node, tag, *before))
+
+        def topmost(tag: str) -> int:
+            """The place of the last open element of a tag, or 0; a place that was left is looked at once."""
+            known = places.get(tag, [])
+            while known and (known[-1] >= len(stack) or stack[known[-1]][1] != tag):
+                known.pop()
+            return known[-1] if known else 0
+
         while at < len(source):
             m = _TOKEN.match(source, at)
             if m is None:
@@ -118,16 +132,15 @@ class Page:
                 if inline:
                     links -= tag == "a" and links > 0
                     continue
-                if tag == "p" and not any(t == "p" for _, t, *_ in stack):
+                k = topmost(tag)
+                if tag == "p" and not k:
                     current = -1
                     continue
                 before = (-1, 0)
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][1] == tag:
-                        if tag in PHRASING and stack[k][3] == len(self.segments):
-                            before = (stack[k][2], stack[k][4])
-                        del stack[k:]
-                        break
+                if k:
+                    if tag in PHRASING and stack[k][3] == len(self.segments):
+                        before = (stack[k][2], stack[k][4])
+                    del stack[k:]
                 if hidden >= len(stack):
                     hidden = unclosed = 0
                 if not hidden:
@@ -145,7 +158,7 @@ class Page:
                 hidden = len(stack)
                 after = _NEXT_OF[tag].search(source, at)
                 unclosed = 0 if after and after.group(1) else hidden
-                stack.append((stack[-1][0], tag, *resume))
+                put(stack[-1][0], tag, *resume)
                 continue
             if inline:
                 if tag == "br" and current >= 0:
@@ -153,7 +166,7 @@ class Page:
                 links += tag == "a" and links == 0
                 continue
             current = -1
-            if tag in ("html", "body") and any(t == tag for _, t, *_ in stack):
+            if tag in ("html", "body") and topmost(tag):
                 continue
             if tag == "body" and stack[-1][1] == "head":
                 stack.pop()
@@ -175,7 +188,7 @@ class Page:
             if tag in VOID:
                 continue
             if hidden:
-                stack.append((stack[-1][0], tag, *resume))
+                put(stack[-1][0], tag, *resume)
                 continue
             node = len(self.tag)
             self.tag.append(tag)
@@ -184,7 +197,7 @@ class Page:
             self.names.append(names)
             self.part.append(len(self.segments))
             links = 0
-            stack.append((node, tag, *resume))
+            put(node, tag, *resume)
         self.texts = [" ".join(entities.unescape("".join(parts)).split()) for _, parts, _ in self.segments]
 
 
@@ -343,7 +356,7 @@ def variants(source: str, words: np.ndarray, rng: np.random.Generator, many: int
 def made_pages(pages: list[str], many: int, seed: int = 80) -> list[str]:
     """Pages with a named article, made from the words that pages of any markup show."""
     rng = np.random.Generator(np.random.PCG64(seed))
-    shown = [w for p in pages for t in Page(p).texts for w in t.split()[:400]]
+    shown = [w for p in pages for t in Page(p).texts for w in t.split()[:FILLER_WORDS]]
     words = np.array(shown or ["text"], object)
 
     def phrase(least: int, most: int) -> str:
@@ -374,7 +387,7 @@ def made_pages(pages: list[str], many: int, seed: int = 80) -> list[str]:
 def teach(pages: list[str], seed: int = 8) -> dict:
     """Trees from sample pages; a page without a named article teaches nothing."""
     rng = np.random.Generator(np.random.PCG64(seed))
-    words = np.array([w for p in pages[:50] for w in re.sub(r"<[^>]*>", " ", p).split()[:400]] or ["text"], object)
+    words = np.array([w for p in pages[:FILLERS] for w in re.sub(r"<[^>]*>", " ", p).split()[:FILLER_WORDS]] or ["text"], object)
     rows, labels = [], []
     for source in pages:
         for made, _ in variants(source, words, rng, VARIANTS):
@@ -425,17 +438,18 @@ def extract(pages: DataFrame, html: str = "html", keep: tuple[str, ...] = ("page
     unfinished comment, script, style, title or textarea at the end of the page.
     Learns from ``SAMPLE`` pages, or all if there are fewer, among the different ones of at most
     ``PAGE_CHARS`` characters that name their article: those of the smallest content hashes, so that
-    neither other pages nor copies change how many teach. Below ``FEWEST`` of them, pages made from
-    words of the table's pages teach as well. Repeated rows give repeated rows; other columns are
-    left out.
+    neither other pages nor copies change how many teach. ``MADE`` pages made from words of the
+    table's pages teach as well. Longer pages are extracted as any other. Repeated rows give repeated
+    rows; other columns are left out.
     """
     spark = pages.sparkSession
     content = F.col(html)
     named = content.rlike("(?i)<(article|main)[\\s>]") & (F.length(content) <= PAGE_CHARS)
     sample = _by_hash(pages.filter(named).select(content.alias("html")), SAMPLE)
-    if len(sample) < FEWEST:
-        shown = _by_hash(pages.filter(F.length(content) > 0).select(F.substring(content, 1, PAGE_CHARS).alias("html")), 50)
-        sample += made_pages(shown, MADE) if shown else []
+    shown = _by_hash(pages.filter(F.length(content).between(1, PAGE_CHARS)).select(content.alias("html")), FILLERS)
+    if not shown:  # there are only longer pages
+        shown = _by_hash(pages.filter(F.length(content) > 0).select(F.substring(content, 1, PAGE_CHARS).alias("html")), FILLERS)
+    sample += made_pages(shown, MADE) if shown else []
     model = teach(sample)
     shared = spark.sparkContext.broadcast(model)
     source = pages.select(*keep, content.alias("_html"))

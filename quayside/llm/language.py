@@ -9,7 +9,7 @@ chance is taken out again:
 
 and the language with the largest corrected share wins. N-grams are runs of bytes inside
 words, the blank before and after included; A-Z and À-Þ are lower-cased, digits and signs are
-blanks. The filter is fitted on at most about ``SAMPLE`` texts per language and has a fixed size.
+blanks. The filter is fitted on at most ``SAMPLE`` texts per language and has a fixed size.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quayside.llm.registry import query, table
@@ -103,11 +103,16 @@ def learn_filter(docs: DataFrame, text: str, lang: str, sample: int = SAMPLE) ->
     names = [r[lang] for r in counts]
     if not names:
         return [], np.zeros((1, 1 << SLOT_BITS), np.uint64)
-    share = F.create_map(*[x for r in counts for x in (F.lit(r[lang]), F.lit(min(1.0, sample / r["n"])))])
     place = F.create_map(*[x for k, name in enumerate(names) for x in (F.lit(name), F.lit(k))])
-    picked = docs.filter(F.col(lang).isNotNull()).filter(
-        F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1_000_000)) < share[F.col(lang)] * 1_000_000
-    ).select(F.col(text).alias("text"), place[F.col(lang)].alias("lang"))
+    # A share of all hashes that leaves a few more texts than wanted, then the smallest of them:
+    # which texts teach depends on ids and texts alone.
+    bound = {r[lang]: min(int(1.5 * sample / r["n"] * 2**64), 2**64 - 1) - 2**63 for r in counts}
+    most = F.create_map(*[x for name, b in bound.items() for x in (F.lit(name), F.lit(b))])
+    drawn = docs.filter(F.col(lang).isNotNull()).withColumn("_hash", F.xxhash64("id", F.lit(3))).filter(
+        F.col("_hash") <= most[F.col(lang)])
+    first = Window.partitionBy(lang).orderBy("_hash", F.xxhash64(text), text)
+    picked = drawn.withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") <= sample).select(
+        F.col(text).alias("text"), place[F.col(lang)].alias("lang"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, data, offsets in text_slabs(batches, "text", SLAB):

@@ -11,12 +11,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.llm import gbdt
 from quayside.llm.registry import query, table
 from quayside.llm.text import LOWER, binary_column, keep_rows, per_row_sum, rows_of, spans_hash, text_slabs, words
+from quayside.operators.skew import lookup_join
 from quayside.session import durable
 
 SAMPLE = 20_000
@@ -104,17 +106,29 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.stack([np.frombuffer(v.as_buffer(), np.float32) for v in column])
 
 
+def known_labels(labels: DataFrame, held_out: Column, doc_id: str, label: str) -> DataFrame:
+    """One row (id, label) for every id with usable labels; of several labels the greatest counts."""
+    usable = F.col(label).isNotNull() & F.col(doc_id).isNotNull() & ~F.coalesce(held_out, F.lit(False))
+    return labels.filter(usable).groupBy(F.col(doc_id).alias("id")).agg(F.max(F.col(label).cast("int")).alias("label"))
+
+
+def smallest_hashes(known: DataFrame, most: int, salt: int) -> DataFrame:
+    """At most ``most`` rows, those whose ids have the smallest hashes, whatever the partitions."""
+    return known.orderBy(F.xxhash64("id", F.lit(salt)), "id").limit(most)
+
+
 def teach(
     stats: DataFrame, labels: DataFrame, held_out: Column, doc_id: str, label: str, sample: int
 ) -> dict[str, np.ndarray]:
-    """Trees from the statistics of labelled rows; ``held_out`` is a condition on their id."""
-    known = labels.filter(F.col(label).isNotNull() & ~held_out).select(
-        F.col(doc_id).alias("id"), F.col(label).cast("int").alias("label"))
-    share = min(1.0, sample / max(known.count(), 1))
-    by_hash = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1_000_000)) < F.lit(int(share * 1_000_000) + 1)
-    taught = stats.join(known.filter(by_hash), "id").select("statistics", "label").limit(sample).toArrow()
+    """Trees from the statistics of at most ``sample`` labelled ids; ``held_out`` is a condition on
+    the id. An id that several rows have teaches once, by the smallest of their statistics."""
+    picked = smallest_hashes(known_labels(labels, held_out, doc_id, label), sample, 7)
+    found = lookup_join(stats.filter("id IS NOT NULL"), picked, ["id"])
+    taught = found.groupBy("id").agg(F.min("statistics").alias("statistics"), F.first("label").alias("label")).toArrow()
     if not taught.num_rows:
         return gbdt.fit(np.zeros((0, 1)), np.zeros(0))
+    order = pc.sort_indices(taught, sort_keys=[("id", "ascending")])
+    taught = taught.take(order).combine_chunks()
     y = taught.column("label").to_numpy().astype(float)
     return gbdt.fit(_matrix(taught.column("statistics").combine_chunks()), y)
 
@@ -141,7 +155,8 @@ def quality_scores(
     """Per row: id, held_out, score from 0 to 1, predicted.
 
     ``held_out`` is a condition on the id of ``labels`` and ``docs``; such labels are not used.
-    Labels that are null, or of unknown or null ids, teach nothing; without usable labels of both
+    Labels that are null, or of unknown or null ids, teach nothing; of several labels of an id the
+    greatest counts, and an id teaches once however many rows have it; without usable labels of both
     classes the score is their smoothed share. A null text is scored as an empty one. Repeated
     rows give repeated rows. Other columns are left out. An empty table gives no rows.
     """

@@ -1,15 +1,17 @@
 """Toxicity by a subsequence string kernel, Nystroem landmarks and a linear support vector machine.
 
 Two words are alike in the kernel when they share subsequences of ``LENGTH`` letters, which may
-have one other letter between each two; every gap costs a factor ``DECAY``. So an insult with a
-letter put in, or with an ending of another word, stays close to itself. The kernel is normalised
-and squared, and a word is described by its kernel values against a few landmark words, turned by
-the inverse root of the landmarks' own kernel matrix (Nystroem): in that space the support vector
-machine is linear.
+have up to ``GAPS`` other letters between each two; every letter passed over costs a factor
+``DECAY``. So an insult with a letter put in, or with an ending of another word, stays close to
+itself. The kernel is normalised and squared, and a word is described by its kernel values against a
+few landmark words, turned by the inverse root of the landmarks' own kernel matrix (Nystroem): in
+that space the support vector machine is linear. A word that is below ``LEAST_VALUE`` against every
+landmark counts as like none, which most words are; a bound tells without their kernel values.
 
 The machine learns from sentences: a sentence of a toxic document is taken to hold a toxic word,
 one of any other document holds none. Which word that is, is found in turns: train, then take the
-worst word of each sentence, train again. A document's score is a logistic function of its two
+worst word of each sentence, train again. All toxic texts and some others teach a second time with a
+letter put into each of their longer words. A document's score is a logistic function of its two
 worst sentences and the number and share of its bad words.
 
 Words are runs between white space, in lower case, with accents kept apart, digits read as the
@@ -18,6 +20,8 @@ letters they stand for, signs dropped, and neighbouring single letters taken tog
 
 from __future__ import annotations
 
+import itertools
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,14 +29,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm.quality_model import third_of_ids
+from quayside.llm.quality_model import known_labels, smallest_hashes, third_of_ids
 from quayside.llm.registry import query, table
-from quayside.llm.text import rows_of, spans_hash, text_slabs, utf8, words
+from quayside.llm.text import per_row_sum, rows_of, spans_hash, text_slabs, utf8, words
 from quayside.operators.skew import lookup_join
 
 TOXIC_TEXTS, CLEAN_TEXTS, TEXT_CHARS = 1500, 3000, 20_000
-LENGTH, DECAY = 4, 0.6
-LEAST_VALUE = 0.35  # a word that can't be this like any landmark is like none
+LENGTH, GAPS, DECAY = 4, 2, 0.8
+LEAST_VALUE = 0.35  # before the square
+DISGUISED = 600  # clean texts that teach in disguise too
 LANDMARKS, CLEAN_LANDMARKS = 64, 32
 TURNS = 4
 KNOWN_WORDS = 400_000
@@ -80,21 +85,35 @@ def units(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return out, first, row[~joined], sentence
 
 
+# Places of the letters of a subsequence after its first one, and what its gaps cost.
+PATTERNS = [
+    (tuple(np.cumsum(np.array(gaps) + 1).tolist()), DECAY ** sum(gaps))
+    for gaps in itertools.product(range(GAPS + 1), repeat=LENGTH - 1)
+]
+
+
+def _keys(codes: np.ndarray, places: tuple[int, ...]) -> np.ndarray:
+    """The subsequence that starts at each code, as a number; the last codes have none."""
+    size = max(len(codes) - places[-1], 0)
+    key = codes[:size].astype(np.int32)
+    for p in places:
+        key = key * 64 + codes[p:p + size]
+    return key
+
+
+def _left(first: np.ndarray) -> np.ndarray:
+    """How many codes a word has from each of its codes on, itself included."""
+    return np.repeat(first[1:], np.diff(first)) - np.arange(first[-1])
+
+
 def subsequences(codes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(word, subsequence as a number, weight) of all words."""
-    word = rows_of(first)
-    stop = first[1:][word]
+    word, left = rows_of(first), _left(first)
     found = []
-    wide = codes.astype(np.int64)
-    for gaps in range(2 ** (LENGTH - 1)):
-        at = np.arange(len(codes))
-        key, step = wide.copy(), 0
-        for k in range(LENGTH - 1):
-            step += 1 + (gaps >> k & 1)
-            ok = at + step < stop[at]
-            at, key = at[ok], key[ok]
-            key = key * 64 + wide[at + step]
-        found.append((word[at], key, np.full(len(at), DECAY ** bin(gaps).count("1"), np.float32)))
+    for places, weight in PATTERNS:
+        key = _keys(codes, places)
+        at = np.flatnonzero(left[:len(key)] > places[-1])
+        found.append((word[at], key[at], np.full(len(at), weight, np.float32)))
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
@@ -108,31 +127,61 @@ class Kernel:
         self.table = np.zeros((len(self.keys), size), np.float32)
         np.add.at(self.table, (np.searchsorted(self.keys, key), word), weight)
         self.table /= np.maximum(np.sqrt((self.table**2).sum(0)), 1e-9)
-        self.most = self.table.max(1, initial=0)
+        self.ready()
+
+    def ready(self) -> None:
+        """What the values need beside the table: each key's greatest entry, by key, and 0 for others."""
+        self.most = np.zeros(64**LENGTH, np.float32)
+        self.most[self.keys] = self.table.max(1, initial=0)
 
     def values(self, codes: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Normalised and squared values; those of words below the least value are 0."""
         size = len(first) - 1
-        word, key, weight = subsequences(codes, first)
-        order = np.argsort(word * 2**(6 * LENGTH) + key, kind="stable")
-        word, key, weight = word[order], key[order], weight[order]
-        new = np.ones(len(word), bool)
-        new[1:] = (word[1:] != word[:-1]) | (key[1:] != key[:-1])
-        at = np.flatnonzero(new)
-        word, key = word[at], key[at]
-        weight = np.add.reduceat(weight, at) if len(at) else weight
-        norm = np.sqrt(np.bincount(word, weight.astype(np.float64) ** 2, size))
-        place = np.searchsorted(self.keys, key)
-        hit = np.flatnonzero(self.keys[np.minimum(place, len(self.keys) - 1)] == key) if len(self.keys) else []
         out = np.zeros((size, self.table.shape[1]), np.float32)
-        if len(hit):
-            # No value of a word is above this bound; most words stay far below and count as 0.
-            bound = np.bincount(word[hit], weight[hit] * self.most[place[hit]], size)
-            hit = hit[(bound >= LEAST_VALUE * norm)[word[hit]]]
+        if not len(self.keys) or not len(codes):
+            return out
+        # No value of a word is above this bound over its norm, and the norm is not below the one
+        # that takes every subsequence as a different one.
+        left, length = _left(first), np.diff(first)
+        bound, least = np.zeros(len(codes), np.float32), np.zeros(size)
+        for places, weight in PATTERNS:
+            key = _keys(codes, places)
+            bound[:len(key)] += np.where(left[:len(key)] > places[-1], self.most[key], 0) * np.float32(weight)
+            least += weight**2 * np.maximum(length - places[-1], 0)
+        near = np.flatnonzero(per_row_sum(bound, first) >= LEAST_VALUE * np.sqrt(least) * (1 - 1e-4))
+        near = near[least[near] > 0]
+        for a in range(0, len(near), 2000):
+            self._exact(near[a:a + 2000], codes, first, out)
+        return out
+
+    def _exact(self, which: np.ndarray, codes: np.ndarray, first: np.ndarray, out: np.ndarray) -> None:
+        some = _pick(codes, first, which)
+        word, key, weight = subsequences(*some)
+        order = np.argsort(word * 64**LENGTH + key, kind="stable")
+        word, key, weight = word[order], key[order], weight[order]
+        at = np.flatnonzero(np.append(True, (word[1:] != word[:-1]) | (key[1:] != key[:-1])))
+        word, key, weight = word[at], key[at], np.add.reduceat(weight, at)
+        norm = np.sqrt(np.bincount(word, weight.astype(np.float64) ** 2, len(which)))
+        hit = np.flatnonzero(self.most[key] > 0)
+        bound = np.bincount(word[hit], weight[hit] * self.most[key[hit]], len(which))
+        hit = hit[(bound >= LEAST_VALUE * norm)[word[hit]]]
         if len(hit):
             who = word[hit]
             begin = np.flatnonzero(np.append(True, who[1:] != who[:-1]))
-            out[who[begin]] = np.add.reduceat(self.table[place[hit]] * weight[hit, None], begin, axis=0)
-        return (out / np.maximum(norm, 1e-9)[:, None]) ** 2
+            place = np.searchsorted(self.keys, key[hit])
+            sums = np.add.reduceat(self.table[place] * weight[hit, None], begin, axis=0)
+            out[which[who[begin]]] = (sums / norm[who[begin], None]) ** 2
+
+
+def disguised(text: str, rng: np.random.Generator) -> str:
+    """The text with a letter put into each word of four letters or more."""
+
+    def change(m: re.Match) -> str:
+        word = m.group()
+        at = int(rng.integers(1, len(word) - 1))
+        return word[:at] + chr(97 + int(rng.integers(26))) + word[at:]
+
+    return re.sub(r"[^\s]{4,}", change, text)
 
 
 def _distinct(codes: np.ndarray, first: np.ndarray):
@@ -201,6 +250,10 @@ def learn(texts: list[str], toxic: np.ndarray) -> dict | None:
     """Landmarks, machine and calibration from texts marked 0 or 1; None without both classes."""
     if len(texts) == 0 or toxic.min() == toxic.max():
         return None
+    rng = np.random.Generator(np.random.PCG64(19))
+    again = [*np.flatnonzero(toxic == 1), *np.flatnonzero(toxic == 0)[:DISGUISED]]
+    texts = [*texts, *(disguised(texts[k], rng) for k in again)]
+    toxic = np.concatenate([toxic, toxic[again]])
     data, offsets = utf8(pa.array(texts, pa.large_string()))
     codes, first, row, sentence = units(data, offsets)
     uniq, one, back = _distinct(codes, first)
@@ -269,7 +322,7 @@ class Scorer:
         self.model = model
         self.kernel = Kernel.__new__(Kernel)
         self.kernel.keys, self.kernel.table = model["keys"], model["table"]
-        self.kernel.most = model["table"].max(1, initial=0)
+        self.kernel.ready()
         self.known = np.zeros(0, np.uint64)
         self.value = np.zeros(0)
 
@@ -307,23 +360,21 @@ def toxicity_scores(
     """Per row: id, held_out, score from 0 to 1, predicted.
 
     Learns from at most ``TOXIC_TEXTS`` and ``CLEAN_TEXTS`` labelled texts of at most
-    ``TEXT_CHARS`` characters, chosen by a hash of the id; scores every whole text, empty and null
-    ones as texts without words. Null labels and ids teach nothing; without usable labels of both
+    ``TEXT_CHARS`` characters, those whose ids have the smallest hashes; scores every whole text,
+    empty and null ones as texts without words. Null labels and ids teach nothing; of several labels
+    of an id the greatest counts, of several texts the smallest; without usable labels of both
     classes every score is their smoothed share of toxic ones. Repeated rows give repeated rows.
     Other columns are left out. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    known = labels.filter(F.col(label).isNotNull() & ~held_out).select(doc_id, F.col(label).cast("int").alias("_label"))
-    counts = {r["_label"]: r["n"] for r in known.groupBy("_label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    known = known_labels(labels, held_out, doc_id, label)
     texts: list[str] = []
     marks: list[int] = []
     for mark, most in ((1, TOXIC_TEXTS), (0, CLEAN_TEXTS)):
-        share = min(1.0, most / max(counts.get(mark, 0), 1))
-        picked = known.filter((F.col("_label") == mark) & (
-            F.pmod(F.xxhash64(doc_id, F.lit(5)), F.lit(1_000_000)) < int(share * 1_000_000) + 1)).select(doc_id).distinct()
-        found = lookup_join(
-            docs.select(doc_id, text).filter(F.length(text) <= TEXT_CHARS), picked, [doc_id]).select(text).limit(most)
-        got = [r[0] for r in found.collect()]
+        picked = smallest_hashes(known.filter(F.col("label") == mark), most, 5).select("id")
+        source = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).filter(F.length(text) <= TEXT_CHARS)
+        found = lookup_join(source.filter("id IS NOT NULL"), picked, ["id"]).groupBy("id").agg(F.min("text").alias("text"))
+        got = [r["text"] for r in found.orderBy("id").collect()]
         texts += got
         marks += [mark] * len(got)
     model = learn(texts, np.array(marks, np.int64))

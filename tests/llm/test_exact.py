@@ -74,6 +74,29 @@ def test_rules_keep_prose_and_reject_junk(docs):
     assert not kept[200] and not kept[214]
 
 
+def test_boilerplate_is_judged_by_its_share(spark):
+    prose = "The people of the house read more of the water than others, and they wrote about it in the morning. "
+    cookies = ["We use cookies on this site.", "Read our privacy policy and our cookie policy.", "Terms of use apply here."]
+    rows = [
+        (1, prose * 20),                                                       # a long line with a phrase is prose
+        (2, "\n".join(cookies * 6 + [prose])),                                 # most of the text is boilerplate
+        (3, prose[:60] + "house by the water.\nThis work is licensed under the GNU General Public License, version 3.\n"),
+        (4, "Copyright © the people of the house and the water.\n" + prose.replace("read more", "knew more") * 3),
+        (5, "All rights reserved.\n \n"), (6, cookies[0] + "\n" + prose),
+    ]
+    got = {r.doc_id: r for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+
+    def chars(text):
+        return sum(map(len, WORD.findall(text)))
+
+    assert got[1].prose_chars == chars(rows[0][1]) and got[1].lost_chars == 0
+    assert not got[2].kept and got[2].lost_chars == chars("".join(cookies * 6)) and got[2].prose_chars == chars(prose)
+    assert got[3].kept and got[3].lost_chars == 0 and got[3].prose_chars == chars(rows[2][1].split("\n")[0])
+    assert got[4].lost_chars == chars(rows[3][1].split("\n")[0])
+    assert not got[5].kept and got[5].prose_chars == 0 and got[5].lost_chars == 0
+    assert got[6].lost_chars == chars(cookies[0]) and got[6].kept
+
+
 def test_clean_lines(spark):
     df = spark.createDataFrame([("A good line.\nhome | about | contact | help\nAll rights reserved.\nBUY!! NOW!! YES!!",)], "t string")
     assert df.select(clean_lines(df.t)).first()[0] == "A good line."
@@ -258,6 +281,31 @@ def test_shared_chunks_are_encoded_once():
 # ---- 5
 
 
+def chunk_lengths(text):
+    """Chunks of a fingerprint with their lengths, the last four hex digits of each."""
+    return {text[k:k + 16]: int(text[k + 12:k + 16], 16) for k in range(0, len(text), 16)}
+
+
+def containment(a, b):
+    if not a or not b:
+        return float(a == b)
+    return sum(a[k] for k in a.keys() & b.keys()) / min(sum(a.values()), sum(b.values()))
+
+
+def test_rows_without_ids_are_dealt_and_stay_in_order(spark, docs):
+    rows = [(None, f"text number {k} of many " * 8) for k in range(300)] + [(5, "one with an id " * 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = edited_by_next(df).collect()
+    assert len(got) == 301
+    hashes = {r["text"]: r["tie"] for r in df.selectExpr("text", "xxhash64(text) tie").collect()}
+    order = [rows[-1][1]] + sorted((t for i, t in rows if i is None), key=lambda t: -hashes[t])
+    want = Counter()
+    for k, text in enumerate(order):
+        n = len(text) // 3
+        want[hashlib.sha256((text[:len(text) - n] + order[(k + 1) % len(order)][:n]).encode()).hexdigest()] += 1
+    assert Counter(r["edited_sha256"] for r in got) == want
+
+
 def test_edited_texts_and_fingerprints(docs, texts, spark):
     rows = [r for r in texts if r[0] is not None and r[0] != 3 and r[0] % 2 == 0]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
@@ -272,7 +320,10 @@ def test_edited_texts_and_fingerprints(docs, texts, spark):
         assert got[i]["n_chars"] == len(text)
         if edited == text:
             assert got[i]["near_edited"] == 1 and got[i]["fingerprint"] == got[i]["edited_fingerprint"]
-        assert 0 <= got[i]["near_edited"] <= 1 and 0 <= got[i]["near_next"] <= 1
+        own, other, next_ = (chunk_lengths(x) for x in (
+            got[i]["fingerprint"], got[i]["edited_fingerprint"], got[order[(k + 1) % len(order)][0]]["fingerprint"]))
+        assert got[i]["near_edited"] == pytest.approx(containment(own, other))
+        assert got[i]["near_next"] == pytest.approx(containment(own, next_))
     whole = {r["doc_id"]: r for r in fingerprints(docs).collect()}
     assert all(whole[i]["fingerprint"] == got[i]["fingerprint"] for i in got)
     assert whole[100]["fingerprint"] == whole[0]["fingerprint"] != whole[1]["fingerprint"]

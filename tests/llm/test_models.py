@@ -6,14 +6,17 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from quayside.llm import gbdt
+from quayside.llm import language as L
+from quayside.llm import toxicity as T
 from quayside.llm.hmm_lm import Model, expected_counts, forward, score_texts
 from quayside.llm.html_extract import Page, decode, extract, features, main_text, teach
 from quayside.llm.language import fourth_of_ids, keep_languages, languages
-from quayside.llm.quality_model import keep_quality, quality_scores, third_of_ids
+from quayside.llm.quality_model import keep_quality, quality_scores, statistics, third_of_ids
 from quayside.llm.toxicity import Kernel, learn, toxicity_scores, units, Scorer
 from quayside.llm.text import utf8
 from tests.llm.conftest import LANGS, prose
@@ -43,6 +46,49 @@ def test_languages_of_held_out_texts(docs, texts):
     assert all(0 <= r["score"] <= 1 for r in got)
 
 
+def test_votes_against_plain_sets(docs):
+    """Masks, popcounts and the correction for false positives, against sets of n-grams."""
+    learnt = docs.filter("doc_id < 90").select(F.col("doc_id").alias("id"), "text", "lang")
+    names, masks = L.learn_filter(learnt, "text", "lang")
+    assert sorted(names) == sorted(LANGS)
+    text = prose("de", 999, 40) + " " + prose("fr", 7, 9)
+    data, offsets = utf8(pa.array([text, "zzz qqq", ""]))
+    keys, firsts = L.grams(data, offsets)
+    best, score, share = L.votes(masks, len(names), data, offsets)
+    for row in range(3):
+        own = [int(k) for k in keys[firsts[row]:firsts[row + 1]]]
+        shares = []
+        for k in range(len(names)):
+            held = {int(s) for s in np.flatnonzero(masks[0] >> np.uint64(k) & np.uint64(1))}
+            false = (len(held) / (1 << L.SLOT_BITS)) ** L.PROBES
+            low = (1 << L.SLOT_BITS) - 1
+            found = sum(all((g >> L.SLOT_BITS * p & low) in held for p in range(L.PROBES)) for g in own)
+            shares.append(max(found / max(len(own), 1) - false, 0) / (1 - false))
+        top, second = sorted(shares)[-1], sorted(shares)[-2]
+        assert share[row] == pytest.approx(top if row < 2 else 0, abs=1e-9)
+        assert best[row] == (shares.index(top) if row < 2 else len(names))
+        assert score[row] == pytest.approx(top / (top + second) if row < 2 and top > 0 else 0, abs=1e-6)
+    # Every n-gram that is frequent in one language only has that language's bit in all its slots.
+    per = {name: {} for name in names}
+    for r in learnt.collect():
+        d, o = utf8(pa.array([r["text"]]))
+        for g in L.grams(d, o)[0].tolist():
+            per[r["lang"]][g] = per[r["lang"]].get(g, 0) + 1
+    for k, name in enumerate(names):
+        others = set().union(*[per[o] for o in names if o != name])
+        own = np.array([g for g, n in per[name].items() if n >= 5 and g not in others], np.uint64)
+        assert len(own) > 20
+        for at in L.slots(own):
+            assert (masks[0][at] >> np.uint64(k) & np.uint64(1)).all()
+
+
+def test_language_sample_follows_ids_and_texts_alone(docs):
+    learnt = docs.filter("doc_id < 90").select(F.col("doc_id").alias("id"), "text", "lang")
+    one = L.learn_filter(learnt, "text", "lang", sample=8)
+    two = L.learn_filter(learnt.repartition(9), "text", "lang", sample=8)
+    assert one[0] == two[0] and (one[1] == two[1]).all()
+
+
 def test_kept_languages_pass_unchanged(docs, nothing):
     kept = keep_languages(docs, fourth_of_ids())
     assert kept.columns == docs.columns
@@ -100,6 +146,64 @@ def test_disguised_words_are_near():
     assert 0.2 < near[2] < 1 and near[6] == 0
 
 
+def kernel_by_force(a, b):
+    """The kernel by enumerating all subsequences of the marked words."""
+    def counts(word):
+        out = {}
+        for at in itertools.combinations(range(len(word)), T.LENGTH):
+            gaps = [y - x - 1 for x, y in itertools.pairwise(at)]
+            if max(gaps) <= T.GAPS:
+                key = tuple(word[k] for k in at)
+                out[key] = out.get(key, 0) + T.DECAY ** sum(gaps)
+        return out
+
+    x, y = counts(a), counts(b)
+    dot = sum(v * y.get(k, 0) for k, v in x.items())
+    return dot / math.sqrt(sum(v * v for v in x.values()) * sum(v * v for v in y.values())) if x and y else 0.0
+
+
+def test_kernel_against_enumerated_subsequences():
+    words = ["banana", "bananas", "baxnana", "ananas", "grobnik", "grxobnik", "an", "ana", "snarfel", "barnfell", "aaaaaaa"]
+    data, offsets = utf8(pa.array([" ".join(words)]))
+    codes, first, *_ = units(data, offsets)
+    kernel = Kernel(codes, first)
+    got = kernel.values(codes, first)
+    split = [codes[a:b].tolist() for a, b in itertools.pairwise(first)]
+    for i, j in itertools.product(range(len(words)), repeat=2):
+        want = kernel_by_force(split[i], split[j])
+        assert got[i, j] == pytest.approx(want ** 2, abs=1e-5)
+
+
+def test_inserted_letters_do_not_hide_insults(labelled):
+    """Held-out insults with a letter put into each of them."""
+    docs, labels = labelled
+    rows = {r["doc_id"]: r["text"] for r in docs.filter("doc_id < 300").collect()}
+    marks = {r["doc_id"]: r["toxic"] for r in labels.filter("doc_id < 300 and toxic is not null").collect()}
+    taught = [k for k in rows if not left(k, 3, 1)]
+    model = learn([rows[k] for k in taught], np.array([marks[k] for k in taught]))
+    rng = np.random.default_rng(2)
+
+    def hide(text):
+        return re.sub("grobnik|snarfel", lambda m: m[0][:(k := int(rng.integers(1, 7)))] + "x" + m[0][k:], text)
+
+    held = [k for k in rows if left(k, 3, 1)]
+    scores = Scorer(model).texts(*utf8(pa.array([hide(rows[k]) for k in held])))
+    bad = np.array([marks[k] == 1 for k in held])
+    assert (scores[bad] >= 0.7).mean() >= 0.75 and (scores[~bad] >= 0.7).mean() <= 0.01
+
+
+def test_words_below_the_least_value_are_like_none():
+    data, offsets = utf8(pa.array(["grobnik grob bnik groxyzbnik river"]))
+    codes, first, *_ = units(data, offsets)
+    plain = Kernel(codes[first[0]:first[1]], np.array([0, first[1]]))
+    got = plain.values(codes, first)[:, 0]
+    split = [codes[a:b].tolist() for a, b in itertools.pairwise(first)]
+    for value, word in zip(got, split):
+        want = kernel_by_force(word, split[0])
+        assert value == 0 or value == pytest.approx(want ** 2, abs=1e-5)
+        assert value > 0 or want < T.LEAST_VALUE + 1e-6 or want == 0
+
+
 def test_without_both_classes(labelled, spark):
     docs, labels = labelled
     assert learn(["a b"], np.array([0])) is None
@@ -121,6 +225,44 @@ def test_quality_held_out(labelled):
     assert {k for k in range(300) if k % 3} <= ids and not {k for k in range(300) if k % 3 == 0} & ids
 
 
+def test_statistics_against_plain_python():
+    texts = ["", "One two two. three", "A b\nA b\n\nline! *x* (1,2) https://a.b/c_d=e", "ÄÖ der Der DER der\n| a | b |", "x" * 30]
+    data, offsets = utf8(pa.array(texts))
+    got = statistics(data, offsets)
+    for text, row in zip(texts, got):
+        raw, words = text.encode(), WORD.findall(text)
+        n, size = max(len(words), 1), max(len(raw), 1)
+        low = [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in words]
+        lines = [x for x in text.split("\n") if x]
+        count = max(len(lines), 1)
+        again = lambda items: len(items) - len(set(items))
+        kinds = [b"#*$%&|<>", b"|", b"!", b".!?", b",;:", b"()[]{}\"'", b"0123456789", bytes(range(65, 91)), bytes(range(97, 123)),
+                 b"/\\_=@", bytes(range(128, 256))]
+        want = [math.log1p(len(words)), math.log1p(len(raw)), *[sum(b in k for b in raw) / size for k in kinds]]
+        lengths = [len(w.encode()) for w in words]
+        want += [sum(lengths) / n, sum(x <= 3 for x in lengths) / n, sum(x >= 14 for x in lengths) / n,
+                 sum(w[0] in "#*$%&|<>" or w[-1] in "#*$%&|<>" for w in words) / n, sum("A" <= w[0] <= "Z" for w in words) / n,
+                 again(low) / n]
+        assert row[:len(want)] == pytest.approx(want, abs=1e-6), text
+        pairs = again([*itertools.pairwise(low), *([(low[-1], "")] if low else [])]) / n
+        assert abs(row[len(want)] - pairs) <= 1 / n + 1e-6  # the last word pairs with what follows the text
+        rest = [sum(a == b for a, b in itertools.pairwise(low)) / n,
+                sum(x.rstrip("\n")[-1] in ".!?" for x in lines) / count, math.log1p(len(words) / count), again(lines) / count, math.log1p(len(lines))]
+        assert row[len(want) + 1:] == pytest.approx(rest, abs=1e-6), text
+
+
+def test_labels_and_texts_of_one_id_teach_once(labelled, spark):
+    """Several labels, several rows of an id and other partitions leave the models as they are."""
+    docs, labels = labelled
+    more = labels.unionByName(labels.filter("doc_id % 2 = 0")).unionByName(spark.createDataFrame(
+        [(k, 0, 0) for k in range(0, 300, 4)], "doc_id long, quality int, toxic int"))
+    copies = docs.unionByName(docs.filter("doc_id = 7").crossJoin(spark.range(40)).drop("id"))
+    for scores in (toxicity_scores, quality_scores):
+        one = {r["doc_id"]: r["score"] for r in scores(docs, labels, third_of_ids()).collect()}
+        two = {r["doc_id"]: r["score"] for r in scores(copies.repartition(7), more.repartition(5), third_of_ids()).collect()}
+        assert one.keys() == two.keys() and all(one[k] == pytest.approx(two[k], abs=1e-9) for k in one if k != 5)
+
+
 def test_flat_trees_walk_like_nested_ones():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(800, 4)).astype(np.float32)
@@ -217,7 +359,7 @@ def test_other_pages_and_copies_leave_the_sample_alone(spark, monkeypatch):
     named = [PAGE.replace("First", f"First {prose('en', k, 30)}") for k in range(260)]
     rows = [(k, "u", p) for k, p in enumerate(named + [_div_page(k) for k in range(3000)] + [named[0]] * 500)]
     extract(spark.createDataFrame(rows, "page_id long, url string, html string"))
-    assert len(taught[0]) == len(set(taught[0])) == H.SAMPLE and set(taught[0]) <= set(named)
+    assert len(taught[0]) == len(set(taught[0])) == H.SAMPLE + H.MADE and set(taught[0][:H.SAMPLE]) <= set(named)
 
 
 def _texts(source):
