@@ -22,6 +22,7 @@ LIST_TAGS = (
 COLLATION = 'COLLATE "SQL_Latin1_General_CP1_CI_AS"'
 
 # Camel-case boundaries: the end of an acronym, and lower case or digit before upper case.
+# Where a capital starts a new word.
 _BOUNDARIES = ("([A-Z]+)([A-Z][a-z])", "([a-z0-9])([A-Z])")
 
 

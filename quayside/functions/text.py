@@ -38,12 +38,15 @@ def line_count(text: Column, newlines_only: bool = False) -> Column:
 
 
 def requote(line: Column, delimiter: str = ",", new_delimiter: str = ",") -> Column:
-    """Double bare quotes in a quoted line and change the delimiter between its fields."""
-    d = re.escape(delimiter)
-    line = F.replace(line, F.lit('"'), F.lit('""'))
-    line = F.regexp_replace(line, '^""', '"')
-    line = F.regexp_replace(line, '""\\z', '"')
-    return F.regexp_replace(line, f'""{d}""', f'"{new_delimiter}"'.replace("$", "\\$"))
+    """Double bare quotes in a quoted line and change the delimiter between its fields: between
+    the outer quotes the line is taken apart where quoted fields meet, each field is escaped, and
+    the fields are put together again."""
+    opens = line.startswith('"')
+    closes = line.endswith('"') & (F.length(line) > opens.cast("int"))
+    inner = F.substring(line, opens.cast("int") + 1, F.length(line) - opens.cast("int") - closes.cast("int"))
+    fields = F.transform(F.split(inner, re.escape(f'"{delimiter}"'), -1), lambda f: F.replace(f, F.lit('"'), F.lit('""')))
+    edge = {side: F.when(there, '"').otherwise("") for side, there in (("left", opens), ("right", closes))}
+    return F.concat(edge["left"], F.array_join(fields, f'"{new_delimiter}"'), edge["right"])
 
 
 def requote_where_it_fits(line: Column, delimiter: str, fields: int) -> Column:

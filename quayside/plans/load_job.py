@@ -24,6 +24,7 @@ from quayside.sources.tables import VersionedTable
 
 log = logging.getLogger(__name__)
 
+KEPT_CATALOGS = 20  # versions of the catalog that stay
 NO_MAPPING = "No Matching Configuration Found"
 
 
@@ -37,7 +38,7 @@ class LoadJob:
         self.spark, self.mappings, self.work_dir = spark, list(mappings), work_dir.rstrip("/")
         self.data_schema = data_schema
         self.catalog = VersionedTable(
-            spark, f"{self.work_dir}/logging/meta_source_files", cat.CATALOG_SCHEMA
+            spark, f"{self.work_dir}/logging/meta_source_files", cat.CATALOG_SCHEMA, KEPT_CATALOGS
         )
         if not self.catalog.exists():
             self.catalog.replace(spark.createDataFrame([], cat.CATALOG_SCHEMA))

@@ -169,7 +169,7 @@ class PublishJob:
             have = {**self.item, **entry}
             table = have["table"]
             rows = self.spark.sql(have["source_sql"]) if have.get("source_sql") else self.source(table)
-            target = VersionedTable(self.spark, self.path(table), rows.schema)
+            target = VersionedTable(self.spark, self.path(table), rows.schema, have.get("keep_versions"))
             if not self.item.get("move_data", False):
                 log.warning("move_data is not set: %s is not moved", table)
                 continue

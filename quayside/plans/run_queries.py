@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 import yaml
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quayside.functions.text import KNOWN_PREFIXES
+from quayside.operators import quality
 from quayside.plans import config
 from quayside.plans.delivery_queries import MERGE_SQL, _staging, _target
 from quayside.plans.inputs import table
@@ -321,3 +323,28 @@ def filled_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
         wide, _ = config.over_files(bound, "ids")
         out.append((r["n_name"], wide, narrow if config.over_files(narrow, "ids")[0] is None else "", filled["sql"][0]))
     return spark.createDataFrame(out, "n_name string, wide string, narrow string, filled string")
+
+
+@query(
+    "reconcile_run",
+    """SELECT 'load_' || CAST(c_nationkey % 3 AS VARCHAR) AS table_name, count(*) AS rows_recorded,
+       count(*) + CASE WHEN c_nationkey % 3 = 1 THEN 2 ELSE 0 END AS rows_present,
+       CAST(CASE WHEN c_nationkey % 3 = 1 THEN 2 ELSE 0 END AS BIGINT) AS difference
+FROM customer GROUP BY c_nationkey % 3""",
+)
+def reconcile_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that the catalog recorded for each table against rows found in it, after
+    two rows were put into one table behind the job's back. The files of all three tables are one
+    read and one write."""
+    folder = scratch_path(spark, "reconcile")
+    line = F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name")
+    place = F.concat(F.lit("load_"), (F.col("nation") % 3).cast("string"), F.lit("-"), file_of(".csv"))
+    write_lines(customers(spark, sf_dir).select(place.alias("place"), "c_custkey", line.alias("line")), folder, "k,name\n")
+    with Run(spark) as run:
+        catalog = run.load(folder, [{
+            "file_regex": r".*csv$", "table_name_extract": r"(load_\d).*", "process_logic": step_list("pandas_import")}])
+        spark.sql(f"INSERT INTO {run.schema}.load_1 VALUES ('x', 'y'), ('x', 'z')")
+        counts = [run.rows(f"load_{k}").agg(F.count(F.lit(1)).alias("rows")).withColumn("table_name", F.lit(f"load_{k}")) for k in range(3)]
+    recorded = catalog.select(F.substring_index("database_table", ".", -1).alias("table_name"), F.col("rows_inserted").alias("rows"))
+    present = reduce(DataFrame.unionByName, counts)
+    return quality.reconcile(recorded, present, "table_name")

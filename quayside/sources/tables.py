@@ -16,25 +16,39 @@ from quayside.sources.storage import hadoop_children, hadoop_delete, metadata_pa
 
 
 class VersionedTable:
-    """A Parquet table whose content is replaced by a new version folder.
+    """A Parquet table whose content is replaced by a new version folder and extended by additions.
 
-    A version counts once its write has left the ``_SUCCESS`` mark, so readers see the old content
-    or the new one, never half of it, and a failed write leaves the table as it was.
+    A version, and an addition to one, counts once its write has left the ``_SUCCESS`` mark, so
+    readers see the old content or the new one, never half of it, and a failed write leaves the
+    table as it was. Two writers that take the same number can't both write: the second one fails.
+    With ``keep`` only so many of the newest versions stay. After ``ADDITIONS`` of them the next
+    addition writes the table anew, so that reading does not list ever more folders.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | None = None):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+    ADDITIONS = 50
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType | None = None, keep: int | None = None):
+        if keep is not None and keep < 1:
+            raise ValueError("at least one version must stay")
+        self.spark, self.path, self.schema, self.keep = spark, path.rstrip("/"), schema, keep
 
     def _folder(self, version: int) -> str:
         return f"{self.path}/v={version:08d}"
 
+    def _complete(self, prefix: str) -> list[str]:
+        """Complete folders of a kind, oldest first."""
+        found = sorted(n for n in hadoop_children(self.spark, self.path) if n.startswith(prefix))
+        return [n for n in found if "_SUCCESS" in hadoop_children(self.spark, f"{self.path}/{n}")]
+
     def versions(self) -> list[int]:
-        found = [int(n[2:]) for n in hadoop_children(self.spark, self.path) if n.startswith("v=")]
-        return sorted(v for v in found if "_SUCCESS" in hadoop_children(self.spark, self._folder(v)))
+        return [int(n[2:]) for n in self._complete("v=")]
 
     def exists(self) -> bool:
         return bool(self.versions())
 
+    def _additions(self, version: int) -> list[str]:
+        return self._complete(f"a={version:08d}-")
+
     def read(self) -> DataFrame:
         versions = self.versions()
         if not versions:
@@ -42,27 +56,38 @@ class VersionedTable:
                 raise FileNotFoundError(self.path)
             return self.spark.createDataFrame([], self.schema)
         reader = self.spark.read if self.schema is None else self.spark.read.schema(self.schema)
-        return reader.parquet(self._folder(versions[-1]))
+        added = [f"{self.path}/{n}" for n in self._additions(versions[-1])]
+        return reader.parquet(self._folder(versions[-1]), *added)
 
     def _next(self) -> int:
         taken = [int(n[2:]) for n in hadoop_children(self.spark, self.path) if n.startswith("v=")]
         return max(taken, default=0) + 1
 
-    def replace(self, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
+    def replace(self, df: DataFrame) -> None:
         """K2: the new content, as a whole."""
-        writer = df.write.mode("errorifexists")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.parquet(self._folder(self._next()))
+        df.write.mode("errorifexists").parquet(self._folder(self._next()))
+        if self.keep is not None:
+            self._forget(self.versions()[:-self.keep])
+
+    def _forget(self, versions: Sequence[int]) -> None:
+        for v in versions:
+            for name in [n for n in hadoop_children(self.spark, self.path) if n.startswith(f"a={v:08d}-")]:
+                hadoop_delete(self.spark, f"{self.path}/{name}")
+            hadoop_delete(self.spark, self._folder(v))
 
     def append(self, df: DataFrame) -> None:
-        """K1: rows added to the current version, columns matched by name."""
+        """K1: rows added to the current version as one addition, columns matched by name."""
         versions = self.versions()
         if not versions:
             self.replace(df)
             return
-        columns = self.read().columns
-        df.select(*columns).write.mode("append").parquet(self._folder(versions[-1]))
+        now = self.read()
+        prefix = f"a={versions[-1]:08d}-"
+        taken = [int(n[len(prefix):]) for n in hadoop_children(self.spark, self.path) if n.startswith(prefix)]
+        if len(taken) >= self.ADDITIONS:
+            self.replace(now.unionByName(df.select(*now.columns)))
+            return
+        df.select(*now.columns).write.mode("errorifexists").parquet(f"{self.path}/{prefix}{max(taken, default=0) + 1:06d}")
 
 
 def upsert_partitions(
@@ -122,26 +147,6 @@ def dump_named(df: DataFrame, path: str, names: str) -> None:
     dump_csv(df.toDF(*names.split(",")), path, header=True)
 
 
-def json_document(df: DataFrame, rows: int) -> str:
-    """K6: ``{"data": [[text, ...], ...]}`` of at most ``rows`` rows, for a page that shows them."""
-    texts = df.limit(rows).select(render.json_row(df.columns).alias("j")).collect()
-    return '{"data": [' + ", ".join(r["j"] for r in texts) + "]}"
-
-
-def html_document(df: DataFrame, rows: int, sortable: Sequence[int] = ()) -> str:
-    """K7: a whole HTML table of at most ``rows`` rows, chosen header cells marked for sorting."""
-    head = render.html_header(df.columns, sortable)
-    body = df.limit(rows).select(render.html_row(df.columns).alias("h")).collect()
-    inner = "".join(r["h"] for r in body)
-    return f"<table><thead><tr>{head}</tr></thead><tbody>{inner}</tbody></table>"
-
-
-def markdown_document(df: DataFrame, rows: int) -> str:
-    """K8: a whole Markdown table of at most ``rows`` rows."""
-    body = df.limit(rows).select(render.markdown_row(df.columns).alias("m")).collect()
-    return "\n".join([*render.markdown_header(df.columns), *[r["m"] for r in body]])
-
-
 def export_tables(tables: dict[str, DataFrame], folder: str) -> DataFrame:
     """Every table as a folder of CSV files with a header, and one catalog row for each."""
     if not tables:

@@ -312,10 +312,6 @@ def test_dumps(spark, tmp_path):
     tables.dump_named(df, str(tmp_path / "x"), "First,Second,Third")
     lines_ = {x for p in (tmp_path / "x").glob("part*") for x in p.read_text().splitlines()}
     assert lines_ == {"First,Second,Third", '1,"a ""q""","[1,2]"'}
-    assert tables.json_document(df.select("i", "t"), 5) == '{"data": [["1","a \\"q\\""]]}'
-    page = tables.html_document(df.select("i", "t"), 5, [0])
-    assert page.startswith('<table><thead><tr><th data-sort="string">i</th><th>t</th>') and page.count("<tr>") == 2
-    assert tables.markdown_document(df.select("i"), 5) == "| i |\n|-------------- | \n| 1 |"
     out = tables.export_tables({"one": df, "two": df}, str(tmp_path / "exp"))
     assert {r.file_name for r in out.collect()} == {"one.csv", "two.csv"}
     assert tables.read_query(spark, "select 1 as x").first().x == 1
