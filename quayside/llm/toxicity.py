@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from quayside.llm.quality_model import known_labels, smallest_hashes, third_of_ids
 from quayside.llm.registry import query, table
-from quayside.llm.text import per_row_sum, rows_of, spans_hash, text_slabs, utf8, words
+from quayside.llm.text import per_row_sum, rows_of, slabs, spans_hash, text_slabs, utf8, words
 from quayside.operators.skew import lookup_join
 
 TOXIC_TEXTS, CLEAN_TEXTS, TEXT_CHARS = 1500, 3000, 20_000
@@ -246,37 +246,82 @@ def _summary(value: np.ndarray, row: np.ndarray, sentence: np.ndarray, rows: int
     return out
 
 
+def _vocabulary(texts: Iterator[str]) -> tuple[np.ndarray, ...]:
+    """Codes of all distinct words with each one's first code, and per word of the texts: its distinct
+    word, row and sentence. Texts are read in slabs, so memory follows the words, not the bytes."""
+    known, codes, sizes = np.zeros(0, np.uint64), [], []
+    keys, rows, sentences, seen = [], [], [], [0, 0]
+    while part := list(itertools.islice(texts, 200)):
+        data, offsets = utf8(pa.array(part, pa.large_string()))
+        for a, b in slabs(offsets, 1 << 20):
+            some, first, row, sentence = units(data[offsets[a]:offsets[b]], offsets[a:b + 1] - offsets[a])
+            uniq, one, back = _distinct(some, first)
+            new = ~np.isin(uniq, known)
+            picked, starts = _pick(some, first, one[new])
+            codes.append(picked)
+            sizes.append(np.diff(starts))
+            known = np.concatenate([known, uniq[new]])
+            keys.append(uniq[back])
+            rows.append((row + seen[0] + a).astype(np.int32))
+            sentences.append((sentence + seen[1]).astype(np.int32))
+            seen[1] += int(sentence[-1]) + 1 if len(sentence) else 0
+        seen[0] += len(part)
+    order = np.argsort(known)
+    first = np.concatenate([[0], np.cumsum(np.concatenate([*sizes, np.zeros(0, np.int64)]))])
+    codes, first = _pick(np.concatenate([*codes, np.zeros(0, np.uint8)]), first, order)
+    back = np.searchsorted(known[order], np.concatenate([*keys, np.zeros(0, np.uint64)])).astype(np.int32)
+    return codes, first, back, *(np.concatenate([*x, np.zeros(0, np.int32)]) for x in (rows, sentences))
+
+
+def _alike(codes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Squared kernel values of some words against each other, a block of subsequences at a time."""
+    size = len(first) - 1
+    word, key, weight = subsequences(codes, first)
+    order = np.argsort(key, kind="stable")
+    word, key, weight = word[order], key[order], weight[order]
+    place = np.cumsum(np.append(False, key[1:] != key[:-1])) if len(key) else key
+    gram = np.zeros((size, size))
+    for a in range(0, int(place[-1]) + 1 if len(place) else 0, 4096):
+        x, y = np.searchsorted(place, [a, a + 4096])
+        block = np.zeros((4096, size), np.float32)
+        np.add.at(block, (place[x:y] - a, word[x:y]), weight[x:y])
+        gram += block.T @ block
+    norm = np.maximum(np.sqrt(gram.diagonal()), 1e-9)
+    return (gram / norm / norm[:, None]) ** 2
+
+
 def learn(texts: list[str], toxic: np.ndarray) -> dict | None:
     """Landmarks, machine and calibration from texts marked 0 or 1; None without both classes."""
     if len(texts) == 0 or toxic.min() == toxic.max():
         return None
     rng = np.random.Generator(np.random.PCG64(19))
     again = [*np.flatnonzero(toxic == 1), *np.flatnonzero(toxic == 0)[:DISGUISED]]
-    texts = [*texts, *(disguised(texts[k], rng) for k in again)]
-    toxic = np.concatenate([toxic, toxic[again]])
-    data, offsets = utf8(pa.array(texts, pa.large_string()))
-    codes, first, row, sentence = units(data, offsets)
-    uniq, one, back = _distinct(codes, first)
+    codes, first, back, row, sentence = _vocabulary(itertools.chain(texts, (disguised(texts[k], rng) for k in again)))
+    toxic, size = np.concatenate([toxic, toxic[again]]), len(texts) + len(again)
+    if not len(back):
+        return None
     # In how many toxic and other texts each distinct word stands.
-    pair = np.unique(np.stack([back, row]), axis=1)
-    bad = np.bincount(pair[0], toxic[pair[1]], len(uniq))
-    good = np.bincount(pair[0], 1 - toxic[pair[1]], len(uniq))
+    one = np.arange(len(first) - 1)
+    pair = np.unique(back.astype(np.int64) * size + row)
+    bad = np.bincount(pair // size, toxic[pair % size], len(one))
+    good = np.bincount(pair // size, 1 - toxic[pair % size], len(one))
     texts_bad, texts_good = toxic.sum(), (1 - toxic).sum()
     ratio = np.log((bad + 0.1) / texts_bad) - np.log((good + 0.1) / texts_good)
-    long = (first[1:] - first[:-1])[one] >= LENGTH + 1
+    long = np.diff(first) >= LENGTH + 1
     linked = np.where(long & (ratio > np.log(4)), bad * ratio, 0)
     ranked = np.argsort(-linked)[:8 * LANDMARKS]
     ranked = ranked[linked[ranked] > 0]
     if not len(ranked):
         return None
-    near = Kernel(*_pick(codes, first, one[ranked])).values(*_pick(codes, first, one[ranked]))
+    near = _alike(*_pick(codes, first, ranked))
     chosen: list[int] = []
     for k in range(len(ranked)):
         if len(chosen) < LANDMARKS and (not chosen or near[k, chosen].max() < 0.8):
             chosen.append(k)
     usual = np.argsort(-np.where(long & (ratio < 0), good, 0))[:CLEAN_LANDMARKS]
-    kernel = Kernel(*_pick(codes, first, one[np.concatenate([ranked[chosen], usual])]))
-    own = kernel.values(*_pick(codes, first, one[np.concatenate([ranked[chosen], usual])])).astype(float)
+    marks = _pick(codes, first, np.concatenate([ranked[chosen], usual]))
+    kernel = Kernel(*marks)
+    own = kernel.values(*marks).astype(float)
     values, vectors = np.linalg.eigh((own + own.T) / 2)
     turn = vectors / np.sqrt(np.maximum(values, 1e-3))
     # Only words near a landmark have a row of their own; row 0 stands for all others.
@@ -286,7 +331,7 @@ def learn(texts: list[str], toxic: np.ndarray) -> dict | None:
         some = np.flatnonzero(made.any(1))
         near_some[a + some] = sum(map(len, rows)) + np.arange(len(some))
         rows.append(made[some] @ turn)
-    z = np.concatenate(rows)
+    z, rows = np.concatenate(rows), []
     begin = np.flatnonzero(np.append(True, sentence[1:] != sentence[:-1]))
     label = toxic[row[begin]].astype(float)
     value = np.where(linked > 0, ratio, -1.0)  # the first guess at the worst words
@@ -300,17 +345,16 @@ def learn(texts: list[str], toxic: np.ndarray) -> dict | None:
         worst_of_row = top[np.append(row[begin][top][1:] != row[begin][top][:-1], True)]
         positive = (label == 1) & (value[worst] > 0)
         positive[worst_of_row[label[worst_of_row] == 1]] = True
-        negative = np.unique(worst[label == 0])
-        often = np.bincount(worst[label == 0], minlength=len(uniq))[negative]
-        plus = np.unique(worst[positive])
-        count = np.bincount(worst[positive], minlength=len(uniq))[plus]
-        x = z[near_some[np.concatenate([plus, negative])]]
+        # Words that are like none share a row, so it teaches once with the weight of all of them.
+        often = np.bincount(near_some[worst[label == 0]], minlength=len(z))
+        count = np.bincount(near_some[worst[positive]], minlength=len(z))
+        plus, negative = np.flatnonzero(count), np.flatnonzero(often)
         y = np.concatenate([np.ones(len(plus)), np.zeros(len(negative))])
-        w = np.concatenate([count / count.sum(), often / often.sum()]) * len(y) / 2
-        machine = _svm(x, y, w)
+        w = np.concatenate([count[plus] / count.sum(), often[negative] / often.sum()]) * len(y) / 2
+        machine = _svm(z[np.concatenate([plus, negative])], y, w)
         value = (z @ machine[:-1] + machine[-1])[near_some]
     fold = turn @ machine[:-1]
-    summary = _summary(value[back], row, sentence, len(texts))
+    summary = _summary(value[back], row, sentence, size)
     return {"keys": kernel.keys, "table": kernel.table, "fold": fold, "bias": machine[-1],
             "logistic": _logistic(summary, toxic.astype(float))}
 
