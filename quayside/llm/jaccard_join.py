@@ -6,11 +6,12 @@ one shingle, a text without words has no set and no partner. Texts with equal se
 100 * intersection >= percent * union.
 
 Candidates come from adaptive multi-match prefixes. All shingles follow one order, rare ones first;
-rarity is estimated by a sketch of fixed size, which every task counts over all texts. Of a set of
-n, at least t = ceil(percent * n / 100) shingles must be shared with any partner. So two partners
-share at least l shingles within the first n - t + l of each. Every node picks its own l: the
-longer prefix costs more index entries, but a pair then needs more matches before it is verified,
-so few pairs remain where the shingles of a prefix are frequent. A pair uses the smaller l. A pair
+rarity is estimated by a sketch, sized by the words of the corpus up to 2**SKETCH_MOST counters a
+row, which every task counts over all texts. Of a set of n, at least t = ceil(percent * n / 100)
+shingles must be shared with any partner. So two partners share at least l shingles within the first
+n - t + l of each. Every node picks its own l, up to all its set allows: the longer prefix costs more
+index entries, but a pair then needs more matches before it is verified, so few pairs remain where
+the shingles of a prefix are frequent. A pair uses the smaller l. A pair
 is written once: every entry carries its node's first few shingles, and where two nodes share one
 of these before the entry's own, they have met there. An entry at places p and q also bounds what
 the two can still share. Of the pairs written, those with fewer than l shared shingles in their
@@ -43,8 +44,8 @@ from quayside.llm.text import (
 from quayside.operators.skew import lookup_join
 from quayside.session import discard, durable
 
-SKETCH_BITS = 18
-MATCHES_MOST = 4
+SKETCH_LEAST, SKETCH_MOST = 14, 21  # bits of a counter's number
+WORD_BYTES, COUNTER_WORDS = 6, 8  # the sketch has a counter for so many words of so many bytes
 EARLY = 4  # first shingles that an entry carries
 TILE = 4096
 BUCKETS = 1 << 22  # of ids, to leave out most texts that are not asked for
@@ -84,48 +85,64 @@ def set_ids(values: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     return mix(ids + np.diff(firsts).astype(np.uint64)).view(np.int64)
 
 
-def _cells(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    low = np.uint64((1 << SKETCH_BITS) - 1)
-    return (values >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), (values & low).astype(np.int64)
+def _cells(values: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    low = np.uint64((1 << bits) - 1)
+    return (values >> np.uint64(64 - bits)).astype(np.int64), (values & low).astype(np.int64)
+
+
+def sketch_bits(size: int) -> int:
+    """Bits for a corpus of so many bytes of text."""
+    counters = size // (WORD_BYTES * COUNTER_WORDS)
+    return min(max(int(counters).bit_length(), SKETCH_LEAST), SKETCH_MOST)
 
 
 def shingle_sketch(docs: DataFrame, text: str, width: int) -> np.ndarray:
-    """How many sets hold a shingle, at least: two rows of 2**SKETCH_BITS counters over all texts.
+    """How many sets hold a shingle, at least: two rows of counters over all texts.
 
-    Each task sends its counters once, in pieces that are added up in two levels; what reaches the
-    driver is one sketch, whatever the input. The counts only order shingles and weigh costs.
+    Each task sends its counters once, compressed and in pieces that are added up in two levels;
+    what reaches the driver is one sketch. The counts only order shingles and weigh costs.
     """
     pieces = 32
+    bits = sketch_bits(docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("n")).first()["n"])
+    length = (2 << bits) // pieces
+
+    def packed(counts: np.ndarray) -> bytes:
+        return pa.compress(np.minimum(counts, 2**31 - 1).astype(np.int32).tobytes(), codec="zstd", asbytes=True)
+
+    def unpacked(value: pa.Scalar) -> np.ndarray:
+        return np.frombuffer(pa.decompress(value.as_buffer(), 4 * length, codec="zstd"), np.int32)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, 1 << SKETCH_BITS), np.int64)
+        counts = np.zeros((2, 1 << bits), np.int64)
         for _, data, offsets in text_slabs(batches, text):
             values, _ = shingle_sets(data, offsets, width)
-            for row, cell in zip(counts, _cells(values)):
-                row += np.bincount(cell, minlength=1 << SKETCH_BITS)
+            for row, cell in zip(counts, _cells(values, bits)):
+                np.add.at(row, cell, 1) if len(cell) < len(row) // 8 else np.add(row, np.bincount(cell, minlength=len(row)), out=row)
         import random
         lane = random.randrange(1 << 16)
         parts = counts.reshape(pieces, -1)
         yield pa.RecordBatch.from_pydict({
             "piece": pa.array(range(pieces), pa.int32()), "lane": pa.array([lane] * pieces, pa.int32()),
-            "counts": pa.array([p.tobytes() for p in parts], pa.binary()),
+            "counts": pa.array([packed(p) for p in parts], pa.binary()),
         })
 
     def add(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(value.as_buffer(), np.int64) for value in group.column("counts"))
+        total = np.zeros(length, np.int64)
+        for value in group.column("counts"):
+            total += unpacked(value)
         return pa.table({
             "piece": pa.array([key[0].as_py()], pa.int32()), "lane": pa.array([0], pa.int32()),
-            "counts": pa.array([total.tobytes()], pa.binary()),
+            "counts": pa.array([packed(total)], pa.binary()),
         })
 
     shape = "piece int, lane int, counts binary"
     counted = docs.select(text).mapInArrow(count, shape).withColumn("lane", F.col("lane") % 64)
     levels = counted.groupBy("piece", "lane").applyInArrow(add, shape)
-    rows = levels.groupBy("piece").applyInArrow(add, shape).collect()
-    whole = [np.zeros((2 << SKETCH_BITS) // pieces, np.int64)] * pieces
-    for r in rows:
-        whole[r["piece"]] = np.frombuffer(bytes(r["counts"]), np.int64)
-    return np.concatenate(whole).reshape(2, -1)
+    whole = np.zeros((pieces, length), np.int32)
+    rows = levels.groupBy("piece").applyInArrow(add, shape).toArrow()
+    for piece, value in zip(rows.column("piece").to_pylist(), rows.column("counts")):
+        whole[piece] = unpacked(value)
+    return whole.reshape(2, -1)
 
 
 def _levels(n: np.ndarray) -> np.ndarray:
@@ -181,22 +198,24 @@ def describe(docs: DataFrame, sketch, text: str, keep: list[str], width: int, pe
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = sketch.value
-        noise = counts.mean(axis=1)
+        noise, bits = counts.mean(axis=1), counts.shape[1].bit_length() - 1
         for batch, data, offsets in text_slabs(batches, text):
             values, firsts = shingle_sets(data, offsets, width)
             n, row = np.diff(firsts), rows_of(firsts)
-            df = np.minimum(*[c[cell] - m for c, cell, m in zip(counts, _cells(values), noise)])
+            df = np.minimum(*[c[cell] - m for c, cell, m in zip(counts, _cells(values, bits), noise)])
             df = np.maximum(df, 1.0)
             order = np.lexsort((values, df, row))
             df, ordered = df[order], values[order]
             sums = np.concatenate([[0.0], np.cumsum(df)])
             base = n - _needed(n, percent)
-            # Cost of l: index entries met, and of those at most 1/l as many pairs to verify.
-            best, cost = np.minimum(1, n), np.full(len(n), np.inf)
-            for l in range(1, MATCHES_MOST + 1):
-                met = sums[firsts[:-1] + np.minimum(base + l, n)] - sums[firsts[:-1]]
-                this = np.where(l <= n - base, met * (1 + n / 16 / l), np.inf)
+            # Cost of l: index entries, and of the others met there at most 1/l as many pairs to verify.
+            best, cost, l = np.minimum(1, n), np.full(len(n), np.inf), 1
+            while (l <= n - base).any():
+                length = np.minimum(base + l, n)
+                others = sums[firsts[:-1] + length] - sums[firsts[:-1]] - length
+                this = np.where(l <= n - base, length + others * (1 + n / 16 / l), np.inf)
                 best, cost = np.where(this < cost, l, best), np.minimum(this, cost)
+                l += max(1, l // 3)
             length = np.minimum(base + best, n)
             starts = np.concatenate([[0], np.cumsum(length)])
             which = rows_of(starts)
