@@ -6,7 +6,7 @@ import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quayside.operators.numbering import number_rows
@@ -77,8 +77,13 @@ def new_lookup_values(found: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 def extend_dictionary(dictionary: DataFrame, found: DataFrame) -> DataFrame:
     """The dictionary with new pairs added; old ids stay, new ones follow the highest
-    in order of (type, name)."""
-    fresh = number_rows(new_lookup_values(found, dictionary), ["type", "name"], name="_n")
+    in order of (type, name). The new pairs are written and counted once; few of them are numbered
+    by one task, more over range partitions."""
+    new, count, size = durable_sized(new_lookup_values(found, dictionary), "new-names")
+    if count <= BROADCAST_ROWS and size <= BROADCAST_BYTES:
+        fresh = new.withColumn("_n", F.row_number().over(Window.orderBy("type", "name")).cast("long"))
+    else:
+        fresh = number_rows(new, ["type", "name"], name="_n")
     top = dictionary.agg(F.coalesce(F.max("id"), F.lit(0)).alias("top"))
     added = fresh.select((F.col("_n") + top.scalar()).alias("id"), "type", "name")
     return dictionary.select("id", "type", "name").unionByName(added)

@@ -15,7 +15,7 @@ from quayside.operators import catalog as cat
 from quayside.operators.mapping import first_match
 from quayside.operators.skew import lookup_join
 from quayside.plans.config import MappingRow, bind_sql, over_files, read_mappings
-from quayside.plans.load_steps import MARKERS, STEPS, StepContext, fail_where, short, target_names
+from quayside.plans.load_steps import MARKERS, STEPS, StepContext, fail_where, short, target_names, target_table
 from quayside.plans.logs import Logs
 from quayside.session import durable
 from quayside.sources.listing import list_files
@@ -200,8 +200,29 @@ class LoadJob:
         finally:
             self.spark.catalog.dropTempView(ids)
 
+    def _same_fate(self, work: DataFrame) -> DataFrame:
+        """Copies of a file that failed, of the same mapping and target, fail with its message in
+        the same pass: their content is the same and the same steps would work on it."""
+        table = F.lit("")
+        for m in self.mappings:
+            table = F.when(F.col("mapping") == m.order, target_table(m)).otherwise(table)
+        key, copy = ["project_name", "crc", "mapping", "_table"], F.coalesce("duplicate_file", F.lit(False))
+        marked = work.withColumn("_table", F.coalesce(table, F.lit("")))
+        failed = durable(
+            marked.filter(~F.col("ok") & ~copy & F.col("crc").isNotNull() & F.col("mapping").isNotNull())
+            .groupBy(*key).agg(F.min_by("message", "id").alias("_why")), "failed")
+        if failed.isEmpty():
+            return work
+        bound = copy & ~F.col("ok") & F.col("_why").isNotNull()
+        return durable(lookup_join(marked, failed, key, "left", stored=True).withColumns({
+            "message": F.when(bound, F.col("_why")).otherwise(F.col("message")),
+            "duplicate_file": copy & ~F.coalesce(bound, F.lit(False)),
+        }).select(*work.columns), "work")
+
     def _close(self, work: DataFrame) -> None:
-        """Final states, and failures to the error log; a copy whose first copy failed to load is opened again."""
+        """Final states, and failures to the error log; a copy whose first copy failed to load is
+        opened again, unless it is bound to fail alike."""
+        work = self._same_fate(work)
         state = F.when(F.col("ok"), cat.PROCESSED).otherwise(cat.FAILED)
         closed = (
             work.withColumn("file_process_state", state)

@@ -165,8 +165,8 @@ def _by_mapping(ctx: StepContext, files: DataFrame) -> Iterator[tuple[MappingRow
             yield row, files.filter(F.col("mapping") == row.order)
 
 
-def target_names(row: MappingRow, files: DataFrame) -> DataFrame:
-    """The target table of each file: extracted from its name, configured, or its name."""
+def target_table(row: MappingRow) -> Column:
+    """The target table of a file: extracted from its name, configured, or its name."""
     name = F.col("file_name")
     if row.table_name_extract:
         table = paths.table_from_name(name, row.table_name_extract)
@@ -174,7 +174,11 @@ def target_names(row: MappingRow, files: DataFrame) -> DataFrame:
         table = F.lit(row.table_name)
     else:
         table = paths.table_from_name(name)
-    return files.withColumn("_table", F.lower(table))
+    return F.lower(table)
+
+
+def target_names(row: MappingRow, files: DataFrame) -> DataFrame:
+    return files.withColumn("_table", target_table(row))
 
 
 def append_rows(ctx: StepContext, rows: DataFrame, target: str) -> list[str]:

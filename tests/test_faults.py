@@ -52,6 +52,32 @@ def test_one_bad_file_fails_alone(spark, tmp_path):
     assert {r.program_unit for r in errors} >= {"extract_compressed_file", "pandas_import"}
 
 
+def test_copies_of_failed_content_take_one_pass(spark, tmp_path, monkeypatch):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for k in range(6):
+        (folder / f"bad{k}.csv").write_text("x,y\n1,2,3\n")
+        (folder / f"good{k}.csv").write_text("x,y\n1,2\n")
+    (folder / "other.dat").write_text("x,y\n1,2,3\n")  # the same content by another mapping has its own chance
+    text = yaml.safe_dump([{"path": str(folder), "project_name": "p", "process_logic": steps("generate_checksum", "abort_if_duplicate"),
+                            "mapping": [
+        {"file_regex": r".*\.csv", "file_type": "CSV", "schema_name": "fate", "table_name": "t", "process_logic": steps("pandas_import")},
+        {"file_regex": r".*\.dat", "file_type": "CSV", "schema_name": "fate", "table_name": "u", "column_list": "x,y,z",
+         "has_header": False, "process_logic": steps("pandas_import")}]}])
+    passes = []
+    one = LoadJob._one_pass
+    monkeypatch.setattr(LoadJob, "_one_pass", lambda self: passes.append(1) or one(self))
+    found = {r.file_name: r for r in LoadJob.from_yaml(spark, text, str(tmp_path / "work")).run().collect()}
+    bad = [found[f"bad{k}.csv"] for k in range(6)]
+    assert {r.file_process_state for r in bad} == {"FAILED"} and not any(r.duplicate_file for r in bad)
+    assert all("malformed row" in r.last_error_msg for r in bad)
+    good = [found[f"good{k}.csv"] for k in range(6)]
+    assert sum(r.file_process_state == "Processed" for r in good) == 1 and sum(r.duplicate_file for r in good) == 5
+    assert len(passes) <= 3  # the copies of the bad file in the first, the file of the other mapping in the second
+    errors = Logs(spark, f"{tmp_path}/work/logging").errors.read().filter("error_message like '%malformed%'")
+    assert errors.count() >= 6
+
+
 def test_staged_rows_keep_their_files(spark, tmp_path, rows):
     folder = tmp_path / "in"
     folder.mkdir()
