@@ -94,7 +94,7 @@ def _paths(files: DataFrame, column: str = "path") -> list[str]:
 @step("count_file_linux_wc")
 def count_lines(ctx: StepContext, files: DataFrame) -> DataFrame:
     """A1: lines of each file, by one text scan over all of them."""
-    shown = durable(storage.visible_copies(files, f"{ctx.work_dir}/visible"), "shown")
+    shown, _ = storage.visible_copies(files, f"{ctx.work_dir}/visible")
     found = _paths(shown, "shown")
     if not found:
         return files
@@ -328,7 +328,7 @@ def _load(
     nulls: str, strict: bool,
 ) -> DataFrame:
     """The files of one column layout into their tables: path, rows, table and error of each."""
-    shown = durable(storage.visible_copies(members, f"{ctx.work_dir}/visible"), "shown")
+    shown, copied = storage.visible_copies(members, f"{ctx.work_dir}/visible")
     files, rewrite = _paths(shown, "shown"), _rewrite(row, len(names))
     by_line = bool(row.append_crc) or rewrite is not None
     quoted = not by_line and delimited.has_quoted_newlines(ctx.spark, files, row.delimiter, row.file_encoding)
@@ -337,10 +337,9 @@ def _load(
         has_header=bool(row.has_header), header_row=row.header_row, limit_rows=row.limit_rows,
         nulls=nulls, flag_bad=True, append_crc=bool(row.append_crc), rewrite=rewrite, multi_line=quoted,
     )
-    moved = shown.filter("path <> shown")
-    if not moved.isEmpty():
+    if copied:
         kept = rows.columns
-        back = moved.select(F.col("shown").alias("path"), F.col("path").alias("_own"))
+        back = shown.filter("path <> shown").select(F.col("shown").alias("path"), F.col("path").alias("_own"))
         rows = lookup_join(rows, back, ["path"], "left").withColumn("path", F.coalesce("_own", "path")).select(*kept)
     staged = durable(rows, "staged")
     # a row that lacks fields is only bad for a strict load, one with surplus fields always

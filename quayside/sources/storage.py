@@ -67,10 +67,13 @@ def hidden(path: Column) -> Column:
     return F.substring_index(path, "/", -1).rlike("^[_.]")
 
 
-def visible_copies(files: DataFrame, folder: str, path: str = "path") -> DataFrame:
-    """Each file's path and the one to read it by (``shown``): its own, or that of a copy below
-    ``folder`` where its name is one that Spark's readers pass over. A copy is written under a
-    temporary name and then renamed, so a repeated task leaves whole files."""
+def visible_copies(files: DataFrame, folder: str, path: str = "path") -> tuple[DataFrame, bool]:
+    """Each file's path and the one to read it by (``shown``), and whether any differ: its own, or that
+    of a copy below ``folder`` where its name is one that Spark's readers pass over. A copy is
+    written under a temporary name and then renamed, so a repeated task leaves whole files."""
+    if files.filter(hidden(F.col(path))).isEmpty():
+        return files.select(F.col(path).alias("path"), F.col(path).alias("shown")), False
+
     def copy(batches: Iterator) -> Iterator:
         import hashlib
         import shutil
@@ -96,7 +99,7 @@ def visible_copies(files: DataFrame, folder: str, path: str = "path") -> DataFra
 
     plain = files.filter(~hidden(F.col(path))).select(F.col(path).alias("path"), F.col(path).alias("shown"))
     copied = spread(files.filter(hidden(F.col(path))), path).mapInPandas(copy, "path string, shown string")
-    return plain.unionByName(durable(copied, "visible"))
+    return plain.unionByName(durable(copied, "visible")), True
 
 
 def checked_folder(folder: str) -> str:

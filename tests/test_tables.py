@@ -22,7 +22,7 @@ def test_only_the_stated_versions_stay(spark, tmp_path, rows):
         t.replace(spark.range(k, k + 2))
         t.append(spark.range(10 * k, 10 * k + 1))
     assert folders(tmp_path / "t") == ["a=00000003-000001", "a=00000004-000001", "v=00000003", "v=00000004"]
-    assert rows(t.read()) == [(3,), (4,), (30,)]
+    assert sorted(rows(t.read())) == [(3,), (4,), (30,)]
     with pytest.raises(ValueError):
         VersionedTable(spark, str(tmp_path / "t"), keep=0)
 
