@@ -117,12 +117,9 @@ def smallest_hashes(known: DataFrame, most: int, salt: int) -> DataFrame:
     return known.orderBy(F.xxhash64("id", F.lit(salt)), "id").limit(most)
 
 
-def teach(
-    stats: DataFrame, labels: DataFrame, held_out: Column, doc_id: str, label: str, sample: int
-) -> dict[str, np.ndarray]:
-    """Trees from the statistics of at most ``sample`` labelled ids; ``held_out`` is a condition on
-    the id. An id that several rows have teaches once, by the smallest of their statistics."""
-    picked = smallest_hashes(known_labels(labels, held_out, doc_id, label), sample, 7)
+def teach(stats: DataFrame, picked: DataFrame) -> dict[str, np.ndarray]:
+    """Trees from the statistics of the picked ids (id, label). An id that several rows have teaches
+    once, by the smallest of their statistics."""
     found = lookup_join(stats.filter("id IS NOT NULL"), picked, ["id"])
     taught = found.groupBy("id").agg(F.min("statistics").alias("statistics"), F.first("label").alias("label")).toArrow()
     if not taught.num_rows:
@@ -137,10 +134,12 @@ def keep_quality(
     docs: DataFrame, labels: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text",
     label: str = "quality", sample: int = SAMPLE, at: float = 0.5,
 ) -> DataFrame:
-    """The rows, unchanged, whose text scores ``at`` or more."""
-    labelled = labels.filter(F.col(label).isNotNull() & ~held_out)
-    stats = durable(with_statistics(docs, doc_id, text), "statistics")
-    shared = docs.sparkSession.sparkContext.broadcast(teach(stats, labelled, F.lit(False), doc_id, label, sample))
+    """The rows, unchanged, whose text scores ``at`` or more. Only the texts of labelled ids that
+    teach are looked at twice. ``held_out`` is a condition on the id of ``labels``."""
+    picked = durable(smallest_hashes(known_labels(labels, held_out, doc_id, label), sample, 7), "picked")
+    some = lookup_join(
+        docs.select(doc_id, text), picked.select(F.col("id").alias(doc_id)), [doc_id], "left_semi", stored=True)
+    shared = docs.sparkSession.sparkContext.broadcast(teach(with_statistics(some, doc_id, text), picked))
 
     def verdict(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         return gbdt.predict(shared.value, statistics(data, offsets)) >= at
@@ -161,7 +160,8 @@ def quality_scores(
     rows give repeated rows. Other columns are left out. An empty table gives no rows.
     """
     stats = durable(with_statistics(docs, doc_id, text), "statistics")
-    shared = docs.sparkSession.sparkContext.broadcast(teach(stats, labels, held_out, doc_id, label, sample))
+    picked = smallest_hashes(known_labels(labels, held_out, doc_id, label), sample, 7)
+    shared = docs.sparkSession.sparkContext.broadcast(teach(stats, picked))
     kind = stats.schema["id"].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
