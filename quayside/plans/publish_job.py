@@ -14,7 +14,7 @@ from quayside.operators import deliver
 from quayside.operators.skew import lookup_join
 from quayside.plans.config import bind_sql, fill_templates
 from quayside.session import durable
-from quayside.sources.tables import VersionedTable, dump_csv
+from quayside.sources.tables import CatalogTable, VersionedTable, dump_csv
 
 log = logging.getLogger(__name__)
 
@@ -163,7 +163,8 @@ class PublishJob:
 
     def deliver(self, mode: str) -> DataFrame:
         """The single-table modes. Every table of the item is created like its
-        source where it is missing; ``source_sql`` may stand for the source. The mode's own
+        source where it is missing: a folder of versions, or with ``distributed_by`` a table of the
+        catalog in buckets of that column. ``source_sql`` may stand for the source. The mode's own
         settings come with the table, else with the item."""
         for entry in self.tables():
             have = {**self.item, **entry}
@@ -173,7 +174,11 @@ class PublishJob:
             if not self.item.get("move_data", False):
                 log.warning("move_data is not set: %s is not moved", table)
                 continue
-            if not target.exists():
+            if have.get("distributed_by"):
+                target = CatalogTable(self.spark, self._names(table)[1], rows, have["distributed_by"], have.get("buckets", 16))
+            if not target.exists() and isinstance(target, CatalogTable):
+                target.create()
+            elif not target.exists():
                 target.replace(rows.limit(0))
             started = F.current_timestamp().cast("timestamp_ntz")
             statement = have.get("source_sql") or f"select * from {self._names(table)[0]}"
@@ -214,7 +219,7 @@ class PublishJob:
 
 
 def run_delivery(
-    mode: str, source: DataFrame, target: VersionedTable, catalog: DataFrame | None = None,
+    mode: str, source: DataFrame, target: VersionedTable | CatalogTable, catalog: DataFrame | None = None,
     project: str | None = None, keys: list[str] | None = None, time: str = "cdo_last_update",
     tie: str | None = None, file_id: str = "file_id",
 ) -> int:

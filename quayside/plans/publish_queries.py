@@ -97,6 +97,44 @@ def publish_project(spark: SparkSession, sf_dir: str) -> DataFrame:
                            [rows.filter("file_id % 2 = 0"), rows.withColumn("cents", F.col("cents") + 1)], catalog)
 
 
+@query(
+    "publish_distributed",
+    f"""WITH {DELIVERED_SQL}, parts AS (
+  SELECT 'KILLFILL' AS mode, o_orderkey, file_id, cents + 1 AS cents FROM d WHERE o_orderkey % 3 <> 0
+  UNION ALL SELECT 'FILE_ID', o_orderkey, file_id, CASE WHEN file_id % 2 = 0 THEN cents ELSE cents + 1 END FROM d
+  UNION ALL SELECT 'CDO_LAST_UPDATE', o_orderkey, file_id, CASE WHEN cdo_last_update > t THEN cents + 1 ELSE cents END
+    FROM d, (SELECT max(cdo_last_update) AS t FROM d WHERE cdo_last_update < TIMESTAMP '1997-01-01')
+    WHERE cdo_last_update < TIMESTAMP '1997-01-01' OR cdo_last_update > t)
+SELECT mode, file_id, count(*) AS n, CAST(sum(cents) AS BIGINT) AS cents, CAST(8 AS INTEGER) AS buckets, CAST(2 AS BIGINT) AS good_runs
+FROM parts GROUP BY mode, file_id""",
+)
+def publish_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Targets that the job creates in the catalog, distributed by the file id, through
+    two runs of three modes; the sums per file need no shuffle."""
+    rows = durable(_delivered(spark, sf_dir).select(*DELIVERED), "source")
+    later = rows.withColumn("cents", F.col("cents") + 1)
+    runs = {
+        "KILLFILL": [rows, later.filter("o_orderkey % 3 <> 0")], "FILE_ID": [rows.filter("file_id % 2 = 0"), later],
+        "CDO_LAST_UPDATE": [rows.filter("cdo_last_update < timestamp'1997-01-01'"), later]}
+    found = []
+    for mode, sources in runs.items():
+        schema = f"pub_{uuid.uuid4().hex}"
+        spark.sql(f"CREATE DATABASE {schema} LOCATION '{scratch_path(spark, 'published')}'")
+        item = {"move_data": True, "delivery_type": mode, "keys": ["o_orderkey"], "tie_column": "file_id", "distributed_by": "file_id",
+                "buckets": 8, "tables": ["orders"], "db": {"source_db": {"schema": "src"}, "target_db": {"schema": schema}}}
+        folder = scratch_path(spark, "publish")
+        for source in sources:
+            log = PublishJob(spark, item, folder, lambda name, s=source: s, ["orders"]).run()
+        about = {r[0]: r[1] for r in spark.sql(f"DESCRIBE EXTENDED {schema}.orders").collect()}
+        good = durable(log, "log").filter("status = 'Completed' AND rows_dumped = rows_loaded").count()
+        sums = spark.table(f"{schema}.orders").groupBy("file_id").agg(F.count(F.lit(1)).alias("n"), F.sum("cents").alias("cents"))
+        found.append(durable(sums.select(
+            F.lit(mode).alias("mode"), "file_id", "n", "cents", F.lit(int(about["Num Buckets"])).alias("buckets"),
+            F.lit(good).cast("long").alias("good_runs")), "sums"))
+        spark.sql(f"DROP DATABASE {schema} CASCADE")
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 @query(
     "null_batches",
     """SELECT 'select * from src.customer where segment' || CASE WHEN segment IS NULL THEN ' IS NULL' ELSE '=''' || segment || '''' END AS src_sql,

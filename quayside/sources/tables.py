@@ -183,6 +183,38 @@ def create_like(spark: SparkSession, name: str, source: DataFrame, bucket_by: st
     writer.saveAsTable(name)
 
 
+class CatalogTable:
+    """A target in the session's catalog, created like its source and distributed by a column.
+
+    Rows with equal values of that column lie in files of one bucket, so joins and aggregates on it
+    need no shuffle. Writers don't gather a bucket in one task: a frequent value may fill many files.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, source: DataFrame, bucket_by: str, buckets: int = 16):
+        self.spark, self.name, self.source, self.bucket_by, self.buckets = spark, name, source, bucket_by, buckets
+
+    def exists(self) -> bool:
+        return self.spark.catalog.tableExists(self.name)
+
+    def create(self) -> None:
+        self.spark.sql("CREATE DATABASE IF NOT EXISTS IDENTIFIER(:d)", {"d": self.name.split(".")[0]})
+        create_like(self.spark, self.name, self.source, self.bucket_by, self.buckets)
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def _write(self, df: DataFrame, overwrite: bool) -> None:
+        df.select(*self.read().columns).write.insertInto(self.name, overwrite=overwrite)
+        self.spark.catalog.refreshTable(self.name)
+
+    def replace(self, df: DataFrame) -> None:
+        """K2: the new content, as a whole; readers may see the table empty for a moment."""
+        self._write(df, True)
+
+    def append(self, df: DataFrame) -> None:
+        self._write(df, False)
+
+
 def _dump_document(head: str, rows: DataFrame, tail: str, between: str, path: str) -> None:
     """Lines of text written by the executors: ``head``, every row, ``tail``; the part files in the
     order of their names are the document. ``rows`` has one column; ``between`` goes before each

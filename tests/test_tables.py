@@ -102,3 +102,21 @@ def test_statements_over_sets_of_files(sql, wide):
 @given(st.text(alphabet="ab,\"|", max_size=12))
 def test_by_characters_is_its_own_inverse_on_plain_fields(text):
     assert by_characters(text.replace('"', ""), ",", "|") == text.replace('"', "")
+
+
+def test_bucketed_targets_aggregate_without_a_shuffle(spark, rows):
+    from quayside.sources.tables import CatalogTable
+
+    spark.sql("CREATE DATABASE IF NOT EXISTS bucketed")
+    source = spark.range(200).selectExpr("id", "id % 7 AS file_id")
+    t = CatalogTable(spark, "bucketed.t", source, "file_id", 4)
+    assert not t.exists()
+    t.create()
+    t.replace(source)
+    t.append(source.selectExpr("file_id", "id + 1000 AS id"))
+    sums = t.read().groupBy("file_id").count()
+    assert "Exchange" not in sums._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["count"] for r in sums.collect()) == [56] * 3 + [58] * 4
+    t.replace(source.filter("id < 3"))
+    assert rows(t.read(), "id") == [(0,), (1,), (2,)]
+    spark.sql("DROP DATABASE bucketed CASCADE")
