@@ -1,6 +1,7 @@
 """Operators with one right answer, against brute force."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -383,13 +384,27 @@ def test_pieces_are_whole_gapless_and_few(docs, texts, library):
 @pytest.mark.parametrize("lengths", [[], [256], [1] * 1000, [129] * 7 + [127] * 7, [200, 100, 90, 60, 56, 55, 1, 1]])
 def test_plans_use_every_document_once(lengths):
     counts = np.bincount(np.array(lengths, int), minlength=257)
-    seen, fill = Counter(), Counter()
+    by_length = defaultdict(list)
     for length, first, times, sequence, offset in plan(counts, 256):
-        assert times > 0
-        seen[length] += 1
-        assert offset < 256
-        fill[sequence] += 1
-    assert set(seen) == set(lengths)
+        assert times > 0 and 0 <= offset < 256
+        by_length[length].append((first, times, sequence, offset))
+    placed = defaultdict(list)
+    for length, rows in by_length.items():
+        rows.sort()
+        assert rows[0][0] == 0
+        for (first, times, sequence, offset), stop in zip(rows, [*(r[0] for r in rows[1:]), int(counts[length])]):
+            assert (stop - first) % times == 0  # as many documents in each of the sequences
+            for r in range(first, stop):
+                placed[sequence + (r - first) % times].append((offset + (r - first) // times * length, length))
+    assert Counter(n for spans in placed.values() for _, n in spans) == Counter(lengths)
+    for spans in placed.values():  # gapless from 0, and never over the size
+        end = 0
+        for offset, length in sorted(spans):
+            assert offset == end
+            end += length
+        assert end <= 256
+    if lengths:
+        assert len(placed) <= 1.25 * math.ceil(sum(lengths) / 256) + 1
     assert cut(600, 256) == [(0, 88), (88, 256), (344, 256)] and cut(256, 256) == [(0, 256)]
 
 

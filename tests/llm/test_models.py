@@ -540,3 +540,13 @@ def test_pipeline_stage_by_stage(spark, docs, tmp_path):
     assert not seen[2] & {*range(100, 106), *range(111, 115)}
     assert seen[3] == seen[2]
     assert {r[0] for r in C.run(spark, folder).select("doc_id").collect()} == seen[3]
+
+
+def test_pipeline_of_empty_tables(spark, nothing, labelled, tmp_path):
+    import corpus_pipeline as C
+
+    nothing.write.parquet(str(tmp_path / "documents.parquet"))
+    labelled[1].limit(0).write.parquet(str(tmp_path / "labels.parquet"))
+    assert C.run(spark, str(tmp_path)).count() == 0
+    assert keep_quality(nothing, labelled[1], third_of_ids()).count() == 0
+    assert keep_quality(labelled[0], labelled[1].limit(0), third_of_ids()).columns == labelled[0].columns
