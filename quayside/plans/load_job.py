@@ -208,11 +208,10 @@ class LoadJob:
             table = F.when(F.col("mapping") == m.order, target_table(m)).otherwise(table)
         key, copy = ["project_name", "crc", "mapping", "_table"], F.coalesce("duplicate_file", F.lit(False))
         marked = work.withColumn("_table", F.coalesce(table, F.lit("")))
-        failed = durable(
-            marked.filter(~F.col("ok") & ~copy & F.col("crc").isNotNull() & F.col("mapping").isNotNull())
-            .groupBy(*key).agg(F.min_by("message", "id").alias("_why")), "failed")
-        if failed.isEmpty():
+        first = marked.filter(~F.col("ok") & ~copy & F.col("crc").isNotNull() & F.col("mapping").isNotNull())
+        if first.isEmpty() or work.filter(copy).isEmpty():
             return work
+        failed = durable(first.groupBy(*key).agg(F.min_by("message", "id").alias("_why")), "failed")
         bound = copy & ~F.col("ok") & F.col("_why").isNotNull()
         return durable(lookup_join(marked, failed, key, "left", stored=True).withColumns({
             "message": F.when(bound, F.col("_why")).otherwise(F.col("message")),

@@ -276,7 +276,7 @@ def _import(ctx: StepContext, files: DataFrame, nulls: str, strict: bool) -> Dat
                     refused.append((table, kind, -1, str(e)))
             numbered = [(t, k, n, None) for n, pairs in enumerate(layouts.values()) for t, k in pairs]
             plan = ctx.spark.createDataFrame(numbered + refused, "_table string, _kind string, _layout int, _why string")
-            placed = durable(heads.join(F.broadcast(plan), ["_table", "_kind"]), "placed")
+            placed = heads.join(F.broadcast(plan), ["_table", "_kind"])
             if refused:
                 results.append(placed.filter("_layout < 0").select(
                     "path", F.lit(0).cast("long"), F.concat(F.lit(f"{row.schema_name}."), "_table"), "_why"))
