@@ -186,3 +186,54 @@ def over_files(sql: str, ids: str) -> tuple[str | None, str]:
     if not re.match(r"(?is)\s*(insert\s+into|delete|update|merge)\b", sql):
         return None, "only insert, delete, update and merge work on sets of files"
     return FILE_EQUALS.sub(rf"\1\2\3 IN (SELECT file_id FROM {ids})", sql), ""
+
+
+# What is another value each time a statement runs, or hangs on the order of the rows it meets.
+VARYING = re.compile(
+    r"(?is)\b(limit|offset|tablesample|first|first_value|last|last_value|nth_value|any_value|collect_list|collect_set|"
+    r"array_agg|listagg|string_agg|mode|now|rand|randn|random|uniform|randstr|uuid|shuffle|monotonically_increasing_id|"
+    r"current_\w+|curdate|localtimestamp|unix_timestamp)\b"
+)
+INSERT = re.compile(
+    r"(?is)\s*(insert\s+into\s+(?:table\s+)?([\w.`]+)(?:\s*\(\s*[\w`]+(?:\s*,\s*[\w`]+)*\s*\))?)\s+(select\b.*?)[;\s]*\Z")
+BY_PLACE = re.compile(r"(?is)\bby\b[^()]*?(?<!\w)\d")
+QUOTED = re.compile(r"(?s)'(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|`[^`]*`|--[^\n]*|/\*.*?\*/")
+
+
+def each_file(sql: str, ids: str) -> tuple[str, str, str] | None:
+    """M7: a bound insertion of a query for one file, as the target, the insertion and the query that
+    gives what it gives for each file of the view ``ids`` (column ``ids``) on its own: a lateral join.
+    None for other statements, and where a query gives other rows each time it runs.
+
+    Spark takes no value from outside beside an aggregate, so columns that are the file's id alone are
+    taken from the view instead of from the query.
+    """
+    found = INSERT.match(sql)
+    if not found or VARYING.search(QUOTED.sub("''", sql)) or any(":file_id" in q for q in QUOTED.findall(sql)):
+        return None
+    columns, rest = _select_list(found[3])
+    own = [re.fullmatch(r"(?is)\s*:file_id(?:\s+(?:as\s+)?([a-z_]\w*))?\s*", c) for c in columns]
+    used = QUOTED.sub("''", found[3])
+    if any(own) and (BY_PLACE.search(used) or any(
+            m and m[1] and len(re.findall(rf"(?i)\b{m[1]}\b", used)) > 1 for m in own)):
+        return None
+    inner = [c for c, m in zip(columns, own) if not m] or [" 1"]
+    body = re.sub(r":file_id\b", f"{ids}.{ids}", "SELECT" + ",".join(inner) + rest)
+    names = iter(range(len(inner)))
+    outer = ", ".join(f"{ids}.{ids}" if m else f"_rows.c{next(names)}" for m in own) if any(own) else "_rows.*"
+    named = "(" + ", ".join(f"c{n}" for n in range(len(inner))) + ")" if any(own) else ""
+    return found[2], found[1], f"SELECT {outer} FROM {ids} JOIN LATERAL (\n{body}\n) AS _rows{named}"
+
+
+def _select_list(query: str) -> tuple[list[str], str]:
+    """The columns of a query that begins with SELECT, and what follows them."""
+    plain = QUOTED.sub(lambda m: "_" * len(m[0]), query)
+    depth, start, columns = 0, len("select"), []
+    for m in re.finditer(r"(?i)[(),]|\bfrom\b", plain):
+        depth += {"(": 1, ")": -1}.get(m[0], 0)
+        if depth == 0 and m[0] not in "()":
+            columns.append(query[start:m.start()])
+            if m[0] != ",":
+                return columns, " " + query[m.start():]
+            start = m.end()
+    return [*columns, query[start:]], ""

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import logging
+import re
 import uuid
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from quayside.functions import paths
 from quayside.operators import catalog as cat
 from quayside.operators.mapping import first_match
 from quayside.operators.skew import lookup_join
-from quayside.plans.config import MappingRow, bind_sql, over_files, read_mappings
+from quayside.plans.config import MappingRow, bind_sql, each_file, over_files, read_mappings
 from quayside.plans.load_steps import MARKERS, STEPS, StepContext, fail_where, short, target_names, target_table
 from quayside.plans.logs import Logs
 from quayside.session import durable
@@ -162,7 +164,8 @@ class LoadJob:
 
     def _actions(self, work: DataFrame, kind: str) -> DataFrame:
         """M7: configured statements, once per table. One that names the file runs once for all files
-        of the table where that gives the same rows, else once per file, and the log says why.
+        of the table where that gives the same rows; an insertion that looks at the rows of a file as
+        a whole does so too, by a lateral join; others run once per file, and the log says why.
         A failing statement fails the files of its mapping."""
         for row in self.mappings:
             statements = row.settings.get(kind) or []
@@ -189,16 +192,35 @@ class LoadJob:
         """A statement that names the file, for all files of a table."""
         ids = f"files_{uuid.uuid4().hex}"
         wide, why = over_files(sql, ids)
-        if wide is None:
-            log.warning("once per file, %s: %s", why, sql[:80])
-            for r in files.orderBy("id").toLocalIterator():
-                self.spark.sql(sql, {"file_id": r["id"]})
-            return
-        files.select(F.col("id").alias("file_id")).createOrReplaceTempView(ids)
+        named = files.select(F.col("id").alias("file_id" if wide else ids))
+        (named if wide else durable(named, "ids")).createOrReplaceTempView(ids)
         try:
-            self.spark.sql(wide)
+            wide = wide or self._lateral(sql, ids)
+            if wide is not None:
+                self.spark.sql(wide)
+                return
         finally:
             self.spark.catalog.dropTempView(ids)
+        log.warning("once per file, %s: %s", why, sql[:80])
+        for r in files.orderBy("id").toLocalIterator():
+            self.spark.sql(sql, {"file_id": r["id"]})
+
+    def _lateral(self, sql: str, ids: str) -> str | None:
+        """An insertion for each file of the view in one statement, if Spark can plan it and what one file
+        inserts is not read for the next: the target is named nowhere in the plan of the query."""
+        parts = each_file(sql, ids)
+        if parts is None:
+            return None
+        target, insertion, query = parts
+        try:
+            self.spark.sql(query)  # fails here if Spark can't
+            plan = self.spark.sql(f"EXPLAIN EXTENDED {query}").first()[0]
+        except PySparkException:
+            return None
+        name = target.split(".")[-1].strip("`")
+        if plan.startswith("Error occurred") or re.search(rf"(?i)\b{re.escape(name)}\b", plan):
+            return None
+        return f"{insertion} {query}"
 
     def _same_fate(self, work: DataFrame) -> DataFrame:
         """Copies of a file that failed, of the same mapping and target, fail with its message in

@@ -249,8 +249,8 @@ def limit_run(spark: SparkSession, sf_dir: str) -> DataFrame:
   UNION ALL SELECT 'once', '', 1)""",
 )
 def action_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M7: statements after a load: one for all files of the pass, one that must run file by file as
-    it counts, and one that names no file."""
+    """M7: statements after a load: one for all files of the pass, one that counts the rows of each file
+    on its own, and one that names no file."""
     folder = scratch_path(spark, "actions")
     line = F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name")
     write_lines(customers(spark, sf_dir).select(file_of(".csv").alias("place"), "c_custkey", line.alias("line")), folder, "k,name\n")

@@ -247,3 +247,45 @@ def test_single_gz_member(spark, tmp_path):
     found = states(job.run())
     assert found["one.csv"].rows_inserted == 1
     assert found["one.csv"].parent_file_id == found["one.csv.gz"].id
+
+
+def test_statements_that_count_run_once_for_all_files(spark, tmp_path, rows, caplog):
+    (tmp_path / "in").mkdir()
+    for k in range(4):
+        (tmp_path / "in" / f"n{k}.csv").write_text("a,b\n" + "".join(f"{i},x\n" for i in range(k + 1)))
+    spark.sql("CREATE DATABASE each_file")
+    for name in ("sizes", "big", "chain"):
+        spark.sql(f"CREATE TABLE each_file.{name} (file_id long, n long) USING parquet")
+    counted = "select {file_id}, count(1) from {schema_name}.t where file_id = '{file_id}'"
+    text = yaml.safe_dump([{"path": str(tmp_path / "in"), "project_name": "each", "mapping": [{
+        "file_regex": ".*csv$", "file_type": "CSV", "schema_name": "each_file", "table_name": "t", "append_file_id": True,
+        "process_logic": [{"logic": "custom_logic.pandas_import"}],
+        "post_action": [
+            {"sql": "insert into {schema_name}.sizes " + counted},
+            {"sql": "insert into {schema_name}.big (n, file_id) select count(case when a <> ', from' and a > 1 then 1 end) as k, "
+                    "{file_id} as f from {schema_name}.t where file_id = {file_id}"},
+        ]}]}])
+    done = states(LoadJob.from_yaml(spark, text, str(tmp_path / "work")).run())
+    files = {done[f"n{k}.csv"].id: k + 1 for k in range(4)}
+    assert {r.file_process_state for r in done.values()} == {"Processed"}
+    assert rows(spark.table("each_file.sizes")) == sorted(files.items())
+    assert rows(spark.table("each_file.big")) == sorted((i, max(0, n - 2)) for i, n in files.items())
+    assert "once per file" not in caplog.text
+
+    # What reads the rows it inserted for the files before still goes file by file.
+    job = LoadJob.from_yaml(spark, text, str(tmp_path / "work"))
+    ids = spark.createDataFrame([(i,) for i in files], "id long")
+    job._for_files("insert into each_file.chain select :file_id, count(1) from each_file.chain where file_id <> :file_id", ids)
+    assert rows(spark.table("each_file.chain")) == [(i, k) for k, i in enumerate(sorted(files))]
+    assert "once per file" in caplog.text
+
+
+@pytest.mark.parametrize("sql", [
+    "insert into a select k, :file_id from t where file_id = :file_id limit 3", "insert into a select 'n:file_id', count(1) from t",
+    "insert into a select :file_id, k, count(1) from t where file_id = :file_id group by 1, 2",
+    "insert into a select :file_id as f, count(1) from t group by f", "insert into a select :file_id, current_timestamp()",
+    "delete from t where file_id > :file_id"])
+def test_statements_left_to_each_file(sql):
+    from quayside.plans.config import each_file
+
+    assert each_file(sql, "ids") is None
