@@ -146,3 +146,15 @@ def test_long_quoted_lines_need_no_stack(spark):
     line = '"' + '""x' * 200_000
     df = spark.createDataFrame([(line,)], "line string").select(records.line_effect(F.col("line")).alias("e"))
     assert df.first().e in (records.TURNS, records.INSIDE)
+
+
+def test_counts_move_no_text(spark, tmp_path, tiny_splits, rows, monkeypatch):
+    for k in range(3):
+        (tmp_path / f"{k}.csv").write_bytes((body(k, "\n") + ('9,"open\nz,z' if k == 2 else "")).encode())
+    (tmp_path / "head.csv").write_text("a,b,c\n")
+    found = delimited.read_records(spark, str(tmp_path)).groupBy("path").agg(F.count(F.lit(1)).alias("n"))
+    want = [(p, n - 1) for p, n in rows(found) if n > 1]
+    seen, states = [], records._states
+    monkeypatch.setattr(records, "_states", lambda df, **k: seen.append(df.columns) or states(df, **k))
+    assert rows(delimited.count_rows(spark, str(tmp_path)), "path", "rows") == want
+    assert len(seen) == 1 and "line" not in seen[0]
