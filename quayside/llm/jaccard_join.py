@@ -9,13 +9,14 @@ Candidates come from adaptive multi-match prefixes. All shingles follow one orde
 rarity is estimated by a sketch, sized by the words of the corpus up to 2**SKETCH_MOST counters a
 row, which every task counts over all texts. Of a set of n, at least t = ceil(percent * n / 100)
 shingles must be shared with any partner. So two partners share at least l shingles within the first
-n - t + l of each. Every node picks its own l, up to all its set allows: the longer prefix costs more
-index entries, but a pair then needs more matches before it is verified, so few pairs remain where
-the shingles of a prefix are frequent. A pair uses the smaller l. A pair
-is written once: every entry carries its node's first few shingles, and where two nodes share one
-of these before the entry's own, they have met there. An entry at places p and q also bounds what
-the two can still share. Of the pairs written, those with fewer than l shared shingles in their
-prefixes go before any set is fetched.
+n - t + l of each. Every node picks its own l, up to all its set allows: with a longer prefix a pair
+needs more matches before it is verified, so few pairs remain where the shingles of a prefix are
+frequent. A pair uses the smaller l. Whatever l, partners share one of the first n - t + 1, so only
+these are index entries; the longer prefix stays with its node. Partners meet first at their rarest
+common shingle: at places p and q of an n and an m they share at most min(n - p, m - q), and an
+entry where that is too little writes nothing. Nor does one where the two share a shingle before it
+among the first few that every entry carries: they have met there. Of the pairs written, those with
+fewer than l shared shingles in their prefixes go before any set is fetched.
 
 Groups of many near copies would make quadratically many pairs. Two steps keep them from being
 written: first each node is verified against the most typical node of each of its index entries
@@ -208,7 +209,7 @@ def describe(docs: DataFrame, sketch, text: str, keep: list[str], width: int, pe
             df, ordered = df[order], values[order]
             sums = np.concatenate([[0.0], np.cumsum(df)])
             base = n - _needed(n, percent)
-            # Cost of l: index entries, and of the others met there at most 1/l as many pairs to verify.
+            # Cost of l: a longer prefix, and of the others met there at most 1/l as many pairs to verify.
             best, cost, l = np.minimum(1, n), np.full(len(n), np.inf), 1
             while (l <= n - base).any():
                 length = np.minimum(base + l, n)
@@ -243,16 +244,18 @@ NODE = ("sid", "n", "base", "matches", "typical", "signature", "early")
 
 
 def _entries(nodes: DataFrame) -> DataFrame:
-    """Index entries (shingle, node, place in the prefix) whose shingle two nodes share."""
+    """Index entries (shingle, node, place in the prefix) whose shingle two nodes share: of each node
+    the first ``base + 1`` shingles, of which partners share one whatever their l."""
 
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column("prefix")
             offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1]
-            values = np.frombuffer(column.buffers()[2] or b"", np.int64, offset=0)[offsets[0] // 8:offsets[-1] // 8]
-            firsts = (offsets - offsets[0]) // 8
+            prefix = np.frombuffer(column.buffers()[2] or b"", np.int64)
+            firsts = np.concatenate([[0], np.cumsum(batch.column("base").to_numpy() + 1)])
             row = rows_of(firsts)
-            place = np.arange(len(values)) - firsts[row]
+            place = np.arange(firsts[-1]) - firsts[row]
+            values = prefix[offsets[row] // 8 + place]
             sid = batch.column("sid").to_numpy()
             for a in range(0, len(values), 1 << 18):
                 b = slice(a, a + (1 << 18))
@@ -278,7 +281,7 @@ def _entries(nodes: DataFrame) -> DataFrame:
             yield held
 
     shape = "shingle long, sid long, place int"
-    spread = nodes.select("sid", "prefix").mapInArrow(explode, shape)
+    spread = nodes.select("sid", "base", "prefix").mapInArrow(explode, shape)
     return spread.repartition("shingle").sortWithinPartitions("shingle").mapInArrow(shared, shape)
 
 
@@ -287,7 +290,8 @@ def _pairs(members: DataFrame, percent: int, typical_only: bool) -> DataFrame:
 
     ``typical_only``: each node with the most typical one of its entry. Otherwise all pairs of
     different components. Both only as sizes, places and signatures allow. A pair whose first
-    common shingle is not among the early ones of both may be written more than once.
+    common shingle is not among the early ones of both may be written more than once, but only at
+    shingles rare enough to be the first that partners share.
     """
     shape = "a long, b long, matches int"
 
@@ -311,13 +315,13 @@ def _pairs(members: DataFrame, percent: int, typical_only: bool) -> DataFrame:
         stops = np.append(starts[1:], len(new))
         stop = np.repeat(stops, stops - starts)
         sid, n = part.column("sid").to_numpy(), part.column("n").to_numpy()
-        base, place = part.column("base").to_numpy(), part.column("place").to_numpy()
-        matches, component = part.column("matches").to_numpy(), part.column("component").to_numpy()
-        block, tile, other = (part.column(c).to_numpy() for c in ("block", "tile", "other"))
+        place, block, tile, other = (part.column(c).to_numpy() for c in ("place", "block", "tile", "other"))
         column = part.column("signature")
-        early = part.column("early")
-        first = np.frombuffer(early.buffers()[1], np.int32)[early.offset]
-        early = np.frombuffer(early.buffers()[2], np.uint64, count=part.num_rows * EARLY, offset=int(first)).reshape(-1, EARLY)
+        if not typical_only:
+            matches, component = part.column("matches").to_numpy(), part.column("component").to_numpy()
+            early = part.column("early")
+            first = np.frombuffer(early.buffers()[1], np.int32)[early.offset]
+            early = np.frombuffer(early.buffers()[2], np.uint64, count=part.num_rows * EARLY, offset=int(first)).reshape(-1, EARLY)
 
         def allowed(i, j):
             small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
@@ -325,21 +329,17 @@ def _pairs(members: DataFrame, percent: int, typical_only: bool) -> DataFrame:
             ok &= (block[i] != block[j]) | (tile[i] == other[i])  # pairs of one block: in its own tile
             i, j = i[ok], j[ok]
             need = -(-percent * (n[i] + n[j]) // (100 + percent))
-            least = np.minimum(matches[i], matches[j])
-            ok = (place[i] < base[i] + least) & (place[j] < base[j] + least)
             if not typical_only:
-                ok &= component[i] != component[j]
-            i, j, need = i[ok], j[ok], need[ok]
+                ok = component[i] != component[j]
+                i, j, need = i[ok], j[ok], need[ok]
             met = np.zeros(len(i), bool)
             if not typical_only:
                 # Where the two share an early shingle before this one, they have met there.
                 for x in range(EARLY):
                     for y in range(EARLY):
                         met |= (early[i, x] == early[j, y]) & (x < place[i]) & (y < place[j])
-            # Shared so far, this one, and at most all that follow. Early places share nothing before.
-            so_far = np.where((place[i] <= EARLY) & (place[j] <= EARLY) & (not typical_only), 0, np.minimum(place[i], place[j]))
-            room = so_far + np.minimum(n[i] - place[i], n[j] - place[j])
-            ok = ~met & (room >= need)
+            # Where two first meet they share this one and at most all that follow.
+            ok = ~met & (np.minimum(n[i] - place[i], n[j] - place[j]) >= need)
             i, j, need = i[ok], j[ok], need[ok]
             ok = apart(column, n, i, j) <= n[i] + n[j] - 2 * need
             return i[ok], j[ok]
@@ -367,7 +367,9 @@ def _pairs(members: DataFrame, percent: int, typical_only: bool) -> DataFrame:
                 yield batch_of(x, y)
             step += 1
 
-    dealt = members.repartition("shingle", "tile", "other").sortWithinPartitions("shingle", "tile", "other", "n", "sid")
+    asked = ("sid", "shingle", "place", "block", "tile", "other", "n", "signature",
+             *(["typical"] if typical_only else ["matches", "early", "component"]))
+    dealt = members.select(*asked).repartition("shingle", "tile", "other").sortWithinPartitions("shingle", "tile", "other", "n", "sid")
     return dealt.mapInArrow(pairs, shape)
 
 
@@ -384,7 +386,7 @@ def _tiled(entries: DataFrame, nodes: DataFrame) -> DataFrame:
         "shingle", "sid", "place", "block", F.least("block", "_with").alias("tile"),
         F.greatest("block", "_with").alias("other"),
     )
-    return spread.join(nodes.select(*NODE), "sid")
+    return spread.join(nodes.select(*[c for c in NODE if c != "base"]), "sid")
 
 
 def _matching(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -474,8 +476,7 @@ def near_groups(
     members = durable(_tiled(entries, nodes), "members")
     discard(entries)
 
-    plain = members.withColumn("component", F.col("sid"))
-    first = durable(_pairs(plain, percent, True).select("a", "b").distinct(), "pairs")
+    first = durable(_pairs(members, percent, True).select("a", "b").distinct(), "pairs")
     links = durable(_linked(first, docs, doc_id, text, nodes, width, percent), "links")
     known = components(links)
     met = lookup_join(members, known.withColumnRenamed("node", "sid"), ["sid"], "left").withColumn(

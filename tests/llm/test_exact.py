@@ -420,3 +420,27 @@ def test_shingles_shorter_than_the_width():
     values, firsts = shingle_sets(data, offsets, 3)
     assert np.diff(firsts).tolist() == [1, 1, 1, 0, 0, 1]
     assert values[0] == values[1] != values[3]
+
+
+def test_pairs_that_are_no_partners_are_rarely_written(spark, monkeypatch):
+    """Texts that share most shingles and are not linked meet in many index entries."""
+    import quayside.llm.jaccard_join as J
+
+    base = [f"word{k}" for k in range(600)]
+    rows = []
+    for k in range(24):
+        w = list(base)
+        for j in range(20):
+            w[(j * 30 + k) % 600] = f"own{k}n{j}"
+        rows.append((k, " ".join(w), "en"))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    written, pairs = [], J._pairs
+
+    def counted(*args):
+        found = pairs(*args)
+        written.append(found.count())
+        return found
+
+    monkeypatch.setattr(J, "_pairs", counted)
+    assert sorted_rows(near_groups(df, width=5, percent=80), "doc_id", "n_shingles", "component_id") == brute_wide_groups(rows, 5, 80)
+    assert written[1] <= 24 * 23 / 2, written
